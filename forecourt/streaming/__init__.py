@@ -1,0 +1,4 @@
+"""No mart is fed by a stream: every source is a table, an extract or a database read.
+
+The folder is kept so that the package layout stays the same when one is.
+"""
