@@ -1,8 +1,8 @@
 """Joins of a fact with its dimensions.
 
-No join carries a broadcast hint: Spark broadcasts a dimension when the size it
-measures is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it
-otherwise, and splits the partitions of hot fact keys while the query runs.
+Dimensions carry no broadcast hint: Spark broadcasts one when the size it measures
+is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise, and
+splits the partitions of hot fact keys while the query runs.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.columns import ColumnLike, as_column, first_of
 
+# Rows of one key that a single task may handle.
+TASK_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class DimSpec:
@@ -62,24 +65,34 @@ def _attach_one(fact: DataFrame, dim: DimSpec) -> DataFrame:
     matches = [as_column(expr) == F.col(key_names[k]) for k, expr in keys.items()]
     condition = reduce(Column.__and__, matches)
     if dim.how == "left" and dim.many:
-        joined = _left_many(fact, right, condition, list(key_names.values()), list(attached.values()))
+        joined = _left_many(fact, right, condition, list(key_names.values()))
     else:
         joined = fact.join(right, condition, dim.how)
     return joined.select(*fact.columns, *attached.values())
 
 
 def _left_many(
-    fact: DataFrame, right: DataFrame, condition: Column, keys: Sequence[str], attached: Sequence[str]
+    fact: DataFrame, right: DataFrame, condition: Column, keys: Sequence[str], task_rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Left join as matches plus leftovers.
+    """Left join with a dimension that may hold very many rows for one key.
 
-    An outer join may only split the preserved side of a hot key, an inner join
-    either side, so a dimension with very many rows for one key stays spread out.
+    Adaptive execution splits the preserved side of an outer join only. So keys with
+    more rows than one task should take are dealt into parts by a hash of the row,
+    and their fact rows repeated once per part. The number of rows per key also tells
+    which fact rows have no match at all: only those survive unmatched.
     """
-    types = dict(right.dtypes)
-    matched = fact.join(right, condition, "inner").select(*fact.columns, *attached)
-    alone = fact.join(right.select(*keys).distinct(), condition, "left_anti")
-    return matched.unionByName(alone.withColumns({c: F.lit(None).cast(types[c]) for c in attached}))
+    n, parts, part = F.col("__n"), F.col("__parts"), F.col("__part")
+    counts = right.groupBy(*keys).agg(F.count("*").alias("__n"))
+    numbers = F.explode(F.sequence(F.lit(1), F.coalesce(F.ceil(n / task_rows), F.lit(1)).cast("int")))
+    dealt_fact = fact.join(counts, condition, "left").drop(*keys).withColumn("__fact_part", numbers)
+    # At most one key per ``task_rows`` rows is hot, so this frame is safe to broadcast.
+    hot = counts.filter(n > task_rows).withColumn("__parts", F.ceil(n / task_rows)).drop("__n")
+    share = F.pmod(F.xxhash64(*right.columns), parts) + 1
+    dealt_right = right.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "__part", F.coalesce(share, F.lit(1)).cast("int")
+    )
+    joined = dealt_fact.join(dealt_right, condition & (F.col("__fact_part") == part), "left")
+    return joined.filter(part.isNotNull() | n.isNull())
 
 
 def attach_label(

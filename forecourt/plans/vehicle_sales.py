@@ -20,6 +20,10 @@ VEHICLE_MEASURES = (
 )
 # Attributes of single promotion rows, which have no meaning for a whole vehicle.
 PROMOTION_COLUMNS = ("operation_code", "operation_label", "heading_code", "heading_label", "promo_cost")
+# Measures before adjustment and parts of margins that no vehicle report shows.
+UNREPORTED_MEASURES = (
+    "price_raw", "margin_raw", "margin_version", "entity_margin_raw", "entity_margin", "entity_margin_option",
+)
 
 
 def vehicle_rollup(
@@ -62,7 +66,7 @@ def vehicle_sales(
     ``family_to_map`` to ``family``. Names are recoded after the roll-up, on one row
     per vehicle.
     """
-    dropped = {*VEHICLE_KEYS, *measures, *PROMOTION_COLUMNS}
+    dropped = {*VEHICLE_KEYS, *measures, *PROMOTION_COLUMNS, *UNREPORTED_MEASURES}
     attributes = [c for c in sales.columns if c not in dropped]
     vehicles = vehicle_rollup(sales, measures, attributes, order=order)
     vehicles = recode_from(vehicles, "major_client_type_label", channels, "sales_name", "channel")

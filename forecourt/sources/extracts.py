@@ -12,6 +12,8 @@ from forecourt.operators.schema import TableSpec, clean_headers, conform, quoted
 
 # The format all departments deliver.
 FORMAT = {"sep": ";", "header": "true", "encoding": "iso-8859-1"}
+# Lines end with a line feed, so a stray carriage return stays inside its field.
+MULTILINE = {"multiLine": "true", "lineSep": "\n"}
 
 
 def read_extract(
@@ -27,11 +29,12 @@ def read_extract(
     and stray carriage returns removed from the values. Such a file cannot be split,
     so one task reads it. ``constants`` are columns the file itself does not carry.
     """
-    options = FORMAT | ({"multiLine": "true"} if multiline else {})
+    options = FORMAT | (MULTILINE if multiline else {})
     paths = [path] if isinstance(path, str) else list(path)
     header = spark.read.options(**options).csv(paths[0]).columns
     schema = StructType([StructField(name, StringType()) for name in header])
     df = spark.read.options(**options).schema(schema).csv(paths)
+    df = df.toDF(*(name.strip() for name in header))
     if multiline:
         df = clean_headers(df)
         df = df.select(*(F.translate(F.col(quoted(c)), "\r", "").alias(c) for c in df.columns))
@@ -58,7 +61,7 @@ def read_extract_set(
     Departments change headers over time, so files are grouped by header and each
     group is one scan.
     """
-    options = FORMAT | ({"multiLine": "true"} if multiline else {})
+    options = FORMAT | (MULTILINE if multiline else {})
     groups: dict[tuple[str, ...], list[str]] = {}
     for path in find_extracts(spark, folder, prefix):
         groups.setdefault(tuple(spark.read.options(**options).csv(path).columns), []).append(path)

@@ -422,8 +422,8 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
         day("o_orderdate").alias("order_date"),
         roles.money("l_extendedprice").alias("price"),
         roles.money("l_quantity").alias("volume"),
-        (roles.money("l_extendedprice") * roles.money("l_discount")).alias("promo_cost"),
-        (roles.money("l_extendedprice") * roles.money("l_tax")).alias("storage_cost"),
+        (roles.money("l_extendedprice") * roles.share("l_discount")).alias("promo_cost"),
+        (roles.money("l_extendedprice") * roles.share("l_tax")).alias("storage_cost"),
     )
     parity = F.explode(F.array(F.lit(0), F.lit(1))).alias("parity")
     region, number = F.col("r_regionkey"), F.substring("p_brand", 7, 2).cast("int")

@@ -37,7 +37,12 @@ class Tables:
 
 
 def money(c: str) -> Column:
-    return F.col(c).cast("decimal(18,2)")
+    """Amounts up to ten billion; products with a share still fit a long integer."""
+    return F.col(c).cast("decimal(12,2)")
+
+
+def share(c: str) -> Column:
+    return F.col(c).cast("decimal(5,2)")
 
 
 def day(c: str) -> Column:
@@ -68,8 +73,8 @@ def lines(t: Tables) -> DataFrame:
         F.concat("l_returnflag", "l_linestatus").alias("operation"),
         money("l_extendedprice").alias("price"),
         money("l_quantity").alias("volume"),
-        (money("l_extendedprice") * money("l_discount")).alias("promo_cost"),
-        (money("l_extendedprice") * money("l_tax")).alias("storage_cost"),
+        (money("l_extendedprice") * share("l_discount")).alias("promo_cost"),
+        (money("l_extendedprice") * share("l_tax")).alias("storage_cost"),
     )
 
 
