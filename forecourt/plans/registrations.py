@@ -77,7 +77,11 @@ def registrations(
     wide = attach_label(wide, tables["professions"], "profession", "code", "label", "profession_label")
     wide = wide.withColumn(
         "registered_on",
-        pick(F.col("affiliate").isin(list(own_registration)), "movement_registered_on", "registered_on"),
+        pick(
+            F.col("affiliate").cast("string").isin([str(a) for a in own_registration]),
+            "movement_registered_on",
+            "registered_on",
+        ),
     ).withColumnsRenamed({"movement_in_service_on": "in_service_on", "movement_demo_end": "demo_end"})
     keys = [
         *LINE_COLUMNS, "vehicle_type", "family", "family_label", "brand", "country", *ORDER_COLUMNS,
