@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +15,18 @@ OFFER_DATE_FORMATS = ("yyyy-MM-dd", "yyyy MM dd", "dd/MM/yyyy")
 
 
 def parse_date(c: ColumnLike, formats: Sequence[str] = OFFER_DATE_FORMATS) -> Column:
-    """First format that fits; NULL when none does."""
-    return F.coalesce(*(F.try_to_date(as_column(c), f) for f in formats))
+    """First format that fits; NULL when none does.
+
+    The shape of the text is tested first: parsing text in the wrong format raises
+    and catches an exception for every row.
+    """
+    text = as_column(c)
+    return F.coalesce(*(F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats))
+
+
+def _shape(date_format: str) -> str:
+    """Regular expression for digits where the format has letters."""
+    return "^" + re.sub("[yMd]", r"\\d", re.escape(date_format)) + "$"
 
 
 def with_ymd(df: DataFrame, c: str) -> DataFrame:

@@ -13,24 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _sort_key(order: Sequence[str], rest: Sequence[str], nulls_last: bool) -> Column:
-    """Struct that compares by ``order`` and then by all other columns."""
-    parts: list[Column] = []
-    for i, c in enumerate(order):
-        if nulls_last:
-            parts.append(F.col(c).isNull().alias(f"null_{i}"))
-        parts.append(F.col(c).alias(f"order_{i}"))
-    return F.struct(*parts, F.struct(*rest).alias("row"))
+def _ranked(columns: Sequence[str], order: Sequence[str], tiebreak: Sequence[str], nulls_last: bool) -> Column:
+    """Row as a struct that compares by order, tie-break and then its other columns."""
+    missing = [F.col(c).isNull().alias(f"__missing_{c}") for c in order] if nulls_last else []
+    ranks = [part for pair in zip(missing, order, strict=True) for part in pair] if missing else list(order)
+    others = [c for c in (*tiebreak, *columns) if c not in order]
+    return F.struct(*ranks, *dict.fromkeys(others))
 
 
-def first_row(columns: Sequence[str], order: Sequence[str]) -> Column:
+def first_row(columns: Sequence[str], order: Sequence[str] = (), tiebreak: Sequence[str] = ()) -> Column:
     """Aggregate: the row that comes first; missing order values come last."""
-    return F.min(_sort_key(order, columns, nulls_last=True))["row"]
+    return F.min(_ranked(columns, order, tiebreak, nulls_last=True))
 
 
-def last_row(columns: Sequence[str], order: Sequence[str]) -> Column:
+def last_row(columns: Sequence[str], order: Sequence[str] = (), tiebreak: Sequence[str] = ()) -> Column:
     """Aggregate: the row that comes last; missing order values come first."""
-    return F.max(_sort_key(order, columns, nulls_last=False))["row"]
+    return F.max(_ranked(columns, order, tiebreak, nulls_last=False))
 
 
 def _one_row(df: DataFrame, keys: Sequence[str], row: Column) -> DataFrame:
@@ -44,7 +42,7 @@ def keep_first(
 ) -> DataFrame:
     """Earliest row per key; ties go to the smallest tie-break, then row values."""
     rest = [c for c in df.columns if c not in keys]
-    return _one_row(df, keys, first_row(rest, [*order, *tiebreak])) if rest else df.distinct()
+    return _one_row(df, keys, first_row(rest, order, tiebreak)) if rest else df.distinct()
 
 
 def keep_latest(
@@ -52,7 +50,7 @@ def keep_latest(
 ) -> DataFrame:
     """Latest row per key; ties go to the largest tie-break, then row values."""
     rest = [c for c in df.columns if c not in keys]
-    return _one_row(df, keys, last_row(rest, [*order, *tiebreak]))
+    return _one_row(df, keys, last_row(rest, order, tiebreak))
 
 
 def roll_up(
@@ -61,9 +59,10 @@ def roll_up(
     measures: Mapping[str, Column],
     attributes: Sequence[str],
     order: Sequence[str],
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Sums per key next to the attributes of the earliest row, in one shuffle."""
-    first = first_row(attributes, order).alias("first")
+    first = first_row(attributes, order, tiebreak).alias("first")
     rolled = df.groupBy(*keys).agg(first, *(agg.alias(name) for name, agg in measures.items()))
     return rolled.select(*keys, *(F.col("first")[c].alias(c) for c in attributes), *measures)
 

@@ -13,7 +13,7 @@ from forecourt import fixed_values as fixed
 from forecourt.functions.columns import key_of
 from forecourt.functions.dates import with_ymd
 from forecourt.functions.text import label, zone_country
-from forecourt.operators.aggregates import summarise
+from forecourt.operators.aggregates import summarise, totals
 from forecourt.operators.filters import between_dates, keep_in, restrict
 from forecourt.operators.joins import DimSpec, attach
 from forecourt.operators.lookups import keep_mapped, recode
@@ -116,7 +116,7 @@ def sales_wide(
     facts = between_dates(tables["facts"], "sale_date", *window)
     wide = attach(facts, [d.spec(tables, locale) for d in model.dimensions])
     keys = [*model.attributes, *(c for d in model.dimensions if d.reported for c in d.columns())]
-    return summarise(wide, keys, {m: F.sum(m) for m in model.measures})
+    return summarise(wide, keys, totals(wide, model.measures))
 
 
 def sales(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from forecourt.functions.amounts import rate, zero_to_null
 from forecourt.functions.measures import list_price
 from forecourt.functions.text import strip_pattern
+from forecourt.operators.aggregates import totals
 from forecourt.operators.duplicates import roll_up
 from forecourt.operators.lookups import lookup, recode_from
 
@@ -32,13 +33,14 @@ def vehicle_rollup(
     attributes: Sequence[str],
     keys: Sequence[str] = VEHICLE_KEYS,
     order: Sequence[str] = ("sale_date",),
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Sums of all sales of a vehicle next to the attributes of its earliest sale.
 
     Totals of zero become NULL. Both are computed by one aggregation, so the fact
     is shuffled once and reduced before.
     """
-    rolled = roll_up(sales, keys, {m: F.sum(m) for m in measures}, attributes, order)
+    rolled = roll_up(sales, keys, totals(sales, measures), attributes, order, tiebreak)
     return rolled.withColumns({m: zero_to_null(m) for m in measures})
 
 
@@ -59,6 +61,7 @@ def vehicle_sales(
     margins: DataFrame,
     measures: Sequence[str] = VEHICLE_MEASURES,
     order: Sequence[str] = ("sale_date",),
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Vehicle roll-up with channel and family names, segment and list price.
 
@@ -68,7 +71,7 @@ def vehicle_sales(
     """
     dropped = {*VEHICLE_KEYS, *measures, *PROMOTION_COLUMNS, *UNREPORTED_MEASURES}
     attributes = [c for c in sales.columns if c not in dropped]
-    vehicles = vehicle_rollup(sales, measures, attributes, order=order)
+    vehicles = vehicle_rollup(sales, measures, attributes, order=order, tiebreak=tiebreak)
     vehicles = recode_from(vehicles, "major_client_type_label", channels, "sales_name", "channel")
     vehicles = recode_from(vehicles, "family_label", families, "family_to_map", "family")
     vehicles = vehicles.withColumn("segment_label", strip_pattern("segment_label", "SEGMENT "))

@@ -23,7 +23,7 @@ from forecourt.plans.sales import Dimension, SalesModel, sales, sales_wide
 from forecourt.plans.vehicle_cost import vehicle_cost
 from forecourt.plans.vehicle_sales import price_list, vehicle_sales
 from workload import roles
-from workload.registry import doubles, iso, query
+from workload.registry import iso, query
 from workload.roles import Tables, day, text, two_digits
 
 # --- flagship ---------------------------------------------------------------------
@@ -73,7 +73,7 @@ def vehicle_costs(t: Tables) -> DataFrame:
     bids = offers(roles.offer_union(t), tax, roles.OFFER_AMOUNTS)
     mart = vehicle_cost(roles.rolled_vehicles(t), roles.registrations(t), bids, tax, roles.EXEMPT)
     dates = {c: iso(c) for c in ("sale_date", "order_date", "production_date")}
-    return mart.withColumns(dates | doubles(*roles.MEASURES)).select(*COST_COLUMNS)
+    return mart.withColumns(dates).select(*COST_COLUMNS)
 
 
 # --- offers, sales of vehicles, costs, promotions -----------------------------------
@@ -146,16 +146,14 @@ def sold_vehicles(t: Tables) -> DataFrame:
         kinds.withColumn("family", family),
         roles.margins(t),
         measures=["price", "volume", "storage_cost"],
-        order=["sale_date", "line_no", "part_key", "supp_key", "price"],
+        tiebreak=["line_no", "part_key", "supp_key"],
     )
-    shown = doubles("price", "volume", "storage_cost") | {"sale_date": iso("sale_date")}
-    priced = mart.withColumn("list_price", F.col("price").cast("double") * (1 + F.col("fixed_margin")))
-    return priced.withColumns(shown).drop("part_key", "supp_key")
+    return mart.withColumn("sale_date", iso("sale_date")).drop("part_key", "supp_key")
 
 
 def vehicle_prices(t: Tables) -> DataFrame:
     """Vehicle roll-up with margin and list price, as the cost mart needs it."""
-    vehicles = roles.rolled_vehicles(t).withColumns({"margin_key": roles.margin_key()} | doubles("price"))
+    vehicles = roles.rolled_vehicles(t).withColumn("margin_key", roles.margin_key())
     return price_list(vehicles, roles.margins(t))
 
 
@@ -231,7 +229,7 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
         F.col("l_suppkey").alias("pack"),
         F.col("l_linenumber").alias("pack_version"),
         key.alias("file_no"),
-        roles.money("l_quantity").alias("co2"),
+        F.col("l_quantity").alias("co2"),
     )
     types = F.explode(F.array(F.lit("VP"), F.lit("VU"))).alias("vehicle_type")
     return {
@@ -358,7 +356,7 @@ def registered(t: Tables, **restriction: str) -> DataFrame:
         brands=[b for b in roles.BRANDS if b != "Brand#4"],
         **restriction,
     )
-    return mart.withColumns({c: iso(c) for c in REGISTRATION_DATES} | doubles("co2"))
+    return mart.withColumns({c: iso(c) for c in REGISTRATION_DATES})
 
 
 @query("q_registration", REGISTRATION_SQL, ("order_country",))
@@ -420,10 +418,10 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
         F.col("l_returnflag").alias("promo"),
         day("l_shipdate").alias("sale_date"),
         day("o_orderdate").alias("order_date"),
-        roles.money("l_extendedprice").alias("price"),
-        roles.money("l_quantity").alias("volume"),
-        (roles.money("l_extendedprice") * roles.share("l_discount")).alias("promo_cost"),
-        (roles.money("l_extendedprice") * roles.share("l_tax")).alias("storage_cost"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("volume"),
+        roles.part_of("l_extendedprice", "l_discount").alias("promo_cost"),
+        roles.part_of("l_extendedprice", "l_tax").alias("storage_cost"),
     )
     parity = F.explode(F.array(F.lit(0), F.lit(1))).alias("parity")
     region, number = F.col("r_regionkey"), F.substring("p_brand", 7, 2).cast("int")
@@ -503,7 +501,7 @@ SHOWN_DATES = "strftime(sale_date, '%Y-%m-%d') as sale_date, strftime(order_date
 def wide_sales(t: Tables) -> DataFrame:
     """Sales fact with all dimensions, summed over everything it reports."""
     wide = sales_wide(sales_tables(t), WINDOW, SALES_MODEL)
-    return wide.withColumns({c: iso(c) for c in ("sale_date", "order_date")} | doubles(*roles.MEASURES))
+    return wide.withColumns({c: iso(c) for c in ("sale_date", "order_date")})
 
 
 @query(
@@ -523,7 +521,7 @@ def wide_sales(t: Tables) -> DataFrame:
 def direct_sales(t: Tables) -> DataFrame:
     """Direct sales with channel type and margin key."""
     mart = sales(sales_tables(t), WINDOW, model=SALES_MODEL)
-    return mart.withColumns({c: iso(c) for c in ("sale_date", "order_date")} | doubles(*roles.MEASURES))
+    return mart.withColumns({c: iso(c) for c in ("sale_date", "order_date")})
 
 
 # --- planning and reference marts ----------------------------------------------------
@@ -599,7 +597,7 @@ def yearly_budget(t: Tables) -> DataFrame:
         F.col("c_mktsegment").alias("family"),
         F.when(F.col("o_orderstatus") == "P", "(vide)").otherwise(F.col("o_orderstatus")).alias("energy"),
         F.col("o_orderpriority").alias("channel"),
-        F.when(key % 7 == 0, "0").otherwise(roles.comma(roles.money("o_totalprice"))).alias("price"),
+        F.when(key % 7 == 0, "0").otherwise(roles.comma(roles.printed("o_totalprice"))).alias("price"),
         text(key % 50).alias("volume"),
         F.date_format(shifted, "dd/MM/yy").alias("date"),
         text(F.year(shifted)).alias("year"),

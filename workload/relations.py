@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions.columns import key_of
-from forecourt.operators.aggregates import count_by, reconcile, summarise, varchar_widths
+from forecourt.operators.aggregates import count_by, reconcile, summarise, totals, varchar_widths
 from forecourt.operators.duplicates import keep_first, keep_latest, with_group_count
 from forecourt.operators.extract import extract
 from forecourt.operators.filters import drop_blank, perimeter
@@ -18,7 +18,7 @@ from forecourt.operators.schema import union_all
 from forecourt.plans.references import category_order, ordered_categories
 from forecourt.plans.vehicle_sales import vehicle_rollup
 from workload import roles
-from workload.registry import doubles, iso, query
+from workload.registry import iso, query
 from workload.roles import Tables, day
 
 SEGMENT_REF_SQL = """
@@ -96,7 +96,7 @@ def role_playing(t: Tables) -> DataFrame:
     names = t.nation.select("n_nationkey", F.col("n_name").alias("name"))
     customers, suppliers = t.customer.select("c_custkey", "c_nationkey"), t.supplier.select("s_suppkey", "s_nationkey")
     wide = attach(
-        t.lineitem.select("l_orderkey", "l_suppkey", roles.money("l_extendedprice").alias("price")),
+        t.lineitem.select("l_orderkey", "l_suppkey", F.col("l_extendedprice").alias("price")),
         [
             DimSpec(suppliers, {"s_suppkey": "l_suppkey"}),
             DimSpec(t.orders.select("o_orderkey", "o_custkey"), {"o_orderkey": "l_orderkey"}),
@@ -105,8 +105,8 @@ def role_playing(t: Tables) -> DataFrame:
             DimSpec(names, {"n_nationkey": "s_nationkey"}, role="delivered"),
         ],
     )
-    totals = {"n": F.count("*"), "price": F.sum("price").cast("double")}
-    return summarise(wide, ["ordering_name", "delivered_name"], totals)
+    measures = {"n": F.count("*")} | totals(wide, ["price"])
+    return summarise(wide, ["ordering_name", "delivered_name"], measures)
 
 
 @query(
@@ -134,15 +134,9 @@ def full_outer(t: Tables) -> DataFrame:
         F.col("o_orderstatus").alias("registered_usage"),
         "o_orderpriority",
     )
-    sold = summarise(
-        t.lineitem.withColumnRenamed("l_orderkey", "k"),
-        ["k"],
-        {
-            "sold_date": F.min(day("l_shipdate")),
-            "sold_usage": F.max("l_returnflag"),
-            "volume": F.sum(roles.money("l_quantity")).cast("double"),
-        },
-    )
+    lines = t.lineitem.withColumnsRenamed({"l_orderkey": "k", "l_quantity": "volume"})
+    extremes = {"sold_date": F.min(day("l_shipdate")), "sold_usage": F.max("l_returnflag")}
+    sold = summarise(lines, ["k"], extremes | totals(lines, ["volume"]))
     both = merge_sources(
         registered,
         sold,
@@ -200,8 +194,7 @@ def latest_event(t: Tables) -> DataFrame:
 def first_per_operation(t: Tables) -> DataFrame:
     """First row per vehicle and operation."""
     rows = roles.lines(t).select("order_key", "operation", "line_no", "part_key", "supp_key", "price")
-    first = keep_first(rows, ["order_key", "operation"], tiebreak=["line_no", "part_key", "supp_key", "price"])
-    return first.withColumns(doubles("price"))
+    return keep_first(rows, ["order_key", "operation"], tiebreak=roles.TIEBREAK)
 
 
 @query(
@@ -213,7 +206,7 @@ def first_per_operation(t: Tables) -> DataFrame:
 )
 def rollup(t: Tables) -> DataFrame:
     """Sums per vehicle next to its earliest sale."""
-    return roles.rolled_vehicles(t).withColumns({"sale_date": iso("sale_date")} | doubles(*roles.MEASURES))
+    return roles.rolled_vehicles(t).withColumn("sale_date", iso("sale_date"))
 
 
 @query(
@@ -229,11 +222,14 @@ def rollup(t: Tables) -> DataFrame:
 )
 def brand_rollup(t: Tables) -> DataFrame:
     """The same roll-up over few, very large groups."""
-    order = ["sale_date", "vehicle", "line_no", "part_key", "supp_key", "price"]
     rolled = vehicle_rollup(
-        roles.sale_lines(t), ["price", "volume"], ["vehicle", "sale_date"], ["brand", "country"], order
+        roles.sale_lines(t),
+        ["price", "volume"],
+        ["vehicle", "sale_date"],
+        ["brand", "country"],
+        tiebreak=["vehicle", *roles.TIEBREAK],
     )
-    return rolled.withColumns({"sale_date": iso("sale_date")} | doubles("price", "volume"))
+    return rolled.withColumn("sale_date", iso("sale_date"))
 
 
 @query(

@@ -21,7 +21,7 @@ BRANDS = tuple(f"Brand#{i}" for i in range(1, 26))
 EXEMPT = "NATION_7"
 HEADINGS = {"Heading A": "Dealer bonus", "Heading N": "Client bonus"}
 NETWORK_HEADINGS = ("Dealer bonus",)
-ROLLUP_ORDER = ("sale_date", "line_no", "part_key", "supp_key", "price")
+TIEBREAK = ("line_no", "part_key", "supp_key", "price")
 MEASURES = ("price", "volume", "promo_cost", "storage_cost")
 
 
@@ -36,13 +36,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def money(c: str) -> Column:
-    """Amounts up to ten billion; products with a share still fit a long integer."""
-    return F.col(c).cast("decimal(12,2)")
+def printed(c: str) -> Column:
+    """An amount with its two decimals, as text."""
+    return text(F.col(c).cast("decimal(12,2)"))
 
 
-def share(c: str) -> Column:
-    return F.col(c).cast("decimal(5,2)")
+def part_of(c: str, share: str) -> Column:
+    """A share of an amount; both have two decimals, so the product has four."""
+    return F.rint(F.col(c) * F.col(share) * 10000) / 10000
 
 
 def day(c: str) -> Column:
@@ -71,10 +72,10 @@ def lines(t: Tables) -> DataFrame:
         day("l_shipdate").alias("sale_date"),
         F.col("l_returnflag").alias("flag"),
         F.concat("l_returnflag", "l_linestatus").alias("operation"),
-        money("l_extendedprice").alias("price"),
-        money("l_quantity").alias("volume"),
-        (money("l_extendedprice") * share("l_discount")).alias("promo_cost"),
-        (money("l_extendedprice") * share("l_tax")).alias("storage_cost"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("volume"),
+        part_of("l_extendedprice", "l_discount").alias("promo_cost"),
+        part_of("l_extendedprice", "l_tax").alias("storage_cost"),
     )
 
 
@@ -126,7 +127,7 @@ def rolled_vehicles(t: Tables) -> DataFrame:
     first, and only the rolled-up rows meet orders, customers and parts.
     """
     rolled = vehicle_rollup(
-        lines(t), MEASURES, ["sale_date", "line_no", "part_key"], keys=["order_key"], order=ROLLUP_ORDER
+        lines(t), MEASURES, ["sale_date", "line_no", "part_key"], keys=["order_key"], tiebreak=TIEBREAK
     )
     named = attach(
         rolled,
@@ -183,7 +184,7 @@ def offer_texts(t: Tables) -> DataFrame:
         .when(key % 4 == 2, F.date_format(placed, "dd/MM/yyyy"))
         .otherwise("n/a")
     )
-    price = money("o_totalprice")
+    price = F.col("o_totalprice").cast("decimal(12,2)")
     return order_country(t).filter(key % 3 != 0).select(
         "o_orderkey",
         vehicle_id("o_orderkey").alias("vehicle"),

@@ -22,7 +22,7 @@ from forecourt.plans.publication import pseudonymise
 from forecourt.plans.references import tax_rates
 from forecourt.plans.vehicle_sales import price_list
 from workload import roles
-from workload.registry import doubles, iso, query
+from workload.registry import iso, query
 from workload.roles import Tables, day, text as as_text
 
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -101,7 +101,7 @@ def recoded(t: Tables) -> DataFrame:
 def amount_parse(t: Tables) -> DataFrame:
     """Amounts printed with comma, currency, leading blanks; zero and junk."""
     key = F.col("o_orderkey")
-    printed = roles.comma(roles.money("o_totalprice"))
+    printed = roles.comma(roles.printed("o_totalprice"))
     shown = (
         F.when(key % 11 == 0, "n/a")
         .when(key % 7 == 0, "0")
@@ -189,7 +189,7 @@ def text_strip(t: Tables) -> DataFrame:
 def stringified(t: Tables) -> DataFrame:
     """Every column as text."""
     return stringify(
-        t.orders.withColumns({"o_orderdate": day("o_orderdate"), "o_totalprice": roles.money("o_totalprice")})
+        t.orders.withColumns({"o_orderdate": day("o_orderdate"), "o_totalprice": roles.printed("o_totalprice")})
     )
 
 
@@ -323,7 +323,7 @@ def age_buckets(t: Tables) -> DataFrame:
 )
 def list_prices(t: Tables) -> DataFrame:
     """Price plus agreed margin; NULL where none is agreed."""
-    sold = roles.sale_lines(t).withColumns({"margin_key": roles.margin_key()} | doubles("price"))
+    sold = roles.sale_lines(t).withColumn("margin_key", roles.margin_key())
     priced = price_list(sold, roles.margins(t))
     return priced.select("vehicle", "line_no", "part_key", "supp_key", "price", "fixed_margin", "list_price")
 
