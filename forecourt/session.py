@@ -33,6 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.host", "localhost")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Plans are built from many small expressions; recording where each was
+        # written takes longer than building them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)

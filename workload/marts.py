@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions.columns import key_of
-from forecourt.operators.filters import restrict
 from forecourt.operators.schema import TableSpec, conform
 from forecourt.plans.budget import budget, budget_lines
 from forecourt.plans.cost_rows import cost_rows
@@ -213,7 +212,7 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
         return F.concat(head, F.left("o_orderpriority", F.lit(n)), F.lit(f"-{n}X")).alias(f"operation_{n}")
 
     sold = t.lineitem.join(order, F.col("l_orderkey") == key).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    lines = sold.filter(key % 4 != 0).select(
+    lines = sold.filter("o_orderstatus <> 'P'").select(
         roles.vehicle_id("o_orderkey").alias("vehicle"),
         F.col("c_nationkey").alias("affiliate"),
         key.alias("order_no"),
@@ -245,7 +244,7 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
             F.concat(F.lit("Family "), text(number)).alias("family_label"),
             F.col("p_brand").alias("brand"),
         ),
-        "orders": order.filter(key % 5 != 0).select(
+        "orders": order.filter("o_orderpriority <> '1-URGENT'").select(
             F.col("c_nationkey").alias("affiliate"),
             key.alias("order_no"),
             *(operation(n) for n in range(1, 6)),
@@ -256,7 +255,7 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
         "engines": t.nation.select(
             F.col("n_nationkey").alias("affiliate"), F.explode(F.array(F.lit("LARGE"), F.lit("SMALL"))).alias("engine")
         ),
-        "vehicles": order.filter(key % 6 != 0).select(
+        "vehicles": order.filter("o_orderpriority <> '2-HIGH'").select(
             F.col("c_nationkey").alias("affiliate"),
             roles.vehicle_id("o_orderkey").alias("vehicle"),
             F.when(key % 7 == 0, "D").alias("demo"),
@@ -273,18 +272,18 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
             F.explode(F.array(F.lit(1), F.lit(2))).alias("version"),
             F.col("s_name").alias("pack_label"),
         ),
-        "financing": order.filter(key % 9 == 0).select(
+        "financing": order.filter("o_orderpriority = '5-LOW'").select(
             F.col("c_nationkey").alias("affiliate"), key.alias("file_no"), day("o_orderdate").alias("reserved_on")
         ),
-        "movements": order.filter(key % 8 != 0).select(
+        "movements": order.filter("o_orderpriority <> '3-MEDIUM'").select(
             F.col("c_nationkey").alias("affiliate"),
             roles.vehicle_id("o_orderkey").alias("vehicle"),
             F.date_add(day("o_orderdate"), 40).alias("in_service_on"),
             F.when(key % 7 == 0, F.date_add(day("o_orderdate"), 90)).alias("demo_end"),
             F.date_add(day("o_orderdate"), 41).alias("registered_on"),
         ),
-        "professions": t.customer.filter("c_custkey % 10 < 3 and c_mktsegment <> 'FURNITURE'").select(
-            F.col("c_mktsegment").alias("code"), F.concat(F.lit("Profession "), text(F.col("c_custkey") % 10)).alias("label")
+        "professions": t.customer.filter("c_mktsegment <> 'FURNITURE'").select(
+            F.col("c_mktsegment").alias("code"), F.concat(F.lit("Profession "), two_digits("c_nationkey")).alias("label")
         ),
     }
 
@@ -305,11 +304,11 @@ REGISTRATION_SQL = f""", b as (
       select *, cast(o_orderdate as date) as placed, cast(l_shipdate as date) as shipped,
         cast(substr(p_brand, 7) as integer) as number
       from lineitem join order_country on o_orderkey = l_orderkey join part on p_partkey = l_partkey
-      where o_orderkey % 4 <> 0
+      where o_orderstatus <> 'P'
         and cast(l_shipdate as date) between date '1996-01-01' and date '1999-12-31'),
     prof as (
-      select c_mktsegment as code, max('Profession ' || c_custkey % 10) as label
-      from customer where c_custkey % 10 < 3 and c_mktsegment <> 'FURNITURE' group by 1),
+      select c_mktsegment as code, max('Profession ' || lpad(cast(c_nationkey as varchar), 2, '0')) as label
+      from customer where c_mktsegment <> 'FURNITURE' group by 1),
     w as (
       select 'V' || lpad(cast(b.o_orderkey as varchar), 16, '0') as vehicle, placed as order_date,
         b.o_orderpriority as usage, l_returnflag as trim_colour, l_linestatus as trim_material, p_type as engine,
@@ -317,22 +316,22 @@ REGISTRATION_SQL = f""", b as (
         case when l_returnflag = 'A' then 'CV' else 'PC' end as vehicle_type,
         lpad(cast(number as varchar), 4, '0') as family, 'Family ' || number as family_label, p_brand as brand,
         b.country, c.* exclude (k), 
-        case when b.o_orderkey % 6 <> 0 and b.o_orderkey % 7 = 0 then 'D' end as demo,
-        case when b.c_nationkey in (1, 63) then case when b.o_orderkey % 8 <> 0 then placed + 41 end
-          when b.o_orderkey % 6 <> 0 then placed + 30 end as registered_on,
-        case when b.o_orderkey % 6 <> 0 then placed + 10 end as available_on,
-        case when b.o_orderkey % 6 <> 0 then placed + 5 end as shipped_on,
-        case when b.o_orderkey % 6 <> 0 then placed + 8 end as arrived_on,
-        case when b.o_orderkey % 6 <> 0 then placed - 50 end as production_date,
-        case when b.o_orderkey % 8 <> 0 then placed + 40 end as in_service_on,
-        case when b.o_orderkey % 8 <> 0 and b.o_orderkey % 7 = 0 then placed + 90 end as demo_end,
-        s_name as pack_label, case when b.o_orderkey % 9 = 0 then placed end as reserved_on,
+        case when b.o_orderpriority <> '2-HIGH' and b.o_orderkey % 7 = 0 then 'D' end as demo,
+        case when b.c_nationkey in (1, 63) then case when b.o_orderpriority <> '3-MEDIUM' then placed + 41 end
+          when b.o_orderpriority <> '2-HIGH' then placed + 30 end as registered_on,
+        case when b.o_orderpriority <> '2-HIGH' then placed + 10 end as available_on,
+        case when b.o_orderpriority <> '2-HIGH' then placed + 5 end as shipped_on,
+        case when b.o_orderpriority <> '2-HIGH' then placed + 8 end as arrived_on,
+        case when b.o_orderpriority <> '2-HIGH' then placed - 50 end as production_date,
+        case when b.o_orderpriority <> '3-MEDIUM' then placed + 40 end as in_service_on,
+        case when b.o_orderpriority <> '3-MEDIUM' and b.o_orderkey % 7 = 0 then placed + 90 end as demo_end,
+        s_name as pack_label, case when b.o_orderpriority = '5-LOW' then placed end as reserved_on,
         prof.label as profession_label, cast(l_quantity as decimal(18,2)) as emission
       from b
       left join (select o_orderkey as k, {OPERATION_COLUMNS_SQL}, nullif(cast(o_orderkey % 2 as varchar), '0') as promo,
           cast(o_orderkey % 3 as varchar) as promo_2,
           nullif(cast(o_orderkey % 4 as varchar), '0') as discount_percent
-        from orders where o_orderkey % 5 <> 0) c on c.k = b.o_orderkey
+        from orders where o_orderpriority <> '1-URGENT') c on c.k = b.o_orderkey
       left join supplier on s_suppkey = l_suppkey and s_nationkey = b.c_nationkey and l_linenumber in (1, 2)
       left join prof on prof.code = b.c_mktsegment
       where number % 3 in (0, 1) and country <> 'NATION_3' and p_brand <> 'Brand#4'),
@@ -406,7 +405,7 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
     sold = t.lineitem.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
     zone = F.col("c_nationkey") * 2 + F.col("o_custkey") % 2
     facts = sold.select(
-        (F.col("l_orderkey") % 5).alias("base_id"),
+        F.when(F.col("l_returnflag") == "R", 2).otherwise(0).alias("base_id"),
         zone.alias("zone_id"),
         F.col("l_partkey").alias("version_id"),
         F.col("l_linenumber").alias("heading_id"),
@@ -430,6 +429,7 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
     client_zone = F.col("c_nationkey") * 2 + F.col("c_custkey") % 2
     brand = t.part.select("p_brand").distinct()
     codes = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("channel")
+    mapped = F.array(*(F.lit(b) for b in roles.BRANDS if b != "Brand#9"))
     return {
         "facts": facts,
         "base": t.region.select(region.alias("id"), F.when(region < 2, "LA").otherwise("EA").alias("code")),
@@ -445,7 +445,7 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
             F.col("p_partkey").alias("id"), F.col("p_type").alias("code"), F.lower("p_type").alias("label_fr"), number.alias("brand_id")
         ),
         "brand": brand.select(number.alias("id"), F.col("p_brand").alias("code")),
-        "segment": t.part.filter("p_size % 2 = 0").select(
+        "segment": t.part.filter("p_type <> 'MEDIUM'").select(
             F.col("p_partkey").alias("id"), text("p_size").alias("code"), F.concat(F.lit("SEGMENT "), text("p_size")).alias("label_fr")
         ),
         "heading": t.region.select(region.alias("id"), F.concat(F.lit("R"), text(region)).alias("code"), F.col("r_name").alias("label_fr")),
@@ -458,8 +458,8 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
         ),
         "delivered_client": t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("code")),
         "vehicle": t.orders.select(F.col("o_orderkey").alias("id"), roles.vehicle_id("o_orderkey").alias("code")),
-        "channel_types": t.nation.select("n_nationkey", codes).join(brand.select("p_brand", number.alias("b")), F.col("b") == F.col("n_nationkey") + 1).select(
-            F.concat(two_digits("n_nationkey"), F.lit(" "), "p_brand", F.lit(" K"), text("channel")).alias("key"),
+        "channel_types": t.nation.select("n_nationkey", F.explode(mapped).alias("brand")).select("*", codes).select(
+            F.concat(two_digits("n_nationkey"), F.lit(" "), "brand", F.lit(" K"), text("channel")).alias("key"),
             F.when(F.col("channel") == 3, "Other").when(F.col("channel") == 2, "Indirect").otherwise("Direct").alias("channel_type"),
         ),
     }
@@ -470,8 +470,8 @@ WIDE_SQL = """, f as (
         case when o_custkey % 2 = 0 then 'CP' else 'PP' end || lpad(cast(c_nationkey as varchar), 2, '0') as zone_code,
         country as zone_label, p_brand || '-' || p_size as version_code, p_name as version_label,
         p_type as family_code, lower(p_type) as family_label, p_brand as brand_code,
-        case when p_size % 2 = 0 then cast(p_size as varchar) end as segment_code,
-        case when p_size % 2 = 0 then 'SEGMENT ' || p_size end as segment_label,
+        case when p_type <> 'MEDIUM' then cast(p_size as varchar) end as segment_code,
+        case when p_type <> 'MEDIUM' then 'SEGMENT ' || p_size end as segment_label,
         'R' || h.r_regionkey as heading_code, h.r_name as heading_label, 'O' || q.n_nationkey as operation_code,
         q.n_name as operation_label, 'K' || k.r_regionkey as channel_code, k.r_name as channel_label,
         c_name as client_code, c.c_mktsegment as client_label, s_name as delivered_code,
@@ -484,7 +484,7 @@ WIDE_SQL = """, f as (
       join supplier on s_suppkey = l_suppkey
       left join region h on h.r_regionkey = l_linenumber join region k on k.r_regionkey = l_linenumber % 5
       left join nation q on q.n_nationkey = l_suppkey % 30
-      where l_orderkey % 5 < 2 and c_nationkey < 20
+      where l_returnflag <> 'R' and c_nationkey < 20
         and cast(l_shipdate as date) between date '1996-01-01' and date '1999-12-31'),
     g as (
       select * exclude (price, volume, promo_cost, storage_cost), cast(sum(price) as double) as price,
@@ -514,7 +514,7 @@ def wide_sales(t: Tables) -> DataFrame:
         case when nk % 2 = 0 then 'Country ' || nk else lpad(cast(nk as varchar), 2, '0') end as country,
         year(sale_date) || ' ' || lpad(cast(nk as varchar), 2, '0') || ' ' || version_code as margin_key,
         case channel_code when 'K2' then 'Indirect' when 'K3' then 'Other' else 'Direct' end as channel_type
-      from g where cast(substr(brand_code, 7) as integer) = nk + 1)
+      from g where brand_code <> 'Brand#9')
     select * from n where channel_type <> 'Other'""",
     ("order_country",),
 )
@@ -572,30 +572,30 @@ BRAND_NAMES = {f"MARQUE {i}": f"M{i}" for i in range(4)}
     """with b as (
       select case when o_custkey % 5 < 4 then 'M' || o_custkey % 5 else 'MARQUE 4' end as brand,
         case c_nationkey % 3 when 0 then 'France' when 1 then 'Belgium' else 'ANDORRA' end as country,
-        case o_orderkey % 3 when 0 then 'PC' else 'CV' end as vehicle_type,
+        case o_orderstatus when 'F' then 'PC' else 'CV' end as vehicle_type,
         case when c_mktsegment = 'BUILDING' then 'Family B' else c_mktsegment end as family,
-        case when o_orderstatus = 'P' then '' else o_orderstatus end as energy,
+        case when o_orderkey % 4 = 0 then '' else 'E' || o_orderkey % 4 end as energy,
         case o_orderpriority when '2-HIGH' then 'B2B' when '5-LOW' then 'B2C' else o_orderpriority end as channel,
         case when o_orderkey % 7 <> 0 then o_totalprice end as price, cast(o_orderkey % 50 as double) as v,
         cast(o_orderdate as date) + interval 20 year as d
-      from orders join customer on c_custkey = o_custkey where o_orderkey % 3 <> 2)
+      from orders join customer on c_custkey = o_custkey where o_orderstatus <> 'P')
     select distinct brand, country, vehicle_type, family, energy, channel, price, nullif(v, 0) as volume,
       strftime(d, '%Y-%m-%d') as date, cast(year(d) as integer) as year
     from b""",
 )
 def yearly_budget(t: Tables) -> DataFrame:
     """Budget from two extracts."""
-    key = F.col("o_orderkey")
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     priced = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     shifted = F.add_months(day("o_orderdate"), 240)
     brand = F.concat(F.lit("MARQUE "), text(F.col("o_custkey") % 5))
     extract = priced.select(
-        key,
+        F.year("o_orderdate").alias("placed"),
         brand.alias("Marque"),
         F.element_at(F.array(F.lit("FRANCE"), F.lit("BELGIQUE"), F.lit("ANDORRA")), F.col("c_nationkey") % 3 + 1).alias("LIB PAYS"),
-        F.element_at(F.array(F.lit("VP"), F.lit("VU"), F.lit("AJUST")), (key % 3 + 1).cast("int")).alias("TYPE"),
+        F.when(status == "F", "VP").when(status == "O", "VU").otherwise("AJUST").alias("TYPE"),
         F.col("c_mktsegment").alias("family"),
-        F.when(F.col("o_orderstatus") == "P", "(vide)").otherwise(F.col("o_orderstatus")).alias("energy"),
+        F.when(key % 4 == 0, "(vide)").otherwise(F.concat(F.lit("E"), text(key % 4))).alias("energy"),
         F.col("o_orderpriority").alias("channel"),
         F.when(key % 7 == 0, "0").otherwise(roles.comma(roles.printed("o_totalprice"))).alias("price"),
         text(key % 50).alias("volume"),
@@ -606,7 +606,7 @@ def yearly_budget(t: Tables) -> DataFrame:
         {"Marque": "brand", "LIB PAYS": "country", "TYPE": "vehicle_type"}
         | {c: c for c in ("family", "energy", "channel", "price", "volume", "date", "year")}
     )
-    sheets = [conform(extract.filter(key % 2 == half), spec) for half in (0, 1)]
+    sheets = [conform(extract.filter("placed < 1998"), spec), conform(extract.filter("placed >= 1998"), spec)]
     segments = t.customer.select(F.col("c_mktsegment").alias("family_to_map")).distinct()
     family = F.when(F.col("family_to_map") == "BUILDING", "Family B")
     priorities = t.orders.select(F.col("o_orderpriority").alias("budget_name")).distinct()
@@ -623,7 +623,7 @@ def yearly_budget(t: Tables) -> DataFrame:
 @query(
     "q_dealer",
     """select distinct 'P' as rank, 'S' || s_suppkey % 7 as sector_code, n_name as country
-    from supplier join nation on n_nationkey = s_nationkey where s_suppkey % 3 = 0""",
+    from supplier join nation on n_nationkey = s_nationkey where s_acctbal >= 5000""",
 )
 def primary_dealers(t: Tables) -> DataFrame:
     """Primary dealers per country and sector."""
@@ -631,7 +631,7 @@ def primary_dealers(t: Tables) -> DataFrame:
     sector = F.rpad(F.concat(F.lit("  S"), text(F.col("s_suppkey") % 7)), 10, " ")
     return dealers(
         located.select(
-            F.when(F.col("s_suppkey") % 3 == 0, "P").otherwise("S").alias("rank"),
+            F.when(F.col("s_acctbal") >= 5000, "P").otherwise("S").alias("rank"),
             sector.alias("sector_code"),
             F.col("n_name").alias("country"),
         )
@@ -658,11 +658,9 @@ def engine_energies(t: Tables) -> DataFrame:
         energy = energy.when(F.col("p_type") == kind, name)
     models = t.part.select(
         F.concat_ws("-", "p_brand", text("p_size")).alias("engine"),
-        (F.col("p_partkey") % 3).alias("affiliate"),
+        (F.col("p_partkey") % 2).alias("affiliate"),
         energy.alias("energy"),
-        "p_partkey",
     )
-    models = models.withColumn("affiliate", F.col("p_partkey") % 2)
     nations = t.nation.select(F.col("n_nationkey").alias("affiliate"), F.concat(F.lit("Pays "), "n_name").alias("country_label"))
     names = {f"Pays NATION_{i}": f"NATION_{i}" for i in range(2)}
     return engines(engine_lines(models, nations, country_names=names, perimeter=names.values()))
@@ -670,15 +668,15 @@ def engine_energies(t: Tables) -> DataFrame:
 
 @query(
     "q_references",
-    """select distinct 'family' as kind, lower(p_type) as name, p_brand as brand from part where p_brand = 'Brand#3'
+    """select distinct 'family' as kind, lower(p_type) as name, p_brand as brand from part
     union all select 'channel', c_mktsegment, null from (select distinct c_mktsegment from customer)""",
 )
 def reference_tables(t: Tables) -> DataFrame:
-    """Families of one brand and channels without their mapping columns."""
+    """Families and channels without their mapping columns."""
     extract = t.part.select(
         F.lower("p_type").alias("family"), F.col("p_brand").alias("brand"), F.col("p_name").alias("family_to_map")
     )
-    models = families(restrict(extract, brand="Brand#3")).select(
+    models = families(extract).select(
         F.lit("family").alias("kind"), F.col("family").alias("name"), "brand"
     )
     kinds = channels(t.customer.select(F.col("c_mktsegment").alias("channel"), "c_name")).distinct()

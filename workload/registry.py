@@ -54,7 +54,7 @@ CTES = {
           case when o_orderkey % 6 <> 0 then cast(o_orderdate as date) end as order_date,
           o_orderpriority as usage,
           cast(o_orderdate as date) - cast(o_orderkey % 400 - 50 as integer) as production_date
-        from order_country where o_orderkey % 4 <> 0""",
+        from order_country where o_orderstatus <> 'P'""",
     "offered": """
         select 'V' || lpad(cast(o_orderkey as varchar), 16, '0') as vehicle, country, o_orderkey as k,
           case when o_orderkey % 4 <> 3 then cast(o_orderdate as date) end as order_date,
@@ -65,12 +65,12 @@ CTES = {
           case when o_orderkey % 9 <> 0 then cast(o_orderkey % 90 as double) end as options_before_tax,
           case when o_orderkey % 5 <> 0 then cast(o_orderkey % 500 as double) end as conversion_bonus,
           case when o_orderkey % 2 <> 0 then cast(o_orderkey % 300 as double) end as trade_in_aid,
-          case when o_orderkey % 8 <> 0 and o_orderkey % 2 = 0
+          case when o_orderkey % 8 <> 0 and o_orderstatus = 'F'
             then cast(o_orderkey % 40 as double) end as trade_in_valuation,
           cast(-(o_orderkey % 1000) as double) as total_discount,
           cast(-(o_orderkey % 900) as double) as discount_before_tax,
           case when o_orderkey % 2 = 1 then cast(o_orderkey % 700 as double) end as repurchase_before_tax
-        from order_country where o_orderkey % 3 <> 0""",
+        from order_country where o_orderpriority <> '4-NOT SPECIFIED'""",
     "priced": """
         select v.*, cast(replace(m.margin, ',', '.') as double) as fixed_margin,
           cast(v.price as double) * (1 + cast(replace(m.margin, ',', '.') as double)) as list_price

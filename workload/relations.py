@@ -113,7 +113,7 @@ def role_playing(t: Tables) -> DataFrame:
     "q_full_outer",
     """with a as (
       select o_orderkey as k, case when o_orderkey % 5 <> 0 then cast(o_orderdate as date) end as sale_date,
-        o_orderstatus as usage, o_orderpriority from orders where o_orderkey % 4 <> 0),
+        o_orderstatus as usage, o_orderpriority from orders where o_orderstatus <> 'P'),
     b as (
       select l_orderkey as k, min(cast(l_shipdate as date)) as sale_date, max(l_returnflag) as usage,
         sum(cast(l_quantity as decimal(18,2))) as volume from lineitem group by 1)
@@ -128,7 +128,7 @@ def full_outer(t: Tables) -> DataFrame:
     Lines are reduced to one row per vehicle before the systems meet.
     """
     key = F.col("o_orderkey")
-    registered = t.orders.filter(key % 4 != 0).select(
+    registered = t.orders.filter("o_orderstatus <> 'P'").select(
         key.alias("k"),
         F.when(key % 5 != 0, day("o_orderdate")).alias("registered_date"),
         F.col("o_orderstatus").alias("registered_usage"),
@@ -174,11 +174,11 @@ def joined_all(t: Tables) -> DataFrame:
     "q_latest_offer",
     """select code, event_id, event_type, value, strftime(ts, '%Y-%m-%d') as day from (
       select *, 'U' || user_id as code, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
-      from events where user_id % 50 <> 0) where rn = 1""",
+      from events where event_type <> 'error') where rn = 1""",
 )
 def latest_event(t: Tables) -> DataFrame:
     """Latest record per identifier, blank identifiers dropped."""
-    code = F.when(F.col("user_id") % 50 == 0, F.lit(" " * 17)).otherwise(F.concat(F.lit("U"), roles.text("user_id")))
+    code = F.when(F.col("event_type") == "error", F.lit(" " * 17)).otherwise(F.concat(F.lit("U"), roles.text("user_id")))
     coded = t.events.select(code.alias("code"), "ts", "event_id", "event_type", "value")
     latest = keep_latest(drop_blank(coded, "code"), ["code"], ["ts"], ["event_id"])
     return latest.withColumn("day", iso("ts")).drop("ts")
@@ -277,14 +277,14 @@ def perimeter_count(t: Tables) -> DataFrame:
 @query(
     "q_extract",
     """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, o_custkey, o_orderpriority, c_mktsegment
-    from lineitem left join (select * from orders where o_orderkey % 3 <> 0) on o_orderkey = l_orderkey
-    left join (select * from customer where c_custkey % 2 = 0) on c_custkey = o_custkey
+    from lineitem left join (select * from orders where o_orderstatus <> 'P') on o_orderkey = l_orderkey
+    left join (select * from customer where c_mktsegment <> 'FURNITURE') on c_custkey = o_custkey
     where l_returnflag not in ('A') and l_linestatus not in ('F') and l_shipdate >= date '1999-12-22'""",
 )
 def extracted(t: Tables) -> DataFrame:
     """Base table, chain of left joins, conditions and look-back."""
-    orders = t.orders.filter("o_orderkey % 3 <> 0").withColumnRenamed("o_orderkey", "l_orderkey")
-    customers = t.customer.filter("c_custkey % 2 = 0").withColumnRenamed("c_custkey", "o_custkey")
+    orders = t.orders.filter("o_orderstatus <> 'P'").withColumnRenamed("o_orderkey", "l_orderkey")
+    customers = t.customer.filter("c_mktsegment <> 'FURNITURE'").withColumnRenamed("c_custkey", "o_custkey")
     return extract(
         t.lineitem,
         [(orders, "l_orderkey"), (customers, "o_custkey")],

@@ -45,22 +45,24 @@ def date_window(t: Tables) -> DataFrame:
 @query(
     "q_localised_label",
     """with n as (
-      select n_nationkey, n_name, n_name as label_fr, case when n_nationkey % 3 <> 0 then 'EN ' || n_name end as label_en
-      from nation)
-    select n_nationkey, label_fr as french, coalesce(label_en, label_fr) as english, label_en as english_only,
+      select n_nationkey, n_name as label_fr, case when r_name <> 'ASIA' then 'EN ' || n_name end as label_en, r_name
+      from nation join region on r_regionkey = n_regionkey)
+    select c_custkey, label_fr as french, coalesce(label_en, label_fr) as english, label_en as english_only,
       r_name as region
-    from n join nation using (n_nationkey) join region on r_regionkey = n_regionkey""",
+    from customer join n on n_nationkey = c_nationkey""",
 )
 def localised_label(t: Tables) -> DataFrame:
-    """Labels with and without fallback to the default locale."""
-    named = attach(t.nation, [DimSpec(t.region, {"r_regionkey": "n_regionkey"})]).withColumns(
-        {
-            "label_fr": F.col("n_name"),
-            "label_en": F.when(F.col("n_nationkey") % 3 != 0, F.concat(F.lit("EN "), F.col("n_name"))),
-        }
+    """Country of each customer, with and without fallback to the default locale."""
+    regions = attach(t.nation, [DimSpec(t.region, {"r_regionkey": "n_regionkey"})])
+    labels = regions.select(
+        "n_nationkey",
+        F.col("n_name").alias("label_fr"),
+        F.when(F.col("r_name") != "ASIA", F.concat(F.lit("EN "), "n_name")).alias("label_en"),
+        "r_name",
     )
+    named = attach(t.customer.select("c_custkey", "c_nationkey"), [DimSpec(labels, {"n_nationkey": "c_nationkey"})])
     return named.select(
-        "n_nationkey",
+        "c_custkey",
         text.label("label").alias("french"),
         text.label("label", "en").alias("english"),
         text.label("label", "en", fallback=False).alias("english_only"),
@@ -212,10 +214,10 @@ def cleaned_headers(t: Tables) -> DataFrame:
           when 2 then strftime(o_orderdate, '%d/%m/%Y') else 'n/a' end as order_date,
         case when o_orderkey % 7 = 0 then '0' else
           replace(cast(cast(o_totalprice as decimal(18,2)) as varchar), '.', ',') || ' EUR' end as final_price,
-        case when o_orderkey % 8 <> 0 and o_orderkey % 2 = 0
+        case when o_orderkey % 8 <> 0 and o_orderstatus = 'F'
           then cast(o_orderkey % 40 as varchar) || ' EUR' end as trade_in_valuation
       from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
-      where o_orderkey % 3 <> 0)""",
+      where o_orderpriority <> '4-NOT SPECIFIED')""",
 )
 def conform_union(t: Tables) -> DataFrame:
     """Two layouts brought to one schema and united."""
