@@ -233,7 +233,8 @@ STEPS: tuple[Step, ...] = (
         SITE,
     ),
     Step("standard", "budget", standard_budget, SITE),
-    Step("refined", "calendar", lambda run: calendar(run.spark, *run.window)),
+    Step("refined", "sale_calendar", lambda run: calendar(run.spark, *run.window)),
+    Step("refined", "order_calendar", lambda run: calendar(run.spark, *run.window)),
     Step("refined", "category_order", lambda run: category_order(run.read("standard", "category_order"))),
     Step("refined", "engines", lambda run: engines(run.read("standard", "engines", site=False)), ("country",)),
     Step("refined", "tax_rates", lambda run: tax_rates(run.read("standard", "tax_rates")), ("country",)),

@@ -47,8 +47,9 @@ def publish_jdbc(
     """Replace the contents of a database table and keep its definition.
 
     ``widths`` sets the text widths if the table has to be created: given ones, or
-    measured ones with ``True``. The target bounds the number of writers, not the
-    size of the frame: at most ``connections`` tasks write, in batches.
+    measured ones with ``True``, which is one number per text column. At most
+    ``connections`` tasks write, in batches. Each commits once at its end, so a
+    repeated task leaves no row twice; keep speculative execution off.
     """
     writer = df.write.format("jdbc").mode("overwrite").options(**(properties or {}))
     writer = writer.option("url", url).option("dbtable", table).option("truncate", "true")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 
 import pytest
 
+from forecourt.__main__ import arguments
 from forecourt.plans import layouts, publication
 from forecourt.plans.run import Settings, requests, run
 from forecourt.sources.zones import read_zone, write_zone
@@ -159,10 +161,10 @@ def test_everything(spark, settings_of, monkeypatch):
     assert rows(refined("forecast"), "country", "rm035_total", "date") == [("France", 20.0, date(2020, 3, 1))]
     assert rows(refined("dealers"), "country", "sector_code") == [("France", "S1")]
     assert rows(refined("tax_rates"), "country", "tax_rate") == [("France", 0.2), ("Spain", 0.21)]
-    assert refined("calendar").count() == 91
+    assert refined("sale_calendar").count() == refined("order_calendar").count() == 91
     assert rows(refined("channels")) == [("Demo",)]
 
-    assert "vehicle_sales" not in published and len(published) == 13
+    assert "vehicle_sales" not in published and len(published) == 14
     assert all(len(r.vehicle) == 64 for r in published["cost_rows"].collect())
     images = spark.read.parquet(f"{settings_of.root}/historical/sales/image_as_of=2020-04-01_00-00-00/facts")
     assert images.count() == 6
@@ -181,8 +183,24 @@ def test_one_table_one_country(spark, settings_of):
     assert after.count() == 2
 
 
+def test_command_line(tmp_path, capsys):
+    file = tmp_path / "settings.json"
+    file.write_text(json.dumps({"root": "r", "source": "s", "extracts": "e", "brands": ["AP"]}))
+    given = arguments(
+        ["--settings", str(file), "--table", "offers", "--to-zone", "refined", "--country", "FR", "--no-image"]
+        + ["--from-date", "01/02/2020", "--to-date", "29/02/2020"]
+    )
+    assert given["window"] == (date(2020, 2, 1), date(2020, 2, 29))
+    assert (given["table"], given["from_zone"], given["country"], given["brand"]) == ("offers", "source", "FR", None)
+    assert given["settings"].historical is False and given["settings"].brands == ["AP"]
+    assert arguments(["--settings", str(file), "--to-zone", "raw"])["window"] is None
+    with pytest.raises(SystemExit):
+        arguments(["--settings", str(file), "--to-zone", "raw", "--to-date", "29/02/2020"])
+    assert "go together" in capsys.readouterr().err
+
+
 def test_wrong_requests(spark, settings_of):
-    assert {"all", "vehicle_cost", "offers", "calendar"} <= set(requests())
+    assert {"all", "vehicle_cost", "offers", "sale_calendar"} <= set(requests())
     with pytest.raises(ValueError, match="unknown table"):
         run(spark, settings_of, "nothing")
     with pytest.raises(ValueError, match="unknown zone"):

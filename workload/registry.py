@@ -161,4 +161,4 @@ def query(name: str, sql: str | None = None, roles: tuple[str, ...] = ()):
 
 def iso(c: str | Column) -> Column:
     """A date as text, which every engine renders the same."""
-    return F.date_format(c if isinstance(c, Column) else F.col(c), "yyyy-MM-dd")
+    return (c if isinstance(c, Column) else F.col(c)).cast("date").cast("string")
