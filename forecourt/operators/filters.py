@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import date, datetime, time, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
 
 
 def _bound(df: DataFrame, c: str, day: date) -> Column:
     """Midnight of a day in the type of the column, so that no cast hides the column."""
-    kind = df.schema[c].dataType
-    if isinstance(kind, TimestampNTZType | TimestampType):
-        return F.lit(datetime.combine(day, time.min)).cast(kind)
-    return F.lit(day)
+    return F.lit(day).cast(df.schema[c].dataType)
 
 
 def from_day(df: DataFrame, c: str, start: date) -> Column:

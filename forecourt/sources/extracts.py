@@ -22,19 +22,24 @@ def read_extract(
     spec: TableSpec | None = None,
     multiline: bool = False,
     constants: Mapping[str, str] | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Read extracts that share one header; every column is text.
 
     ``multiline`` accepts quoted fields with line breaks; headers are then cleaned
     and stray carriage returns removed from the values. Such a file cannot be split,
-    so one task reads it. ``constants`` are columns the file itself does not carry.
+    so one task reads it. ``constants`` are columns the file itself does not carry,
+    ``file_column`` names one that shows the file each row comes from.
     """
     options = FORMAT | (MULTILINE if multiline else {})
     paths = [path] if isinstance(path, str) else list(path)
     header = spark.read.options(**options).csv(paths[0]).columns
     schema = StructType([StructField(name, StringType()) for name in header])
     df = spark.read.options(**options).schema(schema).csv(paths)
-    df = df.toDF(*(name.strip() for name in header))
+    columns = [F.col(quoted(name)).alias(name.strip()) for name in header]
+    if file_column:
+        columns.append(F.col("_metadata.file_name").alias(file_column))
+    df = df.select(*columns)
     if multiline:
         df = clean_headers(df)
         df = df.select(*(F.translate(F.col(quoted(c)), "\r", "").alias(c) for c in df.columns))
@@ -55,6 +60,7 @@ def read_extract_set(
     country: str | None = None,
     spec: TableSpec | None = None,
     multiline: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """All extracts with a name prefix as one frame, tagged with their country.
 
@@ -68,7 +74,9 @@ def read_extract_set(
     if not groups:
         raise FileNotFoundError(f"no extract {prefix}* in {folder}")
     constants = {"country": country} if country is not None else None
-    return union_all([read_extract(spark, paths, spec, multiline, constants) for paths in groups.values()])
+    return union_all(
+        [read_extract(spark, paths, spec, multiline, constants, file_column) for paths in groups.values()]
+    )
 
 
 def export_csv(df: DataFrame, path: str) -> None:

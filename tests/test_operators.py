@@ -68,6 +68,12 @@ def test_between_dates_includes_both_ends(frame):
     assert filters.between_dates(df, "d", date(2020, 1, 1), date(2020, 1, 31)).count() == 2
 
 
+def test_between_dates_ignores_time_zones(frame, settings):
+    settings(session__timeZone="America/New_York")
+    df = frame([(datetime(2020, 1, 1),), (datetime(2020, 1, 31, 23),), (datetime(2020, 2, 1),)], "d timestamp_ntz")
+    assert filters.between_dates(df, "d", date(2020, 1, 1), date(2020, 1, 31)).count() == 2
+
+
 def test_restrict_applies_each_argument(frame):
     df = frame([("F", "A"), ("F", "B"), ("G", "A")], "country string, brand string")
     assert filters.restrict(df).count() == 3

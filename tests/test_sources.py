@@ -47,6 +47,9 @@ def test_extract_set_by_prefix_and_header(spark, tmp_path):
     spec = TableSpec({"Libellé": "label", "volume": "volume", "country": "country"})
     out = read_extract_set(spark, str(folder), "offers_FR", "FR", spec)
     assert rows(out) == [("a", "1", "FR"), ("b", "2", "FR"), ("c", "3", "FR")]
+    traced = TableSpec({"volume": "volume", "file": "file"})
+    shown = read_extract_set(spark, str(folder), "offers_FR", spec=traced, file_column="file")
+    assert rows(shown) == [(str(i), f"offers_FR_{i}.csv") for i in (1, 2, 3)]
     with pytest.raises(FileNotFoundError):
         read_extract_set(spark, str(folder), "offers_XX")
 
