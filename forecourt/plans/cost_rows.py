@@ -12,7 +12,7 @@ from forecourt.functions.measures import fixed_margin_amount
 from forecourt.functions.text import classify_heading, or_unknown
 from forecourt.operators.filters import nonzero
 from forecourt.operators.lookups import recode
-from forecourt.operators.schema import union_all
+from forecourt.operators.schema import cast_all, union_all
 
 COST_COLUMNS = (
     "vehicle", "country", "brand", "operation_label", "heading_code", "heading_label", "operation_code", "promo_cost",
@@ -48,12 +48,11 @@ def cost_rows(
     priced = vehicle_sales.select(
         *keys, "storage_cost", fixed_margin_amount("list_price", "fixed_margin").alias("margin_amount")
     )
-    rows = union_all(
-        [
-            promotion_costs(sales, headings).withColumn("promo_cost", F.col("promo_cost").cast("double")),
-            added_costs(priced.withColumn("storage_cost", F.col("storage_cost").cast("double")), FINANCING, "storage_cost"),
-            added_costs(priced, FIXED_MARGIN, "margin_amount"),
-        ]
-    )
+    parts = [
+        promotion_costs(sales, headings),
+        added_costs(priced, FINANCING, "storage_cost"),
+        added_costs(priced, FIXED_MARGIN, "margin_amount"),
+    ]
+    rows = union_all([cast_all(part, ["promo_cost"], "double") for part in parts])
     klass = classify_heading("heading_label", network_headings)
     return rows.withColumn("operation_label", F.concat("operation_label", F.lit(" - "), klass))

@@ -11,7 +11,6 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
 from forecourt.operators.calendar import calendar
@@ -243,7 +242,13 @@ STEPS: tuple[Step, ...] = (
     Step("refined", "channels", lambda run: channels(run.read("standard", "channels"))),
     Step("refined", "budget", refined_budget, SITE),
     Step("refined", "forecast", refined_forecast, SITE),
-    Step("refined", "vehicle_sales", refined_vehicle_sales, SITE, ("sales", "vehicle_cost", "cost_rows", "promo_reference")),
+    Step(
+        "refined",
+        "vehicle_sales",
+        refined_vehicle_sales,
+        SITE,
+        ("sales", "vehicle_cost", "cost_rows", "promo_reference"),
+    ),
     Step("refined", "cost_rows", refined_cost_rows, SITE, ("promo_reference",)),
     Step("refined", "promo_reference", refined_promo_reference, SITE),
     Step("refined", "offers", refined_offers, SITE, ("vehicle_cost",)),

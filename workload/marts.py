@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.functions.columns import key_of
+from forecourt.functions.columns import ColumnLike, as_column
 from forecourt.operators.schema import TableSpec, conform
 from forecourt.plans.budget import budget, budget_lines
 from forecourt.plans.cost_rows import cost_rows
@@ -422,49 +422,49 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
         roles.part_of("l_extendedprice", "l_discount").alias("promo_cost"),
         roles.part_of("l_extendedprice", "l_tax").alias("storage_cost"),
     )
-    parity = F.explode(F.array(F.lit(0), F.lit(1))).alias("parity")
-    region, number = F.col("r_regionkey"), F.substring("p_brand", 7, 2).cast("int")
-    halves = t.nation.select("n_nationkey", "n_name", parity)
+    region, nation, number = F.col("r_regionkey"), F.col("n_nationkey"), F.substring("p_brand", 7, 2).cast("int")
+    halves = t.nation.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("parity"))
     zone_head = F.when(F.col("parity") == 0, "CP").otherwise("PP")
     client_zone = F.col("c_nationkey") * 2 + F.col("c_custkey") % 2
-    brand = t.part.select("p_brand").distinct()
-    codes = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("channel")
     mapped = F.array(*(F.lit(b) for b in roles.BRANDS if b != "Brand#9"))
+    codes = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("channel")
+    kind = F.when(F.col("channel") == 3, "Other").when(F.col("channel") == 2, "Indirect").otherwise("Direct")
     return {
         "facts": facts,
-        "base": t.region.select(region.alias("id"), F.when(region < 2, "LA").otherwise("EA").alias("code")),
-        "zone": halves.select(
-            (F.col("n_nationkey") * 2 + F.col("parity")).alias("id"),
-            F.concat(zone_head, two_digits("n_nationkey")).alias("code"),
-            F.col("n_name").alias("label_fr"),
-        ),
-        "version": t.part.select(
-            F.col("p_partkey").alias("id"), F.concat_ws("-", "p_brand", text("p_size")).alias("code"), F.col("p_name").alias("label_fr")
-        ),
-        "family": t.part.select(
-            F.col("p_partkey").alias("id"), F.col("p_type").alias("code"), F.lower("p_type").alias("label_fr"), number.alias("brand_id")
-        ),
-        "brand": brand.select(number.alias("id"), F.col("p_brand").alias("code")),
-        "segment": t.part.filter("p_type <> 'MEDIUM'").select(
-            F.col("p_partkey").alias("id"), text("p_size").alias("code"), F.concat(F.lit("SEGMENT "), text("p_size")).alias("label_fr")
+        "base": dimension(t.region, region, F.when(region < 2, "LA").otherwise("EA")),
+        "zone": dimension(halves, nation * 2 + F.col("parity"), F.concat(zone_head, two_digits(nation)), "n_name"),
+        "version": dimension(t.part, "p_partkey", F.concat_ws("-", "p_brand", text("p_size")), "p_name"),
+        "family": dimension(t.part, "p_partkey", "p_type", F.lower("p_type"), number.alias("brand_id")),
+        "brand": dimension(t.part.select("p_brand").distinct(), number, "p_brand"),
+        "segment": dimension(
+            t.part.filter("p_type <> 'MEDIUM'"),
+            "p_partkey",
+            text("p_size"),
+            F.concat(F.lit("SEGMENT "), text("p_size")),
         ),
-        "heading": t.region.select(region.alias("id"), F.concat(F.lit("R"), text(region)).alias("code"), F.col("r_name").alias("label_fr")),
-        "operation": t.nation.select(
-            F.col("n_nationkey").alias("id"), F.concat(F.lit("O"), text("n_nationkey")).alias("code"), F.col("n_name").alias("label_fr")
-        ),
-        "channel": t.region.select(region.alias("id"), F.concat(F.lit("K"), text(region)).alias("code"), F.col("r_name").alias("label_fr")),
-        "client": t.customer.select(
-            client_zone.alias("zone_id"), F.col("c_custkey").alias("id"), F.col("c_name").alias("code"), F.col("c_mktsegment").alias("label_fr")
-        ),
-        "delivered_client": t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("code")),
-        "vehicle": t.orders.select(F.col("o_orderkey").alias("id"), roles.vehicle_id("o_orderkey").alias("code")),
-        "channel_types": t.nation.select("n_nationkey", F.explode(mapped).alias("brand")).select("*", codes).select(
-            F.concat(two_digits("n_nationkey"), F.lit(" "), "brand", F.lit(" K"), text("channel")).alias("key"),
-            F.when(F.col("channel") == 3, "Other").when(F.col("channel") == 2, "Indirect").otherwise("Direct").alias("channel_type"),
+        "heading": dimension(t.region, region, F.concat(F.lit("R"), text(region)), "r_name"),
+        "operation": dimension(t.nation, nation, F.concat(F.lit("O"), text(nation)), "n_name"),
+        "channel": dimension(t.region, region, F.concat(F.lit("K"), text(region)), "r_name"),
+        "client": dimension(t.customer, "c_custkey", "c_name", "c_mktsegment", client_zone.alias("zone_id")),
+        "delivered_client": dimension(t.supplier, "s_suppkey", "s_name"),
+        "vehicle": dimension(t.orders, "o_orderkey", roles.vehicle_id("o_orderkey")),
+        "channel_types": t.nation.select("n_nationkey", F.explode(mapped).alias("brand"))
+        .select("*", codes)
+        .select(
+            F.concat(two_digits(nation), F.lit(" "), "brand", F.lit(" K"), text("channel")).alias("key"),
+            kind.alias("channel_type"),
         ),
     }
 
 
+def dimension(
+    df: DataFrame, key: ColumnLike, code: ColumnLike, label: ColumnLike | None = None, *more: Column
+) -> DataFrame:
+    """A dimension table of the sales system."""
+    shown = [] if label is None else [as_column(label).alias("label_fr")]
+    return df.select(as_column(key).alias("id"), as_column(code).alias("code"), *shown, *more)
+
+
 WIDE_SQL = """, f as (
       select cast(l_shipdate as date) as sale_date, cast(o_orderdate as date) as order_date, l_returnflag as promo,
         case when o_custkey % 2 = 0 then 'CP' else 'PP' end || lpad(cast(c_nationkey as varchar), 2, '0') as zone_code,
@@ -589,10 +589,11 @@ def yearly_budget(t: Tables) -> DataFrame:
     priced = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     shifted = F.add_months(day("o_orderdate"), 240)
     brand = F.concat(F.lit("MARQUE "), text(F.col("o_custkey") % 5))
+    countries = F.array(F.lit("FRANCE"), F.lit("BELGIQUE"), F.lit("ANDORRA"))
     extract = priced.select(
         F.year("o_orderdate").alias("placed"),
         brand.alias("Marque"),
-        F.element_at(F.array(F.lit("FRANCE"), F.lit("BELGIQUE"), F.lit("ANDORRA")), F.col("c_nationkey") % 3 + 1).alias("LIB PAYS"),
+        F.element_at(countries, F.col("c_nationkey") % 3 + 1).alias("LIB PAYS"),
         F.when(status == "F", "VP").when(status == "O", "VU").otherwise("AJUST").alias("TYPE"),
         F.col("c_mktsegment").alias("family"),
         F.when(key % 4 == 0, "(vide)").otherwise(F.concat(F.lit("E"), text(key % 4))).alias("energy"),
@@ -661,7 +662,8 @@ def engine_energies(t: Tables) -> DataFrame:
         (F.col("p_partkey") % 2).alias("affiliate"),
         energy.alias("energy"),
     )
-    nations = t.nation.select(F.col("n_nationkey").alias("affiliate"), F.concat(F.lit("Pays "), "n_name").alias("country_label"))
+    label = F.concat(F.lit("Pays "), "n_name").alias("country_label")
+    nations = t.nation.select(F.col("n_nationkey").alias("affiliate"), label)
     names = {f"Pays NATION_{i}": f"NATION_{i}" for i in range(2)}
     return engines(engine_lines(models, nations, country_names=names, perimeter=names.values()))
 
@@ -680,6 +682,5 @@ def reference_tables(t: Tables) -> DataFrame:
         F.lit("family").alias("kind"), F.col("family").alias("name"), "brand"
     )
     kinds = channels(t.customer.select(F.col("c_mktsegment").alias("channel"), "c_name")).distinct()
-    return models.unionByName(
-        kinds.select(F.lit("channel").alias("kind"), F.col("channel").alias("name"), F.lit(None).cast("string").alias("brand"))
-    )
+    named = kinds.select(F.lit("channel").alias("kind"), F.col("channel").alias("name"))
+    return models.unionByName(named, allowMissingColumns=True)
