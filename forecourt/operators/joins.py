@@ -49,26 +49,24 @@ class DimSpec:
 
 def attach(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     """Join the fact with each dimension in turn; the key columns stay the fact's."""
-    return reduce(_attach_one, dims, fact)
-
-
-def _attach_one(fact: DataFrame, dim: DimSpec) -> DataFrame:
-    keys, attached = dim.keys(), dim.attached()
-    clash = sorted(set(attached.values()) & set(fact.columns))
-    if clash:
-        raise ValueError(f"already present: {', '.join(clash)}; give the dimension a role")
-    key_names = {k: f"__key_{i}" for i, k in enumerate(keys)}
-    right = dim.frame.select(
-        *(F.col(k).alias(name) for k, name in key_names.items()),
-        *(F.col(c).alias(name) for c, name in attached.items()),
-    )
-    matches = [as_column(expr) == F.col(key_names[k]) for k, expr in keys.items()]
-    condition = reduce(Column.__and__, matches)
-    if dim.how == "left" and dim.many:
-        joined = _left_many(fact, right, condition, list(key_names.values()))
-    else:
-        joined = fact.join(right, condition, dim.how)
-    return joined.select(*fact.columns, *attached.values())
+    joined, columns = fact, list(fact.columns)
+    for i, dim in enumerate(dims):
+        keys, attached = dim.keys(), dim.attached()
+        clash = sorted(set(attached.values()) & set(columns))
+        if clash:
+            raise ValueError(f"already present: {', '.join(clash)}; give the dimension a role")
+        names = {k: f"__key_{i}_{j}" for j, k in enumerate(keys)}
+        right = dim.frame.select(
+            *(F.col(k).alias(name) for k, name in names.items()),
+            *(F.col(c).alias(name) for c, name in attached.items()),
+        )
+        condition = reduce(Column.__and__, (as_column(expr) == F.col(names[k]) for k, expr in keys.items()))
+        columns += attached.values()
+        if dim.how == "left" and dim.many:
+            joined = _left_many(joined, right, condition, list(names.values())).select(*columns)
+        else:
+            joined = joined.join(right, condition, dim.how)
+    return joined.select(*columns)
 
 
 def _left_many(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from forecourt.operators.aggregates import varchar_widths
 
@@ -14,24 +14,28 @@ def read_jdbc(
     url: str,
     table: str,
     fetchsize: int = 10_000,
-    split: tuple[str, str, str, int] | None = None,
+    split: tuple[str, int] | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read a table or a bracketed subquery.
+    """Read a table or a bracketed subquery with an alias.
 
-    ``split`` names a numeric or date column, its bounds and a number of ranges, and
-    lets as many tasks read in parallel.
+    ``split`` names a numeric or date column and a number of ranges; the database is
+    asked for the bounds, and as many tasks read in parallel. Without it one task
+    reads everything, which is only meant for small reference tables.
     """
-    reader = spark.read.format("jdbc").options(**(properties or {}))
-    reader = reader.option("url", url).option("dbtable", table).option("fetchsize", fetchsize)
+
+    def source(relation: str) -> DataFrameReader:
+        reader = spark.read.format("jdbc").options(**(properties or {}))
+        return reader.option("url", url).option("dbtable", relation).option("fetchsize", fetchsize)
+
+    reader = source(table)
     if split:
-        column, lower, upper, parts = split
-        reader = (
-            reader.option("partitionColumn", column)
-            .option("lowerBound", lower)
-            .option("upperBound", upper)
-            .option("numPartitions", parts)
-        )
+        column, parts = split
+        bounds = f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds"
+        low, high = source(bounds).load().first()
+        if low is not None:
+            reader = reader.option("partitionColumn", column).option("numPartitions", parts)
+            reader = reader.option("lowerBound", str(low)).option("upperBound", str(high))
     return reader.load()
 
 

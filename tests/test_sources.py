@@ -141,6 +141,27 @@ def test_measured_widths(frame, monkeypatch):
 def test_database_read_options():
     spark, reader = MagicMock(), Recorder()
     spark.read = reader
-    databases.read_jdbc(spark, "jdbc:x", "(select 1) q", split=("id", "0", "100", 8))
+    databases.read_jdbc(spark, "jdbc:x", "(select 1) q", properties={"driver": "D"})
     told = reader.told
-    assert (told["dbtable"], told["fetchsize"], told["partitionColumn"], told["numPartitions"]) == ("(select 1) q", 10_000, "id", 8)
+    assert (told["url"], told["dbtable"], told["fetchsize"], told["driver"]) == ("jdbc:x", "(select 1) q", 10_000, "D")
+    assert "numPartitions" not in told
+
+
+def test_database_read_in_ranges():
+    readers = []
+
+    class Bounded(Recorder):
+        def load(self):
+            return MagicMock(first=lambda: (date(2020, 1, 1), date(2020, 12, 31)))
+
+    class Session:
+        @property
+        def read(self):
+            readers.append(Bounded())
+            return readers[-1]
+
+    databases.read_jdbc(Session(), "jdbc:x", "sales", split=("sold", 8))
+    whole, bounds = (r.told for r in readers)
+    assert bounds["dbtable"] == "(SELECT MIN(sold) AS low, MAX(sold) AS high FROM sales) bounds"
+    assert (whole["partitionColumn"], whole["numPartitions"]) == ("sold", 8)
+    assert (whole["lowerBound"], whole["upperBound"]) == ("2020-01-01", "2020-12-31")
