@@ -114,6 +114,17 @@ def test_attach_roles_and_expressions(frame):
     assert rows(out) == [(1, 2, "ABCDX", "one", "two", "F"), (2, 9, None, "two", None, None)]
 
 
+@hypothesis_settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(0, 5)), min_size=1, max_size=15), st.booleans())
+def test_left_join_with_unique_keys_keeps_every_row(frame, keys, many):
+    fact = frame([(k, i) for i, k in enumerate(keys)], "k int, i int")
+    dim = frame([(k, f"name {k}") for k in (1, 3, 5)], "k int, name string")
+    joined = attach(fact, [DimSpec(dim, ["k"], "left", many=many)])
+    assert rows(joined, "i", "name") == sorted(
+        ((i, f"name {k}" if k in (1, 3, 5) else None) for i, k in enumerate(keys)), key=repr
+    )
+
+
 def test_attach_rejects_clashes(frame):
     fact = frame([(1, "x")], "id int, name string")
     with pytest.raises(ValueError, match="name"):
