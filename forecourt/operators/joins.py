@@ -106,15 +106,25 @@ def max_label(ref: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def merge_sources(
-    a: DataFrame, b: DataFrame, on: Sequence[str], merged: Mapping[str, tuple[str, str]] | None = None
+    a: DataFrame,
+    b: DataFrame,
+    on: Sequence[str],
+    merged: Mapping[str, tuple[str, str]] | None = None,
+    many: bool = False,
 ) -> DataFrame:
     """Everything either system knows.
 
     ``merged`` maps an output column to the column of ``a`` that wins and the
-    column of ``b`` that fills the gaps; both inputs disappear.
+    column of ``b`` that fills the gaps; both inputs disappear. With ``many`` rows
+    per key the outer join, which cannot split a hot key, is taken apart into two
+    joins that can.
     """
     merged = merged or {}
-    both = a.join(b, on=list(on), how="outer")
+    if many:
+        known = attach(a, [DimSpec(b, on, "left", many=True)])
+        both = known.unionByName(missing_from(b, a, on), allowMissingColumns=True)
+    else:
+        both = a.join(b, on=list(on), how="outer")
     used = {c for pair in merged.values() for c in pair}
     kept = [c for c in both.columns if c not in used]
     return both.select(*kept, *(first_of(x, y).alias(out) for out, (x, y) in merged.items()))

@@ -30,7 +30,9 @@ def vehicle_cost(
     """One row per sold vehicle with its registration, latest offer and derived measures.
 
     Countries carry the same names on all sides. Registrations may hold several
-    lines per vehicle, the other sides are unique.
+    lines per vehicle, the other sides are unique. The date of order is that of the
+    registration, else of the offer; the sales system's own one stays beside it as
+    ``sold_order_date``.
     """
     sold = vehicle_sales.drop("year", "month", "day")
     sold = sold.withColumnsRenamed({c: f"sold_{c}" for c in SHARED if c in sold.columns})
@@ -66,7 +68,7 @@ def vehicle_cost(
         }
     )
     working = [
-        *(f"{side}_{c}" for side in ("sold", "registered") for c in SHARED),
-        "offer_order_date", "tax_rate", *OFFER_COLUMNS,
+        "sold_sale_date", "sold_usage", *(f"registered_{c}" for c in SHARED), "offer_order_date", "tax_rate",
+        *OFFER_COLUMNS,
     ]
     return aged.drop(*working).distinct()

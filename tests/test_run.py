@@ -142,6 +142,7 @@ def test_everything(spark, settings_of, monkeypatch):
     one, two = cost["VIN1"], cost["VIN2"]
     assert (one.country, one.brand, one.price, one.list_price) == ("France", "AP", 200.0, pytest.approx(220.0))
     assert (one.sale_date, one.order_date, one.usage, one.co2) == (D, date(2020, 1, 20), "P", 100.0)
+    assert (one.sold_order_date, one.registered_on) == (D, D)
     assert (one.vehicle_age, one.age_bucket, one.delivery_days) == (50, "[30;90[", 12)
     assert (one.advantage_after_tax, one.advantage_before_tax) == (120.0, 100.0)
     assert (one.major_client_type_label, one.family_label, one.segment_label) == ("Demo", "208", "B")

@@ -74,6 +74,16 @@ def test_hot_dimension_key_is_dealt_out(frame, monkeypatch, task_rows):
     assert dealt.count() == 2 * 61 + 3
 
 
+@pytest.mark.parametrize("task_rows", [3, 1000])
+def test_hot_key_in_both_systems(frame, monkeypatch, task_rows):
+    a = frame([("hot", i) for i in range(5)] + [("a", 1), (None, 2)], "k string, x int")
+    b = frame([("hot", i) for i in range(20)] + [("b", 1), (None, 2)], "k string, y int")
+    monkeypatch.setattr(joins._left_many, "__defaults__", (task_rows,))
+    dealt = joins.merge_sources(a, b, ["k"], {"z": ("x", "y")}, many=True)
+    assert rows(dealt, "k", "z") == rows(joins.merge_sources(a, b, ["k"], {"z": ("x", "y")}), "k", "z")
+    assert dealt.count() == 104
+
+
 def test_hot_group_count(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), "id")
     counted = duplicates.with_group_count(df, ["k"])
