@@ -49,12 +49,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 with docs as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
-words as (select r, unnest(w) as word, generate_subscripts(w, 1) as at
+words as (select r, unnest(w) as word, generate_subscripts(w, 1) as k
   from (select r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w from docs)),
-runs as (select r, at, word, lead(word, 1) over o as b, lead(word, 2) over o as c from words window o as (partition by r order by at)),
-seen as (select r, at, count(*) over (partition by r, word, b, c) as n from runs where b is not null and c is not null),
+runs as (select r, k, word, lead(word, 1) over o as b, lead(word, 2) over o as c from words window o as (partition by r order by k)),
+seen as (select r, k, count(*) over (partition by r, word, b, c) as n from runs where b is not null and c is not null),
 covered as (select r, count(distinct p) as n_repeat_words
-  from (select r, unnest([at, at + 1, at + 2]) as p from seen where n > 1) group by r),
+  from (select r, unnest([k, k + 1, k + 2]) as p from seen where n > 1) group by r),
 counted as (select r, count(*) as n_words, sum(length(word)) as word_chars from words group by r),
 lines as (select r, sum(n - 1) as n_dup_lines from (
   select r, line, count(*) as n from (select r, unnest(string_split(t, chr(10))) as line from docs)
