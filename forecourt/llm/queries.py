@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import byte_bpe, hilbert_shards, host_rules
-from forecourt.llm.common import table, written
+from forecourt.llm import byte_bpe, hilbert_shards, host_rules, license_scan, ordinal_toxicity, string_kernel
+from forecourt.llm.common import bucket, table, written
 from forecourt.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,27 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All license notices in the documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_string_kernel")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", bucket("doc_id", 5) == 0)
+    model = string_kernel.learn(docs.filter(~F.col("held_out")), "text", "lang", "doc_id")
+    found = string_kernel.identify(docs.drop("lang"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op9_ordinal_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, and whether the pipeline rejects it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal_toxicity.learn_from_tables(docs, table(spark, sf_dir, "labels"), "toxic")
+    graded = ordinal_toxicity.grade(docs, model)
+    return graded.select("doc_id", "severity", "p_toxic", (F.col("p_toxic") > 0.5).alias("toxic"))
