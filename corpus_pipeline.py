@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.llm import byte_bpe
-from forecourt.llm.common import table, written
-from forecourt.session import tune
+from forecourt.llm.common import prepared, table, written
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and hashes of the ids and of the text they decode to."""
     import public_tokenizers
 
+    prepared(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
 
@@ -28,7 +28,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents."""
-    docs = table(tune(spark), sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir))
     return docs

@@ -4,13 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt.session import tune
+
 _own: list[str] = []
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Adaptive settings, and the package on the executors, as ``--py-files`` would put it there."""
+    context = spark.sparkContext
+    if "forecourt.zip" not in context._python_includes:
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="forecourt-")) / "forecourt.zip"
+        with zipfile.ZipFile(target, "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(target))
+    return tune(spark)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all machines see, from ``spark.checkpoint.dir``; a temporary one where that is unset (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")

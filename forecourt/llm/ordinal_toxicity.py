@@ -1,7 +1,7 @@
 """Toxicity as an ordered grade, by cumulative-link regression on sparse text features.
 
-Features of a text are its different words and the first four, five and six bytes of each longer
-word, so that inflected forms share weight. One weight per feature serves all grades; ordered
+Features of a text are its different words and the first four, five and six bytes of each word
+that long, so that inflected forms share weight. One weight per feature serves all grades; ordered
 thresholds cut the weighted sum into grades: P(grade <= k) = sigmoid(threshold_k - sum). The
 result is the expected grade, and the probability of any grade above 0.
 
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm.common import written
 from forecourt.llm.tokens import LETTERS, encoded, mix, pieces, words
 
 PREFIXES = (4, 5, 6)
@@ -31,7 +32,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     length = found.end - found.start
     text, hashes = [found.text], [found.hash]
     for n in PREFIXES:
-        long = np.flatnonzero(length > n)
+        long = np.flatnonzero(length >= n)
         heads = _heads(texts, found, long, n)
         text.append(found.text[long])
         hashes.append(mix(heads + np.uint64(n)))
@@ -81,7 +82,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(
-    rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, width: int, ridge: float = 0.02, steps: int = 400
+    rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, width: int, ridge: float = 0.002, steps: int = 2000
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds that maximise the likelihood of the grades, less a ridge penalty.
 
@@ -117,11 +118,12 @@ def fit_ordinal(
     return raw[top:], np.concatenate(([raw[0]], raw[0] + np.cumsum(np.exp(raw[1:top]))))
 
 
-def telling_features(sample: DataFrame, most: int, least_rows: int) -> DataFrame:
+def telling_features(sample: DataFrame, most: int, least_share: float, least_chi: float) -> DataFrame:
     """Features by how unevenly they fall on texts with label 0 and above: at most ``most`` of them.
 
     Batches are counted before the shuffle. The measure is the chi-square statistic of presence
-    against label; a feature must occur in ``least_rows`` texts.
+    against label; a feature must also occur in three rows and in ``least_share`` of all. With ``least_chi`` at 20, of a million features that say nothing eight pass; without
+    it, features of single texts would explain a small sample and nothing else.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,12 +145,44 @@ def telling_features(sample: DataFrame, most: int, least_rows: int) -> DataFrame
     rows, all_rows = F.col("low") + F.col("high"), low + high
     expected = rows * (high / max(all_rows, 1))
     chi = F.pow(F.col("high") - expected, 2) / expected + F.pow(expected - F.col("high"), 2) / (rows - expected)
-    strong = counted.filter(rows >= least_rows).withColumn("chi", chi).withColumn("leans", F.col("high") > expected)
-    return strong.orderBy(F.desc("chi"), "code").limit(most)
+    strong = counted.filter(rows >= max(3, least_share * all_rows)).withColumn("chi", chi).withColumn("leans", F.col("high") > expected)
+    return strong.filter(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "code").limit(most)
+
+
+def without_copies(sample: DataFrame, shingle: int = 3, values: int = 4) -> DataFrame:
+    """Leave out rows that look like a copy of another row: the chance words of a text with thirty copies
+    would count thirty times. Rows whose smallest shingle hash under any of a few hash functions was seen
+    are left out. Of the bounded sample, ids and these values reach the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found = words(encoded(batch.column("text")), LETTERS)
+            grams, at = found.ngrams(shingle)
+            text = found.text[at]
+            empty = np.setdiff1d(np.arange(batch.num_rows), text)  # too short: nothing to compare
+            low = np.zeros((batch.num_rows, values), np.uint64)
+            starts = np.flatnonzero(np.diff(np.concatenate(([-1], text))))
+            for k in range(values if len(starts) else 0):
+                low[text[starts], k] = np.minimum.reduceat(mix(grams + np.uint64(k)), starts)
+            lists = [None if k in set(empty.tolist()) else row for k, row in enumerate(low.view(np.int64).tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "low"])
+
+    kind = dict(sample.dtypes)["doc_id"]
+    rows = sample.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, low array<bigint>").collect()
+    seen: set[tuple[int, int]] = set()
+    keep = []
+    for row in sorted(rows, key=lambda r: r["doc_id"]):
+        values_of = [] if row["low"] is None else list(enumerate(row["low"]))
+        if not seen.intersection(values_of):
+            keep.append((row["doc_id"],))
+        seen.update(values_of)
+    kept = sample.sparkSession.createDataFrame(keep, f"doc_id {kind}")
+    return sample.join(F.broadcast(kept), "doc_id")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """Texts and labels of about ``most`` labelled rows, drawn by a hash of the id.
+    """Texts and labels of about ``most`` labelled rows, drawn by a hash of the id, without near copies.
 
     ``labels`` has ``doc_id`` and ``label``; null ids, labels and texts are left out, and of several
     labels for an id the largest counts. The sample of ids is bounded, so it is broadcast.
@@ -158,12 +192,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     drawn = known.filter(draw < int(min(1.0, share) * (1 << 30))).groupBy("doc_id").agg(F.max("label").alias("label"))
     drawn = drawn.orderBy(F.xxhash64("doc_id")).limit(most)
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-    return texts.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"]).select("text", "label")
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(drawn), "doc_id")
+    sample = written(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")))
+    return without_copies(sample).select("text", "label")
 
 
 def learn(
-    sample: DataFrame, grades: int = 3, most_features: int = 1 << 13, least_rows: int = 3, ridge: float = 0.02
+    sample: DataFrame,
+    grades: int = 3,
+    most_features: int = 1 << 13,
+    least_share: float = 0.001,
+    least_chi: float = 20.0,
+    ridge: float = 0.002,
 ) -> Model | None:
     """Fit grades 0 to ``grades - 1`` on a bounded sample with columns ``text`` and ``label``.
 
@@ -172,7 +212,7 @@ def learn(
     the grades above 0. Without both kinds of labels there is no model.
     """
     sample = sample.select("text", F.col("label").cast("int").alias("label"))
-    chosen = telling_features(sample, most_features, least_rows).collect()
+    chosen = telling_features(sample, most_features, least_share, least_chi).collect()
     codes = np.array([r["code"] for r in chosen], np.int64).view(np.uint64)
     leans = np.array([bool(r["leans"]) for r in chosen], bool)
     order = np.argsort(codes)
@@ -231,7 +271,7 @@ def grade(df: DataFrame, model: Model | None) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def learn_from_tables(docs: DataFrame, labels: DataFrame, label: str, most_rows: int = 10_000) -> Model | None:
+def learn_from_tables(docs: DataFrame, labels: DataFrame, label: str, most_rows: int = 20_000) -> Model | None:
     """Fit on at most ``most_rows`` labelled documents; ``label`` names the column of ``labels``."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label"))
     return learn(labelled_sample(docs, known, most_rows))

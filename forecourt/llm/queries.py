@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import byte_bpe, hilbert_shards, host_rules, license_scan, ordinal_toxicity, string_kernel
-from forecourt.llm.common import bucket, table, written
-from forecourt.session import tune
+from forecourt.llm.common import bucket, prepared, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,7 +21,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(tune(spark), sf_dir)
+            return build(prepared(spark), sf_dir)
 
         run.__doc__ = build.__doc__
         QUERIES[name] = run
