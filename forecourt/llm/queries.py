@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import byte_bpe, hilbert_shards, host_rules, license_scan, ordinal_toxicity, string_kernel
+from forecourt.llm import byte_bpe, hilbert_shards, host_rules, license_scan, ordinal_toxicity, spaced_seeds, string_kernel
 from forecourt.llm.common import bucket, prepared, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,4 +117,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = ordinal_toxicity.learn_from_tables(docs, table(spark, sf_dir, "labels"), "toxic")
     graded = ordinal_toxicity.grade(docs, model)
-    return graded.select("doc_id", "severity", "p_toxic", (F.col("p_toxic") > 0.5).alias("toxic"))
+    return graded.select("doc_id", "severity", "p_toxic", (F.col("p_toxic") > ordinal_toxicity.REJECT).alias("toxic"))
+
+
+@query("op8_spaced_seeds")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All overlaps of documents with benchmark items."""
+    found = spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"}).drop("print")

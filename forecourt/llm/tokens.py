@@ -60,6 +60,7 @@ class Alphabet:
 
 PLAIN = Alphabet()
 LOWER = Alphabet(lower=True)
+ALNUM = Alphabet(bytes(b for b in range(128) if not chr(b).isalnum()), lower=True)
 LETTERS = Alphabet(bytes(b for b in range(128) if not chr(b).isalpha()), lower=True)
 
 
@@ -127,3 +128,12 @@ def segments(flags: np.ndarray) -> Iterator[tuple[int, int]]:
     """Runs of true flags as half-open ranges."""
     edge = np.flatnonzero(np.diff(np.concatenate(([False], flags, [False])).astype(np.int8)))
     yield from zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True)
+
+
+def packed(hashes: np.ndarray) -> bytes:
+    """Hashes as bytes, for a binary column."""
+    return hashes.astype("<u8").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u8")
