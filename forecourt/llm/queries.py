@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import byte_bpe, hilbert_shards, host_rules, license_scan, ordinal_toxicity, spaced_seeds, string_kernel
+from forecourt.llm import byte_bpe, hilbert_shards, host_rules, kneser_ney, license_scan, ordinal_toxicity, spaced_seeds, string_kernel
 from forecourt.llm.common import bucket, prepared, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All overlaps of documents with benchmark items."""
     found = spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnsRenamed({"doc": "doc_id", "item": "item_id"}).drop("print")
+
+
+@query("op2_kneser_ney")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under a model of six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", bucket("doc_id", 7) == 2)
+    model = kneser_ney.train(docs.filter(~F.col("held_out")))
+    return kneser_ney.score(docs, model).drop("perplexity")
