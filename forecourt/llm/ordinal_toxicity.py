@@ -245,6 +245,15 @@ def learn(
     return model
 
 
+def above(texts: pa.Array, model: Model | None, seen: np.ndarray | None) -> np.ndarray:
+    """Per threshold and text, the probability of a grade above it; 0 without a model."""
+    if model is None:
+        return np.zeros((1, len(texts)))
+    row, column = present(encoded(texts), model.codes, seen)
+    total = np.bincount(row, model.weights[column], len(texts))
+    return np.array([sigmoid(total - cut) for cut in model.thresholds])
+
+
 def grade(df: DataFrame, model: Model | None) -> DataFrame:
     """Add ``severity``, the expected grade, and ``p_toxic``, the probability of a grade above 0.
 
@@ -260,18 +269,26 @@ def grade(df: DataFrame, model: Model | None) -> DataFrame:
         found = shared.value
         seen = found.seen() if found else None
         for batch in pieces(batches):
-            if found is None:
-                above = np.zeros((1, batch.num_rows))
-            else:
-                row, column = present(encoded(batch.column("text")), found.codes, seen)
-                total = np.bincount(row, found.weights[column], batch.num_rows)
-                above = np.array([sigmoid(total - cut) for cut in found.thresholds])
-            added = [pa.array(above.sum(0)), pa.array(above[0])]
+            chance = above(batch.column("text"), found, seen)
+            added = [pa.array(chance.sum(0)), pa.array(chance[0])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *names])
 
     return df.mapInArrow(run, schema)
 
 
+def accepted(df: DataFrame, model: Model | None, most: float = REJECT) -> DataFrame:
+    """The rows whose probability of a grade above 0 is at most ``most``, with all their columns."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = shared.value
+        seen = found.seen() if found else None
+        for batch in pieces(batches):
+            yield batch.filter(pa.array(above(batch.column("text"), found, seen)[0] <= most))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def learn_from_tables(docs: DataFrame, labels: DataFrame, label: str, most_rows: int = 20_000) -> Model | None:
     """Fit on at most ``most_rows`` labelled documents; ``label`` names the column of ``labels``."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label"))

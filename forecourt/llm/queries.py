@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import byte_bpe, hilbert_shards, host_rules, kneser_ney, license_scan, ordinal_toxicity, spaced_seeds, string_kernel
+from forecourt.llm import aligned_lines, bayes_jaccard, byte_bpe, hilbert_shards, host_rules, kneser_ney, license_scan, ordinal_toxicity, spaced_seeds, string_kernel
 from forecourt.llm.common import bucket, prepared, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", bucket("doc_id", 7) == 2)
     model = kneser_ney.train(docs.filter(~F.col("held_out")))
     return kneser_ney.score(docs, model).drop("perplexity")
+
+
+@query("op10_bayes_jaccard")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document and the number of its links."""
+    found = bayes_jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+@query("op5_aligned_lines")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All blocks of documents that an earlier document has as well."""
+    found = aligned_lines.aligned(table(spark, sf_dir, "documents"))
+    doc_id = F.when(F.col("rank") < aligned_lines.LAST, F.col("rank")).alias("doc_id")
+    return found.select(doc_id, F.col("first").alias("earlier_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_words"))
