@@ -242,18 +242,16 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", least_words: int =
     blocks = blocks.withColumnsRenamed({"rank": rank, "print": mark, "spans": spans})
     same: Column = (F.coalesce(docs[doc_id].cast("long"), F.lit(LAST)) == blocks[rank]) & (fingerprint(docs["text"]) == blocks[mark])
     joined = docs.join(blocks, same, "left").drop(rank, mark)
+    names = docs.columns
+    place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = docs.columns.index("text")
         for batch in batches:
-            found = batch.column(len(docs.columns))
-            if found.null_count == batch.num_rows:
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=docs.columns)
-                continue
+            found = batch.column(len(names)).to_pylist()
             texts = batch.column(place).to_pylist()
-            left = [t if s is None else cut(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(texts, found.to_pylist(), strict=True)]
-            keep = pa.array([s is None or bool(_WORD.search(t)) for t, s in zip(left, found.to_pylist(), strict=True)])
+            left = [t if s is None else cut(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(texts, found, strict=True)]
+            keep = pa.array([s is None or bool(_WORD.search(t)) for t, s in zip(left, found, strict=True)])
             columns = [*batch.columns[:place], pa.array(left, pa.string()), *batch.columns[place + 1 : -1]]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns).filter(keep)
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
 
     return joined.mapInArrow(run, docs.schema)
