@@ -143,8 +143,10 @@ def telling_features(sample: DataFrame, most: int, least_share: float, least_chi
     counted = found.agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
     n = sample.agg(F.sum((F.col("label") == 0).cast("long")), F.sum((F.col("label") > 0).cast("long"))).first()
     low, high = float(n[0] or 0), float(n[1] or 0)
+    if not low or not high:
+        return counted.select("code", F.lit(0.0).alias("chi"), F.lit(False).alias("leans")).limit(0)
     rows, all_rows = F.col("low") + F.col("high"), low + high
-    expected = rows * (high / max(all_rows, 1))
+    expected = rows * (high / all_rows)
     chi = F.pow(F.col("high") - expected, 2) / expected + F.pow(expected - F.col("high"), 2) / (rows - expected)
     strong = counted.filter(rows >= max(3, least_share * all_rows)).withColumn("chi", chi).withColumn("leans", F.col("high") > expected)
     return strong.filter(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "code").limit(most)
