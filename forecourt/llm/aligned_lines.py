@@ -5,17 +5,23 @@ the words themselves determine: after a word whose pair hash is smaller than tho
 either side. Equal passages are then cut alike wherever they stand, and hold whole lines of about
 nine words in common: a passage of 51 words holds at least one with a probability of 0.9999.
 
-1. Every text is a sequence of line hashes. Lines of five words or more say something; one that occurs
-   in several documents links each of them to the first document that has it. That is one link per
+1. Every text is a sequence of line hashes. Lines of five words or more say something. A block of fifty words
+   consists of lines that several documents have, and at most of the two lines before and after them; so
+   documents in which no run of shared lines is long enough are left out, and so are all other lines.
+2. A line links each document that is left to the first of them that has it. That is one link per
    occurrence, however many documents share the line: no pairs of a group are made.
-2. Linked documents are aligned with patience diff: lines that occur once in both are anchors where their
+3. Linked documents are aligned with patience diff: lines that occur once in both are anchors where their
    order agrees, anchors grow word by word as far as the documents agree, and gaps between them are
    aligned in the same way.
-3. Blocks of enough words are deleted from the later document. The first document with a line keeps it,
+4. Blocks of enough words are deleted from the later document. The first document with a line keeps it,
    so nothing is lost from the corpus.
 
-Only the shared lines of documents are joined. Of the other words, one byte each travels along, with
-which blocks grow over the rest of a line that was cut off.
+Of the words of a text, one byte each travels along, with which blocks grow over the rest of a line
+that was cut off.
+
+A block is found if one of its lines links the two documents. An earlier document with more than fifty
+words around the same lines, but not with the block, can stand in between; the block then is found
+by its other lines.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import fingerprint, fresh, written
-from forecourt.llm.tokens import Words, _power, combine, encoded, mix, pieces, words
+from forecourt.llm.tokens import Words, _power, combine, encoded, mix, pieces, segments, words
 
 WINDOW, FORCED = 4, 64  # words compared on either side of a cut; longest line
 LINE_WORDS, BLOCK_WORDS = 5, 50
@@ -101,14 +107,57 @@ def sequences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "rank bigint, print binary, lines array<bigint>, sizes array<int>, marks binary")
 
 
-def shared_lines(texts: DataFrame, least: int) -> DataFrame:
-    """Lines that several documents have, gathered per text: start, words, hash, and the first document with it."""
-    parts = texts.select("rank", "print", F.posexplode(F.arrays_zip("lines", "sizes")).alias("n", "l"))
-    parts = parts.select("rank", "print", "n", F.col("l.lines").alias("line"), F.col("l.sizes").alias("size")).filter(F.col("size") >= least)
+def shared_lines(parts: DataFrame) -> DataFrame:
+    """Lines that several documents have, with the first of them, from rows (rank, line).
+
+    A line that very many documents have is a minimum and a maximum, made with partial aggregates.
+    """
     found = parts.groupBy("line").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-    shared = found.filter("first < last").drop("last")
-    rows = parts.join(shared, "line")
-    return rows.groupBy("rank", "print").agg(F.collect_list(F.struct("n", "line", "first")).alias("shared"))
+    return found.filter("first < last").drop("last")
+
+
+def in_long_runs(shared: np.ndarray, sizes: np.ndarray, least_line: int, least_words: int) -> np.ndarray:
+    """Which shared lines are in a run that a block of ``least_words`` words could be made of.
+
+    A run goes on over lines that are too short to be compared. At its ends, words outside the block decide how
+    the last words inside are cut: one line there can lie in the block and yet differ, and of a second one a part.
+    """
+    open_ = shared | (sizes < least_line)
+    out = np.zeros(len(sizes), bool)
+    for a, b in segments(open_):
+        if sizes[max(a - 2, 0) : b + 2].sum() >= least_words:
+            out[a:b] = shared[a:b]
+    return out
+
+
+def candidates(texts: DataFrame, least_line: int, least_words: int) -> DataFrame:
+    """Texts with long runs of shared lines: starts and hashes of these lines, and a byte per word."""
+    parts = texts.select("rank", F.explode(F.array_distinct(_long_lines(least_line))).alias("line"))
+    shared = parts.join(shared_lines(parts).select("line"), "line").groupBy("rank").agg(F.collect_set("line").alias("shared"))
+    joined = texts.join(shared, "rank")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts, lines = [], [], []
+            for k in range(batch.num_rows):
+                own, sizes, known = (batch.column(c)[k].values.to_numpy() for c in ("lines", "sizes", "shared"))
+                found = np.isin(own, known) & (sizes >= least_line)
+                keep = in_long_runs(found, sizes, least_line, least_words)
+                if keep.any():
+                    rows.append(k)
+                    starts.append((np.cumsum(sizes) - sizes)[keep].astype(np.int32))
+                    lines.append(own[keep])
+            at = pa.array(rows, pa.int64())
+            columns = [batch.column("rank").take(at), batch.column("print").take(at), pa.array(starts, pa.list_(pa.int32()))]
+            columns += [pa.array(lines, pa.list_(pa.int64())), batch.column("marks").take(at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["rank", "print", "starts", "lines", "marks"])
+
+    return joined.mapInArrow(run, "rank bigint, print binary, starts array<int>, lines array<bigint>, marks binary")
+
+
+def _long_lines(least: int) -> Column:
+    both = F.arrays_zip("lines", "sizes")
+    return F.transform(F.filter(both, lambda x: x["sizes"] >= least), lambda x: x["lines"])
 
 
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -173,6 +222,23 @@ def patience(a: list[tuple[int, int]], b: list[tuple[int, int]], x: np.ndarray,
     return sorted(out)
 
 
+def common_blocks(
+    a: list[tuple[int, int]], b: list[tuple[int, int]], x: np.ndarray, y: np.ndarray, least: int
+) -> list[tuple[int, int]]:
+    """Ranges of at least ``least`` words of the first text that the second one has.
+
+    What an alignment leaves over is aligned once more, as long as that finds a block: passages may stand in
+    another order, or twice.
+    """
+    out: list[tuple[int, int]] = []
+    while True:
+        found = [(s, s + n) for s, _, n in patience(a, b, x, y) if n >= least]
+        if not found:
+            return sorted(out)
+        out += found
+        a = [(s, h) for s, h in a if not any(start <= s < end for start, end in found)]
+
+
 def _agree(x: np.ndarray, y: np.ndarray) -> int:
     """Number of equal values at the beginning."""
     n = min(len(x), len(y))
@@ -191,20 +257,16 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WO
     rank = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
     plain = docs.select(rank.alias("rank"), fingerprint("text").alias("print"), "text").filter("print is not null")
     texts = written(sequences(plain))
-    lines = shared_lines(texts.dropDuplicates(["rank", "print"]).drop("marks"), LINE_WORDS)
-    marks = texts.select("rank", "print", "marks", "sizes").dropDuplicates(["rank", "print"])
-    sharing = written(lines.join(marks, ["rank", "print"]))
-    firsts = F.array_distinct(F.filter("shared.first", lambda f: f < F.col("rank")))
-    later = sharing.withColumn("first", F.explode(firsts))
-    earlier = sharing.select(F.col("rank").alias("first"), *[F.col(c).alias(f"other_{c}") for c in ("shared", "marks", "sizes")])
-    both = later.join(earlier, "first").select("rank", "print", "first", "shared", "marks", "sizes", "other_shared", "other_marks", "other_sizes")
+    left = written(candidates(texts, LINE_WORDS, least_words))
+    parts = left.select("rank", F.explode(F.array_distinct("lines")).alias("line"))
+    pairs = parts.join(shared_lines(parts), "line").filter("first < rank").select("rank", "first").distinct()
+    later = pairs.join(left.dropDuplicates(["rank", "print"]), "rank")
+    earlier = left.select(F.col("rank").alias("first"), *[F.col(c).alias(f"other_{c}") for c in ("starts", "lines", "marks")])
+    both = later.join(earlier, "first")
 
     def lines_of(batch: pa.RecordBatch, k: int, prefix: str) -> tuple[list[tuple[int, int]], np.ndarray]:
-        sizes = batch.column(f"{prefix}sizes")[k].values.to_numpy()
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        rows = batch.column(f"{prefix}shared")[k].values
-        number, line = (rows.field(name).to_numpy() for name in ("n", "line"))
-        found = sorted(zip(starts[number].tolist(), line.tolist(), strict=True))
+        starts, lines = (batch.column(prefix + c)[k].values.to_numpy() for c in ("starts", "lines"))
+        found = list(zip(starts.tolist(), lines.tolist(), strict=True))
         return found, np.frombuffer(batch.column(f"{prefix}marks")[k].as_py(), np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +275,7 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WO
             for k in range(batch.num_rows):
                 a, x = lines_of(batch, k, "")
                 b, y = lines_of(batch, k, "other_")
-                out += [(k, s, s + n) for s, _, n in patience(a, b, x, y) if n >= least_words]
+                out += [(k, start, end) for start, end in common_blocks(a, b, x, y, least_words)]
             at = pa.array([o[0] for o in out], pa.int64())
             spans = [pa.array([o[n] for o in out], pa.int64()) for n in (1, 2)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in ("rank", "print", "first")], *spans], names=["rank", "print", "first", "start", "end"])

