@@ -32,19 +32,23 @@ def arguments(argv: Sequence[str] | None = None) -> dict[str, object]:
     parser.add_argument("--to-date", type=day, help="last sale date, dd/mm/yyyy")
     parser.add_argument("--country", help="code or name")
     parser.add_argument("--brand")
-    parser.add_argument("--no-image", action="store_true", help="keep no dated copy of the landed tables")
+    parser.add_argument("--months", type=int, help="back-fill so many months from the month of --from-date on")
+    parser.add_argument("--image", action="store_true", help="keep a dated copy of the landed tables")
     given = parser.parse_args(argv)
+    if given.months and given.from_date and given.to_date is None:
+        given.to_date = given.from_date
     if (given.from_date is None) != (given.to_date is None):
         parser.error("--from-date and --to-date go together")
     settings = json.loads(Path(given.settings).read_text(encoding="utf-8"))
     return {
-        "settings": Settings(**(settings | ({"historical": False} if given.no_image else {}))),
+        "settings": Settings(**(settings | ({"historical": True} if given.image else {}))),
         "table": given.table,
         "from_zone": given.from_zone,
         "to_zone": given.to_zone,
         "window": (given.from_date, given.to_date) if given.from_date else None,
         "country": given.country,
         "brand": given.brand,
+        "months": given.months,
     }
 
 

@@ -64,10 +64,9 @@ REGISTRATION_COUNTRIES = (
 FAMILY_AFFILIATES = ("83", "84")
 OWN_REGISTRATION_AFFILIATES = (1, 63)
 SALES_BASE = "LA"
-SALES_ZONES = tuple(
-    head + country
-    for country in ("BE", "FR", "IT", "ES", "GB", "NL", "PL", "AT", "PT", "DE")
-    for head in ("CP", "PP")
+SALES_ZONES = (
+    "CPBE", "PPBE", "CPFR", "PPFR", "CPIT", "PPIT", "CPES", "PPES", "CPGB", "PPGB",
+    "CPNL", "PPNL", "CPPL", "PPPL", "CPAT", "PPAT", "CPPT", "PPPT", "CPDE", "PPDE",
 )
 
 # Recodes of single columns.

@@ -13,17 +13,15 @@ def summarise(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]
     return df.groupBy(*keys).agg(*(agg.alias(name) for name, agg in measures.items()))
 
 
-def totals(df: DataFrame, measures: Sequence[str], digits: int = 4) -> dict[str, Column]:
-    """Sum of each measure, the same whatever the order of the rows.
+def totals(df: DataFrame, measures: Sequence[str]) -> dict[str, Column]:
+    """Sum of each measure.
 
-    Floating-point amounts are summed as whole numbers of their last decimal place,
-    which is exact for amounts of up to ``digits`` decimals; integers and decimals
-    are summed as they are.
+    Decimals are summed exactly and become a double after the sum; integers and doubles are
+    summed as they are. Layouts declare amounts of money as decimals, so that their sums
+    don't depend on the order of the rows.
     """
-    floating = {c for c, t in df.dtypes if t in ("double", "float")}
-    unit = 10**digits
-    whole = {m: F.rint(F.col(m).cast("double") * unit).cast("bigint") for m in measures if m in floating}
-    return {m: F.sum(whole[m]) / unit if m in whole else F.sum(m) for m in measures}
+    decimals = {c for c, t in df.dtypes if t.startswith("decimal")}
+    return {m: F.sum(m).cast("double") if m in decimals else F.sum(m) for m in measures}
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:

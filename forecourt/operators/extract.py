@@ -26,14 +26,16 @@ def extract(
     Each table of the chain is matched with the one before it, on the key both
     share. ``conditions`` lists the values a column must have, or must not have
     with ``negate``. Rows older than ``since`` minus ``nb_days`` are left out.
+    Without ``columns`` nothing is joined. A column of a joined table that exists
+    already is an error.
     """
-    joined = _chain(df, joins)
+    joined = _chain(df, joins) if columns else df
     if date_col is not None and since is not None:
         joined = joined.filter(from_day(joined, date_col, since - timedelta(days=nb_days)))
     for name, values in (conditions or {}).items():
         member = F.col(name).isin(list(values))
         joined = joined.filter(~member if negate else member)
-    return joined.select(*columns) if columns else joined.select(*df.columns)
+    return joined.select(*columns) if columns else joined
 
 
 def _chain(df: DataFrame, joins: Sequence[tuple[DataFrame, str]]) -> DataFrame:
@@ -42,7 +44,10 @@ def _chain(df: DataFrame, joins: Sequence[tuple[DataFrame, str]]) -> DataFrame:
         return df
     joined = df.withColumn("__link_0", F.col(joins[0][1]))
     for i, (frame, key) in enumerate(joins):
-        new = [c for c in frame.columns if c != key and c not in joined.columns]
+        new = [c for c in frame.columns if c != key]
+        clash = sorted(set(new) & set(joined.columns))
+        if clash:
+            raise ValueError(f"already present: {', '.join(clash)}; rename or leave out")
         right = frame.select(F.col(key).alias("__key"), *new)
         if i + 1 < len(joins):
             right = frame.select(

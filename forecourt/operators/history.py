@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -33,6 +33,17 @@ def reduce_fact(df: DataFrame, date_col: str, start: date, end: date) -> DataFra
     return with_ymd(between_dates(df, date_col, start, end), date_col)
 
 
+def months_of(window: Window) -> list[Window]:
+    """The whole months that a window touches."""
+    start, end = window
+    return list(month_windows(start, (end.year - start.year) * 12 + end.month - start.month + 1))
+
+
+def month_partitions(windows: Iterable[Window]) -> list[dict[str, int]]:
+    """Partition values of months."""
+    return [{"year": first.year, "month": first.month} for first, _ in windows]
+
+
 def backfill(
     mart: Callable[[Window], DataFrame],
     path: str,
@@ -40,12 +51,11 @@ def backfill(
     months: int,
     partition_by: tuple[str, ...] = ("year", "month"),
 ) -> list[Window]:
-    """Build a mart month by month, each month replacing its own partitions only.
+    """Build a mart for consecutive months in one pass, replacing the partitions of these months only.
 
-    The mart must carry the partition columns. A run that stops half-way can be
-    repeated from the month it reached.
+    The mart must carry the partition columns. A month without rows ends up empty.
     """
     windows = list(month_windows(start, months))
-    for window in windows:
-        write_zone(mart(window), path, partition_by)
+    if windows:
+        write_zone(mart((windows[0][0], windows[-1][1])), path, partition_by, only=month_partitions(windows))
     return windows

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.columns import ColumnLike, as_column, first_of
 
-# Rows of one key that a single task may handle.
-TASK_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class DimSpec:
@@ -69,28 +66,16 @@ def attach(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     return joined.select(*columns)
 
 
-def _left_many(
-    fact: DataFrame, right: DataFrame, condition: Column, keys: Sequence[str], task_rows: int = TASK_ROWS
-) -> DataFrame:
+def _left_many(fact: DataFrame, right: DataFrame, condition: Column, keys: Sequence[str]) -> DataFrame:
     """Left join with a dimension that may hold very many rows for one key.
 
-    Adaptive execution splits the preserved side of an outer join only. So keys with
-    more rows than one task should take are dealt into parts by a hash of the row,
-    and their fact rows repeated once per part. The number of rows per key also tells
-    which fact rows have no match at all: only those survive unmatched.
+    Adaptive execution splits both sides of an inner join but only the preserved side of an
+    outer one. So matches come from an inner join, and the rest from an anti join with the
+    different keys.
     """
-    n, parts, part = F.col("__n"), F.col("__parts"), F.col("__part")
-    counts = right.groupBy(*keys).agg(F.count("*").alias("__n"))
-    numbers = F.explode(F.sequence(F.lit(1), F.coalesce(F.ceil(n / task_rows), F.lit(1)).cast("int")))
-    dealt_fact = fact.join(counts, condition, "left").drop(*keys).withColumn("__fact_part", numbers)
-    # At most one key per ``task_rows`` rows is hot, so this frame is safe to broadcast.
-    hot = counts.filter(n > task_rows).withColumn("__parts", F.ceil(n / task_rows)).drop("__n")
-    share = F.pmod(F.xxhash64(*right.columns), parts) + 1
-    dealt_right = right.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "__part", F.coalesce(share, F.lit(1)).cast("int")
-    )
-    joined = dealt_fact.join(dealt_right, condition & (F.col("__fact_part") == part), "left")
-    return joined.filter(part.isNotNull() | n.isNull())
+    matched = fact.join(right, condition, "inner")
+    unmatched = fact.join(right.select(*keys).distinct(), condition, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def attach_label(
@@ -106,25 +91,17 @@ def max_label(ref: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def merge_sources(
-    a: DataFrame,
-    b: DataFrame,
-    on: Sequence[str],
-    merged: Mapping[str, tuple[str, str]] | None = None,
-    many: bool = False,
+    a: DataFrame, b: DataFrame, on: Sequence[str], merged: Mapping[str, tuple[str, str]] | None = None
 ) -> DataFrame:
     """Everything either system knows.
 
-    ``merged`` maps an output column to the column of ``a`` that wins and the
-    column of ``b`` that fills the gaps; both inputs disappear. With ``many`` rows
-    per key the outer join, which cannot split a hot key, is taken apart into two
-    joins that can.
+    ``merged`` maps an output column to the column of ``a`` that wins and the column of ``b``
+    that fills the gaps; both inputs disappear. An outer join can't split a hot key, so it is
+    taken apart into joins that can.
     """
     merged = merged or {}
-    if many:
-        known = attach(a, [DimSpec(b, on, "left", many=True)])
-        both = known.unionByName(missing_from(b, a, on), allowMissingColumns=True)
-    else:
-        both = a.join(b, on=list(on), how="outer")
+    known = attach(a, [DimSpec(b, on, "left", many=True)])
+    both = known.unionByName(missing_from(b, a, on), allowMissingColumns=True)
     used = {c for pair in merged.values() for c in pair}
     kept = [c for c in both.columns if c not in used]
     return both.select(*kept, *(first_of(x, y).alias(out) for out, (x, y) in merged.items()))

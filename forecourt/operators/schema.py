@@ -16,12 +16,13 @@ class TableSpec:
     """How one layout becomes the common one.
 
     ``columns`` maps source names to ours and thereby selects, ``missing`` adds
-    typed NULL columns, ``order`` fixes the final column order.
+    typed NULL columns, ``order`` fixes the final column order, ``types`` declares types.
     """
 
     columns: Mapping[str, str]
     missing: Mapping[str, str] = field(default_factory=dict)
     order: Sequence[str] = ()
+    types: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def output(self) -> tuple[str, ...]:
@@ -35,6 +36,7 @@ def quoted(name: str) -> str:
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Select, rename, complete and order in a single projection."""
     known = {new: F.col(quoted(old)) for old, new in spec.columns.items()}
+    known |= {new: known[new].try_cast(kind) for new, kind in spec.types.items()}
     known |= {new: F.lit(None).cast(kind) for new, kind in spec.missing.items()}
     return df.select(*(known[name].alias(name) for name in spec.output))
 

@@ -26,11 +26,17 @@ def promotion_costs(sales: DataFrame, headings: Mapping[str, str]) -> DataFrame:
     return distinct.withColumns({c: or_unknown(c) for c in ("operation_code", "operation_label")})
 
 
-def added_costs(vehicles: DataFrame, name: str, cost: str) -> DataFrame:
-    """Cost rows of a kind that is no operation, named the same in all four columns."""
+def added_costs(vehicles: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Cost rows of kinds that are no operation, named the same in all four columns.
+
+    ``kinds`` maps the name to the column of the cost. All kinds unfold from one scan.
+    """
     labels = ("operation_label", "heading_code", "heading_label", "operation_code")
-    rows = vehicles.withColumns({c: F.lit(name) for c in labels})
-    return rows.withColumn("promo_cost", F.col(cost)).select(*COST_COLUMNS)
+    rows = [
+        F.struct(*(F.lit(name).alias(c) for c in labels), F.col(cost).cast("double").alias("promo_cost"))
+        for name, cost in kinds.items()
+    ]
+    return vehicles.select("vehicle", "country", "brand", F.inline(F.array(*rows))).select(*COST_COLUMNS)
 
 
 def cost_rows(
@@ -50,8 +56,7 @@ def cost_rows(
     )
     parts = [
         promotion_costs(sales, headings),
-        added_costs(priced, FINANCING, "storage_cost"),
-        added_costs(priced, FIXED_MARGIN, "margin_amount"),
+        added_costs(priced, {FINANCING: "storage_cost", FIXED_MARGIN: "margin_amount"}),
     ]
     rows = union_all([cast_all(part, ["promo_cost"], "double") for part in parts])
     klass = classify_heading("heading_label", network_headings)

@@ -310,3 +310,13 @@ SALES_TABLES = {
     "vehicle": ZONE | CODE,
     "brand": CODE,
 }
+
+# Amounts are decimals, so that their sums are exact; six decimals cover the shares of a cent in the fact.
+SALES_TYPES = dict.fromkeys(
+    (
+        "volume", "price_raw", "price", "options_price", "version_price", "margin_raw", "margin", "margin_version",
+        "margin_option", "entity_margin_raw", "entity_margin", "entity_margin_version", "entity_margin_option",
+        "net_revenue", "promo_cost", "storage_cost",
+    ),
+    "decimal(28,6)",
+)

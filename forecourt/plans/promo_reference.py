@@ -36,7 +36,7 @@ def classify_category(promos: DataFrame, classes: DataFrame) -> DataFrame:
 
 def unflagged_operations(costs: DataFrame, promos: DataFrame, network_headings: Sequence[str]) -> DataFrame:
     """Operations with costs but no category, marked for the departments to complete."""
-    ops = costs.select("operation_label", "heading_label", "country", "brand")
+    ops = costs.select("operation_label", "heading_label", "country", "brand").distinct()
     klass = F.concat(F.lit(f"{TO_BE_FLAGGED} - "), classify_heading("heading_label", network_headings))
     flag = F.when(F.col("heading_label").isNotNull(), klass).otherwise(TO_BE_FLAGGED)
     flagged = flag_missing(ops, promos, ["operation_label", "country"], {"category": flag})

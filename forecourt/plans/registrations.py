@@ -69,16 +69,21 @@ def registrations(
             ),
         ],
     )
-    optional = [DimSpec(tables[t], on, "left", columns) for t, on, columns in OPTIONAL_TABLES]
+    # Blank ids stand for no vehicle: as NULL they match nothing, and don't meet in one task.
+    known = {"vehicle": F.when(F.trim("vehicle") != "", F.col("vehicle"))}
+    optional = [
+        DimSpec(tables[t], {**on, **known} if "vehicle" in on else on, "left", columns)
+        for t, on, columns in OPTIONAL_TABLES
+    ]
     movements = DimSpec(
-        tables["movements"], ["affiliate", "vehicle"], "left", MOVEMENT_COLUMNS, role="movement"
+        tables["movements"], {"affiliate": "affiliate", **known}, "left", MOVEMENT_COLUMNS, role="movement"
     )
     wide = attach(base, [*optional, movements])
     wide = attach_label(wide, tables["professions"], "profession", "code", "label", "profession_label")
     wide = wide.withColumn(
         "registered_on",
         pick(
-            F.col("affiliate").cast("string").isin([str(a) for a in own_registration]),
+            F.col("affiliate").try_cast("int").isin([int(a) for a in own_registration]),
             "movement_registered_on",
             "registered_on",
         ),

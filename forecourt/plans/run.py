@@ -10,12 +10,13 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
 from forecourt.operators.calendar import calendar
 from forecourt.operators.filters import restrict
-from forecourt.operators.history import last_days
+from forecourt.operators.history import Window, last_days, month_partitions, month_windows, months_of, reduce_fact
 from forecourt.operators.lookups import recode
 from forecourt.operators.schema import TableSpec, conform, union_all
 from forecourt.plans import layouts
@@ -59,7 +60,8 @@ class Settings:
     channel_headers: tuple[str, str, str] = ("forecast_lib", "sales_lib", "budget_lib")
     subfamily_header: str = "LIBELLE_SOUSFAMILLE"
     salt: str = fixed.SALT
-    historical: bool = True
+    historical: bool = False
+    profession_headers: tuple[str, str] = ("code", "label")
 
 
 @dataclass(frozen=True)
@@ -80,8 +82,19 @@ class Run:
         return read_zone(self.spark, self.path(zone, table), country, brand)
 
     def system(self, name: str, columns: Mapping[str, Mapping[str, str]]) -> dict[str, DataFrame]:
-        """Landed tables of a source system under our column names."""
-        return {t: conform(self.read("raw", f"{name}/{t}"), TableSpec(c)) for t, c in columns.items()}
+        """Landed tables of a source system under our column names, facts of the months in question."""
+        tables = {}
+        for table, headers in columns.items():
+            landed = self.read("raw", f"{name}/{table}")
+            if table in FACTS:
+                landed = landed.filter(in_months(self.window))
+            types = layouts.SALES_TYPES if (name, table) == ("sales", "facts") else {}
+            tables[table] = conform(landed, TableSpec(headers, types=types))
+        return tables
+
+    def registration_layout(self) -> dict[str, Mapping[str, str]]:
+        code, label = self.settings.profession_headers
+        return layouts.REGISTRATION_TABLES | {"professions": {code: "code", label: "label"}}
 
     def file(self, name: str, spec: TableSpec) -> DataFrame:
         return read_extract(self.spark, f"{self.settings.extracts}/{name}.csv", spec)
@@ -102,23 +115,28 @@ class Run:
 
 @dataclass(frozen=True)
 class Step:
-    """Builds one table of one zone. ``runs`` lists the requests that include it."""
+    """Builds one table of one zone from the tables that ``reads`` names as zone and table.
+
+    ``request`` is the name a run asks for, where that isn't the table's own.
+    """
 
     zone: str
     table: str
     build: Callable[[Run], DataFrame]
     partition_by: Sequence[str] = ()
-    runs: Sequence[str] = ()
+    reads: Sequence[str] = ()
+    request: str | None = None
 
-    def wanted(self, request: str) -> bool:
-        return request in ("all", self.table, *self.runs)
+    @property
+    def name(self) -> str:
+        return f"{self.zone}.{self.table}"
 
 
 # --- standard zone ------------------------------------------------------------------
 
 
 def standard_registrations(run: Run) -> DataFrame:
-    tables = run.system("registration", layouts.REGISTRATION_TABLES)
+    tables = run.system("registration", run.registration_layout())
     return registrations(tables, run.window, run.country, run.brand, brands=run.settings.brands)
 
 
@@ -145,9 +163,9 @@ def standard_budget(run: Run) -> DataFrame:
     return restrict(budget_lines([lines], run.settings.brand_names), run.country, run.brand)
 
 
-def extract_step(table: str, spec: TableSpec, *runs: str, partition_by: Sequence[str] = ()) -> Step:
+def extract_step(table: str, spec: TableSpec, partition_by: Sequence[str] = ()) -> Step:
     """A file taken over as it is."""
-    return Step("standard", table, lambda run: run.file(table, spec), partition_by, runs)
+    return Step("standard", table, lambda run: run.file(table, spec), partition_by)
 
 
 # --- refined zone -------------------------------------------------------------------
@@ -206,24 +224,23 @@ def refined_budget(run: Run) -> DataFrame:
 
 
 STEPS: tuple[Step, ...] = (
-    extract_step("classes", layouts.CLASSES, "promo_reference"),
-    extract_step("channel_types", layouts.CHANNEL_TYPES, "sales"),
-    extract_step("margins", layouts.MARGINS, "sales"),
+    extract_step("classes", layouts.CLASSES),
+    extract_step("channel_types", layouts.CHANNEL_TYPES),
+    extract_step("margins", layouts.MARGINS),
     Step("standard", "channels", lambda run: run.file("channels", layouts.channels(*run.settings.channel_headers))),
-    extract_step("families", layouts.FAMILIES, partition_by=("brand",)),
+    extract_step("families", layouts.FAMILIES, ("brand",)),
     extract_step("tax_rates", layouts.TAX_RATES),
     extract_step("category_order", layouts.CATEGORY_ORDER),
-    Step("standard", "engines", standard_engines, ("country",)),
-    Step("standard", "registrations", standard_registrations, SITE, ("vehicle_cost",)),
-    Step("standard", "sales", standard_sales, SITE, ("vehicle_cost", "cost_rows")),
-    Step("standard", "offers", lambda run: run.files("offers", layouts.OFFERS), SITE, ("vehicle_cost",)),
+    Step("standard", "engines", standard_engines, ("country",), ("raw.registration",)),
+    Step("standard", "registrations", standard_registrations, SITE, ("raw.registration",)),
+    Step("standard", "sales", standard_sales, SITE, ("raw.sales", "standard.channel_types")),
+    Step("standard", "offers", lambda run: run.files("offers", layouts.OFFERS), SITE),
     Step("standard", "forecast", standard_forecast, SITE),
     Step(
         "standard",
         "promotions",
         lambda run: run.files("promotions", dict.fromkeys(run.settings.offer_countries, layouts.PROMOTIONS)),
         SITE,
-        ("promo_reference",),
     ),
     Step(
         "standard",
@@ -234,32 +251,80 @@ STEPS: tuple[Step, ...] = (
     Step("standard", "budget", standard_budget, SITE),
     Step("refined", "sale_calendar", lambda run: calendar(run.spark, *run.window)),
     Step("refined", "order_calendar", lambda run: calendar(run.spark, *run.window)),
-    Step("refined", "category_order", lambda run: category_order(run.read("standard", "category_order"))),
-    Step("refined", "engines", lambda run: engines(run.read("standard", "engines", site=False)), ("country",)),
-    Step("refined", "tax_rates", lambda run: tax_rates(run.read("standard", "tax_rates")), ("country",)),
-    Step("refined", "dealers", lambda run: dealers(run.read("standard", "dealers", site=True)), SITE),
-    Step("refined", "families", lambda run: families(run.read("standard", "families")), ("brand",)),
-    Step("refined", "channels", lambda run: channels(run.read("standard", "channels"))),
-    Step("refined", "budget", refined_budget, SITE),
-    Step("refined", "forecast", refined_forecast, SITE),
+    Step(
+        "refined",
+        "category_order",
+        lambda run: category_order(run.read("standard", "category_order")),
+        reads=("standard.category_order",),
+    ),
+    Step(
+        "refined",
+        "engines",
+        lambda run: engines(run.read("standard", "engines", site=False)),
+        ("country",),
+        ("standard.engines",),
+    ),
+    Step(
+        "refined",
+        "tax_rates",
+        lambda run: tax_rates(run.read("standard", "tax_rates")),
+        ("country",),
+        ("standard.tax_rates",),
+    ),
+    Step(
+        "refined",
+        "dealers",
+        lambda run: dealers(run.read("standard", "dealers", site=True)),
+        SITE,
+        ("standard.dealers",),
+    ),
+    Step(
+        "refined",
+        "families",
+        lambda run: families(run.read("standard", "families")),
+        ("brand",),
+        ("standard.families",),
+    ),
+    Step("refined", "channels", lambda run: channels(run.read("standard", "channels")), reads=("standard.channels",)),
+    Step("refined", "budget", refined_budget, SITE, ("standard.budget", "standard.families", "standard.channels")),
+    Step("refined", "forecast", refined_forecast, SITE, ("standard.forecast", "standard.channels")),
     Step(
         "refined",
         "vehicle_sales",
         refined_vehicle_sales,
         SITE,
-        ("sales", "vehicle_cost", "cost_rows", "promo_reference"),
+        ("standard.sales", "standard.channels", "standard.families", "standard.margins"),
+        "sales",
+    ),
+    Step("refined", "cost_rows", refined_cost_rows, SITE, ("standard.sales", "refined.vehicle_sales")),
+    Step(
+        "refined",
+        "promo_reference",
+        refined_promo_reference,
+        SITE,
+        ("standard.promotions", "standard.classes", "refined.cost_rows"),
+    ),
+    Step("refined", "offers", refined_offers, SITE, ("standard.offers", "standard.tax_rates")),
+    Step(
+        "refined",
+        "vehicle_cost",
+        refined_vehicle_cost,
+        SITE,
+        ("refined.vehicle_sales", "standard.registrations", "refined.offers", "standard.tax_rates"),
     ),
-    Step("refined", "cost_rows", refined_cost_rows, SITE, ("promo_reference",)),
-    Step("refined", "promo_reference", refined_promo_reference, SITE),
-    Step("refined", "offers", refined_offers, SITE, ("vehicle_cost",)),
-    Step("refined", "vehicle_cost", refined_vehicle_cost, SITE),
 )
 # The vehicle sales only feed other marts.
 UNPUBLISHED = ("vehicle_sales",)
-SYSTEMS = {
-    "registration": (layouts.REGISTRATION_TABLES, ("registrations", "vehicle_cost", "engines")),
-    "sales": (layouts.SALES_TABLES, ("sales", "vehicle_cost", "cost_rows")),
-}
+SYSTEMS = {"registration": layouts.REGISTRATION_TABLES, "sales": layouts.SALES_TABLES}
+# Tables that grow with time, in either system.
+FACTS = ("lines", "facts")
+
+
+def in_months(window: Window) -> Column:
+    """Filter on the month folders that a window touches."""
+    start, end = window
+    month = F.col("year") * 12 + F.col("month")
+    return month.between(start.year * 12 + start.month, end.year * 12 + end.month)
 
 
 def requests() -> list[str]:
@@ -267,16 +332,38 @@ def requests() -> list[str]:
     return ["all", *dict.fromkeys(step.table for step in STEPS)]
 
 
-def land_systems(run: Run, request: str, as_of: datetime) -> None:
-    """Copy the source tables, and keep a dated image of the copy if wanted."""
-    for system, (columns, runs) in SYSTEMS.items():
-        if request not in ("all", *runs):
-            continue
-        tables: dict[str, Iterable[str]] = dict.fromkeys(columns, ())
-        land(run.spark, tables, f"{run.settings.source}/{system}", run.path("raw", system))
+def needed(request: str) -> set[str]:
+    """Names of the steps and source systems that a request rests on."""
+    steps = {step.name: step for step in STEPS}
+    todo = [s.name for s in STEPS if request in ("all", s.table, s.request)]
+    found: set[str] = set()
+    while todo:
+        name = todo.pop()
+        if name not in found:
+            found.add(name)
+            todo.extend(steps[name].reads if name in steps else ())
+    return found
+
+
+def land_systems(run: Run, systems: Iterable[str], as_of: datetime) -> None:
+    """Copy the source tables, and keep a dated image of the copy if wanted.
+
+    Facts are landed by month, and only the months that the window touches; the others stay.
+    """
+    months = months_of(run.window)
+    for system in systems:
+        source = f"{run.settings.source}/{system}"
+        plain = [t for t in SYSTEMS[system] if t not in FACTS]
+        land(run.spark, dict.fromkeys(plain, ()), source, run.path("raw", system))
+        for fact in (t for t in SYSTEMS[system] if t in FACTS):
+            date_column = {ours: theirs for theirs, ours in SYSTEMS[system][fact].items()}["sale_date"]
+            rows = reduce_fact(run.spark.read.parquet(f"{source}/{fact}"), date_column, months[0][0], months[-1][1])
+            path = run.path("raw", f"{system}/{fact}")
+            write_zone(rows.drop("day"), path, ("year", "month"), only=month_partitions(months))
         if run.settings.historical:
             images = f"{run.settings.root}/historical/{system}"
-            snapshot(run.spark, tables, run.path("raw", system), images, as_of)
+            kept: dict[str, Iterable[str]] = {t: ("year", "month") if t in FACTS else () for t in SYSTEMS[system]}
+            snapshot(run.spark, kept, run.path("raw", system), images, as_of)
 
 
 def run(
@@ -289,11 +376,14 @@ def run(
     country: str | None = None,
     brand: str | None = None,
     now: datetime | None = None,
+    months: int | None = None,
 ) -> list[tuple[str, str]]:
-    """Bring one table, or all, from one zone to another.
+    """Bring one table, or all, from one zone to another, with all that it rests on.
 
-    The window defaults to the last thirty days. A country is given by code or name.
-    Returns the zone and table of every step done, in order.
+    The window defaults to the last thirty days; with ``months`` it is that many whole months from
+    the month of its first day on (a back-fill, done in one pass). A country is given by code or name.
+    A table is replaced as a whole, by a restricted run in the partitions of its country and
+    brand. Returns the zone and table of every step done, in order.
     """
     if table not in requests():
         raise ValueError(f"unknown table {table}; one of {', '.join(requests())}")
@@ -302,15 +392,21 @@ def run(
             raise ValueError(f"unknown zone {zone}; one of {', '.join(ZONES)}")
     now = now or datetime.now()
     country = fixed.COUNTRY_CODES.get(country, country) if country else None
-    this = Run(spark, settings, window or last_days(now.date()), country, brand)
+    window = window or last_days(now.date())
+    if months:
+        filled = list(month_windows(window[0], months))
+        window = (filled[0][0], filled[-1][1])
+    this = Run(spark, settings, window, country, brand)
+    site = {c: v for c, v in zip(SITE, (country, brand), strict=True) if v is not None}
+    rests_on = needed(table)
     wanted = ZONES[ZONES.index(from_zone) + 1 : ZONES.index(to_zone) + 1]
     done: list[tuple[str, str]] = []
     if "raw" in wanted:
-        land_systems(this, table, now)
+        land_systems(this, [s for s in SYSTEMS if f"raw.{s}" in rests_on], now)
         done.append(("raw", table))
     for step in STEPS:
-        if step.zone in wanted and step.wanted(table):
-            write_zone(step.build(this), this.path(step.zone, step.table), step.partition_by)
+        if step.zone in wanted and step.name in rests_on:
+            write_zone(step.build(this), this.path(step.zone, step.table), step.partition_by, only=[site] if site else ())
             done.append((step.zone, step.table))
     if "published" in wanted:
         done += publish_marts(this, table)

@@ -41,6 +41,8 @@ def vehicle_cost(
     lines = lines.withColumnsRenamed(
         {c: f"registration_{c}" for c in lines.columns if c in sold.columns and c not in KEYS}
     )
+    # Equal lines would only give equal rows; the fewer meet their vehicle, the better.
+    lines = lines.distinct()
     bids = offers.select(*KEYS, F.col("order_date").alias("offer_order_date"), *OFFER_COLUMNS)
     wide = attach(
         sold,
@@ -71,4 +73,5 @@ def vehicle_cost(
         "sold_sale_date", "sold_usage", *(f"registered_{c}" for c in SHARED), "offer_order_date", "tax_rate",
         *OFFER_COLUMNS,
     ]
+    # Lines can still become equal where one lacks what the sale or the offer fills in.
     return aged.drop(*working).distinct()

@@ -19,6 +19,8 @@ VEHICLE_MEASURES = (
     "volume", "price", "options_price", "version_price", "margin", "margin_option", "entity_margin_version",
     "net_revenue", "storage_cost",
 )
+# A sum of zero means that nothing was booked, but for these.
+ZERO_COUNTS = ("storage_cost",)
 # Attributes of single promotion rows, which have no meaning for a whole vehicle.
 PROMOTION_COLUMNS = ("operation_code", "operation_label", "heading_code", "heading_label", "promo_cost")
 # Measures before adjustment and parts of margins that no vehicle report shows.
@@ -37,11 +39,11 @@ def vehicle_rollup(
 ) -> DataFrame:
     """Sums of all sales of a vehicle next to the attributes of its earliest sale.
 
-    Totals of zero become NULL. Both are computed by one aggregation, so the fact
-    is shuffled once and reduced before.
+    Totals of zero become NULL, but for those in ``ZERO_COUNTS``. Both are computed by one
+    aggregation, so the fact is shuffled once and reduced before.
     """
     rolled = roll_up(sales, keys, totals(sales, measures), attributes, order, tiebreak)
-    return rolled.withColumns({m: zero_to_null(m) for m in measures})
+    return rolled.withColumns({m: zero_to_null(m) for m in measures if m not in ZERO_COUNTS})
 
 
 def price_list(vehicles: DataFrame, margins: DataFrame, key: str = "margin_key") -> DataFrame:

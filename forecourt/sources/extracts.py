@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from forecourt.operators.schema import TableSpec, clean_headers, conform, quoted
 FORMAT = {"sep": ";", "header": "true", "encoding": "iso-8859-1"}
 # Lines end with a line feed, so a stray carriage return stays inside its field.
 MULTILINE = {"multiLine": "true", "lineSep": "\n"}
+HEADER_READERS = 16
 
 
 def read_extract(
@@ -65,12 +67,15 @@ def read_extract_set(
     """All extracts with a name prefix as one frame, tagged with their country.
 
     Departments change headers over time, so files are grouped by header and each
-    group is one scan.
+    group is one scan. Headers are read several at a time.
     """
     options = FORMAT | (MULTILINE if multiline else {})
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in find_extracts(spark, folder, prefix):
-        groups.setdefault(tuple(spark.read.options(**options).csv(path).columns), []).append(path)
+    paths = find_extracts(spark, folder, prefix)
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        headers = list(pool.map(lambda path: tuple(spark.read.options(**options).csv(path).columns), paths))
+    for path, header in zip(paths, headers, strict=True):
+        groups.setdefault(header, []).append(path)
     if not groups:
         raise FileNotFoundError(f"no extract {prefix}* in {folder}")
     constants = {"country": country} if country is not None else None

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forecourt.operators.filters import restrict
 
@@ -27,21 +30,56 @@ def write_zone(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     sort_within: Sequence[str] = (),
+    only: Sequence[Mapping[str, object]] = (),
 ) -> None:
     """Write a zone table.
 
-    Overwriting replaces the partitions that occur in the frame and no others. Rows
-    are gathered by partition so that each gets few files; the rebalancing splits
-    a partition that holds much of the data over many tasks.
+    Overwriting replaces the whole table. With ``only``, a list of partition values, it replaces these
+    partitions and no others: rows outside are left out, and a partition that no longer has rows vanishes.
+    Rows are gathered by partition so that each gets few files; the rebalancing splits a
+    partition that holds much of the data over many tasks.
     """
+    covered = [{c: v for c, v in values.items() if c in partition_by} for values in only]
+    if mode == "overwrite" and covered and all(covered):
+        inside = (reduce(Column.__and__, (F.col(c) == v for c, v in values.items())) for values in covered)
+        df = df.filter(reduce(Column.__or__, inside))
+        for values in covered:
+            _remove(df.sparkSession, path, partition_by, values)
+        mode = "append"
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*partition_by, *sort_within)
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     writer.parquet(path)
+    if partition_by and not _readable(df.sparkSession, path):
+        # A table without rows has no partitions; one empty file still tells its columns.
+        kinds = dict(df.dtypes)
+        hollow = "/".join(f"{c}={'none' if kinds[c] == 'string' else 0}" for c in partition_by)
+        empty = df.sparkSession.createDataFrame([], df.drop(*partition_by).schema)
+        empty.write.mode("overwrite").parquet(f"{path}/{hollow}")
+
+
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def _remove(spark: SparkSession, path: str, partition_by: Sequence[str], values: Mapping[str, object]) -> None:
+    """Delete the folders of some partition values, whatever the other columns above them."""
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    depth = max(partition_by.index(c) for c in values) + 1
+    parts = [f"{c}={escape(str(values[c])) if c in values else '*'}" for c in partition_by[:depth]]
+    folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *parts]))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(folder) or []:
+        files.delete(found.getPath(), True)
 
 
 def land(spark: SparkSession, tables: Mapping[str, Sequence[str]], src: str, dst: str) -> None:

@@ -277,18 +277,37 @@ def test_calendar_of(frame):
 
 
 def test_extract_chain(frame):
-    base = frame([(1, date(2018, 12, 16), "B"), (2, date(2018, 12, 15), "B"), (3, date(2018, 12, 17), "#")], "vin int, d date, version string")
+    base = frame([(1, date(2021, 5, 9), "B"), (2, date(2021, 5, 7), "B"), (3, date(2021, 5, 10), "-")], "vin int, d date, version string")
     parts = frame([(1, "p1", 10)], "vin int, part string, code int")
     codes = frame([(10, "c10")], "code int, name string")
     out = extract(
-        base, [(parts, "vin"), (codes, "code")], ["vin", "part", "name"], {"version": ["#"]}, True, "d", date(2018, 12, 17), 1
+        base, [(parts, "vin"), (codes, "code")], ["vin", "part", "name"], {"version": ["-"]}, True, "d", date(2021, 5, 11), 3
     )
     assert rows(out) == [(1, "p1", "c10")]
-    kept = extract(base, [(parts, "vin"), (codes, "code")], ["vin", "name"], {"version": ["#"]})
+    kept = extract(base, [(parts, "vin"), (codes, "code")], ["vin", "name"], {"version": ["-"]})
     assert rows(kept) == [(3, None)]
     assert extract(base).columns == base.columns
 
 
+def test_extract_joins_only_for_columns(frame):
+    base = frame([(1, "x")], "vin int, label string")
+    twice = frame([(1, "a"), (1, "b")], "vin int, part string")
+    assert rows(extract(base, [(twice, "vin")])) == [(1, "x")]
+    with pytest.raises(ValueError, match="label"):
+        extract(base, [(base, "vin")], ["vin", "label"])
+
+
+def test_totals_are_exact(frame):
+    """Decimals are summed without rounding; doubles are summed as they are."""
+    small = frame([("0.000040",)] * 3 + [("1.123456",)] * 2, "t string").select(F.col("t").cast("decimal(28,6)").alias("m"))
+    assert small.agg(aggregates.totals(small, ["m"])["m"].alias("m")).first().m == 2.247032
+    large = frame([(1e15,), (1.0,)], "m double")
+    assert large.agg(aggregates.totals(large, ["m"])["m"].alias("m")).first().m == 1e15 + 1
+    odd = frame([(float("nan"),), (1.0,)], "m double")
+    assert odd.agg(aggregates.totals(odd, ["m"])["m"].alias("m")).first().m != 0
+    assert str(odd.agg(aggregates.totals(odd, ["m"])["m"].alias("m")).first().m) == "nan"
+
+
 def test_windows():
     assert list(month_windows(date(2019, 11, 5), 3)) == [
         (date(2019, 11, 1), date(2019, 11, 30)), (date(2019, 12, 1), date(2019, 12, 31)), (date(2020, 1, 1), date(2020, 1, 31)),

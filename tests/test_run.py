@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 
 from forecourt.__main__ import arguments
 from forecourt.plans import layouts, publication
-from forecourt.plans.run import Settings, requests, run
+from forecourt.plans.run import Settings, in_months, needed, requests, run
 from forecourt.sources.zones import read_zone, write_zone
 from tests.conftest import rows
 
@@ -126,6 +127,7 @@ def settings_of(delivered, tmp_path):
         database="jdbc:none",
         issuer="G",
         brand_names={"MAKE": "AP"},
+        historical=True,
     )
 
 
@@ -168,32 +170,81 @@ def test_everything(spark, settings_of, monkeypatch):
     assert "vehicle_sales" not in published and len(published) == 14
     assert all(len(r.vehicle) == 64 for r in published["cost_rows"].collect())
     images = spark.read.parquet(f"{settings_of.root}/historical/sales/image_as_of=2020-04-01_00-00-00/facts")
-    assert images.count() == 6
+    assert images.count() == 5
 
 
 def test_one_table_one_country(spark, settings_of):
     run(spark, settings_of, to_zone="refined", window=WINDOW)
     before = read_zone(spark, f"{settings_of.root}/refined/vehicle_cost").filter("country = 'Spain'").collect()
     done = run(spark, settings_of, "vehicle_cost", "raw", "refined", WINDOW, country="FR", brand="AP")
-    assert done == [
-        ("standard", "registrations"), ("standard", "sales"), ("standard", "offers"),
-        ("refined", "vehicle_sales"), ("refined", "offers"), ("refined", "vehicle_cost"),
-    ]
+    assert [table for zone, table in done if zone == "refined"] == ["tax_rates", "vehicle_sales", "offers", "vehicle_cost"][1:]
+    assert {"registrations", "sales", "offers", "margins", "channels", "families", "tax_rates"} <= {t for z, t in done if z == "standard"}
     after = read_zone(spark, f"{settings_of.root}/refined/vehicle_cost")
     assert after.filter("country = 'Spain'").collect() == before
     assert after.count() == 2
 
 
+@pytest.mark.parametrize("name", ["vehicle_cost", "promo_reference", "offers", "budget", "sales"])
+def test_every_request_runs_alone(spark, settings_of, name):
+    """From an empty root to the refined zone, whatever the mart."""
+    done = run(spark, settings_of, name, "source", "refined", WINDOW, now=datetime(2020, 4, 1))
+    assert done and all(read_zone(spark, f"{settings_of.root}/{z}/{t}").columns for z, t in done if z != "raw")
+
+
+def test_requests_name_what_they_rest_on():
+    assert needed("promo_reference") >= {"raw.sales", "standard.channel_types", "standard.margins", "refined.cost_rows"}
+    assert needed("budget") == {"standard.budget", "standard.families", "standard.channels", "refined.budget"}
+    for name in requests():
+        assert needed(name)
+
+
+def test_later_run_replaces_the_tables(spark, settings_of):
+    """Rows of an earlier window don't stay behind, also if the new window has none."""
+    empty = (date(2018, 1, 1), date(2018, 1, 31))
+    run(spark, settings_of, "vehicle_cost", "source", "refined", WINDOW, now=datetime(2020, 4, 1))
+    cost = lambda: read_zone(spark, f"{settings_of.root}/refined/vehicle_cost")
+    assert cost().count() == 2
+    run(spark, settings_of, "vehicle_cost", "source", "refined", empty, country="ES", now=datetime(2020, 4, 2))
+    assert rows(cost(), "country") == [("France",)]
+    run(spark, settings_of, "vehicle_cost", "source", "refined", empty, now=datetime(2020, 4, 3))
+    assert cost().count() == 0
+
+
+def test_professions_under_other_headers(spark, settings_of, delivered, tmp_path):
+    source = tmp_path / "systems"
+    registration(spark, str(source))
+    folder = f"{source}/registration/professions"
+    renamed = [("10", "Smith")]
+    write_zone(spark.createDataFrame(renamed, "CODPROF string, LIBPROF string"), folder)
+    settings = replace(settings_of, source=str(source), profession_headers=("CODPROF", "LIBPROF"))
+    run(spark, settings, "registrations", "source", "standard", WINDOW)
+    found = read_zone(spark, f"{settings.root}/standard/registrations")
+    assert "Smith" in {r.profession_label for r in found.collect()}
+
+
+def test_facts_are_landed_by_month(spark, settings_of):
+    run(spark, settings_of, "sales", "source", "raw", (date(2020, 2, 10), date(2020, 2, 12)))
+    landed = spark.read.parquet(f"{settings_of.root}/raw/sales/facts")
+    assert {(r.year, r.month) for r in landed.collect()} == {(2020, 2)}
+    run(spark, settings_of, "sales", "source", "raw", (date(2020, 12, 1), date(2020, 12, 1)), months=2)
+    assert {(r.year, r.month) for r in spark.read.parquet(f"{settings_of.root}/raw/sales/facts").collect()} == {(2020, 2), (2021, 1)}
+    pruned = spark.read.parquet(f"{settings_of.root}/raw/sales/facts").filter(in_months(WINDOW))
+    assert "PartitionFilters: [isnotnull" in pruned._jdf.queryExecution().toString()
+
+
 def test_command_line(tmp_path, capsys):
     file = tmp_path / "settings.json"
     file.write_text(json.dumps({"root": "r", "source": "s", "extracts": "e", "brands": ["AP"]}))
     given = arguments(
-        ["--settings", str(file), "--table", "offers", "--to-zone", "refined", "--country", "FR", "--no-image"]
+        ["--settings", str(file), "--table", "offers", "--to-zone", "refined", "--country", "FR"]
         + ["--from-date", "01/02/2020", "--to-date", "29/02/2020"]
     )
     assert given["window"] == (date(2020, 2, 1), date(2020, 2, 29))
     assert (given["table"], given["from_zone"], given["country"], given["brand"]) == ("offers", "source", "FR", None)
-    assert given["settings"].historical is False and given["settings"].brands == ["AP"]
+    assert given["settings"].historical is False and given["months"] is None
+    filled = arguments(["--settings", str(file), "--to-zone", "raw", "--from-date", "01/02/2020", "--months", "3", "--image"])
+    assert filled["months"] == 3 and filled["window"][0] == date(2020, 2, 1) and filled["settings"].historical
+    assert given["settings"].brands == ["AP"]
     assert arguments(["--settings", str(file), "--to-zone", "raw"])["window"] is None
     with pytest.raises(SystemExit):
         arguments(["--settings", str(file), "--to-zone", "raw", "--to-date", "29/02/2020"])

@@ -59,11 +59,19 @@ def test_export_csv(spark, frame, tmp_path):
     assert rows(spark.read.csv(str(tmp_path / "out"), header=True)) == [("a", "1")]
 
 
-def test_overwrite_replaces_only_written_partitions(spark, frame, tmp_path):
+def test_overwrite_replaces_what_it_covers(spark, frame, tmp_path):
     path, kind = str(tmp_path / "zone"), "v int, country string, brand string"
     write_zone(frame([(1, "F", "A"), (2, "F", "B"), (3, "G", "A")], kind), path, ("country", "brand"))
+    write_zone(frame([(4, "F", "C"), (5, "H", "A")], kind), path, ("country", "brand"), only=[{"country": "F"}])
+    assert rows(read_zone(spark, path), "v", "country", "brand") == [(3, "G", "A"), (4, "F", "C")]
+    write_zone(frame([(6, "H", "A"), (7, "H", "B")], kind), path, ("country", "brand"), only=[{"brand": "A"}])
+    assert rows(read_zone(spark, path), "v", "country", "brand") == [(4, "F", "C"), (6, "H", "A")]
+    write_zone(frame([], kind), path, ("country", "brand"), only=[{"country": "H", "brand": "A"}])
+    assert rows(read_zone(spark, path), "v", "country", "brand") == [(4, "F", "C")]
+    write_zone(frame([], kind), path, ("country", "brand"))
+    assert rows(read_zone(spark, path)) == []
     write_zone(frame([(9, "F", "A")], kind), path, ("country", "brand"), sort_within=("v",))
-    assert rows(read_zone(spark, path), "v", "country", "brand") == [(2, "F", "B"), (3, "G", "A"), (9, "F", "A")]
+    assert rows(read_zone(spark, path), "v", "country", "brand") == [(9, "F", "A")]
     write_zone(frame([(8, "F", "A")], kind), path, ("country", "brand"), mode="append")
     assert rows(read_zone(spark, path, "F", "A"), "v", "country", "brand") == [(8, "F", "A"), (9, "F", "A")]
     plan = read_zone(spark, path, brand="B")._jdf.queryExecution().executedPlan().toString()
@@ -99,6 +107,8 @@ def test_backfill_month_by_month(spark, frame, tmp_path):
     assert read_zone(spark, path).count() == 6
     backfill(lambda w: mart(w).withColumn("v", F.lit(0)), path, date(2020, 2, 1), 1)
     assert rows(read_zone(spark, path).groupBy("month").agg(F.sum("v"))) == [(1, 2), (2, 0), (3, 6)]
+    backfill(lambda w: mart(w).filter("month <> 2"), path, date(2020, 1, 1), 2)
+    assert rows(read_zone(spark, path).groupBy("month").agg(F.sum("v"))) == [(1, 2), (3, 6)]
 
 
 class Recorder:

@@ -18,7 +18,7 @@ from forecourt.plans.offers import offers
 from forecourt.plans.promo_reference import classify_category, promo_reference, unflagged_operations
 from forecourt.plans.references import channels, families, tax_rates
 from forecourt.plans.registrations import registrations
-from forecourt.plans.sales import Dimension, SalesModel, sales, sales_wide
+from forecourt.plans.sales import Dimension, SalesModel, in_zone, sales, sales_wide
 from forecourt.plans.vehicle_cost import vehicle_cost
 from forecourt.plans.vehicle_sales import price_list, vehicle_sales
 from workload import roles
@@ -49,7 +49,7 @@ COST_COLUMNS = (
           when coalesce(abs(o.discount_before_tax) > 0 and o.trade_in_aid > 0 and o.repurchase_before_tax > 0, false)
           then 1 else 0 end as discount_with_trade_in
       from vehicles v left join registered r on r.vehicle = v.vehicle and r.country = v.country
-      left join offered o on o.vehicle = v.vehicle and o.country = v.country
+      left join offered o on o.vehicle = v.vehicle and o.country = v.country and o.priority <> '4-NOT SPECIFIED'
       left join tax t on t.country = v.country),
     a as (select *, order_date - production_date as age from w)
     select vehicle, country, brand, line_no, part_key, cast(price as double) as price, cast(volume as double) as volume,
@@ -69,7 +69,7 @@ COST_COLUMNS = (
 def vehicle_costs(t: Tables) -> DataFrame:
     """Flagship: every sold vehicle with registration, latest offer, taxes and flags."""
     tax = tax_rates(roles.tax(t))
-    bids = offers(roles.offer_union(t), tax, roles.OFFER_AMOUNTS)
+    bids = offers(roles.offer_union(t, reduced=True), tax, roles.OFFER_AMOUNTS)
     mart = vehicle_cost(roles.rolled_vehicles(t), roles.registrations(t), bids, tax, roles.EXEMPT)
     dates = {c: iso(c) for c in ("sale_date", "order_date", "production_date")}
     return mart.withColumns(dates).select(*COST_COLUMNS)
@@ -93,12 +93,16 @@ OFFER_COLUMNS = (
       conversion_bonus / (1 + tax_rate) as conversion_bonus_before_tax,
       trade_in_aid / (1 + tax_rate) as trade_in_aid_before_tax,
       abs(discount_before_tax) + (trade_in_aid + conversion_bonus) / (1 + tax_rate) as dealer_margin
-    from offered left join tax using (country)""",
+    from (
+      select *, row_number() over (partition by vehicle order by order_date desc nulls last) as rn from (
+        select * from offered
+        union all select * replace (order_date - 7 as order_date, -1.0 as total_discount) from offered where k % 2 = 0))
+    left join tax using (country) where rn = 1""",
     ("offered", "tax"),
 )
 def latest_offers(t: Tables) -> DataFrame:
-    """Offer mart from two layouts."""
-    mart = offers(roles.offer_union(t), tax_rates(roles.tax(t)), roles.OFFER_AMOUNTS)
+    """Offer mart from two layouts; every second vehicle has two offers."""
+    mart = offers(roles.offer_union(t, again=True), tax_rates(roles.tax(t)), roles.OFFER_AMOUNTS)
     return mart.select("vehicle", "country", iso("order_date").alias("order_date"), *OFFER_COLUMNS)
 
 
@@ -113,7 +117,7 @@ def latest_offers(t: Tables) -> DataFrame:
       cast(s.price as double) * (1 + cast(replace(g.margin, ',', '.') as double)) as list_price
     from (select f.*, f.country as c from firsts f) f
     join (select vehicle, country, nullif(price, 0) as price, nullif(volume, 0) as volume,
-      nullif(storage_cost, 0) as storage_cost from sums) s using (vehicle)
+      storage_cost from sums) s using (vehicle)
     left join m on m.k = c_mktsegment left join margins g on g.key = year(sale_date) || ' ' || f.c || ' ' || brand""",
     ("firsts", "sums", "margins"),
 )
@@ -212,7 +216,7 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
         return F.concat(head, F.left("o_orderpriority", F.lit(n)), F.lit(f"-{n}X")).alias(f"operation_{n}")
 
     sold = t.lineitem.join(order, F.col("l_orderkey") == key).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    lines = sold.filter("o_orderstatus <> 'P'").select(
+    lines = sold.select(
         roles.vehicle_id("o_orderkey").alias("vehicle"),
         F.col("c_nationkey").alias("affiliate"),
         key.alias("order_no"),
@@ -304,8 +308,7 @@ REGISTRATION_SQL = f""", b as (
       select *, cast(o_orderdate as date) as placed, cast(l_shipdate as date) as shipped,
         cast(substr(p_brand, 7) as integer) as number
       from lineitem join order_country on o_orderkey = l_orderkey join part on p_partkey = l_partkey
-      where o_orderstatus <> 'P'
-        and cast(l_shipdate as date) between date '1996-01-01' and date '1999-12-31'),
+      where cast(l_shipdate as date) between date '1996-01-01' and date '1999-12-31'),
     prof as (
       select c_mktsegment as code, max('Profession ' || lpad(cast(c_nationkey as varchar), 2, '0')) as label
       from customer where c_mktsegment <> 'FURNITURE' group by 1),
@@ -390,6 +393,10 @@ SALES_MODEL = SalesModel(
         Dimension("client", {"zone_id": "zone_id", "id": "client_id"}),
         Dimension("delivered", {"id": "delivered_id"}, table="delivered_client", labelled=False),
         Dimension("vehicle", {"id": "vehicle_id"}, labelled=False),
+        in_zone("company"),
+        in_zone("minor_client_type"),
+        in_zone("subfamily"),
+        Dimension("major_client_type", {"id": "major_client_type_id"}),
     ),
     attributes=("sale_date", "order_date", "promo"),
     measures=roles.MEASURES,
@@ -414,13 +421,14 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
         F.col("o_custkey").alias("client_id"),
         F.col("l_suppkey").alias("delivered_id"),
         F.col("l_orderkey").alias("vehicle_id"),
+        (F.col("l_suppkey") % 5).alias("company_id"),
+        (F.col("o_custkey") % 5).alias("minor_client_type_id"),
+        (F.col("l_partkey") % 5).alias("subfamily_id"),
+        (F.col("l_linenumber") % 3).alias("major_client_type_id"),
         F.col("l_returnflag").alias("promo"),
         day("l_shipdate").alias("sale_date"),
         day("o_orderdate").alias("order_date"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("volume"),
-        roles.part_of("l_extendedprice", "l_discount").alias("promo_cost"),
-        roles.part_of("l_extendedprice", "l_tax").alias("storage_cost"),
+        *roles.amounts(),
     )
     region, nation, number = F.col("r_regionkey"), F.col("n_nationkey"), F.substring("p_brand", 7, 2).cast("int")
     halves = t.nation.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("parity"))
@@ -428,6 +436,12 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
     client_zone = F.col("c_nationkey") * 2 + F.col("c_custkey") % 2
     mapped = F.array(*(F.lit(b) for b in roles.BRANDS if b != "Brand#9"))
     codes = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("channel")
+    zoned = halves.select((nation * 2 + F.col("parity")).alias("zone_id"), "n_name", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("own"))
+
+    def in_each_zone(head: str) -> DataFrame:
+        code = F.concat(F.lit(head), text("zone_id"), F.lit("-"), text("own"))
+        return dimension(zoned, "own", code, F.concat(F.lit(head), "n_name"), F.col("zone_id"))
+
     kind = F.when(F.col("channel") == 3, "Other").when(F.col("channel") == 2, "Indirect").otherwise("Direct")
     return {
         "facts": facts,
@@ -448,6 +462,10 @@ def sales_tables(t: Tables) -> dict[str, DataFrame]:
         "client": dimension(t.customer, "c_custkey", "c_name", "c_mktsegment", client_zone.alias("zone_id")),
         "delivered_client": dimension(t.supplier, "s_suppkey", "s_name"),
         "vehicle": dimension(t.orders, "o_orderkey", roles.vehicle_id("o_orderkey")),
+        "company": in_each_zone("Y"),
+        "minor_client_type": in_each_zone("m"),
+        "subfamily": in_each_zone("s"),
+        "major_client_type": dimension(t.region, region, F.concat(F.lit("M"), text(region)), "r_name"),
         "channel_types": t.nation.select("n_nationkey", F.explode(mapped).alias("brand"))
         .select("*", codes)
         .select(
@@ -475,6 +493,11 @@ WIDE_SQL = """, f as (
         'R' || h.r_regionkey as heading_code, h.r_name as heading_label, 'O' || q.n_nationkey as operation_code,
         q.n_name as operation_label, 'K' || k.r_regionkey as channel_code, k.r_name as channel_label,
         c_name as client_code, c.c_mktsegment as client_label, s_name as delivered_code,
+        'Y' || (c_nationkey * 2 + o_custkey % 2) || '-' || (l_suppkey % 5) as company_code, 'Y' || country as company_label,
+        'm' || (c_nationkey * 2 + o_custkey % 2) || '-' || (o_custkey % 5) as minor_client_type_code,
+        'm' || country as minor_client_type_label,
+        's' || (c_nationkey * 2 + o_custkey % 2) || '-' || (l_partkey % 5) as subfamily_code, 's' || country as subfamily_label,
+        'M' || j.r_regionkey as major_client_type_code, j.r_name as major_client_type_label,
         'V' || lpad(cast(l_orderkey as varchar), 16, '0') as vehicle_code, c_nationkey as nk,
         cast(l_extendedprice as decimal(18,2)) as price, cast(l_quantity as decimal(18,2)) as volume,
         cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(18,2)) as promo_cost,
@@ -483,6 +506,7 @@ WIDE_SQL = """, f as (
       join (select c_custkey as ck, c_name from customer) on ck = o_custkey
       join supplier on s_suppkey = l_suppkey
       left join region h on h.r_regionkey = l_linenumber join region k on k.r_regionkey = l_linenumber % 5
+      join region j on j.r_regionkey = l_linenumber % 3
       left join nation q on q.n_nationkey = l_suppkey % 30
       where l_returnflag <> 'R' and c_nationkey < 20
         and cast(l_shipdate as date) between date '1996-01-01' and date '1999-12-31'),

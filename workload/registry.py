@@ -43,7 +43,7 @@ CTES = {
     "vehicles": """
         select f.vehicle, f.country, f.brand, f.sale_date, f.line_no, f.part_key, nullif(s.price, 0) as price,
           nullif(s.volume, 0) as volume, nullif(s.promo_cost, 0) as promo_cost,
-          nullif(s.storage_cost, 0) as storage_cost
+          s.storage_cost
         from firsts f join sums s on s.vehicle = f.vehicle and s.country = f.country""",
     "tax": """
         select n_name as country, cast('0.' || lpad(cast(n_nationkey as varchar), 2, '0') as double) as tax_rate
@@ -69,8 +69,9 @@ CTES = {
             then cast(o_orderkey % 40 as double) end as trade_in_valuation,
           cast(-(o_orderkey % 1000) as double) as total_discount,
           cast(-(o_orderkey % 900) as double) as discount_before_tax,
-          case when o_orderkey % 2 = 1 then cast(o_orderkey % 700 as double) end as repurchase_before_tax
-        from order_country where o_orderpriority <> '4-NOT SPECIFIED'""",
+          case when o_orderkey % 2 = 1 then cast(o_orderkey % 700 as double) end as repurchase_before_tax,
+          o_orderpriority as priority
+        from order_country""",
     "priced": """
         select v.*, cast(replace(m.margin, ',', '.') as double) as fixed_margin,
           cast(v.price as double) * (1 + cast(replace(m.margin, ',', '.') as double)) as list_price

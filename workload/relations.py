@@ -96,7 +96,7 @@ def role_playing(t: Tables) -> DataFrame:
     names = t.nation.select("n_nationkey", F.col("n_name").alias("name"))
     customers, suppliers = t.customer.select("c_custkey", "c_nationkey"), t.supplier.select("s_suppkey", "s_nationkey")
     wide = attach(
-        t.lineitem.select("l_orderkey", "l_suppkey", F.col("l_extendedprice").alias("price")),
+        t.lineitem.select("l_orderkey", "l_suppkey", roles.money("l_extendedprice").alias("price")),
         [
             DimSpec(suppliers, {"s_suppkey": "l_suppkey"}),
             DimSpec(t.orders.select("o_orderkey", "o_custkey"), {"o_orderkey": "l_orderkey"}),
@@ -109,6 +109,22 @@ def role_playing(t: Tables) -> DataFrame:
     return summarise(wide, ["ordering_name", "delivered_name"], measures)
 
 
+@query(
+    "q_hot_lines",
+    """select k, status, flag from (select o_orderkey as k, o_orderstatus as status from orders
+        union all select 0, 'H' from region where r_regionkey = 0)
+      left join (select case when l_orderkey % 3 = 0 then 0 else l_orderkey end as k, l_returnflag as flag from lineitem)
+      using (k)""",
+)
+def hot_lines(t: Tables) -> DataFrame:
+    """A dimension with several lines per key, a third of them for one key and many of them equal."""
+    key = F.col("l_orderkey")
+    lines = t.lineitem.select(F.when(key % 3 == 0, 0).otherwise(key).alias("k"), F.col("l_returnflag").alias("flag"))
+    one = t.region.filter("r_regionkey = 0").select(F.lit(0).cast("long").alias("k"), F.lit("H").alias("status"))
+    vehicles = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status")).union(one)
+    return attach(vehicles, [DimSpec(lines, ["k"], "left", many=True)])
+
+
 @query(
     "q_full_outer",
     """with a as (
@@ -134,7 +150,7 @@ def full_outer(t: Tables) -> DataFrame:
         F.col("o_orderstatus").alias("registered_usage"),
         "o_orderpriority",
     )
-    lines = t.lineitem.withColumnsRenamed({"l_orderkey": "k", "l_quantity": "volume"})
+    lines = t.lineitem.withColumnRenamed("l_orderkey", "k").withColumn("volume", roles.money("l_quantity"))
     extremes = {"sold_date": F.min(day("l_shipdate")), "sold_usage": F.max("l_returnflag")}
     sold = summarise(lines, ["k"], extremes | totals(lines, ["volume"]))
     both = merge_sources(
@@ -194,7 +210,8 @@ def latest_event(t: Tables) -> DataFrame:
 def first_per_operation(t: Tables) -> DataFrame:
     """First row per vehicle and operation."""
     rows = roles.lines(t).select("order_key", "operation", "line_no", "part_key", "supp_key", "price")
-    return keep_first(rows, ["order_key", "operation"], tiebreak=roles.TIEBREAK)
+    first = keep_first(rows, ["order_key", "operation"], tiebreak=roles.TIEBREAK)
+    return first.withColumn("price", F.col("price").cast("double"))
 
 
 @query(

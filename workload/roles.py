@@ -44,9 +44,20 @@ def printed(c: str) -> Column:
     return text(F.col(c).cast("decimal(12,2)"))
 
 
-def part_of(c: str, share: str) -> Column:
-    """A share of an amount; both have two decimals, so the product has four."""
-    return F.rint(F.col(c) * F.col(share) * 10000) / 10000
+def money(c: str) -> Column:
+    """An amount as the decimal it is in the source system."""
+    return F.col(c).cast("decimal(18,2)")
+
+
+def amounts() -> list[Column]:
+    """The measures of a line item; products of two amounts have four decimals."""
+    price = money("l_extendedprice")
+    return [
+        price.alias("price"),
+        money("l_quantity").alias("volume"),
+        (price * money("l_discount")).alias("promo_cost"),
+        (price * money("l_tax")).alias("storage_cost"),
+    ]
 
 
 def day(c: str) -> Column:
@@ -75,10 +86,7 @@ def lines(t: Tables) -> DataFrame:
         day("l_shipdate").alias("sale_date"),
         F.col("l_returnflag").alias("flag"),
         F.concat("l_returnflag", "l_linestatus").alias("operation"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("volume"),
-        part_of("l_extendedprice", "l_discount").alias("promo_cost"),
-        part_of("l_extendedprice", "l_tax").alias("storage_cost"),
+        *amounts(),
     )
 
 
@@ -178,9 +186,18 @@ def comma(c: Column) -> Column:
     return F.concat(F.translate(text(c), ".", ","), F.lit(" EUR"))
 
 
-def offer_texts(t: Tables) -> DataFrame:
-    """Offers of orders with a priority; amounts and dates are text."""
+def offer_texts(t: Tables, reduced: bool = False, again: bool = False) -> DataFrame:
+    """Offers of all orders; amounts and dates are text.
+
+    ``reduced`` leaves out the orders without a priority; ``again`` adds an earlier offer, with another
+    discount, to every second vehicle.
+    """
     key, placed = F.col("o_orderkey"), day("o_orderdate")
+    orders = order_country(t).filter("o_orderpriority <> '4-NOT SPECIFIED'") if reduced else order_country(t)
+    orders = orders.withColumn("discount", -(key % 1000))
+    if again:
+        earlier = {"o_orderdate": F.date_sub(placed, 7), "discount": F.lit(-1).cast("long")}
+        orders = orders.withColumn("o_orderdate", placed).unionByName(orders.filter(key % 2 == 0).withColumns(earlier))
     dates = (
         F.when(key % 4 == 0, F.date_format(placed, "yyyy-MM-dd"))
         .when(key % 4 == 1, F.date_format(placed, "yyyy MM dd"))
@@ -188,7 +205,7 @@ def offer_texts(t: Tables) -> DataFrame:
         .otherwise("n/a")
     )
     price = F.col("o_totalprice").cast("decimal(12,2)")
-    return order_country(t).filter("o_orderpriority <> '4-NOT SPECIFIED'").select(
+    return orders.select(
         "o_orderstatus",
         vehicle_id("o_orderkey").alias("vehicle"),
         "country",
@@ -201,7 +218,7 @@ def offer_texts(t: Tables) -> DataFrame:
         F.when(key % 5 == 0, "0").otherwise(comma(key % 500)).alias("conversion_bonus"),
         F.when(key % 2 == 0, "0").otherwise(comma(key % 300)).alias("trade_in_aid"),
         F.when(key % 8 != 0, comma(key % 40)).alias("trade_in_valuation"),
-        comma(-(key % 1000)).alias("total_discount"),
+        comma(F.col("discount")).alias("total_discount"),
         comma(-(key % 900)).alias("discount_before_tax"),
         F.when(key % 2 == 1, comma(key % 700)).otherwise("abc").alias("repurchase_before_tax"),
     )
@@ -217,9 +234,9 @@ LAYOUT_B = TableSpec(
 )
 
 
-def offer_extracts(t: Tables) -> Sequence[DataFrame]:
+def offer_extracts(t: Tables, **options: bool) -> Sequence[DataFrame]:
     """The two layouts as delivered."""
-    offers = offer_texts(t)
+    offers = offer_texts(t, **options)
     done, open_ = offers.filter("o_orderstatus = 'F'"), offers.filter("o_orderstatus <> 'F'")
     return (
         done.select(*(F.col(c).alias(f"{c} (A)") for c in OFFER_ORDER), F.lit("x").alias("unused")),
@@ -227,8 +244,8 @@ def offer_extracts(t: Tables) -> Sequence[DataFrame]:
     )
 
 
-def offer_union(t: Tables) -> DataFrame:
-    a, b = offer_extracts(t)
+def offer_union(t: Tables, **options: bool) -> DataFrame:
+    a, b = offer_extracts(t, **options)
     return union_all([conform(a, LAYOUT_A), conform(b, LAYOUT_B)])
 
 

@@ -216,8 +216,7 @@ def cleaned_headers(t: Tables) -> DataFrame:
           replace(cast(cast(o_totalprice as decimal(18,2)) as varchar), '.', ',') || ' EUR' end as final_price,
         case when o_orderkey % 8 <> 0 and o_orderstatus = 'F'
           then cast(o_orderkey % 40 as varchar) || ' EUR' end as trade_in_valuation
-      from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
-      where o_orderpriority <> '4-NOT SPECIFIED')""",
+      from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey)""",
 )
 def conform_union(t: Tables) -> DataFrame:
     """Two layouts brought to one schema and united."""
@@ -327,6 +326,7 @@ def list_prices(t: Tables) -> DataFrame:
     """Price plus agreed margin; NULL where none is agreed."""
     sold = roles.sale_lines(t).withColumn("margin_key", roles.margin_key())
     priced = price_list(sold, roles.margins(t))
+    priced = priced.withColumn("price", F.col("price").cast("double"))
     return priced.select("vehicle", "line_no", "part_key", "supp_key", "price", "fixed_margin", "list_price")
 
 
