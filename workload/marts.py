@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,7 @@ from workload.roles import Tables, day, text, two_digits
 COST_COLUMNS = (
     "vehicle", "country", "brand", "line_no", "part_key", *roles.MEASURES, "usage", "sale_date", "order_date",
     "production_date", "advantage_after_tax", "advantage_before_tax", "trade_in_aid_before_tax", "discount_only",
+    "major_client_type_label", "family_label", "segment_label", "fixed_margin", "list_price",
     "discount_with_trade_in", "usable", "vehicle_age", "stock_age", "age_bucket", "delivery_days",
 )
 
@@ -38,6 +40,10 @@ COST_COLUMNS = (
     "q_vehicle_cost",
     """, w as (
       select v.vehicle, v.country, v.brand, v.line_no, v.part_key, v.price, v.volume, v.promo_cost, v.storage_cost,
+        v.fixed_margin, v.list_price, cast(v.p_size as varchar) as segment_label,
+        case v.c_mktsegment when 'MACHINERY' then 'B2B' when 'HOUSEHOLD' then 'B2C' else v.c_mktsegment end
+          as major_client_type_label,
+        case v.p_type when 'ECONOMY' then 'Family 0' when 'LARGE' then 'Family 1' else v.p_type end as family_label,
         r.usage, coalesce(r.sale_date, v.sale_date) as sale_date, coalesce(r.order_date, o.order_date) as order_date,
         r.production_date, o.trade_in_aid as aid, o.trade_in_valuation as valuation,
         o.discount_before_tax as discount, o.repurchase_before_tax as repurchase, t.tax_rate,
@@ -48,12 +54,13 @@ COST_COLUMNS = (
         case when v.country = 'NATION_7' then 0
           when coalesce(abs(o.discount_before_tax) > 0 and o.trade_in_aid > 0 and o.repurchase_before_tax > 0, false)
           then 1 else 0 end as discount_with_trade_in
-      from vehicles v left join registered r on r.vehicle = v.vehicle and r.country = v.country
+      from priced v left join registered r on r.vehicle = v.vehicle and r.country = v.country
       left join offered o on o.vehicle = v.vehicle and o.country = v.country and o.priority <> '4-NOT SPECIFIED'
       left join tax t on t.country = v.country),
     a as (select *, order_date - production_date as age from w)
     select vehicle, country, brand, line_no, part_key, cast(price as double) as price, cast(volume as double) as volume,
       cast(promo_cost as double) as promo_cost, cast(storage_cost as double) as storage_cost, usage,
+      major_client_type_label, family_label, segment_label, fixed_margin, list_price,
       strftime(sale_date, '%Y-%m-%d') as sale_date, strftime(order_date, '%Y-%m-%d') as order_date,
       strftime(production_date, '%Y-%m-%d') as production_date,
       nullif(advantage, 0) as advantage_after_tax, nullif(advantage / (1 + tax_rate), 0) as advantage_before_tax,
@@ -64,13 +71,13 @@ COST_COLUMNS = (
         when age <= 180 then '[90;180[' when age > 180 then '>= 180' end as age_bucket,
       cast(sale_date - order_date as integer) as delivery_days
     from a""",
-    ("vehicles", "registered", "offered", "tax"),
+    ("priced", "registered", "offered", "tax"),
 )
 def vehicle_costs(t: Tables) -> DataFrame:
     """Flagship: every sold vehicle with registration, latest offer, taxes and flags."""
     tax = tax_rates(roles.tax(t))
     bids = offers(roles.offer_union(t, reduced=True), tax, roles.OFFER_AMOUNTS)
-    mart = vehicle_cost(roles.rolled_vehicles(t), roles.registrations(t), bids, tax, roles.EXEMPT)
+    mart = vehicle_cost(vehicle_mart(t, roles.MEASURES), roles.registrations(t), bids, tax, roles.EXEMPT)
     dates = {c: iso(c) for c in ("sale_date", "order_date", "production_date")}
     return mart.withColumns(dates).select(*COST_COLUMNS)
 
@@ -123,6 +130,12 @@ def latest_offers(t: Tables) -> DataFrame:
 )
 def sold_vehicles(t: Tables) -> DataFrame:
     """Vehicle sales with channel and family names, segment and list price."""
+    mart = vehicle_mart(t, ("price", "volume", "storage_cost"))
+    return mart.withColumn("sale_date", iso("sale_date")).drop("part_key", "supp_key")
+
+
+def vehicle_mart(t: Tables, measures: Sequence[str]) -> DataFrame:
+    """Vehicle sales over all lines."""
     sold = roles.sale_lines(t).select(
         "vehicle",
         "country",
@@ -135,23 +148,20 @@ def sold_vehicles(t: Tables) -> DataFrame:
         F.col("p_type").alias("family_label"),
         F.concat(F.lit("SEGMENT "), text("p_size")).alias("segment_label"),
         roles.margin_key().alias("margin_key"),
-        "price",
-        "volume",
-        "storage_cost",
+        *measures,
     )
     names = t.customer.select(F.col("c_mktsegment").alias("sales_name")).distinct()
     known = F.when(F.col("sales_name") == "MACHINERY", "B2B").when(F.col("sales_name") == "HOUSEHOLD", "B2C")
     kinds = t.part.select(F.col("p_type").alias("family_to_map")).distinct()
     family = F.when(F.col("family_to_map") == "ECONOMY", "Family 0").when(F.col("family_to_map") == "LARGE", "Family 1")
-    mart = vehicle_sales(
+    return vehicle_sales(
         sold,
         names.withColumn("channel", known),
         kinds.withColumn("family", family),
         roles.margins(t),
-        measures=["price", "volume", "storage_cost"],
+        measures=measures,
         tiebreak=["line_no", "part_key", "supp_key"],
     )
-    return mart.withColumn("sale_date", iso("sale_date")).drop("part_key", "supp_key")
 
 
 def vehicle_prices(t: Tables) -> DataFrame:

@@ -41,7 +41,8 @@ CTES = {
         select vehicle, country, sum(price) as price, sum(volume) as volume, sum(promo_cost) as promo_cost,
           sum(storage_cost) as storage_cost from sold group by vehicle, country""",
     "vehicles": """
-        select f.vehicle, f.country, f.brand, f.sale_date, f.line_no, f.part_key, nullif(s.price, 0) as price,
+        select f.vehicle, f.country, f.brand, f.sale_date, f.line_no, f.part_key, f.c_mktsegment, f.p_type, f.p_size,
+          nullif(s.price, 0) as price,
           nullif(s.volume, 0) as volume, nullif(s.promo_cost, 0) as promo_cost,
           s.storage_cost
         from firsts f join sums s on s.vehicle = f.vehicle and s.country = f.country""",
