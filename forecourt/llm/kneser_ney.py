@@ -129,30 +129,33 @@ def _gathered(batches: Iterator[pa.RecordBatch], count) -> Iterator[tuple[np.nda
         yield _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
+def _parcels(parts: np.ndarray, keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted keys and their counts as one row per part: a row for each key would cost Spark far more."""
+    cuts = np.flatnonzero(np.concatenate((np.ones(min(len(parts), 1), bool), parts[1:] != parts[:-1]))).tolist()
+    for a, b in zip(cuts, [*cuts[1:], len(parts)], strict=True):
+        row = [pa.array([int(parts[a])], pa.int32()), *[pa.array([x[a:b].tobytes()], pa.binary()) for x in (keys, values)]]
+        yield pa.RecordBatch.from_arrays(row, names=["part", "keys", "counts"])
+
+
 def _counted(texts: DataFrame, parts: int, count) -> DataFrame:
-    """Rows (part, key, n), dealt by part: one per key and gathering."""
+    """Keys and counts, dealt by part: each key once per gathering."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, counts in _gathered(batches, count):
-            for a in range(0, len(keys), 1 << 18):
-                own = keys[a : a + (1 << 18)]
-                columns = [pa.array(_part_of(own, parts)), pa.array(own.view(np.int64)), pa.array(counts[a : a + (1 << 18)].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["part", "key", "n"])
+            yield from _parcels(_part_of(keys, parts), keys.astype("<u8"), counts.astype("<u4"))
 
-    return texts.mapInArrow(run, "part int, key bigint, n bigint").repartitionById(parts, "part")
+    return texts.mapInArrow(run, "part int, keys binary, counts binary").repartitionById(parts, "part")
 
 
-def _by_part(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """All rows of each part in a task, added up by key. One part at a time in almost every task."""
+def _by_part(batches: Iterator[pa.RecordBatch], key_type: str, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """All keys of each part in a task, with ``width`` counts each, added up. Almost every task has one part."""
     held: dict[int, list] = {}
     for batch in batches:
-        part = batch.column("part").to_numpy()
-        key = batch.column("key").to_numpy().view(np.uint64)
-        values = np.column_stack([batch.column(c).to_numpy() for c in columns])
-        for p in np.unique(part).tolist():
-            held.setdefault(p, []).append((key[part == p], values[part == p]))
-    for p, rows in held.items():
-        yield p, *_summed(*(np.concatenate(x) for x in zip(*rows, strict=True)))
+        for part, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "counts")), strict=True):
+            values = np.frombuffer(counts, "<u4").reshape(-1, width).astype(np.int64)
+            held.setdefault(part, []).append((np.frombuffer(keys, key_type).astype(np.uint64), values))
+    for part, rows in held.items():
+        yield part, *_summed(*(np.concatenate(x) for x in zip(*rows, strict=True)))
 
 
 def _sizes(counts: np.ndarray) -> list[int]:
@@ -225,7 +228,7 @@ def train(docs: DataFrame, folder: str | None = None, parts: int | None = None)
 
     def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for part, keys, counts in _by_part(batches, ["n"]):
+        for part, keys, counts in _by_part(batches, "<u8", 1):
             _write(word_folder, part, key=keys, n=counts[:, 0])
             ends = int(counts[keys == _U(END)].sum())
             out.append((part, len(keys), int(counts.sum()), ends))
@@ -244,23 +247,25 @@ def train(docs: DataFrame, folder: str | None = None, parts: int | None = None)
         return mix((first << _U(32)) | second)
 
     def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, keys, counts in _by_part(batches, ["n"]):
+        for part, keys, counts in _by_part(batches, "<u8", 1):
             counts = counts[:, 0]
             _write(pair_folder, part, key=keys, n=counts.astype(np.float32))
-            yield _stats(unmix(keys), counts, part)
+            sizes = pa.array([[*_sizes(counts), len(counts)]], pa.list_(pa.int64()))
+            for parcel in _contexts_of(unmix(keys), counts):
+                yield parcel.append_column("sizes", sizes)
+                sizes = pa.array([None], pa.list_(pa.int64()))
 
-    shape = "part int, key bigint, one bigint, two bigint, more bigint, before bigint, sizes array<bigint>"
-
-    def _stats(pairs: np.ndarray, counts: np.ndarray, part: int) -> pa.RecordBatch:
+    def _contexts_of(pairs: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """For each word, how many pairs with counts 1, 2, 3 and more begin with it, and how many end with it."""
         first, second = pairs >> _U(32), pairs & _U(0xFFFFFFFF)
         kinds = np.column_stack([counts == 1, counts == 2, counts > 2, np.zeros(len(counts), bool)]).astype(np.int64)
         back = np.zeros((len(counts), 4), np.int64)
         back[:, 3] = 1
         keys, values = _summed(np.concatenate([first, second]), np.concatenate([kinds, back]))
-        sizes = [None] * (len(keys) - 1) + [[*_sizes(counts), len(counts)]]
         owner = np.minimum(keys, _U(vocabulary)) * _U(parts) // _U(vocabulary + 1)
-        columns = [pa.array(owner.astype(np.int32)), pa.array(keys.view(np.int64)), *[pa.array(values[:, k]) for k in range(4)]]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.list_(pa.int64()))], names=["part", "key", "one", "two", "more", "before", "sizes"])
+        yield from _parcels(owner.astype(np.int32), keys.astype("<u4"), values.astype("<u4"))
+
+    shape = "part int, keys binary, counts binary, sizes array<bigint>"
 
     def write_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes: list[list[int]] = []
@@ -271,7 +276,7 @@ def train(docs: DataFrame, folder: str | None = None, parts: int | None = None)
                 yield batch
 
         out = []
-        for part, keys, values in _by_part(watched(), ["one", "two", "more", "before"]):
+        for part, keys, values in _by_part(watched(), "<u4", 4):
             begin = keys == _U(UNKNOWN - 1)
             first = values[begin].sum(0)[:3].tolist() if begin.any() else [0, 0, 0]
             values = values[~begin]
