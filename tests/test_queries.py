@@ -22,4 +22,4 @@ def test_query(spark, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 1473
+    assert entry.entry(spark).count() == 1673

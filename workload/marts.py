@@ -58,7 +58,7 @@ COST_COLUMNS = (
       left join offered o on o.vehicle = v.vehicle and o.country = v.country and o.priority <> '4-NOT SPECIFIED'
       left join tax t on t.country = v.country),
     a as (select *, order_date - production_date as age from w)
-    select vehicle, country, brand, line_no, part_key, cast(price as double) as price, cast(volume as double) as volume,
+    select distinct vehicle, country, brand, line_no, part_key, cast(price as double) as price, cast(volume as double) as volume,
       cast(promo_cost as double) as promo_cost, cast(storage_cost as double) as storage_cost, usage,
       major_client_type_label, family_label, segment_label, fixed_margin, list_price,
       strftime(sale_date, '%Y-%m-%d') as sale_date, strftime(order_date, '%Y-%m-%d') as order_date,

@@ -54,8 +54,9 @@ CTES = {
           case when o_orderkey % 10 <> 0 then cast(o_orderdate as date) + 20 end as sale_date,
           case when o_orderkey % 6 <> 0 then cast(o_orderdate as date) end as order_date,
           o_orderpriority as usage,
-          cast(o_orderdate as date) - cast(o_orderkey % 400 - 50 as integer) as production_date
-        from order_country where o_orderstatus <> 'P'""",
+          cast(o_orderdate as date) - cast(o_orderkey % 400 - 50 as integer) - earlier as production_date
+        from order_country join (values (0, 1), (0, 7), (1, 5)) again(earlier, every) on o_orderkey % every = 0
+        where o_orderstatus <> 'P'""",
     "offered": """
         select 'V' || lpad(cast(o_orderkey as varchar), 16, '0') as vehicle, country, o_orderkey as k,
           case when o_orderkey % 4 <> 3 then cast(o_orderdate as date) end as order_date,

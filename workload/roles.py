@@ -160,16 +160,23 @@ def tax(t: Tables) -> DataFrame:
 
 
 def registrations(t: Tables) -> DataFrame:
-    """Registrations of all but pending orders, countries spelled the other system's way."""
+    """Registrations of all but pending orders, countries spelled the other system's way.
+
+    Some vehicles have the same line twice, and some a second line with another day of production.
+    """
     key = F.col("o_orderkey")
+    none = F.array().cast("array<int>")
+    again = F.when(key % 7 == 0, F.array(F.lit(0))).otherwise(none)
+    another = F.when(key % 5 == 0, F.array(F.lit(1))).otherwise(none)
+    earlier = F.explode(F.concat(F.array(F.lit(0)), again, another)).alias("earlier")
     labelled = t.nation.select(F.concat(F.lit("Pays "), F.col("n_name")).alias("label"), "n_name")
-    registered = order_country(t).filter("o_orderstatus <> 'P'").select(
+    registered = order_country(t).filter("o_orderstatus <> 'P'").select("*", earlier).select(
         vehicle_id("o_orderkey").alias("vehicle"),
         F.concat(F.lit("Pays "), F.col("country")).alias("country"),
         F.when(key % 10 != 0, F.date_add(day("o_orderdate"), 20)).alias("sale_date"),
         F.when(key % 6 != 0, day("o_orderdate")).alias("order_date"),
         F.col("o_orderpriority").alias("usage"),
-        F.date_sub(day("o_orderdate"), (key % 400 - 50).cast("int")).alias("production_date"),
+        F.date_sub(day("o_orderdate"), (key % 400 - 50).cast("int") + F.col("earlier")).alias("production_date"),
     )
     return recode_from(registered, "country", labelled, "label", "n_name")
 
