@@ -135,7 +135,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(docs, model).drop("perplexity")
 
 
-@query("op10_bayes_jaccard")
+OP10_SQL = r"""
+with recursive texts as (select row_number() over (order by min(doc_id), text) as t, text, min(doc_id) as rep, count(*) as n_copies
+  from documents where text is not null group by text),
+words as (select t, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from texts),
+shingles as (select distinct t, array_to_string(w[k:k + 4], ' ') as s
+  from (select t, w, unnest(range(1, greatest(len(w) - 3, 2))) as k from words where len(w) > 0)),
+sizes as (select t, count(*) as n from shingles group by t),
+shared as (select a.t as a, b.t as b, count(*) as n from shingles a join shingles b on a.s = b.s and a.t < b.t group by 1, 2),
+links as (select a, b from shared s join sizes x on x.t = a join sizes y on y.t = b where 5 * s.n >= 4 * (x.n + y.n - s.n)),
+edges as (select a, b from links union all select b, a from links),
+reach(t, r) as (select t, t from texts union select e.b, reach.r from reach join edges e on e.a = reach.t),
+classes as (select reach.t, min(x.rep) as class_id from reach join texts x on x.t = reach.r group by 1),
+degrees as (select a as t, count(*) as n_links from edges group by 1)
+select d.doc_id, coalesce(class_id, d.doc_id) as class_id, coalesce(n_links, 0) as n_links, coalesce(n_copies, 1) as n_copies
+from documents d left join texts x on x.text = d.text left join classes using (t) left join degrees using (t)"""
+
+
+@query("op10_bayes_jaccard", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document and the number of its links."""
     found = bayes_jaccard.near_duplicates(table(spark, sf_dir, "documents"))
