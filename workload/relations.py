@@ -112,7 +112,7 @@ def role_playing(t: Tables) -> DataFrame:
 @query(
     "q_hot_lines",
     """select k, status, flag from (select o_orderkey as k, o_orderstatus as status from orders
-        union all select 0, 'H' from region where r_regionkey = 0)
+        union all select r_regionkey, 'H' from region)
       left join (select case when l_orderkey % 3 = 0 then 0 else l_orderkey end as k, l_returnflag as flag from lineitem)
       using (k)""",
 )
@@ -120,8 +120,8 @@ def hot_lines(t: Tables) -> DataFrame:
     """A dimension with several lines per key, a third of them for one key and many of them equal."""
     key = F.col("l_orderkey")
     lines = t.lineitem.select(F.when(key % 3 == 0, 0).otherwise(key).alias("k"), F.col("l_returnflag").alias("flag"))
-    one = t.region.filter("r_regionkey = 0").select(F.lit(0).cast("long").alias("k"), F.lit("H").alias("status"))
-    vehicles = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status")).union(one)
+    more = t.region.select(F.col("r_regionkey").cast("long").alias("k"), F.lit("H").alias("status"))
+    vehicles = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status")).union(more)
     return attach(vehicles, [DimSpec(lines, ["k"], "left", many=True)])
 
 
