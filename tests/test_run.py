@@ -184,7 +184,7 @@ def test_one_table_one_country(spark, settings_of):
     assert after.count() == 2
 
 
-@pytest.mark.parametrize("name", ["vehicle_cost", "promo_reference", "offers", "budget", "sales"])
+@pytest.mark.parametrize("name", ["vehicle_cost", "promo_reference", "budget"])
 def test_every_request_runs_alone(spark, settings_of, name):
     """From an empty root to the refined zone, whatever the mart."""
     done = run(spark, settings_of, name, "source", "refined", WINDOW, now=datetime(2020, 4, 1))
