@@ -24,7 +24,7 @@ from forecourt.llm.tokens import LETTERS, encoded, mix, pieces, words
 
 PREFIXES = (4, 5, 6)
 FILTER_BITS = 20
-REJECT = 0.25  # texts whose grade is above 0 with a higher probability are toxic
+REJECT = 0.05  # texts whose grade is above 0 with a higher probability are toxic; most others are far below
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
