@@ -54,6 +54,7 @@ def tokenizer(path: str, pattern: str):
         vocab={show(token): rank for token, rank in ranks.items()},
         merges=[(show(a), show(b)) for a, b in merges(ranks)],
         ignore_merges=True,
+        cache_capacity=0,  # the library's cache of words costs more than merging them anew
     )
     found = Tokenizer(model)
     found.pre_tokenizer = pre_tokenizers.Sequence(
