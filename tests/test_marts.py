@@ -29,7 +29,7 @@ def test_rollup_sums_everything_and_shows_the_earliest(frame):
         "vehicle string, country string, sale_date date, label string, price double, storage_cost double",
     )
     out = vehicle_rollup(df, ["price", "storage_cost"], ["label"])
-    assert rows(out) == [("V", "F", "early", 12.0, None), ("V", "G", "g", None, 2.0)]
+    assert rows(out) == [("V", "F", "early", 12.0, 0.0), ("V", "G", "g", None, 2.0)]
 
 
 def test_vehicle_sales_names_and_prices(frame):
