@@ -13,15 +13,14 @@ nine words in common: a passage of 51 words holds at least one with a probabilit
 3. Linked documents are aligned with patience diff: lines that occur once in both are anchors where their
    order agrees, anchors grow word by word as far as the documents agree, and gaps between them are
    aligned in the same way.
-4. Blocks of enough words are deleted from the later document. The first document with a line keeps it,
+4. An earlier document with a line need not have the block around it, as among edited copies. So every window
+   of fifty words that has a part outside all blocks is looked up in all documents that are left, and is a
+   block if an earlier one has it. That is one row per window, however many documents share it.
+5. Blocks of enough words are deleted from the later document. The first document with a block keeps it,
    so nothing is lost from the corpus.
 
 Of the words of a text, one byte each travels along, with which blocks grow over the rest of a line
-that was cut off.
-
-A block is found if one of its lines links the two documents. An earlier document with more than fifty
-words around the same lines, but not with the block, can stand in between; the block then is found
-by its other lines.
+that was cut off, and by which windows are chosen; whether windows agree the words themselves decide.
 """
 
 from __future__ import annotations
@@ -37,12 +36,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import fingerprint, fresh, written
+from forecourt.llm.spaced_seeds import _probes, bit_table
 from forecourt.llm.tokens import Words, _power, combine, encoded, mix, pieces, segments, words
 
 WINDOW, FORCED = 4, 64  # words compared on either side of a cut; longest line
 LINE_WORDS, BLOCK_WORDS = 5, 50
 LAST = (1 << 63) - 1  # null ids come last
 
+BLOCKS = "rank bigint, print binary, first bigint, start bigint, end bigint"
+
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -116,43 +118,54 @@ def shared_lines(parts: DataFrame) -> DataFrame:
     return found.filter("first < last").drop("last")
 
 
-def in_long_runs(shared: np.ndarray, sizes: np.ndarray, least_line: int, least_words: int) -> np.ndarray:
-    """Which shared lines are in a run that a block of ``least_words`` words could be made of.
+def in_long_runs(shared: np.ndarray, sizes: np.ndarray, least_line: int, least_words: int) -> tuple[np.ndarray, list[int]]:
+    """Which shared lines are in a run that a block of ``least_words`` words could be made of, and the first word
+    and the word after the last of all such runs, with the lines at their ends.
 
     A run goes on over lines that are too short to be compared. At its ends, words outside the block decide how
     the last words inside are cut: one line there can lie in the block and yet differ, and of a second one a part.
     """
     open_ = shared | (sizes < least_line)
     out = np.zeros(len(sizes), bool)
+    places = np.concatenate(([0], np.cumsum(sizes)))
+    runs: list[int] = []
     for a, b in segments(open_):
-        if sizes[max(a - 2, 0) : b + 2].sum() >= least_words:
+        first, end = int(places[max(a - 2, 0)]), int(places[min(b + 2, len(sizes))])
+        if end - first >= least_words and shared[a:b].any():
             out[a:b] = shared[a:b]
-    return out
+            # runs that overlap are one
+            runs[-1:] = [end] if runs and first <= runs[-1] else [*runs[-1:], first, end]
+    return out, runs
 
 
 def candidates(texts: DataFrame, least_line: int, least_words: int) -> DataFrame:
-    """Texts with long runs of shared lines: starts and hashes of these lines, and a byte per word."""
+    """Texts with long runs of shared lines: starts and hashes of these lines, places of the runs and of those
+    in which earlier documents have all lines, and a byte per word."""
     parts = texts.select("rank", F.explode(F.array_distinct(_long_lines(least_line))).alias("line"))
-    shared = parts.join(shared_lines(parts).select("line"), "line").groupBy("rank").agg(F.collect_set("line").alias("shared"))
+    later = F.when(F.col("first") < F.col("rank"), F.col("line"))
+    shared = parts.join(shared_lines(parts), "line").groupBy("rank").agg(F.collect_set("line").alias("shared"), F.collect_set(later).alias("later"))
     joined = texts.join(shared, "rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, starts, lines = [], [], []
+            rows, starts, lines, spans, later = [], [], [], [], []
             for k in range(batch.num_rows):
                 own, sizes, known = (batch.column(c)[k].values.to_numpy() for c in ("lines", "sizes", "shared"))
                 found = np.isin(own, known) & (sizes >= least_line)
-                keep = in_long_runs(found, sizes, least_line, least_words)
+                keep, runs = in_long_runs(found, sizes, least_line, least_words)
                 if keep.any():
                     rows.append(k)
+                    spans.append(runs)
+                    known = batch.column("later")[k].values.to_numpy()
+                    later.append(in_long_runs(np.isin(own, known) & (sizes >= least_line), sizes, least_line, least_words)[1])
                     starts.append((np.cumsum(sizes) - sizes)[keep].astype(np.int32))
                     lines.append(own[keep])
             at = pa.array(rows, pa.int64())
             columns = [batch.column("rank").take(at), batch.column("print").take(at), pa.array(starts, pa.list_(pa.int32()))]
-            columns += [pa.array(lines, pa.list_(pa.int64())), batch.column("marks").take(at)]
-            yield pa.RecordBatch.from_arrays(columns, names=["rank", "print", "starts", "lines", "marks"])
+            columns += [pa.array(lines, pa.list_(pa.int64())), *[pa.array(c, pa.list_(pa.int32())) for c in (spans, later)], batch.column("marks").take(at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["rank", "print", "starts", "lines", "runs", "later", "marks"])
 
-    return joined.mapInArrow(run, "rank bigint, print binary, starts array<int>, lines array<bigint>, marks binary")
+    return joined.mapInArrow(run, "rank bigint, print binary, starts array<int>, lines array<bigint>, runs array<int>, later array<int>, marks binary")
 
 
 def _long_lines(least: int) -> Column:
@@ -246,6 +259,99 @@ def _agree(x: np.ndarray, y: np.ndarray) -> int:
     return int(different[0]) if len(different) else n
 
 
+def windows(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows of ``size`` words that begin at some places."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values.astype(np.uint64) + np.uint64(1)) * _power("up", len(values)), out=sums[1:])
+    return mix((sums[at + size] - sums[at]) * _power("down", len(sums))[at]).view(np.int64)
+
+
+def uncovered(count: int, spans: list[dict], at: np.ndarray, size: int) -> np.ndarray:
+    """Which windows have a word outside all spans, in a text of ``count`` words."""
+    steps = np.zeros(count + 1, np.int64)
+    for span in spans:
+        steps[span["start"]] += 1
+        steps[span["end"]] -= 1
+    bare = np.concatenate(([0], np.cumsum(np.cumsum(steps[:-1]) <= 0)))
+    return bare[at + size] > bare[at]
+
+
+def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
+    """Blocks of later texts that ``blocks`` leave over, from all windows of ``size`` words.
+
+    A window that isn't covered is linked to the first document that has it, covered there or not. The bytes of
+    the words choose windows that several documents seem to have; the words of ``plain`` decide. A bit table
+    of fixed size drops windows that nobody asks for before anything is shuffled; it never drops others.
+    """
+    spans = blocks.groupBy("rank", "print").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+    def found(batch: pa.RecordBatch, k: int, column: str) -> tuple[int, np.ndarray, np.ndarray]:
+        marks = np.frombuffer(batch.column("marks")[k].as_py(), np.uint8)
+        runs = batch.column(column)[k].values.to_numpy().reshape(-1, 2).tolist()
+        at = np.concatenate([np.arange(a, b - size + 1) for a, b in runs])
+        return len(marks), windows(marks, at, size), at
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [np.zeros(0, np.int64)]
+            for k, own in enumerate(batch.column("spans").to_pylist()):
+                count, hash_, at = found(batch, k, "later")
+                hashes.append(hash_[uncovered(count, own or [], at, size)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(hashes)))], names=["hash"])
+
+    # The first document with a line asks for none of its windows, or all copies would answer.
+    later = left.filter(F.size("later") > 0).select("rank", "print", "later", "marks")
+    asked = later.join(spans, ["rank", "print"], "left").mapInArrow(ask, "hash bigint")
+    shared = left.sparkSession.sparkContext.broadcast(np.packbits(bit_table(asked)))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(shared.value).view(bool)
+        for batch in batches:
+            rows, hashes, places = [], [], []
+            for k in range(batch.num_rows):
+                _, own, at = found(batch, k, "runs")
+                one, two = _probes(own.view(np.uint64))
+                hit = known[one] & known[two]
+                rows.append(np.full(int(hit.sum()), k))
+                hashes.append(own[hit])
+                places.append(at[hit].astype(np.int32))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                columns = [*[batch.column(c).take(at) for c in ("rank", "print")], *[pa.array(np.concatenate(c)) for c in (hashes, places)]]
+                yield pa.RecordBatch.from_arrays(columns, names=["rank", "print", "hash", "at"])
+
+    answers = written(left.select("rank", "print", "runs", "marks").mapInArrow(answer, "rank bigint, print binary, hash bigint, at int"))
+    alike = answers.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last").select("hash")
+    chosen = written(answers.join(alike, "hash").groupBy("rank", "print").agg(F.collect_set("at").alias("at")))
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            spelled = words(encoded(batch.column("text")))
+            for k in range(batch.num_rows):
+                at = np.sort(batch.column("at")[k].values.to_numpy())
+                hashes = windows(spelled.hash[spelled.first[k] : spelled.first[k + 1]], at, size)
+                own = [batch.column(c).take(pa.array(np.full(len(at), k))) for c in ("rank", "print")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(hashes), pa.array(at)], names=["rank", "print", "hash", "at"])
+
+    copies = plain.join(chosen, ["rank", "print"])
+    exact = written(copies.mapInArrow(spell, "rank bigint, print binary, hash bigint, at int"))
+    holders = exact.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last").drop("last")
+    hits = exact.join(holders, "hash").filter("first < rank").groupBy("rank", "print", "first").agg(F.collect_set("at").alias("at"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []
+            for k in range(batch.num_rows):
+                at = np.sort(batch.column("at")[k].values.to_numpy())
+                new = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1, [True])))
+                out += [(k, int(at[a]), int(at[b - 1]) + size) for a, b in zip(new[:-1], new[1:], strict=True)]
+            rows = pa.array([o[0] for o in out], pa.int64())
+            own = [pa.array([o[n] for o in out], pa.int64()) for n in (1, 2)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in ("rank", "print", "first")], *own], names=["rank", "print", "first", "start", "end"])
+
+    return hits.mapInArrow(merge, BLOCKS)
+
+
 def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WORDS) -> DataFrame:
     """Blocks to delete: ``rank`` (the id, nulls last), ``print`` of the later text, ``first``, the id of the
     earlier document, ``start`` and ``end`` (words of the later text).
@@ -280,7 +386,8 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WO
             spans = [pa.array([o[n] for o in out], pa.int64()) for n in (1, 2)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in ("rank", "print", "first")], *spans], names=["rank", "print", "first", "start", "end"])
 
-    return both.mapInArrow(run, "rank bigint, print binary, first bigint, start bigint, end bigint")
+    blocks = written(both.mapInArrow(run, BLOCKS))
+    return blocks.unionByName(by_windows(plain, left, blocks, least_words))
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
