@@ -1,7 +1,7 @@
 """Line deduplication by pairwise alignment.
 
-Passages are often pasted into the middle of a line, so physical lines are cut further, at places that
-the words themselves determine: after a word whose pair hash is smaller than those of four words on
+Passages are often pasted into the middle of a line, and lists, verse and tables have lines of few words, so texts are
+cut by their words alone: after a word whose pair hash is smaller than those of four words on
 either side. Equal passages are then cut alike wherever they stand, and hold whole lines of about
 nine words in common: a passage of 51 words holds at least one with a probability of 0.9999.
 
@@ -49,18 +49,12 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def line_starts(found: Words, texts: list[bytes]) -> np.ndarray:
-    """First words of all lines: after a newline, and where the pair hash of the words before is a strict minimum."""
+    """First words of all lines: of each text, and where the pair hash of the words before is a strict minimum."""
     n = len(found.hash)
     if not n:
         return np.zeros(0, np.int64)
     first = np.zeros(n, bool)
     first[found.first[:-1][np.diff(found.first) > 0]] = True
-    origin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    breaks = np.flatnonzero(data == 10)
-    begin = origin[found.text] + found.start
-    lines = np.searchsorted(breaks, begin)
-    first[1:] |= lines[1:] != lines[:-1]
     pair = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     pair[:-1] = combine([found.hash[:-1], found.hash[1:]], 7)
     least = np.ones(n, bool)

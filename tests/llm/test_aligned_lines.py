@@ -100,6 +100,15 @@ def test_edited_copies_lose_nothing(spark):
     assert total > 1000 and missed == 0
 
 
+def test_short_physical_lines(spark):
+    """A list of three words per line is found wherever it stands."""
+    words_of = prose(77, 180).split()
+    listed = "\n".join(" ".join(words_of[k : k + 3]) for k in range(0, 180, 3))
+    texts = [f"{prose(100 + k, 11 + k)}\n{listed}\n{prose(200 + k, 9)}" for k in range(12)]
+    missed, total = lost(texts, covers(documents(spark, texts), texts))
+    assert total == 11 * 130 and missed == 0
+
+
 def test_patience_keeps_the_order():
     a = "x a b c d y".split()
     b = "a b q c d z".split()
