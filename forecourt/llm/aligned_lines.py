@@ -39,7 +39,7 @@ from forecourt.llm.common import fingerprint, fresh, written
 from forecourt.llm.spaced_seeds import _probes, bit_table
 from forecourt.llm.tokens import Words, _power, combine, encoded, mix, pieces, segments, words
 
-WINDOW, FORCED = 4, 64  # words compared on either side of a cut; longest line
+WINDOW, FORCED, REPEATED = 4, 64, 8  # words compared on either side of a cut; longest line; least line of words that repeat
 LINE_WORDS, BLOCK_WORDS = 5, 50
 LAST = (1 << 63) - 1  # null ids come last
 
@@ -57,20 +57,32 @@ def line_starts(found: Words, texts: list[bytes]) -> np.ndarray:
     first[found.first[:-1][np.diff(found.first) > 0]] = True
     pair = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     pair[:-1] = combine([found.hash[:-1], found.hash[1:]], 7)
-    least = np.ones(n, bool)
+    least, tied = np.ones(n, bool), np.ones(n, bool)
     for d in range(1, WINDOW + 1):
         least[d:] &= pair[d:] < pair[:-d]
         least[:-d] &= pair[:-d] < pair[d:]
+        tied[d:] &= pair[d:] <= pair[:-d]
+        tied[:-d] &= pair[:-d] <= pair[d:]
         # neighbours must be in the same text; a cut near its ends would depend on what isn't there
-        least[d:] &= found.text[d:] == found.text[:-d]
-        least[:-d] &= found.text[:-d] == found.text[d:]
-    least[: WINDOW] = False
-    least[n - WINDOW :] = False
+        for flags in (least, tied):
+            flags[d:] &= found.text[d:] == found.text[:-d]
+            flags[:-d] &= found.text[:-d] == found.text[d:]
+    for flags in (least, tied):
+        flags[:WINDOW] = False
+        flags[n - WINDOW :] = False
     first[1:] |= least[:-1]
+    # Words that repeat have no strict minimum, but equal ones once in each period: every so many of these cut, from the
+    # first of them on, so that lines of one repetition are equal, wherever it is entered.
+    chain = np.flatnonzero(tied[:-1] & ~least[:-1]) + 1
+    before, new = -1, -1
+    for at in chain.tolist():
+        if before < 0 or at - before > WINDOW or found.text[at] != found.text[before] or at - new >= REPEATED:
+            first[at], new = True, at
+        before = at
     starts = np.flatnonzero(first)
     sizes = np.diff(np.concatenate((starts, [n])))
     long = np.flatnonzero(sizes > FORCED)
-    if len(long):  # words that repeat have no minimum
+    if len(long):  # hashes that rise or fall for so long have no minimum
         extra = [np.arange(starts[k] + FORCED, starts[k] + sizes[k], FORCED) for k in long.tolist()]
         starts = np.sort(np.concatenate([starts, *extra]))
     return starts

@@ -109,6 +109,20 @@ def test_short_physical_lines(spark):
     assert total == 11 * 130 and missed == 0
 
 
+def test_repeated_words(spark):
+    """Words that repeat are found at any offset and in any length, with other words around them or none."""
+    draw = random.Random(4)
+    texts = []
+    for k in range(24):
+        cycle = ["and", "and so", "a b c", "p q r s", "t u t v", "k k l k k m n"][k % 6].split()
+        turned = draw.randrange(len(cycle))
+        own = [cycle[(turned + j) % len(cycle)] for j in range(draw.randint(55, 400))]
+        around = [prose(300 + k, draw.randint(0, 40)), " ".join(own), prose(400 + k, draw.randint(0, 40))]
+        texts.append(" ".join(around) if k % 4 else " ".join(own))
+    missed, total = lost(texts, covers(documents(spark, texts), texts))
+    assert total > 500 and missed == 0
+
+
 def test_patience_keeps_the_order():
     a = "x a b c d y".split()
     b = "a b q c d z".split()
