@@ -2,8 +2,8 @@
 
 A mask names the words of a short window that count; the others may differ. Hashes of the named
 words of every window are joined between benchmark and training texts. A hit says which stretch of
-a document lies opposite which item; there the words are compared one by one, and the overlap is
-the stretch with the best balance of equal and different words.
+a document lies opposite which item; there the words are compared one by one, and an overlap is
+the union of all runs that are long enough and have four of five words equal.
 
 Only documents with a hit leave the scan. A bit table of the benchmark's hashes, of fixed size, drops
 windows that can't be hits before anything is shuffled; it never drops a hit. What is kept of a
@@ -141,6 +141,34 @@ def best_stretch(same: np.ndarray) -> tuple[int, int]:
     return int(np.flatnonzero(sums[: end + 1] == low[end])[0]), end
 
 
+def similar_runs(same: np.ndarray, least: int, free: tuple[bool, bool]) -> list[tuple[int, int]]:
+    """Unions of all runs of ``least`` words or more of which four of five are equal.
+
+    A run begins and ends with an equal word, or at an edge that is the item's own (``free``).
+    """
+    sums = np.concatenate(([0], np.cumsum(np.where(same, MATCH, -MISMATCH))))
+    begins, ends = np.flatnonzero(np.append(same, False)), np.flatnonzero(np.append(False, same))
+    if free[0]:
+        begins = np.union1d(begins, [0])
+    if free[1]:
+        ends = np.union1d(ends, [len(same)])
+    if not len(begins) or not len(ends):
+        return []
+    # the last end from which on no sum reaches that of the beginning
+    highest = np.maximum.accumulate(sums[ends][::-1])
+    last = np.searchsorted(highest, sums[begins], side="left")
+    known = last < len(ends)
+    begins, ends = begins[known], ends[::-1][last[known]]
+    out: list[tuple[int, int]] = []
+    for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
+        if b - a >= least:
+            if out and a <= out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]))
+            else:
+                out.append((a, b))
+    return out
+
+
 def verified(candidates: DataFrame, kind_doc: str, kind_item: str, least: int) -> DataFrame:
     """Overlaps of candidates: document stretch, item, and the shift between the two."""
 
@@ -153,9 +181,8 @@ def verified(candidates: DataFrame, kind_doc: str, kind_item: str, least: int) -
                 if high <= low:
                     continue
                 same = item[low:high] == doc[low + shift : high + shift]
-                a, b = best_stretch(same)
-                equal = int(same[a:b].sum())
-                if b - a >= min(least, len(item)) and equal:
+                for a, b in similar_runs(same, min(least, len(item)), (low == 0, high == len(item))):
+                    equal = int(same[a:b].sum())
                     rows.append((k, r["start"] + shift + low + a, r["start"] + shift + low + b, low + a, equal, equal / len(item)))
             at = pa.array([r[0] for r in rows], pa.int64())
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
@@ -180,7 +207,8 @@ def overlaps(
     """Overlaps of ``docs`` with ``items``, both with a column ``text``: one row per document, item and place.
 
     Columns: ``doc``, ``print`` (of the text), ``item``, word ranges, equal words, and their share of the
-    item. An overlap has ``least`` words, or a whole item that is shorter, and four of five agree. Words are
+    item. An overlap has ``least`` words, or a whole item that is shorter, and four of five agree; it begins and
+    ends with an equal word or at an end of the item, and several that touch are one. Words are
     runs of letters and digits without regard to ASCII case. Nulls and empty texts overlap with nothing, nor do items
     under ``LEAST_WORDS`` words. Repeated rows give one result, and so do several seeds of one overlap.
     """

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -71,6 +72,42 @@ def test_best_stretch(same):
     assert score(same[a:b]) == best
 
 
+def test_few_substitutions_at_all_places():
+    """Items of 13 to 20 words with one to three substitutions count, wherever these are, as long as four of five agree."""
+    for size in range(13, 21):
+        for many in range(1, 4):
+            if 5 * many <= size:
+                for places in itertools.combinations(range(size), many):
+                    same = np.ones(size, bool)
+                    same[list(places)] = False
+                    assert spaced_seeds.similar_runs(same, 13, (True, True)) == [(0, size)]
+
+
+def test_similar_runs_against_brute_force():
+    draw = random.Random(6)
+    for _ in range(300):
+        same = np.array([draw.random() < 0.75 for _ in range(draw.randint(0, 45))], bool)
+        free = (draw.random() < 0.5, draw.random() < 0.5)
+        expected = np.zeros(len(same), bool)
+        for a, b in itertools.combinations(range(len(same) + 1), 2):
+            begin, end = same[a] or (free[0] and a == 0), same[b - 1] or (free[1] and b == len(same))
+            if b - a >= 13 and begin and end and 5 * same[a:b].sum() >= 4 * (b - a):
+                expected[a:b] = True
+        got = np.zeros(len(same), bool)
+        for a, b in spaced_seeds.similar_runs(same, 13, free):
+            got[a:b] = True
+        assert (got == expected).all()
+
+
+def test_substituted_words_in_documents(spark):
+    bench = [prose(500 + k, 16) for k in range(16)] + [prose(600 + k, 13) for k in range(2)]
+    texts = [t.split() for t in bench]
+    for k, at in [*[(k, k) for k in range(16)], (16, 0), (17, 12)]:
+        texts[k][at] = "changed"
+    df = documents(spark, [f"{prose(700 + k, 30)} {' '.join(t)} {prose(800 + k, 30)}" for k, t in enumerate(texts)])
+    assert set(found(df, items(spark, bench))) == {(k, k) for k in range(18)}
+
+
 def test_odd_rows(spark):
     df = nasty(spark)
     bench = items(spark, [prose(1, 40_000), None, "", "x"])
