@@ -282,6 +282,34 @@ def uncovered(count: int, spans: list[dict], at: np.ndarray, size: int) -> np.nd
     return bare[at + size] > bare[at]
 
 
+def fewest(found: list[tuple[int, int]], size: int) -> list[tuple[int, int, int]]:
+    """As few blocks as cover the same words: document and range, from windows (place, document) in order.
+
+    Neighbouring windows of one document are a block; among blocks that overlap, those that reach farthest are kept.
+    """
+    runs: list[list[int]] = []
+    open_: dict[int, list[int]] = {}
+    for at, first in found:
+        if first in open_ and open_[first][2] == at + size - 1:
+            open_[first][2] = at + size
+        else:
+            open_[first] = [first, at, at + size]
+            runs.append(open_[first])
+    out: list[tuple[int, int, int]] = []
+    k, reached = 0, -1
+    while k < len(runs):
+        best = None
+        while k < len(runs) and runs[k][1] <= reached:
+            best = max(best or runs[k], runs[k], key=lambda x: x[2])
+            k += 1
+        if best and best[2] > reached:
+            out.append(tuple(best))
+            reached = best[2]
+        elif k < len(runs):
+            reached = runs[k][1]
+    return out
+
+
 def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
     """Blocks of later texts that ``blocks`` leave over, from all windows of ``size`` words.
 
@@ -342,18 +370,17 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
     copies = plain.join(chosen, ["rank", "print"])
     exact = written(copies.mapInArrow(spell, "rank bigint, print binary, hash bigint, at int"))
     holders = exact.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last").drop("last")
-    hits = exact.join(holders, "hash").filter("first < rank").groupBy("rank", "print", "first").agg(F.collect_set("at").alias("at"))
+    found_at = F.collect_set(F.struct("at", "first")).alias("found")
+    hits = exact.join(holders, "hash").filter("first < rank").groupBy("rank", "print").agg(found_at)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int]] = []
-            for k in range(batch.num_rows):
-                at = np.sort(batch.column("at")[k].values.to_numpy())
-                new = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1, [True])))
-                out += [(k, int(at[a]), int(at[b - 1]) + size) for a, b in zip(new[:-1], new[1:], strict=True)]
+            out: list[tuple[int, int, int, int]] = []
+            for k, own in enumerate(batch.column("found").to_pylist()):
+                out += [(k, *block) for block in fewest(sorted((w["at"], w["first"]) for w in own), size)]
             rows = pa.array([o[0] for o in out], pa.int64())
-            own = [pa.array([o[n] for o in out], pa.int64()) for n in (1, 2)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in ("rank", "print", "first")], *own], names=["rank", "print", "first", "start", "end"])
+            own = [pa.array([o[n] for o in out], pa.int64()) for n in (1, 2, 3)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in ("rank", "print")], *own], names=["rank", "print", "first", "start", "end"])
 
     return hits.mapInArrow(merge, BLOCKS)
 
