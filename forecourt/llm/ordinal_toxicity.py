@@ -119,11 +119,11 @@ def fit_ordinal(
     return raw[top:], np.concatenate(([raw[0]], raw[0] + np.cumsum(np.exp(raw[1:top]))))
 
 
-def telling_features(sample: DataFrame, most: int, least_share: float, least_chi: float) -> DataFrame:
+def telling_features(sample: DataFrame, most: int, least_chi: float) -> DataFrame:
     """Features by how unevenly they fall on texts with label 0 and above: at most ``most`` of them.
 
     Batches are counted before the shuffle. The measure is the chi-square statistic of presence
-    against label; a feature must also occur in three rows and in ``least_share`` of all. With ``least_chi`` at 20, of a million features that say nothing eight pass; without
+    against label; a feature must also occur in three rows. Neither bound rises with the sample. With ``least_chi`` at 20, of a million features that say nothing eight pass; without
     it, features of single texts would explain a small sample and nothing else.
     """
 
@@ -148,7 +148,7 @@ def telling_features(sample: DataFrame, most: int, least_share: float, least_chi
     rows, all_rows = F.col("low") + F.col("high"), low + high
     expected = rows * (high / all_rows)
     chi = F.pow(F.col("high") - expected, 2) / expected + F.pow(expected - F.col("high"), 2) / (rows - expected)
-    strong = counted.filter(rows >= max(3, least_share * all_rows)).withColumn("chi", chi).withColumn("leans", F.col("high") > expected)
+    strong = counted.filter(rows >= 3).withColumn("chi", chi).withColumn("leans", F.col("high") > expected)
     return strong.filter(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "code").limit(most)
 
 
@@ -204,7 +204,6 @@ def learn(
     sample: DataFrame,
     grades: int = 3,
     most_features: int = 1 << 13,
-    least_share: float = 0.001,
     least_chi: float = 20.0,
     ridge: float = 0.002,
 ) -> Model | None:
@@ -215,7 +214,7 @@ def learn(
     the grades above 0. Without both kinds of labels there is no model.
     """
     sample = sample.select("text", F.col("label").cast("int").alias("label"))
-    chosen = telling_features(sample, most_features, least_share, least_chi).collect()
+    chosen = telling_features(sample, most_features, least_chi).collect()
     codes = np.array([r["code"] for r in chosen], np.int64).view(np.uint64)
     leans = np.array([bool(r["leans"]) for r in chosen], bool)
     order = np.argsort(codes)

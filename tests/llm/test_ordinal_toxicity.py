@@ -56,6 +56,15 @@ def test_gradient_finds_the_maximum():
         assert loss(weights, cuts + np.array([step, 0])) > best - 1e-3
 
 
+def test_rare_words_tell_in_large_samples(spark):
+    """A word of 15 toxic rows and no clean one counts among 20,000 rows as among 5,000."""
+    rows = [("calm words " + ("rareword" if k < 15 else "often"), int(k < 2000)) for k in range(20_000)]
+    sample = spark.createDataFrame(rows, "text string, label int")
+    chosen = {r.code for r in toxicity.telling_features(sample, 1000, 20.0).filter("leans").collect()}
+    own = toxicity.features([b"rareword"])[1]
+    assert set(own.astype("uint64").view("int64").tolist()) & chosen
+
+
 def test_held_out_grades(spark):
     docs, labels = labelled(spark)
     seen = labels.filter("doc_id < 200")
