@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import aligned_lines, bayes_jaccard, byte_bpe, hilbert_shards, host_rules, kneser_ney, license_scan, ordinal_toxicity, spaced_seeds, string_kernel
+from forecourt.llm import aligned_lines, bayes_jaccard, byte_bpe, chunk_prints, collocations, fill_middle, hilbert_shards, host_rules, kneser_ney, license_scan, ordinal_toxicity, spaced_seeds, string_kernel
 from forecourt.llm.common import bucket, prepared, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +217,61 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = aligned_lines.aligned(table(spark, sf_dir, "documents"))
     doc_id = F.when(F.col("rank") < aligned_lines.LAST, F.col("rank")).alias("doc_id")
     return found.select(doc_id, F.col("first").alias("earlier_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_words"))
+
+
+OP11_SQL = r"""
+with docs as (select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+drawn as (select doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u,
+  [cast('0x' || substr(h, 8 * k - 7, 8) as bigint) for k in range(1, 5)] as d from docs),
+cut as (select *, cast(len(u) as bigint) as n, least(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) as a, greatest(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) as b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or d[3] % 100 >= 50 then 'plain'
+  when d[4] % 100 < 80 then 'spm' else 'psm' end as form from drawn),
+parts as (select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:n], '') as s from cut)
+select doc_id, n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+  case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256 from parts"""
+
+
+@query("op11_fill_middle", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its middle moved to the end, and the text rebuilt from that."""
+    moved = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    back = fill_middle.restore(moved)
+    digests = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{name}_sha256") for c, name in (("output", "output"), ("restored", "restored")))
+    return back.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", *digests)
+
+
+OP12_SQL = r"""
+with docs as (select row_number() over () as r, coalesce(lang, 'und') as lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as p from docs)),
+totals as (select lang, cast(sum(len(w)) as hugeint) as n from pieces group by lang),
+starts as (select lang, w, unnest(range(1, len(w) + 1)) as k from pieces),
+grams as (select lang, size, array_to_string(w[k:k + size - 1], ' ') as phrase
+  from (select *, unnest(range(1, 6)) as size from starts) where k + size - 1 <= len(w)),
+f as (select lang, size, phrase, count(*) as c from grams group by all having count(*) >= 100),
+candidates as (select lang, size, phrase, c, string_split(phrase, ' ') as w from f where size > 1),
+cuts as (select lang, size, phrase, c, w, unnest(range(1, size)) as k from candidates),
+sides as (select x.lang, x.phrase, x.c, x.k, l.c as l, r.c as r
+  from cuts x join f l on l.lang = x.lang and l.phrase = array_to_string(x.w[1:x.k], ' ')
+  join f r on r.lang = x.lang and r.phrase = array_to_string(x.w[x.k + 1:x.size], ' ')),
+scores as (select s.*, n, 1000 * cast(c as hugeint) * n // (cast(l as hugeint) * r) as score from sides s join totals using (lang)),
+weakest as (select *, row_number() over (partition by lang, phrase order by score, k) as place from scores),
+covered as (select distinct a.lang, a.phrase from candidates a join candidates b on a.lang = b.lang and a.size < b.size and 100 * b.c >= 100 * a.c
+  and contains(' ' || b.phrase || ' ', ' ' || a.phrase || ' ')),
+ranked as (select w.*, row_number() over (partition by w.lang order by score desc, c desc, w.phrase) as rank
+  from weakest w anti join covered o on o.lang = w.lang and o.phrase = w.phrase where place = 1)
+select lang, rank, phrase, c as a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from ranked where rank <= 2000"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two thousand phrases of each language whose words belong together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_chunk_prints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and their likeness."""
+    return chunk_prints.edit_prints(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_everything_is_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
