@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.operators.filters import restrict
+from forecourt.sources import commits
+from forecourt.sources.files import Files
 
 
 def read_zone(
@@ -36,50 +37,65 @@ def write_zone(
 
     Overwriting replaces the whole table. With ``only``, a list of partition values, it replaces these
     partitions and no others: rows outside are left out, and a partition that no longer has rows vanishes.
+    Either way the new rows are complete before an old one goes (see ``commits``).
     Rows are gathered by partition so that each gets few files; the rebalancing splits a
     partition that holds much of the data over many tasks.
     """
+    spark = df.sparkSession
+    commits.recover(spark, path)
+    if mode != "overwrite":
+        _write(df, path, partition_by, sort_within, mode)
+        return
     covered = [{c: v for c, v in values.items() if c in partition_by} for values in only]
-    if mode == "overwrite" and covered and all(covered):
+    parts = None
+    if covered and all(covered):
         inside = (reduce(Column.__and__, (F.col(c) == v for c, v in values.items())) for values in covered)
         df = df.filter(reduce(Column.__or__, inside))
-        for values in covered:
-            _remove(df.sparkSession, path, partition_by, values)
-        mode = "append"
+        parts = [_pattern(spark, partition_by, values) for values in covered]
+    staged = commits.stage(path)
+    try:
+        _write(df, staged, partition_by, sort_within, "errorifexists")
+        if partition_by and not _keeps_any(spark, path, staged, partition_by, parts):
+            # A table without rows has no partitions; one empty file still tells its columns.
+            kinds = dict(df.dtypes)
+            hollow = {c: "none" if kinds[c] == "string" else 0 for c in partition_by}
+            empty = spark.createDataFrame([], df.drop(*partition_by).schema)
+            empty.write.parquet("/".join([staged, *(f"{c}={v}" for c, v in hollow.items())]))
+            parts = parts and [*parts, _pattern(spark, partition_by, hollow)]
+    except BaseException:
+        commits.discard(spark, staged)
+        raise
+    commits.switch(spark, path, staged, parts)
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], sort_within: Sequence[str], mode: str) -> None:
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*partition_by, *sort_within)
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    if partition_by and not _readable(df.sparkSession, path):
-        # A table without rows has no partitions; one empty file still tells its columns.
-        kinds = dict(df.dtypes)
-        hollow = "/".join(f"{c}={'none' if kinds[c] == 'string' else 0}" for c in partition_by)
-        empty = df.sparkSession.createDataFrame([], df.drop(*partition_by).schema)
-        empty.write.mode("overwrite").parquet(f"{path}/{hollow}")
 
 
-def _readable(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+def _pattern(spark: SparkSession, partition_by: Sequence[str], values: Mapping[str, object]) -> str:
+    """The folders of some partition values, whatever the other columns above them."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    depth = max(partition_by.index(c) for c in values) + 1
+    return "/".join(f"{c}={escape(str(values[c])) if c in values else '*'}" for c in partition_by[:depth])
 
 
-def _remove(spark: SparkSession, path: str, partition_by: Sequence[str], values: Mapping[str, object]) -> None:
-    """Delete the folders of some partition values, whatever the other columns above them."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    depth = max(partition_by.index(c) for c in values) + 1
-    parts = [f"{c}={escape(str(values[c])) if c in values else '*'}" for c in partition_by[:depth]]
-    folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *parts]))
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in files.globStatus(folder) or []:
-        files.delete(found.getPath(), True)
+def _keeps_any(spark: SparkSession, path: str, staged: str, partition_by: Sequence[str], parts: Sequence[str] | None) -> bool:
+    """Whether the table will have a partition once the staged rows are in the place of ``parts``."""
+    leaf = "/".join(f"{c}=*" for c in partition_by)
+    if Files(spark, staged).matching(leaf):
+        return True
+    if parts is None:
+        return False
+    table = Files(spark, path)
+    gone = {f for p in parts for f in table.matching("/".join([p, *leaf.split("/")[p.count("/") + 1 :]]))}
+    return any(table.matching(f"{f}/*") for f in table.matching(leaf) if f not in gone)
 
 
 def land(spark: SparkSession, tables: Mapping[str, Sequence[str]], src: str, dst: str) -> None:
