@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 
 from forecourt.functions.dates import with_ymd
 from forecourt.operators.filters import between_dates
-from forecourt.sources.zones import write_zone
 
 Window = tuple[date, date]
 
@@ -42,20 +41,3 @@ def months_of(window: Window) -> list[Window]:
 def month_partitions(windows: Iterable[Window]) -> list[dict[str, int]]:
     """Partition values of months."""
     return [{"year": first.year, "month": first.month} for first, _ in windows]
-
-
-def backfill(
-    mart: Callable[[Window], DataFrame],
-    path: str,
-    start: date,
-    months: int,
-    partition_by: tuple[str, ...] = ("year", "month"),
-) -> list[Window]:
-    """Build a mart for consecutive months in one pass, replacing the partitions of these months only.
-
-    The mart must carry the partition columns. A month without rows ends up empty.
-    """
-    windows = list(month_windows(start, months))
-    if windows:
-        write_zone(mart((windows[0][0], windows[-1][1])), path, partition_by, only=month_partitions(windows))
-    return windows

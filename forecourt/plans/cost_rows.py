@@ -19,14 +19,18 @@ COST_COLUMNS = (
 )
 
 
-def promotion_costs(sales: DataFrame, headings: Mapping[str, str]) -> DataFrame:
-    """Distinct promotion costs that were booked, with operations filled in."""
-    booked = nonzero(sales.select(*COST_COLUMNS), "promo_cost")
-    distinct = recode(booked, "heading_label", headings).distinct()
+def promotion_costs(sales: DataFrame, headings: Mapping[str, str], earliest: str | None = None) -> DataFrame:
+    """Distinct promotion costs that were booked, with operations filled in.
+
+    With ``earliest``, each has the smallest value of that column.
+    """
+    booked = nonzero(sales.select(*COST_COLUMNS, *([earliest] if earliest else [])), "promo_cost")
+    named = recode(booked, "heading_label", headings)
+    distinct = named.groupBy(*COST_COLUMNS).agg(F.min(earliest).alias(earliest)) if earliest else named.distinct()
     return distinct.withColumns({c: or_unknown(c) for c in ("operation_code", "operation_label")})
 
 
-def added_costs(vehicles: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+def added_costs(vehicles: DataFrame, kinds: Mapping[str, str], carry: Sequence[str] = ()) -> DataFrame:
     """Cost rows of kinds that are no operation, named the same in all four columns.
 
     ``kinds`` maps the name to the column of the cost. All kinds unfold from one scan.
@@ -36,7 +40,7 @@ def added_costs(vehicles: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
         F.struct(*(F.lit(name).alias(c) for c in labels), F.col(cost).cast("double").alias("promo_cost"))
         for name, cost in kinds.items()
     ]
-    return vehicles.select("vehicle", "country", "brand", F.inline(F.array(*rows))).select(*COST_COLUMNS)
+    return vehicles.select("vehicle", "country", "brand", *carry, F.inline(F.array(*rows))).select(*COST_COLUMNS, *carry)
 
 
 def cost_rows(
@@ -44,19 +48,22 @@ def cost_rows(
     vehicle_sales: DataFrame,
     headings: Mapping[str, str],
     network_headings: Sequence[str],
+    earliest: str | None = None,
 ) -> DataFrame:
     """Promotion costs, storage costs and fixed margins, classified.
 
     ``vehicle_sales`` has one row per vehicle and country, so its cost rows need no
-    de-duplication. The fixed margin is an amount of money like the other costs.
+    de-duplication. The fixed margin is an amount of money like the other costs. ``earliest`` names a column
+    of both inputs that a row takes over, the smallest value where several sales give the same cost.
     """
-    keys = ["vehicle", "country", "brand"]
+    carry = [earliest] if earliest else []
+    keys = ["vehicle", "country", "brand", *carry]
     priced = vehicle_sales.select(
         *keys, "storage_cost", fixed_margin_amount("list_price", "fixed_margin").alias("margin_amount")
     )
     parts = [
-        promotion_costs(sales, headings),
-        added_costs(priced, {FINANCING: "storage_cost", FIXED_MARGIN: "margin_amount"}),
+        promotion_costs(sales, headings, earliest),
+        added_costs(priced, {FINANCING: "storage_cost", FIXED_MARGIN: "margin_amount"}, carry),
     ]
     rows = union_all([cast_all(part, ["promo_cost"], "double") for part in parts])
     klass = classify_heading("heading_label", network_headings)

@@ -1,13 +1,16 @@
 """Runs of the marts from zone to zone.
 
 Zones exchange tables only: each step reads the tables it needs and writes one. A
-step that fails, or a lost executor, costs the work of that step alone.
+step that fails, or a lost executor, costs the work of that step alone: the same run, started again, goes on
+with the step that failed, unless what the others read or wrote has changed meanwhile.
+
+Marts that follow the window are stored by month, in a partition column ``period`` that readers don't see.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +28,7 @@ from forecourt.plans.cost_rows import cost_rows
 from forecourt.plans.dealers import dealers
 from forecourt.plans.engines import engine_lines, engines
 from forecourt.plans.forecast import forecast
+from forecourt.plans.ledger import Ledger
 from forecourt.plans.offers import offers
 from forecourt.plans.promo_reference import promo_reference
 from forecourt.plans.publication import publish
@@ -38,6 +42,7 @@ from forecourt.sources.zones import land, read_zone, snapshot, write_zone
 
 ZONES = ("source", "raw", "standard", "refined", "published")
 SITE = ("country", "brand")
+PERIOD = "period"
 
 
 @dataclass(frozen=True)
@@ -66,20 +71,36 @@ class Settings:
 
 @dataclass(frozen=True)
 class Run:
-    """One execution: session, settings, window and restriction."""
+    """One execution: session, settings, window and restriction.
+
+    ``period`` is the month, as the number yyyymm, that a back-fill is at.
+    """
 
     spark: SparkSession
     settings: Settings
     window: tuple[date, date]
     country: str | None = None
     brand: str | None = None
+    period: int | None = None
 
     def path(self, zone: str, table: str) -> str:
         return f"{self.settings.root}/{zone}/{table}"
 
-    def read(self, zone: str, table: str, site: bool = False) -> DataFrame:
+    def content(self, name: str) -> str:
+        """The folder that a step reads or writes, of a mart by month that month's alone."""
+        zone, table = name.split(".")
+        path = self.path(zone, table)
+        return f"{path}/{PERIOD}={self.period}" if self.period and name in BY_MONTH else path
+
+    def read(self, zone: str, table: str, site: bool = False, dated: bool = False) -> DataFrame:
+        """A table, in a back-fill its month; ``dated`` keeps the column with the month."""
         country, brand = (self.country, self.brand) if site else (None, None)
-        return read_zone(self.spark, self.path(zone, table), country, brand)
+        df = read_zone(self.spark, self.path(zone, table), country, brand)
+        if f"{zone}.{table}" not in BY_MONTH:
+            return df
+        if self.period:
+            df = df.filter(F.col(PERIOD) == self.period)
+        return df if dated else df.drop(PERIOD)
 
     def system(self, name: str, columns: Mapping[str, Mapping[str, str]]) -> dict[str, DataFrame]:
         """Landed tables of a source system under our column names, facts of the months in question."""
@@ -117,7 +138,8 @@ class Run:
 class Step:
     """Builds one table of one zone from the tables that ``reads`` names as zone and table.
 
-    ``request`` is the name a run asks for, where that isn't the table's own.
+    ``request`` is the name a run asks for, where that isn't the table's own. ``by_month`` is the date that puts
+    a row in its month, for marts that follow the window; one that already has the month as ``period`` keeps it.
     """
 
     zone: str
@@ -126,11 +148,22 @@ class Step:
     partition_by: Sequence[str] = ()
     reads: Sequence[str] = ()
     request: str | None = None
+    by_month: str | None = None
 
     @property
     def name(self) -> str:
         return f"{self.zone}.{self.table}"
 
+    def write(self, run: Run, only: Mapping[str, object]) -> None:
+        """Build the table and replace it, or its partitions ``only``, in a back-fill those of the month."""
+        df, partition_by = self.build(run), tuple(self.partition_by)
+        if self.by_month:
+            if PERIOD not in df.columns:
+                df = df.withColumn(PERIOD, F.year(self.by_month) * 100 + F.month(self.by_month))
+            partition_by = (PERIOD, *partition_by)
+            only = only | ({PERIOD: run.period} if run.period else {})
+        write_zone(df, run.path(self.zone, self.table), partition_by, only=[only] if only else ())
+
 
 # --- standard zone ------------------------------------------------------------------
 
@@ -195,8 +228,8 @@ def refined_vehicle_cost(run: Run) -> DataFrame:
 
 def refined_cost_rows(run: Run) -> DataFrame:
     headings, network = fixed.issued(run.settings.issuer)
-    booked = run.read("standard", "sales", site=True)
-    return cost_rows(booked, run.read("refined", "vehicle_sales", site=True), headings, network)
+    booked, vehicles = (run.read(z, t, site=True, dated=True) for z, t in (("standard", "sales"), ("refined", "vehicle_sales")))
+    return cost_rows(booked, vehicles, headings, network, earliest=PERIOD)
 
 
 def refined_promo_reference(run: Run) -> DataFrame:
@@ -232,8 +265,8 @@ STEPS: tuple[Step, ...] = (
     extract_step("tax_rates", layouts.TAX_RATES),
     extract_step("category_order", layouts.CATEGORY_ORDER),
     Step("standard", "engines", standard_engines, ("country",), ("raw.registration",)),
-    Step("standard", "registrations", standard_registrations, SITE, ("raw.registration",)),
-    Step("standard", "sales", standard_sales, SITE, ("raw.sales", "standard.channel_types")),
+    Step("standard", "registrations", standard_registrations, SITE, ("raw.registration",), by_month="sale_date"),
+    Step("standard", "sales", standard_sales, SITE, ("raw.sales", "standard.channel_types"), by_month="sale_date"),
     Step("standard", "offers", lambda run: run.files("offers", layouts.OFFERS), SITE),
     Step("standard", "forecast", standard_forecast, SITE),
     Step(
@@ -249,8 +282,8 @@ STEPS: tuple[Step, ...] = (
         SITE,
     ),
     Step("standard", "budget", standard_budget, SITE),
-    Step("refined", "sale_calendar", lambda run: calendar(run.spark, *run.window)),
-    Step("refined", "order_calendar", lambda run: calendar(run.spark, *run.window)),
+    Step("refined", "sale_calendar", lambda run: calendar(run.spark, *run.window), by_month="date"),
+    Step("refined", "order_calendar", lambda run: calendar(run.spark, *run.window), by_month="date"),
     Step(
         "refined",
         "category_order",
@@ -295,8 +328,9 @@ STEPS: tuple[Step, ...] = (
         SITE,
         ("standard.sales", "standard.channels", "standard.families", "standard.margins"),
         "sales",
+        "sale_date",
     ),
-    Step("refined", "cost_rows", refined_cost_rows, SITE, ("standard.sales", "refined.vehicle_sales")),
+    Step("refined", "cost_rows", refined_cost_rows, SITE, ("standard.sales", "refined.vehicle_sales"), by_month="sale_date"),
     Step(
         "refined",
         "promo_reference",
@@ -311,8 +345,10 @@ STEPS: tuple[Step, ...] = (
         refined_vehicle_cost,
         SITE,
         ("refined.vehicle_sales", "standard.registrations", "refined.offers", "standard.tax_rates"),
+        by_month="sale_date",
     ),
 )
+BY_MONTH = frozenset(step.name for step in STEPS if step.by_month)
 # The vehicle sales only feed other marts.
 UNPUBLISHED = ("vehicle_sales",)
 SYSTEMS = {"registration": layouts.REGISTRATION_TABLES, "sales": layouts.SALES_TABLES}
@@ -345,14 +381,17 @@ def needed(request: str) -> set[str]:
     return found
 
 
-def land_systems(run: Run, systems: Iterable[str], as_of: datetime) -> None:
-    """Copy the source tables, and keep a dated image of the copy if wanted.
+def land_systems(run: Run, systems: Iterable[str], as_of: datetime, ledger: Ledger) -> list[str]:
+    """Copy the source tables, and keep a dated image of the copy if wanted. Returns the systems copied.
 
     Facts are landed by month, and only the months that the window touches; the others stay.
     """
     months = months_of(run.window)
+    copied = []
     for system in systems:
         source = f"{run.settings.source}/{system}"
+        if ledger.done(f"raw.{system}", [source], [run.path("raw", system)]):
+            continue
         plain = [t for t in SYSTEMS[system] if t not in FACTS]
         land(run.spark, dict.fromkeys(plain, ()), source, run.path("raw", system))
         for fact in (t for t in SYSTEMS[system] if t in FACTS):
@@ -364,6 +403,18 @@ def land_systems(run: Run, systems: Iterable[str], as_of: datetime) -> None:
             images = f"{run.settings.root}/historical/{system}"
             kept: dict[str, Iterable[str]] = {t: ("year", "month") if t in FACTS else () for t in SYSTEMS[system]}
             snapshot(run.spark, kept, run.path("raw", system), images, as_of)
+        ledger.record(f"raw.{system}", [source], [run.path("raw", system)])
+        copied.append(system)
+    return copied
+
+
+def following(names: Iterable[str]) -> set[str]:
+    """Steps that rest on any of the given ones."""
+    found = set(names)
+    for step in STEPS:  # in order of what they read
+        if found & set(step.reads):
+            found.add(step.name)
+    return found
 
 
 def run(
@@ -380,10 +431,15 @@ def run(
 ) -> list[tuple[str, str]]:
     """Bring one table, or all, from one zone to another, with all that it rests on.
 
-    The window defaults to the last thirty days; with ``months`` it is that many whole months from
-    the month of its first day on (a back-fill, done in one pass). A country is given by code or name.
+    The window defaults to the last thirty days. A country is given by code or name.
     A table is replaced as a whole, by a restricted run in the partitions of its country and
-    brand. Returns the zone and table of every step done, in order.
+    brand. With ``months`` the run is a back-fill of that many whole months from the month of the window's first day on:
+    marts that follow the window are built month by month, as if each were the window, and the partitions
+    of these months replaced, no others. Tables that don't follow the window are built once, before the months
+    or, where they rest on monthly marts, after them.
+
+    A run that failed and is started again with the same arguments leaves out the steps, and months, whose
+    inputs and results are unchanged. Returns the zone and table of every step done, in order.
     """
     if table not in requests():
         raise ValueError(f"unknown table {table}; one of {', '.join(requests())}")
@@ -393,33 +449,57 @@ def run(
     now = now or datetime.now()
     country = fixed.COUNTRY_CODES.get(country, country) if country else None
     window = window or last_days(now.date())
-    if months:
-        filled = list(month_windows(window[0], months))
+    filled = list(month_windows(window[0], months)) if months else []
+    if filled:
         window = (filled[0][0], filled[-1][1])
     this = Run(spark, settings, window, country, brand)
-    site = {c: v for c, v in zip(SITE, (country, brand), strict=True) if v is not None}
+    asked = {"table": table, "zones": [from_zone, to_zone], "window": window, "months": months, "country": country, "brand": brand}
+    ledger = Ledger(spark, settings.root, asked | {"settings": repr(settings)})
     rests_on = needed(table)
     wanted = ZONES[ZONES.index(from_zone) + 1 : ZONES.index(to_zone) + 1]
+    steps = [step for step in STEPS if step.zone in wanted and step.name in rests_on]
     done: list[tuple[str, str]] = []
-    if "raw" in wanted:
-        land_systems(this, [s for s in SYSTEMS if f"raw.{s}" in rests_on], now)
+    if "raw" in wanted and land_systems(this, [s for s in SYSTEMS if f"raw.{s}" in rests_on], now, ledger):
         done.append(("raw", table))
-    for step in STEPS:
-        if step.zone in wanted and step.name in rests_on:
-            write_zone(step.build(this), this.path(step.zone, step.table), step.partition_by, only=[site] if site else ())
-            done.append((step.zone, step.table))
+    if filled:
+        late = following(BY_MONTH) - BY_MONTH
+        done += take(this, [s for s in steps if s.name not in BY_MONTH and s.name not in late], ledger)
+        for month in filled:
+            one = replace(this, window=month, period=month[0].year * 100 + month[0].month)
+            done += take(one, [s for s in steps if s.by_month], ledger)
+        done += take(this, [s for s in steps if s.name in late], ledger)
+    else:
+        done += take(this, steps, ledger)
     if "published" in wanted:
-        done += publish_marts(this, table)
+        done += publish_marts(this, table, ledger)
+    ledger.close()
     return done
 
 
-def publish_marts(run: Run, request: str) -> list[tuple[str, str]]:
+def take(run: Run, steps: Iterable[Step], ledger: Ledger) -> list[tuple[str, str]]:
+    """Do the steps that aren't done yet."""
+    site = {c: v for c, v in zip(SITE, (run.country, run.brand), strict=True) if v is not None}
+    done = []
+    for step in steps:
+        key = f"{run.period}/{step.name}" if run.period else step.name
+        reads = [run.content(name) for name in step.reads] or [run.settings.extracts]
+        writes = [run.content(step.name)]
+        if not ledger.done(key, reads, writes):
+            step.write(run, site)
+            ledger.record(key, reads, writes)
+            done.append((step.zone, step.table))
+    return done
+
+
+def publish_marts(run: Run, request: str, ledger: Ledger) -> list[tuple[str, str]]:
     """Publish the refined tables that were asked for, identifiers hidden in all of them."""
     if run.settings.database is None:
         raise ValueError("publishing needs a database")
-    names = [s.table for s in STEPS if s.zone == "refined" and request in ("all", s.table)]
+    names = [s.table for s in STEPS if s.zone == "refined" and request in ("all", s.table) and s.table not in UNPUBLISHED]
+    done = []
     for name in names:
-        if name not in UNPUBLISHED:
+        reads = [run.content(f"refined.{name}")]
+        if not ledger.done(f"published.{name}", reads, ()):
             publish(
                 run.read("refined", name),
                 run.settings.database,
@@ -427,4 +507,6 @@ def publish_marts(run: Run, request: str) -> list[tuple[str, str]]:
                 salt=run.settings.salt,
                 properties=run.settings.database_properties,
             )
-    return [("published", n) for n in names if n not in UNPUBLISHED]
+            ledger.record(f"published.{name}", reads, ())
+            done.append(("published", name))
+    return done

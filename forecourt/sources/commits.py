@@ -53,6 +53,7 @@ def switch(spark: SparkSession, path: str, staged: str, parts: Sequence[str] | N
     journal = {"new": new, "old": f".{name}.old-{uuid.uuid4().hex}", "drop": drop, "bring": bring}
     files.write(f".{name}.journal", journal)
     _finish(files, name, journal)
+    spark.catalog.refreshByPath(path)  # what the session has cached of the table is old now
 
 
 def recover(spark: SparkSession, path: str) -> bool:
@@ -62,6 +63,7 @@ def recover(spark: SparkSession, path: str) -> bool:
     journal = files.read(f".{name}.journal")
     if journal:
         _finish(files, name, journal)
+        spark.catalog.refreshByPath(path)
     for kind in ("staged-*", "old-*", "journal.draft-*"):
         for left in files.matching(f".{name}.{kind}"):
             files.remove(left)

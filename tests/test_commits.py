@@ -124,6 +124,16 @@ def test_a_table_can_be_replaced_by_what_is_read_from_it(spark, frame, tmp_path)
     assert values(spark, path) == [(11, "F", "A"), (12, "F", "B"), (3, "G", "A")]
 
 
+def test_cached_rows_are_read_anew(spark, frame, tmp_path):
+    path = str(tmp_path / "zone")
+    write_zone(frame(OLD, KIND), path, BY)
+    kept = read_zone(spark, path).cache()
+    assert kept.count() == 3
+    write_zone(kept.unionAll(kept.withColumn("brand", F.lit("Z"))), path, BY)
+    assert read_zone(spark, path).count() == 6
+    kept.unpersist()
+
+
 def test_odd_partition_values(spark, frame, tmp_path):
     path = str(tmp_path / "zone")
     odd = [(1, "a/b", "50%"), (2, "a b", "x=y"), (3, "é", "A")]

@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 from dataclasses import replace
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from forecourt.__main__ import arguments
 from forecourt.plans import layouts, publication
-from forecourt.plans.run import Settings, in_months, needed, requests, run
+from forecourt.plans.ledger import Ledger
+from forecourt.plans.run import Run, Settings, Step, in_months, needed, requests, run
 from forecourt.sources.zones import read_zone, write_zone
 from tests.conftest import rows
 
@@ -210,6 +213,120 @@ def test_later_run_replaces_the_tables(spark, settings_of):
     assert cost().count() == 0
 
 
+MONTHS = (date(2020, 1, 1), date(2020, 1, 1))
+
+
+def more_months(spark, source):
+    """Both systems with vehicles of two more months."""
+    registration(spark, str(source))
+    sales_system(spark, str(source))
+    facts = spark.read.parquet(f"{source}/sales/facts")
+    names = {ours: theirs for theirs, ours in layouts.SALES_TABLES["facts"].items()}
+    days = [names[c] for c in ("sale_date", "invoice_date", "order_date", "registered_on")]
+    shifted = [facts.withColumns({c: F.add_months(c, k) for c in days}) for k in (-1, 1)]
+    write_zone(facts.unionAll(shifted[0]).unionAll(shifted[1]), f"{source}/sales/facts")
+
+
+@pytest.fixture(scope="module")
+def three_months(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("months")
+    more_months(spark, folder)
+    return str(folder)
+
+
+def months_of_mart(spark, settings, name):
+    return {r.sale_date.month for r in read_zone(spark, f"{settings.root}/refined/{name}").select("sale_date").collect()}
+
+
+def test_back_fill_leaves_other_months_alone(spark, settings_of, three_months):
+    settings = replace(settings_of, source=three_months, historical=False)
+    cost = Path(settings.root) / "refined" / "vehicle_cost"
+    files_of = lambda: {p.name: sorted(f.name for f in p.rglob("*.parquet")) for p in cost.glob("period=*")}
+    prices = lambda: rows(read_zone(spark, str(cost)).groupBy("period").agg(F.sum("price")))
+    run(spark, settings, "vehicle_cost", "source", "refined", MONTHS, months=3)
+    assert months_of_mart(spark, settings, "vehicle_cost") == {1, 2, 3}
+    assert "period" not in Run(spark, settings, MONTHS).read("refined", "vehicle_cost").columns
+    assert prices() == [(202001, 300.0), (202002, 300.0), (202003, 300.0)]
+    before = files_of()
+    run(spark, settings, "vehicle_cost", "source", "refined", (D, D), months=1)
+    after = files_of()
+    assert [after[f"period={p}"] == before[f"period={p}"] for p in (202001, 202002, 202003)] == [True, False, True]
+    assert prices() == [(202001, 300.0), (202002, 300.0), (202003, 300.0)]
+
+
+def test_back_fill_of_costs_and_calendars(spark, settings_of, three_months):
+    settings = replace(settings_of, source=three_months, historical=False)
+    found = lambda name: read_zone(spark, f"{settings.root}/refined/{name}")
+    run(spark, settings, "promo_reference", "source", "refined", MONTHS, months=2)
+    assert {r.period for r in found("cost_rows").select("period").collect()} == {202001, 202002}
+    promos = rows(found("promo_reference").filter("brand = 'AP'"), "operation_label", "country")
+    assert ("Spring - Network Remuneration", "France") in promos
+    for months, days in ((3, 91), (1, 91)):
+        run(spark, settings, "sale_calendar", "source", "refined", MONTHS, months=months)
+        assert found("sale_calendar").count() == days
+
+
+def test_a_month_without_rows_ends_up_empty(spark, settings_of, three_months):
+    settings = replace(settings_of, source=three_months, historical=False)
+    run(spark, settings, "sales", "source", "refined", MONTHS, months=2)
+    only_february = settings.source + "-less"
+    registration(spark, only_february)
+    sales_system(spark, only_february)
+    run(spark, replace(settings, source=only_february), "sales", "source", "refined", MONTHS, months=1)
+    assert months_of_mart(spark, settings, "vehicle_sales") == {2}
+
+
+def failing_once(monkeypatch, step_name, period=None):
+    """Let the writing of one step fail the first time."""
+    left, write = [1], Step.write
+
+    def once(self, run, only):
+        if self.name == step_name and (period is None or run.period == period) and left:
+            left.pop()
+            raise ConnectionError("driver lost")
+        write(self, run, only)
+
+    monkeypatch.setattr(Step, "write", once)
+
+
+def test_an_interrupted_back_fill_resumes(spark, settings_of, three_months, monkeypatch):
+    settings = replace(settings_of, source=three_months, historical=False)
+    failing_once(monkeypatch, "refined.vehicle_sales", 202002)
+    with pytest.raises(ConnectionError):
+        run(spark, settings, "sales", "source", "refined", MONTHS, months=2)
+    assert months_of_mart(spark, settings, "vehicle_sales") == {1}
+    done = run(spark, settings, "sales", "source", "refined", MONTHS, months=2)
+    assert months_of_mart(spark, settings, "vehicle_sales") == {1, 2}
+    assert done == [("refined", "vehicle_sales")]
+    assert not list((Path(settings.root) / ".runs").glob("*.json"))  # a finished run leaves nothing to go on with
+
+
+def test_a_run_goes_on_at_the_failed_step(spark, settings_of, delivered, monkeypatch):
+    settings = replace(settings_of, historical=False)
+    failing_once(monkeypatch, "refined.vehicle_cost")
+    with pytest.raises(ConnectionError):
+        run(spark, settings, "vehicle_cost", "source", "refined", WINDOW)
+    sales = f"{settings.root}/standard/sales"
+    write_zone(read_zone(spark, sales).withColumn("price", F.lit(7.0)), sales, ("period", "country", "brand"))
+    done = run(spark, settings, "vehicle_cost", "source", "refined", WINDOW)
+    # the changed table is built again, and what reads it; the rest stands
+    assert done == [("standard", "sales"), ("refined", "vehicle_sales"), ("refined", "vehicle_cost")]
+    assert {r.price for r in read_zone(spark, f"{settings.root}/refined/vehicle_cost").collect()} == {100.0, 200.0}
+
+
+def test_other_requests_and_inputs_have_their_own_ledger(spark, tmp_path):
+    root, path = str(tmp_path), str(tmp_path / "t")
+    write_zone(spark.range(3), path)
+    ledger = Ledger(spark, root, {"table": "a"})
+    ledger.record("x", [path], ())
+    assert Ledger(spark, root, {"table": "a"}).done("x", [path], ())
+    assert not Ledger(spark, root, {"table": "b"}).done("x", [path], ())
+    write_zone(spark.range(3), path)
+    assert not Ledger(spark, root, {"table": "a"}).done("x", [path], ())
+    ledger.close()
+    assert not Ledger(spark, root, {"table": "a"}).done("x", [path], ())
+
+
 def test_professions_under_other_headers(spark, settings_of, delivered, tmp_path):
     source = tmp_path / "systems"
     registration(spark, str(source))

@@ -6,8 +6,6 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
-from forecourt.functions.dates import with_ymd
-from forecourt.operators.history import backfill
 from forecourt.operators.schema import TableSpec
 from forecourt.sources import databases
 from forecourt.sources.extracts import export_csv, find_extracts, read_extract, read_extract_set
@@ -96,21 +94,6 @@ def test_land_and_snapshot(spark, frame, tmp_path):
     assert rows(read_zone(spark, f"{folder}/b")) == [(2,)]
 
 
-def test_backfill_month_by_month(spark, frame, tmp_path):
-    fact = frame([(date(2020, m, d), m) for m in (1, 2, 3) for d in (1, 28)], "sale_date date, v int")
-    path = str(tmp_path / "mart")
-
-    def mart(window):
-        return with_ymd(fact.filter(F.col("sale_date").between(*window)), "sale_date")
-
-    assert len(backfill(mart, path, date(2020, 1, 1), 3)) == 3
-    assert read_zone(spark, path).count() == 6
-    backfill(lambda w: mart(w).withColumn("v", F.lit(0)), path, date(2020, 2, 1), 1)
-    assert rows(read_zone(spark, path).groupBy("month").agg(F.sum("v"))) == [(1, 2), (2, 0), (3, 6)]
-    backfill(lambda w: mart(w).filter("month <> 2"), path, date(2020, 1, 1), 2)
-    assert rows(read_zone(spark, path).groupBy("month").agg(F.sum("v"))) == [(1, 2), (3, 6)]
-
-
 class Recorder:
     """Stands in for a reader or writer and keeps what it is told."""
 
