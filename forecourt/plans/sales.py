@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
@@ -106,15 +107,35 @@ class SalesModel:
     country_names: Mapping[str, str] = field(default_factory=lambda: fixed.COUNTRY_CODES)
 
 
+def summed_by_id(tables: Mapping[str, DataFrame], window: tuple[date, date], model: SalesModel) -> DataFrame:
+    """The fact of the window summed over its own attributes and the ids of its dimensions.
+
+    Sums are taken before anything is looked up, so the fact is shuffled with ids instead of labels, and only once.
+    Dimensions that keep some codes drop the other sales before that, without being attached.
+    Amounts stay decimals, since they are summed again.
+    """
+    facts = between_dates(tables["facts"], "sale_date", *window)
+    for d in model.dimensions:
+        if d.only is not None and d.how == "inner" and set(d.on.values()) <= set(facts.columns):
+            kept = d.spec(tables, "fr").frame.select(*(F.col(k).alias(f"__{k}") for k in d.on))
+            same = reduce(Column.__and__, (F.col(c) == F.col(f"__{k}") for k, c in d.on.items()))
+            facts = facts.join(kept, same, "left_semi")
+    ids = dict.fromkeys(c for d in model.dimensions for c in d.on.values() if c in facts.columns)
+    return summarise(facts, [*model.attributes, *(c for c in ids if c not in model.attributes)], {m: F.sum(m) for m in model.measures})
+
+
 def sales_wide(
     tables: Mapping[str, DataFrame],
     window: tuple[date, date],
     model: SalesModel = SalesModel(),
     locale: str = "fr",
 ) -> DataFrame:
-    """The fact joined with its dimensions and summed over everything it reports."""
-    facts = between_dates(tables["facts"], "sale_date", *window)
-    wide = attach(facts, [d.spec(tables, locale) for d in model.dimensions])
+    """The fact joined with its dimensions and summed over everything it reports.
+
+    Labels are joined to the sums by id, and sums are added up where different ids have the same labels. A
+    dimension with several rows for an id counts a sale as often, as it would before the sum.
+    """
+    wide = attach(summed_by_id(tables, window, model), [d.spec(tables, locale) for d in model.dimensions])
     keys = [*model.attributes, *(c for d in model.dimensions if d.reported for c in d.columns())]
     return summarise(wide, keys, totals(wide, model.measures))
 
