@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.columns import ColumnLike, as_column, first_of
 
+# Rows without a match are dealt over so many groups, so that they don't meet in one task.
+LONE_GROUPS = 256
+
 
 @dataclass(frozen=True)
 class DimSpec:
@@ -57,25 +60,36 @@ def attach(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
             *(F.col(k).alias(name) for k, name in names.items()),
             *(F.col(c).alias(name) for c, name in attached.items()),
         )
-        condition = reduce(Column.__and__, (as_column(expr) == F.col(names[k]) for k, expr in keys.items()))
         columns += attached.values()
         if dim.how == "left" and dim.many:
-            joined = _left_many(joined, right, condition, list(names.values())).select(*columns)
+            joined = _left_many(joined, right, {names[k]: as_column(expr) for k, expr in keys.items()}).select(*columns)
         else:
+            condition = reduce(Column.__and__, (as_column(expr) == F.col(names[k]) for k, expr in keys.items()))
             joined = joined.join(right, condition, dim.how)
     return joined.select(*columns)
 
 
-def _left_many(fact: DataFrame, right: DataFrame, condition: Column, keys: Sequence[str]) -> DataFrame:
-    """Left join with a dimension that may hold very many rows for one key.
+def _left_many(fact: DataFrame, right: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+    """Left join with a dimension that may hold very many rows for one key; ``on`` maps its keys to those of the fact.
 
     Adaptive execution splits both sides of an inner join but only the preserved side of an
-    outer one. So matches come from an inner join, and the rest from an anti join with the
-    different keys.
+    outer one. So the fact first learns which of its keys occur, from the different keys, and rows without a
+    match then meet one of a few rows without values that the dimension is given for them: an inner join that
+    loses nothing and reads the fact once.
     """
-    matched = fact.join(right, condition, "inner")
-    unmatched = fact.join(right.select(*keys).distinct(), condition, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    spark = fact.sparkSession
+    present = reduce(Column.__and__, (F.col(n).isNotNull() for n in on))
+    right = right.filter(present)
+    known = right.select(*(F.col(n).alias(f"{n}_known") for n in on)).distinct().withColumn("__found", F.lit(True))
+    marked = fact.join(known, reduce(Column.__and__, (e == F.col(f"{n}_known") for n, e in on.items())), "left")
+    lone = F.pmod(F.xxhash64(*(F.col(c) for c in fact.columns)), F.lit(LONE_GROUPS))
+    dealt = marked.withColumn("__group", F.when(F.col("__found"), F.lit(-1)).otherwise(lone))
+    nothing = spark.range(LONE_GROUPS).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema), F.col("id").alias("__lone")
+    )
+    whole = right.withColumn("__lone", F.lit(-1).cast("long")).unionByName(nothing)
+    same = [F.col(f"{n}_known").eqNullSafe(F.col(n)) for n in on]
+    return dealt.join(whole, reduce(Column.__and__, [F.col("__group") == F.col("__lone"), *same]), "inner")
 
 
 def attach_label(
@@ -96,12 +110,24 @@ def merge_sources(
     """Everything either system knows.
 
     ``merged`` maps an output column to the column of ``a`` that wins and the column of ``b``
-    that fills the gaps; both inputs disappear. An outer join can't split a hot key, so it is
-    taken apart into joins that can.
+    that fills the gaps; both inputs disappear. An outer join can't split a hot key. So one aggregate
+    tells for every key which systems have it, each system is given a row without values for the keys that only
+    the other one has, and an inner join, which can be split, does the rest. Missing keys match nothing.
     """
     merged = merged or {}
-    known = attach(a, [DimSpec(b, on, "left", many=True)])
-    both = known.unionByName(missing_from(b, a, on), allowMissingColumns=True)
+    missing = reduce(Column.__or__, (F.col(k).isNull() for k in on))
+    sides = [df.withColumn("__lone", F.when(missing, own).otherwise(0)) for own, df in ((1, a), (2, b))]
+    keys = [*on, "__lone"]
+    # One number tells which systems have a key, so both uses are the same plan, and the aggregate runs once.
+    tagged = [df.select(*keys, F.lit(bit).alias("__in")) for bit, df in zip((1, 2), sides, strict=True)]
+    presence = tagged[0].unionByName(tagged[1]).groupBy(*keys).agg(F.bit_or("__in").alias("__in"))
+    left, right = (
+        df.unionByName(presence.filter(F.col("__in") == other).select(*keys), allowMissingColumns=True)
+        for df, other in zip(sides, (2, 1), strict=True)
+    )
+    names = {k: f"__right_{k}" for k in keys}
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()))
+    both = left.join(right.withColumnsRenamed(names), same, "inner").drop("__lone", *names.values())
     used = {c for pair in merged.values() for c in pair}
     kept = [c for c in both.columns if c not in used]
     return both.select(*kept, *(first_of(x, y).alias(out) for out, (x, y) in merged.items()))

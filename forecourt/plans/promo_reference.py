@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from forecourt.fixed_values import FINANCING, FIXED_MARGIN, TO_BE_FLAGGED
 from forecourt.functions.text import CLIENT, NETWORK, UNKNOWN, classify_heading
 from forecourt.operators.joins import DimSpec, attach
-from forecourt.operators.rows import flag_missing, literal_rows
+from forecourt.operators.rows import complete, flag_missing, literal_rows
 from forecourt.operators.schema import union_all
 
 COLUMNS = ("operation_label", "category", "country", "brand")
+KEY = ("operation_label", "country")
 
 
 def literal(*pairs: tuple[str, str]) -> list[dict[str, str]]:
@@ -34,13 +35,17 @@ def classify_category(promos: DataFrame, classes: DataFrame) -> DataFrame:
     return labelled.select(*COLUMNS)
 
 
-def unflagged_operations(costs: DataFrame, promos: DataFrame, network_headings: Sequence[str]) -> DataFrame:
-    """Operations with costs but no category, marked for the departments to complete."""
+def booked_operations(costs: DataFrame, network_headings: Sequence[str]) -> DataFrame:
+    """Operations with costs, marked for the departments to complete."""
     ops = costs.select("operation_label", "heading_label", "country", "brand").distinct()
     klass = F.concat(F.lit(f"{TO_BE_FLAGGED} - "), classify_heading("heading_label", network_headings))
     flag = F.when(F.col("heading_label").isNotNull(), klass).otherwise(TO_BE_FLAGGED)
-    flagged = flag_missing(ops, promos, ["operation_label", "country"], {"category": flag})
-    return flagged.select(*COLUMNS).distinct()
+    return ops.withColumn("category", flag).select(*COLUMNS)
+
+
+def unflagged_operations(costs: DataFrame, promos: DataFrame, network_headings: Sequence[str]) -> DataFrame:
+    """Operations with costs but no category."""
+    return flag_missing(booked_operations(costs, network_headings), promos, KEY, {}).select(*COLUMNS)
 
 
 def promo_reference(
@@ -51,7 +56,10 @@ def promo_reference(
     brands: Sequence[str],
     network_headings: Sequence[str],
 ) -> DataFrame:
-    """Known operations, the rows the cost mart adds, unknown ones and gaps."""
+    """Known operations, the rows the cost mart adds, unknown ones and gaps.
+
+    The costs and the promotions are each read once.
+    """
     added = literal((FINANCING, FINANCING.upper()), (FIXED_MARGIN, FIXED_MARGIN.upper()))
     unknown = [f"{UNKNOWN} - {klass}" for klass in (CLIENT, NETWORK)]
     listed = union_all([promos.select(*COLUMNS).distinct(), literal_rows(countries, brands, added)])
@@ -61,4 +69,4 @@ def promo_reference(
             literal_rows(countries, brands, literal(*((u, u) for u in unknown))),
         ]
     )
-    return union_all([reference, unflagged_operations(costs, reference, network_headings)]).distinct()
+    return complete(reference, booked_operations(costs, network_headings), KEY)

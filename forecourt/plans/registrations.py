@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import fixed_values as fixed
@@ -25,8 +26,10 @@ VEHICLE_COLUMNS = (
     "demo", "registered_on", "available_on", "shipped_on", "arrived_on", "production_date",
 )
 MOVEMENT_COLUMNS = ("in_service_on", "demo_end", "registered_on")
+TIMES = "__times"
 
-# Left joins in the order they are attached: table, key of the table → key of the line, columns.
+# Left joins in the order they are attached: table, key of the table → key of the line, columns. Without columns
+# a table only says how often a line counts.
 OPTIONAL_TABLES: tuple[tuple[str, Mapping[str, ColumnLike], Sequence[str]], ...] = (
     ("orders", {"affiliate": "affiliate", "order_no": "order_no"}, ORDER_COLUMNS),
     ("engines", {"affiliate": "affiliate", "engine": "engine"}, ()),
@@ -37,6 +40,19 @@ OPTIONAL_TABLES: tuple[tuple[str, Mapping[str, ColumnLike], Sequence[str]], ...]
 )
 
 
+def satellite(
+    frame: DataFrame, name: str, on: Mapping[str, ColumnLike], columns: Sequence[str], role: str | None = None
+) -> DimSpec:
+    """A table beside the lines, as far as it is attached: its different rows, and how often each occurs.
+
+    A line counts as often as it meets a row, so the number of equal rows weights the sum instead of the join.
+    Tables about vehicles may have very many different rows for one.
+    """
+    times = f"{name}{TIMES}"
+    rows = frame.groupBy(*dict.fromkeys((*on, *columns))).agg(F.count("*").alias(times))
+    return DimSpec(rows, on, "left", [*columns, times], role, many="vehicle" in on)
+
+
 def registrations(
     tables: Mapping[str, DataFrame],
     window: tuple[date, date],
@@ -52,7 +68,7 @@ def registrations(
 
     Countries are recoded to their English names before anything is filtered or
     joined by them. A line counts once per combination of all its attributes, with
-    its emissions summed.
+    its emissions summed over all rows it meets in the tables beside it.
     """
     labels = recode(tables["countries"].withColumn("country", F.col("country_label")), "country", country_names)
     families = keep_in(keep_in(tables["families"], "affiliate", family_affiliates), "brand", brands)
@@ -72,13 +88,13 @@ def registrations(
     # Blank ids stand for no vehicle: as NULL they match nothing, and don't meet in one task.
     known = {"vehicle": F.when(F.trim("vehicle") != "", F.col("vehicle"))}
     optional = [
-        DimSpec(tables[t], {**on, **known} if "vehicle" in on else on, "left", columns)
-        for t, on, columns in OPTIONAL_TABLES
+        satellite(tables[t], t, {**on, **known} if "vehicle" in on else on, columns) for t, on, columns in OPTIONAL_TABLES
     ]
-    movements = DimSpec(
-        tables["movements"], {"affiliate": "affiliate", **known}, "left", MOVEMENT_COLUMNS, role="movement"
+    movements = satellite(
+        tables["movements"], "movements", {"affiliate": "affiliate", **known}, MOVEMENT_COLUMNS, role="movement"
     )
     wide = attach(base, [*optional, movements])
+    times = [F.coalesce(c, F.lit(1)) for c in wide.columns if c.endswith(TIMES)]
     wide = attach_label(wide, tables["professions"], "profession", "code", "label", "profession_label")
     wide = wide.withColumn(
         "registered_on",
@@ -92,7 +108,7 @@ def registrations(
         *LINE_COLUMNS, "vehicle_type", "family", "family_label", "brand", "country", *ORDER_COLUMNS,
         *VEHICLE_COLUMNS, "in_service_on", "demo_end", "pack_label", "reserved_on", "profession_label",
     ]
-    counted = summarise(wide, keys, {"co2": sum_if(F.col("vehicle").isNotNull(), "co2")})
+    counted = summarise(wide, keys, {"co2": sum_if(F.col("vehicle").isNotNull(), reduce(Column.__mul__, times, F.col("co2")))})
     coded = recode(with_ymd(counted, "sale_date"), "vehicle_type", fixed.VEHICLE_TYPES)
     return coded.withColumns(
         {f"{op}_label": promo_label(op) for op in ORDER_COLUMNS[:5]}

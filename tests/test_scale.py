@@ -72,6 +72,44 @@ def test_hot_dimension_key(frame):
     assert dealt.count() == 2 * 61 + 3
 
 
+def scans(df, table):
+    """How often a query that ran has read a table; an exchange that is used again isn't read again."""
+    return plan_of(df).split("== Initial Plan ==")[0].count(f"/{table}.parquet")
+
+
+def test_systems_are_read_twice_at_most(spark, settings):
+    settings(autoBroadcastJoinThreshold=-1, adaptive__autoBroadcastJoinThreshold=-1)
+    merged = entry.queries()["q_full_outer"](spark, FOLDER)
+    assert len(merged.collect()) > 1000
+    assert (scans(merged, "orders"), scans(merged, "lineitem")) == (2, 2)
+    assert "FullOuter" not in plan_of(merged)
+    hot = entry.queries()["q_hot_lines"](spark, FOLDER)
+    assert hot.collect()
+    assert sorted((scans(hot, "orders"), scans(hot, "lineitem"))) == [1, 2]
+
+
+def test_hot_key_in_both_systems_is_split(spark, settings):
+    settings(adaptive__autoBroadcastJoinThreshold=-1, autoBroadcastJoinThreshold=-1, adaptive__advisoryPartitionSizeInBytes="64k")
+    settings(adaptive__skewJoin__skewedPartitionThresholdInBytes="64k", adaptive__skewJoin__skewedPartitionFactor=2)
+    ids = spark.range(60_000, numPartitions=8)
+    a = ids.select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    b = spark.range(-1, 70_000).select(F.when(F.col("id") != 7, F.col("id")).alias("k"), F.lit("y").alias("y"))
+    merged = joins.merge_sources(a, b, ["k"])
+    found = merged.collect()
+    assert "skew=true" in plan_of(merged)
+    plain = a.join(b, "k", "outer")
+    assert len(found) == plain.count() and rows(merged.groupBy("y").count()) == rows(plain.groupBy("y").count())
+
+
+def test_left_join_with_many_rows_equals_the_plain_one(frame):
+    fact = frame([(k, j, f"{k}{j}") for k in ("a", "b", None, "c") for j in (1, 2, None)] * 3, "k string, j int, f string")
+    dim = frame([("a", 1, "x"), ("a", 1, None), ("b", None, "y"), (None, 2, "z"), ("b", 2, "w")], "dk string, dj int, d string")
+    specs = [DimSpec(dim, {"dk": "k", "dj": F.col("j") + 0}, "left", many=many) for many in (True, False)]
+    assert rows(attach(fact, [specs[0]])) == rows(attach(fact, [specs[1]]))
+    assert rows(attach(fact.limit(0), [specs[0]])) == []
+    assert rows(attach(fact, [DimSpec(dim.limit(0), {"dk": "k"}, "left", ["d"], many=True)])) == rows(fact.withColumn("d", F.lit(None)))
+
+
 def test_hot_key_in_both_systems(frame):
     a = frame([("hot", i) for i in range(5)] + [("a", 1), (None, 2)], "k string, x int")
     b = frame([("hot", i) for i in range(20)] + [("b", 1), (None, 2)], "k string, y int")

@@ -267,7 +267,7 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
             text(key % 4).alias("discount_percent"),
         ),
         "engines": t.nation.select(
-            F.col("n_nationkey").alias("affiliate"), F.explode(F.array(F.lit("LARGE"), F.lit("SMALL"))).alias("engine")
+            F.col("n_nationkey").alias("affiliate"), F.explode(F.array(F.lit("LARGE"), F.lit("SMALL"), F.lit("LARGE"))).alias("engine")
         ),
         "vehicles": order.filter("o_orderpriority <> '2-HIGH'").select(
             F.col("c_nationkey").alias("affiliate"),
@@ -279,7 +279,7 @@ def registration_tables(t: Tables) -> dict[str, DataFrame]:
             F.date_add(day("o_orderdate"), 8).alias("arrived_on"),
             F.date_add(day("o_orderdate"), -50).alias("production_date"),
         ),
-        "usages": t.nation.select(F.col("n_nationkey").alias("affiliate"), F.lit("1-URGENT").alias("usage")),
+        "usages": t.nation.select(F.col("n_nationkey").alias("affiliate"), F.explode(F.array_repeat(F.lit("1-URGENT"), 3)).alias("usage")),
         "packs": t.supplier.select(
             F.col("s_nationkey").alias("affiliate"),
             F.col("s_suppkey").alias("pack"),
@@ -339,7 +339,8 @@ REGISTRATION_SQL = f""", b as (
         case when b.o_orderpriority <> '3-MEDIUM' then placed + 40 end as in_service_on,
         case when b.o_orderpriority <> '3-MEDIUM' and b.o_orderkey % 7 = 0 then placed + 90 end as demo_end,
         s_name as pack_label, case when b.o_orderpriority = '5-LOW' then placed end as reserved_on,
-        prof.label as profession_label, cast(l_quantity as decimal(18,2)) as emission
+        prof.label as profession_label, cast(l_quantity as decimal(18,2)) * case p_type when 'LARGE' then 2 else 1 end
+          * case b.o_orderpriority when '1-URGENT' then 3 else 1 end as emission
       from b
       left join (select o_orderkey as k, {OPERATION_COLUMNS_SQL}, nullif(cast(o_orderkey % 2 as varchar), '0') as promo,
           cast(o_orderkey % 3 as varchar) as promo_2,
