@@ -38,7 +38,8 @@ from forecourt.plans.sales import sales
 from forecourt.plans.vehicle_cost import vehicle_cost
 from forecourt.plans.vehicle_sales import vehicle_sales
 from forecourt.sources.extracts import read_extract, read_extract_set
-from forecourt.sources.zones import land, read_zone, snapshot, write_zone
+from forecourt.sources.files import content_of
+from forecourt.sources.zones import Landed, land, read_zone, snapshot, write_zone
 
 ZONES = ("source", "raw", "standard", "refined", "published")
 SITE = ("country", "brand")
@@ -381,10 +382,24 @@ def needed(request: str) -> set[str]:
     return found
 
 
+def land_months(run: Run, source: str, folder: str, fact: str, date_column: str, months: Sequence[Window]) -> None:
+    """Copy months of a fact, but for those that were copied from the same files before."""
+    landed, content, path = Landed(run.spark, folder), content_of(run.spark, source), f"{folder}/{fact}"
+    copies = {m: f"{path}/year={m[0].year}/month={m[0].month}" for m in months}
+    names = {m: f"{fact}/{m[0]:%Y-%m}" for m in months}
+    wanted = [m for m in months if not landed.current(names[m], content, copies[m])]
+    if wanted:
+        rows = reduce_fact(run.spark.read.parquet(source), date_column, wanted[0][0], wanted[-1][1])
+        write_zone(rows.drop("day"), path, ("year", "month"), only=month_partitions(wanted))
+    for m in wanted:
+        landed.record(names[m], content, copies[m])
+
+
 def land_systems(run: Run, systems: Iterable[str], as_of: datetime, ledger: Ledger) -> list[str]:
     """Copy the source tables, and keep a dated image of the copy if wanted. Returns the systems copied.
 
-    Facts are landed by month, and only the months that the window touches; the others stay.
+    Facts are landed by month, and only the months that the window touches; the others stay. Tables and months that
+    haven't changed since they were copied aren't copied again.
     """
     months = months_of(run.window)
     copied = []
@@ -392,13 +407,11 @@ def land_systems(run: Run, systems: Iterable[str], as_of: datetime, ledger: Ledg
         source = f"{run.settings.source}/{system}"
         if ledger.done(f"raw.{system}", [source], [run.path("raw", system)]):
             continue
-        plain = [t for t in SYSTEMS[system] if t not in FACTS]
-        land(run.spark, dict.fromkeys(plain, ()), source, run.path("raw", system))
+        copies = run.path("raw", system)
+        land(run.spark, {t: () for t in SYSTEMS[system] if t not in FACTS}, source, copies)
         for fact in (t for t in SYSTEMS[system] if t in FACTS):
             date_column = {ours: theirs for theirs, ours in SYSTEMS[system][fact].items()}["sale_date"]
-            rows = reduce_fact(run.spark.read.parquet(f"{source}/{fact}"), date_column, months[0][0], months[-1][1])
-            path = run.path("raw", f"{system}/{fact}")
-            write_zone(rows.drop("day"), path, ("year", "month"), only=month_partitions(months))
+            land_months(run, f"{source}/{fact}", copies, fact, date_column, months)
         if run.settings.historical:
             images = f"{run.settings.root}/historical/{system}"
             kept: dict[str, Iterable[str]] = {t: ("year", "month") if t in FACTS else () for t in SYSTEMS[system]}

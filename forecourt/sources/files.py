@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -71,15 +72,32 @@ class Files:
         context.rename(self.at(draft), self.at(name), self._over)
 
 
-def content_of(spark: SparkSession, path: str) -> str:
-    """A short text that changes when a file below a folder comes, goes or changes; empty where there is none.
-
-    Names, sizes and times come from Spark's own listing and are added up in a job, however many files there are.
-    """
+def _listed(spark: SparkSession, path: str) -> DataFrame | None:
+    """Names, sizes and times of all files below a folder, from Spark's own listing, however many there are."""
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).drop("content")
     except AnalysisException:
-        return ""
+        return None
+
+
+def _content() -> Column:
     one = F.xxhash64("path", "length", F.col("modificationTime").cast("double")).cast("decimal(38,0)")
-    n, total = files.agg(F.count("*"), F.sum(one)).first()
-    return f"{n}:{total}" if n else ""
+    return F.concat_ws(":", F.count("*").cast("string"), F.sum(one).cast("string"))
+
+
+def content_of(spark: SparkSession, path: str) -> str:
+    """A short text that changes when a file below a folder comes, goes or changes; empty where there is none."""
+    files = _listed(spark, path)
+    n, content = files.agg(F.count("*"), _content()).first() if files is not None else (0, "")
+    return content if n else ""
+
+
+def contents_by_part(spark: SparkSession, path: str, partition_by: Sequence[str]) -> dict[str, str]:
+    """The content of each partition of a table, by the partition's folder; a table without partitions is one of no name."""
+    files = _listed(spark, path)
+    if files is None:
+        return {}
+    pattern = "/".join(["", *(f"{c}=[^/]*" for c in partition_by), ""]) if partition_by else ""
+    part = F.regexp_extract("path", f"({pattern})[^/]*$", 1)
+    parts = files.groupBy(F.trim(part, F.lit("/")).alias("part")).agg(_content().alias("content"))
+    return {r.part: r.content for r in parts.collect()}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from forecourt.operators.filters import restrict
 from forecourt.sources import commits
-from forecourt.sources.files import Files
+from forecourt.sources.files import Files, content_of, contents_by_part
 
 
 def read_zone(
@@ -98,16 +98,80 @@ def _keeps_any(spark: SparkSession, path: str, staged: str, partition_by: Sequen
     return any(table.matching(f"{f}/*") for f in table.matching(leaf) if f not in gone)
 
 
-def land(spark: SparkSession, tables: Mapping[str, Sequence[str]], src: str, dst: str) -> None:
-    """Copy tables into the landing zone; ``tables`` names their partition columns."""
+LANDED, MANIFEST = "_landed.json", "_manifest.json"
+
+
+class Landed:
+    """What was copied to a folder, so that what hasn't changed isn't copied again."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._files = spark, Files(spark, folder)
+        self._known: dict[str, dict] = self._files.read(LANDED) or {}
+
+    def current(self, name: str, source: str, copy: str) -> bool:
+        """Whether neither the source nor the copy has changed since the copy was made."""
+        known = self._known.get(name)
+        return known is not None and known == {"from": source, "to": content_of(self._spark, copy)}
+
+    def record(self, name: str, source: str, copy: str) -> None:
+        self._known[name] = {"from": source, "to": content_of(self._spark, copy)}
+        self._files.write(LANDED, self._known)
+
+
+def land(spark: SparkSession, tables: Mapping[str, Sequence[str]], src: str, dst: str) -> list[str]:
+    """Copy tables into the landing zone; ``tables`` names their partition columns.
+
+    A table whose files are those that were copied last is left alone. Returns the names of the others.
+    """
+    landed = Landed(spark, dst)
+    copied = []
     for name, partition_by in tables.items():
-        write_zone(spark.read.parquet(f"{src}/{name}"), f"{dst}/{name}", partition_by)
+        source, copy = content_of(spark, f"{src}/{name}"), f"{dst}/{name}"
+        if not landed.current(name, source, copy):
+            write_zone(spark.read.parquet(f"{src}/{name}"), copy, partition_by)
+            landed.record(name, source, copy)
+            copied.append(name)
+    return copied
 
 
 def snapshot(
     spark: SparkSession, tables: Mapping[str, Sequence[str]], src: str, dst: str, as_of: datetime
 ) -> str:
-    """Keep a dated copy of a set of tables and return its folder."""
-    folder = f"{dst}/image_as_of={as_of:%Y-%m-%d_%H-%M-%S}"
-    land(spark, tables, src, folder)
-    return folder
+    """Keep a dated image of a set of tables and return its folder.
+
+    Only partitions that have changed since the latest image are copied, and tables without partitions as a whole;
+    a manifest says which image holds the others. So older images must stay as long as
+    newer ones; ``read_image`` puts a table together.
+    """
+    images = Files(spark, dst)
+    made = [name.partition("/")[0] for name in images.matching(f"image_as_of=*/{MANIFEST}")]
+    name = f"image_as_of={as_of:%Y-%m-%d_%H-%M-%S}"
+    earlier = max((m for m in made if m < name), default=None)
+    before = images.read(f"{earlier}/{MANIFEST}") if earlier else {}
+    manifest: dict[str, dict] = {}
+    for table, partition_by in tables.items():
+        found = contents_by_part(spark, f"{src}/{table}", partition_by)
+        old = before.get(table, {})
+        changed = sorted(p for p, content in found.items() if old.get(p, {}).get("content") != content)
+        if changed:
+            write_zone(_parts(spark, f"{src}/{table}", changed), f"{dst}/{name}/{table}", partition_by)
+        manifest[table] = {p: {"content": c, "image": name if p in changed else old[p]["image"]} for p, c in found.items()}
+    images.write(f"{name}/{MANIFEST}", manifest)
+    return f"{dst}/{name}"
+
+
+def read_image(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table as it was when an image was made, from all images that hold parts of it."""
+    dst, _, name = folder.rstrip("/").rpartition("/")
+    manifest = Files(spark, dst).read(f"{name}/{MANIFEST}")
+    if manifest is None:
+        raise FileNotFoundError(f"{folder} is no complete image")
+    held: dict[str, list[str]] = {}
+    for part, entry in manifest[table].items():
+        held.setdefault(entry["image"], []).append(part)
+    frames = [_parts(spark, f"{dst}/{image}/{table}", sorted(parts)) for image, parts in sorted(held.items())]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+
+
+def _parts(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*(f"{path}/{p}" if p else path for p in parts))

@@ -263,6 +263,17 @@ def test_flag_missing(frame):
     assert rows(out) == [("a", "F", "!")]
 
 
+def test_complete(frame):
+    kind = "op string, country string, category string"
+    ref = frame([("a", "F", "1"), ("a", "F", "2"), ("a", "F", "1"), (None, "F", "3")], kind)
+    ops = frame([("a", "F", "!"), ("b", "F", "!"), ("b", "F", "!"), ("b", "F", "?"), (None, "F", "!"), ("a", "G", None)], kind)
+    assert rows(row_ops.complete(ref, ops, ["op", "country"])) == [
+        ("a", "F", "1"), ("a", "F", "2"), ("a", "G", None), ("b", "F", "!"), ("b", "F", "?"), (None, "F", "!"), (None, "F", "3"),
+    ]
+    assert rows(row_ops.complete(ref.limit(0), ops, ["op", "country"])) == rows(ops.distinct())
+    assert rows(row_ops.complete(ref, ops.limit(0), ["op", "country"])) == rows(ref.distinct())
+
+
 def test_calendar(spark):
     out = {r["date"]: r for r in calendar(spark, date(2019, 12, 31), date(2020, 3, 1)).collect()}
     assert len(out) == 62 and date(2020, 2, 29) in out

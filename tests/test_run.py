@@ -349,6 +349,16 @@ def test_facts_are_landed_by_month(spark, settings_of):
     assert "PartitionFilters: [isnotnull" in pruned._jdf.queryExecution().toString()
 
 
+def test_unchanged_months_are_not_landed_again(spark, settings_of, three_months):
+    settings = replace(settings_of, source=three_months, historical=False)
+    facts = Path(settings.root) / "raw" / "sales" / "facts"
+    files_of = lambda: {p.name: p.stat().st_mtime_ns for p in facts.rglob("*.parquet")}
+    run(spark, settings, "sales", "source", "raw", MONTHS, months=2)
+    before = files_of()
+    run(spark, settings, "sales", "source", "raw", MONTHS, months=3)
+    assert before.items() < files_of().items()
+
+
 def test_command_line(tmp_path, capsys):
     file = tmp_path / "settings.json"
     file.write_text(json.dumps({"root": "r", "source": "s", "extracts": "e", "brands": ["AP"]}))

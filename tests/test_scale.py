@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from forecourt.operators import duplicates, joins
 from forecourt.operators.joins import DimSpec, attach
+from forecourt.plans import registrations, sales
 from forecourt.session import tune
 from tests.conftest import rows
+from workload import marts
+from workload.registry import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -137,3 +142,71 @@ def test_hot_group_count(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), "id")
     counted = duplicates.with_group_count(df, ["k"])
     assert counted.filter("n = 10000").count() == 10_000
+
+
+def test_the_sales_fact_is_shuffled_once_and_without_labels(spark, settings):
+    settings(autoBroadcastJoinThreshold=-1)
+    tables = marts.sales_tables(Tables(spark, FOLDER))
+    summed = plan_of(sales.summed_by_id(tables, marts.WINDOW, marts.SALES_MODEL))
+    assert "_label" not in summed and "label_fr" not in summed
+    assert "partial_sum" in summed
+    wide = entry.queries()["q_sales_wide"](spark, FOLDER)
+    lines = plan_of(wide).splitlines()
+    first = max(k for k, line in enumerate(lines) if "partial_sum" in line)  # the sum next to the fact
+    assert "_label" not in lines[first] and "_code" not in lines[first] and "vehicle_id" in lines[first]
+
+
+def test_sums_by_id_count_repeated_dimension_rows(frame):
+    fact = frame([(1, 1, "x", 2.0), (1, 2, "x", 3.0), (1, 3, "x", 4.0), (9, 1, "x", 5.0), (1, None, "x", 6.0)], "base_id int, heading_id int, promo string, volume double").withColumn("sale_date", F.lit("2020-01-05").cast("date"))
+    kinds = "id int, code string, label_fr string, label_en string, label_es string"
+    tables = {
+        "facts": fact,
+        "base": frame([(1, "LA", "", "", ""), (1, "LA", "", "", ""), (9, "EA", "", "", "")], kinds),
+        "heading": frame([(1, "H", "one", "", ""), (2, "H", "one", "", "")], kinds),
+    }
+    model = sales.SalesModel(
+        dimensions=(
+            sales.Dimension("base", {"id": "base_id"}, labelled=False, only=("LA",), reported=False),
+            sales.Dimension("heading", {"id": "heading_id"}, "left", fallback=False),
+        ),
+        attributes=("promo",),
+        measures=("volume",),
+    )
+    wide = sales.sales_wide(tables, (date(2020, 1, 1), date(2020, 1, 31)), model)
+    assert rows(wide) == [("x", "H", "one", 10.0), ("x", None, None, 20.0)]
+
+
+def test_promotions_and_costs_meet_in_an_aggregate(spark, settings):
+    settings(autoBroadcastJoinThreshold=-1, adaptive__autoBroadcastJoinThreshold=-1)
+    promos = entry.queries()["q_promo_reference"](spark, FOLDER)
+    assert promos.collect() and "LeftAnti" not in plan_of(promos)
+    assert scans(promos, "lineitem") <= 3  # promotions, booked costs, vehicles
+
+
+def test_satellites_weight_the_sum_instead_of_the_rows(frame):
+    lines = frame([("V1", "E1", 10.0), ("V2", "E2", 5.0), (None, "E1", 7.0)], "vehicle string, engine string, co2 double")
+    engines = frame([("E1", "a"), ("E1", "b"), ("E1", "b")], "engine string, maker string")
+    moves = frame([("V1", "x")] * 3 + [("V1", "y"), (None, "z")], "vehicle string, place string")
+    specs = [
+        registrations.satellite(engines, "engines", {"engine": "engine"}, ()),
+        registrations.satellite(moves, "moves", {"vehicle": "vehicle"}, ["place"]),
+    ]
+    assert [s.many for s in specs] == [False, True]
+    wide = attach(lines, specs)
+    assert wide.count() == 4
+    times = [F.coalesce(c, F.lit(1)) for c in wide.columns if c.endswith(registrations.TIMES)]
+    weighted = wide.groupBy("vehicle", "place").agg(F.sum(F.col("co2") * times[0] * times[1]).alias("co2"))
+    plain = lines.join(engines, "engine", "left").join(moves, "vehicle", "left").groupBy("vehicle", "place").agg(F.sum("co2").alias("co2"))
+    assert rows(weighted) == rows(plain)
+
+
+def test_a_hot_vehicle_in_movements_is_split(spark, settings):
+    settings(adaptive__autoBroadcastJoinThreshold=-1, autoBroadcastJoinThreshold=-1, adaptive__advisoryPartitionSizeInBytes="64k")
+    settings(adaptive__skewJoin__skewedPartitionThresholdInBytes="64k", adaptive__skewJoin__skewedPartitionFactor=2)
+    lines = spark.range(-1, 60_000).select(F.col("id").cast("string").alias("vehicle"), F.lit(1.0).alias("co2"))
+    ids = spark.range(60_000, numPartitions=8)
+    vehicle = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("string")
+    movements = ids.select(vehicle.alias("vehicle"), F.sha2(F.col("id").cast("string"), 256).alias("place"))
+    wide = attach(lines, [registrations.satellite(movements, "movements", {"vehicle": "vehicle"}, ["place"])])
+    assert len(wide.collect()) == 80_000
+    assert "skew=true" in plan_of(wide)

@@ -3,13 +3,14 @@ from __future__ import annotations
 from datetime import date, datetime
 from unittest.mock import MagicMock
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from forecourt.operators.schema import TableSpec
 from forecourt.sources import databases
 from forecourt.sources.extracts import export_csv, find_extracts, read_extract, read_extract_set
-from forecourt.sources.zones import land, read_zone, snapshot, write_zone
+from forecourt.sources.zones import land, read_image, read_zone, snapshot, write_zone
 from tests.conftest import rows
 
 SPEC = TableSpec({"Libellé": "label", "volume": "volume"}, {"extra": "double"})
@@ -83,15 +84,46 @@ def test_hot_partition_is_written_by_many_tasks(spark, settings, tmp_path):
     assert len(list((tmp_path / "zone" / "country=F").glob("*.parquet"))) > 4
 
 
-def test_land_and_snapshot(spark, frame, tmp_path):
-    write_zone(frame([(1, "F")], "v int, country string"), str(tmp_path / "src" / "a"), ("country",))
-    write_zone(frame([(2,)], "v int"), str(tmp_path / "src" / "b"))
+def files_in(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_land_copies_what_changed(spark, frame, tmp_path):
+    src, raw = tmp_path / "src", tmp_path / "raw"
     tables = {"a": ("country",), "b": ()}
-    land(spark, tables, str(tmp_path / "src"), str(tmp_path / "raw"))
-    folder = snapshot(spark, tables, str(tmp_path / "raw"), str(tmp_path / "hist"), datetime(2020, 1, 2, 3, 4, 5))
-    assert folder.endswith("image_as_of=2020-01-02_03-04-05")
-    assert rows(read_zone(spark, f"{folder}/a", "F")) == [(1, "F")]
-    assert rows(read_zone(spark, f"{folder}/b")) == [(2,)]
+    write_zone(frame([(1, "F")], "v int, country string"), str(src / "a"), ("country",))
+    write_zone(frame([(2,)], "v int"), str(src / "b"))
+    assert land(spark, tables, str(src), str(raw)) == ["a", "b"]
+    before = files_in(raw)
+    assert land(spark, tables, str(src), str(raw)) == [] and files_in(raw) == before
+    write_zone(frame([(3,)], "v int"), str(src / "b"))
+    assert land(spark, tables, str(src), str(raw)) == ["b"]
+    assert rows(read_zone(spark, str(raw / "b"))) == [(3,)]
+    write_zone(frame([(9, "F")], "v int, country string"), str(raw / "a"), ("country",))  # someone changed the copy
+    assert land(spark, tables, str(src), str(raw)) == ["a"]
+    assert rows(read_zone(spark, str(raw / "a"), "F")) == [(1, "F")]
+
+
+def test_a_second_image_copies_what_changed(spark, frame, tmp_path):
+    raw, images = str(tmp_path / "raw"), tmp_path / "hist"
+    tables, kind = {"a": ("year", "month"), "b": (), "c": ()}, "v int, year int, month int"
+    write_zone(frame([(1, 2020, 1), (2, 2020, 2), (3, 2021, 1)], kind), f"{raw}/a", ("year", "month"))
+    write_zone(frame([(5,)], "v int"), f"{raw}/b")
+    write_zone(frame([], "v int"), f"{raw}/c")
+    first = snapshot(spark, tables, raw, str(images), datetime(2020, 1, 2, 3, 4, 5))
+    assert first.endswith("image_as_of=2020-01-02_03-04-05")
+    assert rows(spark.read.parquet(f"{first}/a")) == rows(read_image(spark, first, "a")) == [(1, 2020, 1), (2, 2020, 2), (3, 2021, 1)]
+    write_zone(frame([(7, 2020, 2)], kind), f"{raw}/a", ("year", "month"), only=[{"year": 2020, "month": 2}, {"year": 2021, "month": 1}])
+    second = snapshot(spark, tables, raw, str(images), datetime(2020, 2, 1))
+    copied = {p.rpartition("/")[0] for p in files_in(images) if p.startswith("image_as_of=2020-02")}
+    assert copied == {"image_as_of=2020-02-01_00-00-00/a/year=2020/month=2"}
+    assert rows(read_image(spark, second, "a")) == [(1, 2020, 1), (7, 2020, 2)]
+    assert rows(read_image(spark, second, "b")) == [(5,)] and read_image(spark, second, "c").columns == ["v"]
+    third = snapshot(spark, tables, raw, str(images), datetime(2020, 3, 1))
+    assert rows(read_image(spark, third, "a")) == [(1, 2020, 1), (7, 2020, 2)]
+    assert rows(read_image(spark, first, "a"))[1] == (2, 2020, 2)  # older images stay what they were
+    with pytest.raises(FileNotFoundError):
+        read_image(spark, str(images / "image_as_of=1999-01-01_00-00-00"), "a")
 
 
 class Recorder:
@@ -136,25 +168,57 @@ def test_database_read_options():
     spark.read = reader
     databases.read_jdbc(spark, "jdbc:x", "(select 1) q", properties={"driver": "D"})
     told = reader.told
-    assert (told["url"], told["dbtable"], told["fetchsize"], told["driver"]) == ("jdbc:x", "(select 1) q", 10_000, "D")
+    assert (told["url"], told["dbtable"], told["fetchsize"], told["driver"]) == ("jdbc:x", "(select 1) q", "10000", "D")
     assert "numPartitions" not in told
 
 
-def test_database_read_in_ranges():
-    readers = []
+class Answers:
+    """Stands in for a session that reads from a database; DuckDB within this process runs the SQL."""
+
+    def __init__(self, con):
+        self.con, self.asked = con, []
+
+    read = property(lambda self: self)
+
+    def format(self, _):
+        return self
+
+    def options(self, **_):
+        return self
+
+    def option(self, name, value):
+        if name == "dbtable":
+            self.asked.append(value)
+        return self
+
+    def load(self):
+        found = self.con.execute(f"select * from {self.asked[-1]}").fetchall()
+        return MagicMock(collect=lambda: found)
+
+    def jdbc(self, url, table, predicates, properties):
+        """How many rows each task would read."""
+        return [self.con.execute(f"select count(*) from {table} where {p}").fetchone()[0] for p in predicates]
+
 
-    class Bounded(Recorder):
-        def load(self):
-            return MagicMock(first=lambda: (date(2020, 1, 1), date(2020, 12, 31)))
+@pytest.mark.parametrize("column", ["id", "day", "name", "moment"])
+def test_database_read_in_equal_shares(column):
+    """Ids with a long tail: ranges of equal width would give one task nearly everything."""
+    con = duckdb.connect()
+    con.execute(
+        """create table sold as select n, case when n % 50 <> 7 then n * n * n end as id,
+        date '2020-01-01' + cast(sqrt(n) as integer) as day, chr(39) || n as name,
+        timestamp '2020-01-01' + to_seconds(n * n) as moment from range(4000) t(n)"""
+    )
+    shares = databases.read_jdbc(Answers(con), "jdbc:x", "sold", split=(column, 8))
+    assert sum(shares) == 4000 and len(shares) == 8 and max(shares) < 4000 / 8 * 1.3
 
-    class Session:
-        @property
-        def read(self):
-            readers.append(Bounded())
-            return readers[-1]
 
-    databases.read_jdbc(Session(), "jdbc:x", "sales", split=("sold", 8))
-    whole, bounds = (r.told for r in readers)
-    assert bounds["dbtable"] == "(SELECT MIN(sold) AS low, MAX(sold) AS high FROM sales) bounds"
-    assert (whole["partitionColumn"], whole["numPartitions"]) == ("sold", 8)
-    assert (whole["lowerBound"], whole["upperBound"]) == ("2020-01-01", "2020-12-31")
+def test_database_read_with_a_hot_value_or_none():
+    con = duckdb.connect()
+    con.execute("create table hot as select case when n % 3 = 0 then 5 else n end as id from range(900) t(n)")
+    shares = databases.read_jdbc(Answers(con), "jdbc:x", "(select * from hot)", split=("id", 10))
+    assert sum(shares) == 900 and max(shares) < 420
+    con.execute("create table nothing as select 1 as id where false")
+    assert databases.read_jdbc(Answers(con), "jdbc:x", "nothing", split=("id", 4)) == [0]
+    con.execute("create table missing as select cast(null as integer) as id from range(5)")
+    assert databases.read_jdbc(Answers(con), "jdbc:x", "missing", split=("id", 4)) == [5]
