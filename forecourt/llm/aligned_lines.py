@@ -41,7 +41,9 @@ from forecourt.llm.tokens import Words, _power, combine, encoded, mix, pieces, s
 
 WINDOW, FORCED, REPEATED = 4, 64, 8  # words compared on either side of a cut; longest line; least line of words that repeat
 LINE_WORDS, BLOCK_WORDS = 5, 50
-LAST = (1 << 63) - 1  # null ids come last
+LAST = (1 << 63) - 1
+NO_ID = LAST - (1 << 40)  # ranks above stand for documents without an id
+AT_ONCE = 1 << 20  # windows that a task holds
 
 BLOCKS = "rank bigint, print binary, first bigint, start bigint, end bigint"
 
@@ -295,6 +297,11 @@ def fewest(found: list[tuple[int, int]], size: int) -> list[tuple[int, int, int]
         else:
             open_[first] = [first, at, at + size]
             runs.append(open_[first])
+    return cover(runs)
+
+
+def cover(runs: list[list[int]]) -> list[tuple[int, int, int]]:
+    """As few of some blocks (document, start, end), in order of their starts, as cover the same words."""
     out: list[tuple[int, int, int]] = []
     k, reached = 0, -1
     while k < len(runs):
@@ -326,11 +333,16 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
         return len(marks), windows(marks, at, size), at
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held = [], 0
         for batch in batches:
-            hashes = [np.zeros(0, np.int64)]
-            for k, own in enumerate(batch.column("spans").to_pylist()):
+            for k in range(batch.num_rows):
                 count, hash_, at = found(batch, k, "later")
-                hashes.append(hash_[uncovered(count, own or [], at, size)])
+                hashes.append(hash_[uncovered(count, batch.column("spans")[k].as_py() or [], at, size)])
+                held += len(hashes[-1])
+                if held > AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(hashes)))], names=["hash"])
+                    hashes, held = [], 0
+        if hashes:
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(hashes)))], names=["hash"])
 
     # The first document with a line asks for none of its windows, or all copies would answer.
@@ -340,8 +352,14 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(shared.value).view(bool)
+
+        def answered(batch: pa.RecordBatch, rows: list, hashes: list, places: list) -> pa.RecordBatch:
+            at = pa.array(np.concatenate(rows))
+            columns = [*[batch.column(c).take(at) for c in ("rank", "print")], *[pa.array(np.concatenate(c)) for c in (hashes, places)]]
+            return pa.RecordBatch.from_arrays(columns, names=["rank", "print", "hash", "at"])
+
         for batch in batches:
-            rows, hashes, places = [], [], []
+            rows, hashes, places, held = [], [], [], 0
             for k in range(batch.num_rows):
                 _, own, at = found(batch, k, "runs")
                 one, two = _probes(own.view(np.uint64))
@@ -349,10 +367,12 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
                 rows.append(np.full(int(hit.sum()), k))
                 hashes.append(own[hit])
                 places.append(at[hit].astype(np.int32))
-            if rows:
-                at = pa.array(np.concatenate(rows))
-                columns = [*[batch.column(c).take(at) for c in ("rank", "print")], *[pa.array(np.concatenate(c)) for c in (hashes, places)]]
-                yield pa.RecordBatch.from_arrays(columns, names=["rank", "print", "hash", "at"])
+                held += len(rows[-1])
+                if held > AT_ONCE:
+                    yield answered(batch, rows, hashes, places)
+                    rows, hashes, places, held = [], [], [], 0
+            if held:
+                yield answered(batch, rows, hashes, places)
 
     answers = written(left.select("rank", "print", "runs", "marks").mapInArrow(answer, "rank bigint, print binary, hash bigint, at int"))
     alike = answers.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last").select("hash")
@@ -373,27 +393,56 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
     found_at = F.collect_set(F.struct("at", "first")).alias("found")
     hits = exact.join(holders, "hash").filter("first < rank").groupBy("rank", "print").agg(found_at)
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(own: pa.Array) -> list[tuple[int, int, int]]:
+        at, first = (own.field(c).to_numpy() for c in ("at", "first"))
+        order = np.lexsort((first, at))
+        return fewest(list(zip(at[order].tolist(), first[order].tolist(), strict=True)), size)
+
+    return per_text(hits, "found", merge)
+
+
+def per_text(grouped: DataFrame, column: str, blocks_of) -> DataFrame:
+    """Blocks (document, start, end) that a function makes of a list of structs, one text at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[int, int, int, int]] = []
-            for k, own in enumerate(batch.column("found").to_pylist()):
-                out += [(k, *block) for block in fewest(sorted((w["at"], w["first"]) for w in own), size)]
+            for k in range(batch.num_rows):
+                out += [(k, *block) for block in blocks_of(batch.column(column)[k].values)]
             rows = pa.array([o[0] for o in out], pa.int64())
             own = [pa.array([o[n] for o in out], pa.int64()) for n in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in ("rank", "print")], *own], names=["rank", "print", "first", "start", "end"])
 
-    return hits.mapInArrow(merge, BLOCKS)
+    return grouped.mapInArrow(run, BLOCKS)
+
+
+def covering(blocks: DataFrame) -> DataFrame:
+    """Of the blocks of each text as few as cover the same words."""
+
+    def chosen(own: pa.Array) -> list[tuple[int, int, int]]:
+        first, start, end = (own.field(c).to_numpy() for c in ("first", "start", "end"))
+        order = np.lexsort((first, -end, start))
+        return cover([list(b) for b in zip(first[order].tolist(), start[order].tolist(), end[order].tolist(), strict=True)])
+
+    spans = F.collect_set(F.struct("first", "start", "end")).alias("spans")
+    return per_text(blocks.groupBy("rank", "print").agg(spans), "spans", chosen)
+
+
+def rank_of(doc_id: Column, text: Column) -> Column:
+    """Place of a document in the order: its id, and without an id a place behind all ids that its text decides."""
+    return F.coalesce(doc_id.try_cast("long"), F.lit(LAST) - F.pmod(F.xxhash64(text), F.lit(LAST - NO_ID)))
 
 
 def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WORDS) -> DataFrame:
-    """Blocks to delete: ``rank`` (the id, nulls last), ``print`` of the later text, ``first``, the id of the
+    """Blocks to delete: ``rank`` (the id), ``print`` of the later text, ``first``, the rank of the
     earlier document, ``start`` and ``end`` (words of the later text).
 
-    Documents are ordered by id; rows with the same id aren't compared with each other. Words are runs of
-    other bytes than ASCII blanks. Null and empty texts have no block. Blocks of one text may overlap if several
-    earlier documents share parts of it. Repeated rows are one document.
+    Documents are ordered by id; those without one, or with one that is no number, come last in an order that their texts
+    decide, with ranks above ``NO_ID``. Rows with the same id aren't compared with each other. Words are runs of
+    other bytes than ASCII blanks. Null and empty texts have no block. Of the blocks of a text only as many are returned as
+    cover their words; these may still overlap. Repeated rows are one document. Very long texts are read whole; an empty table has no blocks.
     """
-    rank = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
+    rank = rank_of(F.col(doc_id), F.col("text"))
     plain = docs.select(rank.alias("rank"), fingerprint("text").alias("print"), "text").filter("print is not null")
     texts = written(sequences(plain))
     left = written(candidates(texts, LINE_WORDS, least_words))
@@ -420,7 +469,7 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WO
             yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in ("rank", "print", "first")], *spans], names=["rank", "print", "first", "start", "end"])
 
     blocks = written(both.mapInArrow(run, BLOCKS))
-    return blocks.unionByName(by_windows(plain, left, blocks, least_words))
+    return covering(blocks.unionByName(by_windows(plain, left, blocks, least_words)))
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -442,13 +491,13 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", least_words: int =
     blocks = aligned(docs, doc_id, least_words).groupBy("rank", "print").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     rank, mark, spans = fresh(docs, "rank", "mark", "spans")
     blocks = blocks.withColumnsRenamed({"rank": rank, "print": mark, "spans": spans})
-    same: Column = (F.coalesce(docs[doc_id].cast("long"), F.lit(LAST)) == blocks[rank]) & (fingerprint(docs["text"]) == blocks[mark])
+    same: Column = (rank_of(docs[doc_id], docs["text"]) == blocks[rank]) & (fingerprint(docs["text"]) == blocks[mark])
     joined = docs.join(blocks, same, "left").drop(rank, mark)
     names = docs.columns
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = batch.column(len(names)).to_pylist()
             texts = batch.column(place).to_pylist()
             left = [t if s is None else cut(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(texts, found, strict=True)]

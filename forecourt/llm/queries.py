@@ -215,8 +215,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All blocks of documents that an earlier document has as well."""
     found = aligned_lines.aligned(table(spark, sf_dir, "documents"))
-    doc_id = F.when(F.col("rank") < aligned_lines.LAST, F.col("rank")).alias("doc_id")
-    return found.select(doc_id, F.col("first").alias("earlier_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_words"))
+    doc_id, earlier = (F.when(F.col(c) <= aligned_lines.NO_ID, F.col(c)) for c in ("rank", "first"))
+    return found.select(doc_id.alias("doc_id"), earlier.alias("earlier_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_words"))
 
 
 OP11_SQL = r"""

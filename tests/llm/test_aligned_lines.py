@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from forecourt.llm import aligned_lines
 from forecourt.llm.tokens import words
@@ -162,5 +163,34 @@ def test_odd_rows(spark):
     assert aligned_lines.without_repeats(df).count() == df.count()
     assert aligned_lines.without_repeats(df.limit(0)).collect() == []
     copies = documents(spark, [prose(1, 60)] * 4, [7, 7, None, 9])
-    assert spans(copies) == {(9, 7, 0, 60), (aligned_lines.LAST, 7, 0, 60)}
+    found = spans(copies)
+    assert {(min(rank, aligned_lines.NO_ID), *rest) for rank, *rest in found} == {(9, 7, 0, 60), (aligned_lines.NO_ID, 7, 0, 60)}
+
+
+def test_documents_without_a_number_are_documents_of_their_own(spark):
+    passage = prose(99, 120)
+    texts = [f"{prose(k, 20)} {passage}" for k in range(4)]
+    missing = documents(spark, texts, [None] * 4)
+    assert len({rank for rank, *_ in spans(missing)}) == 3 and min(rank for rank, *_ in spans(missing)) > aligned_lines.NO_ID
+    left = [r.text for r in aligned_lines.without_repeats(missing).collect()]
+    assert sum(passage in t for t in left) == 1 and len(left) == 4
+    named = documents(spark, texts).withColumn("doc_id", F.concat(F.lit("page-"), "doc_id"))
+    kept = {r.doc_id: r.text for r in aligned_lines.without_repeats(named).collect()}
+    assert len(kept) == 4 and sum(passage in t for t in kept.values()) == 1
+
+
+def test_blocks_of_a_text_cover_it_without_being_many(spark):
+    """Edited copies share parts with all earlier copies; what is returned doesn't grow with their number."""
+    base = prose(5, 400).split()
+    texts = []
+    for k in range(30):
+        own = list(base)
+        own[(37 * k) % 400] = f"edit{k}"
+        texts.append(" ".join(own))
+    found = spans(documents(spark, texts))
+    per_text = [sum(rank == k for rank, *_ in found) for k in range(30)]
+    assert per_text[0] == 0 and max(per_text) <= 4
+    words_of = [len(set().union(*(range(s, e) for r, _, s, e in found if r == k))) for k in range(1, 30)]
+    assert min(words_of) >= 396
+    assert aligned_lines.cover([[1, 0, 60], [2, 0, 50], [3, 20, 70], [4, 55, 130], [5, 200, 260]]) == [(1, 0, 60), (4, 55, 130), (5, 200, 260)]
     assert sorted(r.doc_id for r in aligned_lines.without_repeats(copies).collect()) == [7, 7]
