@@ -191,6 +191,7 @@ def test_blocks_of_a_text_cover_it_without_being_many(spark):
     per_text = [sum(rank == k for rank, *_ in found) for k in range(30)]
     assert per_text[0] == 0 and max(per_text) <= 4
     words_of = [len(set().union(*(range(s, e) for r, _, s, e in found if r == k))) for k in range(1, 30)]
-    assert min(words_of) >= 396
+    # between its edit and that of the only earlier text, the second text has 36 words, too few for a block
+    assert words_of[0] == 362 and min(words_of[1:]) >= 396
     assert aligned_lines.cover([[1, 0, 60], [2, 0, 50], [3, 20, 70], [4, 55, 130], [5, 200, 260]]) == [(1, 0, 60), (4, 55, 130), (5, 200, 260)]
     assert sorted(r.doc_id for r in aligned_lines.without_repeats(copies).collect()) == [7, 7]
