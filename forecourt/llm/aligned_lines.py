@@ -43,7 +43,7 @@ WINDOW, FORCED, REPEATED = 4, 64, 8  # words compared on either side of a cut; l
 LINE_WORDS, BLOCK_WORDS = 5, 50
 LAST = (1 << 63) - 1
 NO_ID = LAST - (1 << 40)  # ranks above stand for documents without an id
-AT_ONCE = 1 << 20  # windows that a task holds
+AT_ONCE = 1 << 17  # windows that a task holds
 
 BLOCKS = "rank bigint, print binary, first bigint, start bigint, end bigint"
 
@@ -351,7 +351,11 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
     shared = left.sparkSession.sparkContext.broadcast(np.packbits(bit_table(asked)))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(shared.value).view(bool)
+        known = shared.value
+
+        def has(at: np.ndarray) -> np.ndarray:
+            at = at.astype(np.int64)
+            return (known[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
         def answered(batch: pa.RecordBatch, rows: list, hashes: list, places: list) -> pa.RecordBatch:
             at = pa.array(np.concatenate(rows))
@@ -363,7 +367,7 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
             for k in range(batch.num_rows):
                 _, own, at = found(batch, k, "runs")
                 one, two = _probes(own.view(np.uint64))
-                hit = known[one] & known[two]
+                hit = has(one) & has(two)
                 rows.append(np.full(int(hit.sum()), k))
                 hashes.append(own[hit])
                 places.append(at[hit].astype(np.int32))
