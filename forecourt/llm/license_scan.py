@@ -1,26 +1,28 @@
 """License notices, found by conditional compression.
 
-Text that repeats a license compresses much better when the license text is the compressor's
-dictionary. Blocks around words that notices contain are candidates for the templates whose words they hold;
-a candidate counts if its wording agrees with the template word by word, but for few differences. What it
-covers is compressed alone and with the template as raw dictionary, so the size reduction is measured at
-the scale of the notice, however long the block is.
+Text that repeats a license compresses much better when the license text is the compressor's dictionary.
+
+1. Runs of four words that a template has as well say where in a text it may stand. A notice with as many differing
+   words as are allowed still has such runs, and enough of them on neighbouring diagonals, so no candidate is lost.
+   A candidate block is as long as the template that suggests it, so sizes are always measured at one scale.
+2. Every block is compressed alone and with each template as raw dictionary. The templates are ranked by what they save.
+3. From the best on, templates are confirmed by their wording, word by word, in what better ones left of the block.
 """
 
 from __future__ import annotations
 
-import bisect
 import difflib
-import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.tokens import pieces
+from forecourt.llm.tokens import ALNUM, encoded, pieces, words
 
 # Wordings of license notices.
 TEMPLATES = {
@@ -53,48 +55,146 @@ TEMPLATES = {
     "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The "
     "above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
     "Software.",
+    "AGPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+    "your option) any later version.",
+    "BSD-3-Clause-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-disclaimer": "This software is provided by the copyright holders and contributors \"as is\" and any express or implied "
+    "warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular "
+    "purpose are disclaimed.",
+    "BSL-1.0-notice": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+    "software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+    "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit "
+    "third-parties to whom the Software is furnished to do so",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License 2.0 which is available at",
+    "GPL-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+    "option) any later version.",
+    "LGPL-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+    "your option) any later version.",
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+    "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+    "for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib-notice": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+    "held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+    "for any purpose, including commercial applications, and to alter it and redistribute it freely",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
-CUES = r"licen[sc]|copyright|permission|redistribut|warrant"
+NAMES = {
+    "AGPL-3.0": "GNU Affero General Public License",
+    "Apache-2.0": "Apache License",
+    "Artistic-2.0": "Artistic License 2.0",
+    "BSD-2-Clause": "BSD 2-Clause License",
+    "BSD-3-Clause": "BSD 3-Clause License",
+    "BSL-1.0": "Boost Software License",
+    "EPL-2.0": "Eclipse Public License 2.0",
+    "EUPL-1.2": "European Union Public Licence",
+    "GPL": "GNU General Public License",
+    "ISC": "ISC License",
+    "LGPL": "GNU Lesser General Public License",
+    "MIT": "MIT License",
+    "MPL-2.0": "Mozilla Public License 2.0",
+    "Unlicense": "Unlicense",
+    "Zlib": "zlib License",
+}
+# short notices: every name after every beginning, and the identifier line
+OPENINGS = ("Distributed", "Licensed", "Released", "Available")
+for _id, _name in NAMES.items():
+    for _opening in OPENINGS:
+        _text = f"{_opening} under the {_name}"
+        if f"{_text}." not in TEMPLATES.values():
+            TEMPLATES[f"{_id}-{_opening.lower()}"] = _text
+    TEMPLATES[f"{_id}-identifier"] = f"SPDX-License-Identifier: {_id}"
+
+LEVEL, MOST_DIFFERENT, GRAM = 3, 0.1, 4
+
 
-_WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-LEVEL, MOST_DIFFERENT = 3, 0.1
+@dataclass
+class Bank:
+    """Templates ready for use: names, words, compressors, and where which runs of words stand in them."""
+
+    plain: object
+    names: list[str]
+    wordings: list[list[int]]
+    counts: list[Counter]
+    coders: list
+    grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by size: hashes in order, template, place
+
+
+def normal(text: bytes, starts: list[int], ends: list[int]) -> bytes:
+    """The words of a block in lower case with single blanks: what is compressed."""
+    return b" ".join(text[a:b] for a, b in zip(starts, ends, strict=True)).lower()
 
 
 @lru_cache(maxsize=4)
-def _prepared(templates: tuple[tuple[str, str], ...]):
+def bank(templates: tuple[tuple[str, str], ...]) -> Bank:
+    """Templates without a word are left out."""
     import zstandard
 
     frame = {"level": LEVEL, "write_checksum": False, "write_content_size": False, "write_dict_id": False}
-    plain = zstandard.ZstdCompressor(**frame)
-    table = {}
+    found = Bank(zstandard.ZstdCompressor(**frame), [], [], [], [], {})
+    grams: dict[int, list[tuple[int, int, int]]] = {}
     for name, text in templates:
-        raw = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        wording = [w.lower() for w in _WORD.findall(text)]
-        table[name] = (zstandard.ZstdCompressor(dict_data=raw, **frame), wording)
-    return plain, table
-
-
-def blocks(text: str, reach: int, cue: re.Pattern) -> Iterator[tuple[int, int]]:
-    """Spans of ``reach`` words before and after each word with a cue; overlapping spans are one."""
-    spans = [m.span() for m in _WORD.finditer(text)]
-    starts = [s for s, _ in spans]
-    marked = []
-    last = -1
-    for m in cue.finditer(text):
-        # the word that holds the beginning of the cue
-        k = max(0, bisect.bisect_right(starts, m.start()) - 1)
-        if k != last:
-            marked.append(k)
-            last = k
-    at = 0
-    while at < len(marked):
-        first, end = max(0, marked[at] - reach), marked[at] + reach
-        while at + 1 < len(marked) and marked[at + 1] - reach <= end:
-            at += 1
-            end = marked[at] + reach
-        yield spans[first][0], spans[min(end, len(spans) - 1)][1]
-        at += 1
+        data = text.encode("utf-8", "replace")
+        own = words([data], ALNUM)
+        if not len(own.hash):
+            continue
+        raw = zstandard.ZstdCompressionDict(normal(data, own.start.tolist(), own.end.tolist()), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(level=LEVEL)
+        size = min(GRAM, len(own.hash))
+        hashes, at = own.ngrams(size)
+        grams.setdefault(size, []).extend((h, len(found.names), q) for h, q in zip(hashes.tolist(), at.tolist(), strict=True))
+        found.names.append(name)
+        found.wordings.append(own.hash.tolist())
+        found.counts.append(Counter(own.hash.tolist()))
+        found.coders.append(zstandard.ZstdCompressor(dict_data=raw, **frame))
+    for size, rows in grams.items():
+        rows.sort()
+        found.grams[size] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+    return found
+
+
+def candidates(found, known: Bank) -> Iterator[tuple[int, int, int]]:
+    """Text, first word and word after the last of every block that may hold a notice.
+
+    A template of L words with at most D differences keeps at least ``L - 3 - 4 D`` of its runs of four words, on diagonals
+    that lie at most D apart. A block covers diagonals up to L apart and overlaps with the next one by D.
+    """
+    parts = []
+    for size, (hashes, template, place) in known.grams.items():
+        own, at = found.ngrams(size)
+        low = np.searchsorted(hashes, own)
+        hit = np.flatnonzero(hashes[np.minimum(low, len(hashes) - 1)] == own)
+        low, high = low[hit], np.searchsorted(hashes, own[hit], side="right")
+        many = high - low
+        entry = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        text = np.repeat(found.text[at[hit]], many)
+        where = np.repeat(at[hit], many) - found.first[text]
+        parts.append(np.column_stack([text, template[entry], where - place[entry], place[entry]]))
+    rows = np.concatenate(parts) if parts else np.zeros((0, 4), np.int64)
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    edges = np.flatnonzero(np.any(np.diff(rows[:, :2], axis=0) != 0, axis=1)) + 1 if len(rows) else []
+    blocks = set()
+    for group in np.split(rows, edges) if len(rows) else []:
+        text, template, diagonals, places = int(group[0, 0]), int(group[0, 1]), group[:, 2], group[:, 3]
+        length = len(known.wordings[template])
+        most = int(MOST_DIFFERENT * length)
+        size = min(GRAM, length)
+        need = max(1, length - size + 1 - size * most)
+        total = int(found.first[text + 1] - found.first[text])
+        at = 0
+        while at < len(group):
+            end = int(np.searchsorted(diagonals, diagonals[at] + length, side="right"))
+            if end - at >= need and len(np.unique(places[at:end])) >= need:
+                blocks.add((text, max(0, int(diagonals[at])), min(total, int(diagonals[end - 1]) + length)))
+            if end == len(group):
+                break
+            at = int(np.searchsorted(diagonals, diagonals[at] + length - most))
+    yield from sorted(blocks)
 
 
 def closest(block: list[str], template: list[str]) -> tuple[int, int, int, difflib.Match] | None:
@@ -145,30 +245,51 @@ def wording(block: list[str], template: list[str]) -> list[tuple[int, int, int]]
     return sorted(out)
 
 
-def scan_text(text: str, templates: tuple[tuple[str, str], ...], cue: re.Pattern) -> list[tuple]:
-    """Notices of a text: start, end, name, size alone, size with the template, differing words."""
-    plain, table = _prepared(templates)
-    reach = max(len(words) for _, words in table.values()) if table else 0
-    out = []
-    for start, end in blocks(text, reach, cue):
-        block = text[start:end]
-        spans = [m.span() for m in _WORD.finditer(block)]
-        own = [block[a:b].lower() for a, b in spans]
+def ranked(block: bytes, known: Bank) -> list[int]:
+    """Templates by what they save when the block is compressed, the best first, then by name; without those that save nothing."""
+    alone = len(known.plain.compress(block))
+    saved = [(alone - len(coder.compress(block)), k) for k, coder in enumerate(known.coders)]
+    return [k for gain, k in sorted(saved, key=lambda s: (-s[0], known.names[s[1]])) if gain > 0]
+
+
+def scan_texts(texts: list[bytes], known: Bank) -> list[tuple]:
+    """Notices: text, start, end, name, size alone, size with the template, differing words."""
+    found = words(texts, ALNUM)
+    confirmed: dict[int, set[tuple]] = {}
+    for text, first, after in candidates(found, known):
+        origin = int(found.first[text])
+        span = slice(origin + first, origin + after)
+        own, starts, ends = (x[span].tolist() for x in (found.hash, found.start, found.end))
         held = Counter(own)
-        found = []
-        for name, (coder, template) in table.items():
+        free = [(0, len(own))]
+        for k in ranked(normal(texts[text], starts, ends), known):
+            template = known.wordings[k]
             # without so many of its words no place can have the wording
-            if sum((held & Counter(template)).values()) < (1 - MOST_DIFFERENT) * len(template):
+            if sum((held & known.counts[k]).values()) < (1 - MOST_DIFFERENT) * len(template):
                 continue
-            for first, after, different in wording(own, template):
-                low = block[spans[first][0] : spans[after - 1][1]].lower().encode("utf-8", "replace")
-                alone, size = len(plain.compress(low)), len(coder.compress(low))
-                found.append((different / len(template), -(after - first), size, name, first, after, different, alone))
+            left = []
+            for low, high in free:
+                at = low
+                for a, b, different in wording(own[low:high], template):
+                    a, b = low + a, low + b
+                    place = normal(texts[text], starts[a:b], ends[a:b])
+                    sizes = len(known.plain.compress(place)), len(known.coders[k].compress(place))
+                    confirmed.setdefault(text, set()).add((sizes[1] - sizes[0], different, known.names[k], first + a, first + b, *sizes))
+                    left.append((at, a))
+                    at = b
+                left.append((at, high))
+            free = [(a, b) for a, b in left if a < b]
+    out = []
+    for text, places in confirmed.items():
+        # characters before each byte
+        characters = np.concatenate(([0], np.cumsum(np.frombuffer(texts[text], np.uint8) & 0xC0 != 0x80)))
+        origin = int(found.first[text])
         taken: list[tuple[int, int]] = []
-        for _, _, size, name, first, after, different, alone in sorted(found, key=lambda f: (f[1], f[0], f[2], f[3])):
+        for _, different, name, first, after, alone, size in sorted(places):
             if all(after <= a or first >= b for a, b in taken):
                 taken.append((first, after))
-                out.append((start + spans[first][0], start + spans[after - 1][1], name, alone, size, different))
+                start, end = found.start[origin + first], found.end[origin + after - 1]
+                out.append((text, int(characters[start]), int(characters[end]), name, alone, size, different))
     return sorted(out)
 
 
@@ -176,26 +297,26 @@ def scan(df: DataFrame, key: str = "doc_id", templates: dict[str, str] | None =
     """One row per notice: key, ``start``, ``end`` (characters), ``license``, ``plain_bytes``, ``dict_bytes``,
     ``reduction`` and ``differences``, the number of words in which it departs from the template.
 
-    Texts without a cue are dropped by the JVM before any Python runs. Null and empty texts have no
-    notice; a notice repeated in a text is found each time; overlapping candidates go to the longest
-    wording, ties to fewer differences, then the better reduction, then the name. All texts are read whole.
+    Null and empty texts have no notice; a notice repeated in a text is found each time; overlapping places go to the one whose
+    template saves most bytes there, ties to fewer differences, then the name. Repeated rows each give their notices. Words are runs of
+    letters and digits without regard to ASCII case. All texts are read whole. An empty table gives none.
     """
     chosen = tuple(sorted((templates or TEMPLATES).items()))
-    cue = re.compile(CUES, re.IGNORECASE)
-    rows = df.select(F.col(key).alias("key"), F.col("text")).filter(F.lower("text").rlike(CUES))
+    if key.lower() in ("start", "end", "license", "plain_bytes", "dict_bytes", "differences", "reduction"):
+        raise ValueError(f"the key {key} is called like a column of the result")
     kind = dict(df.dtypes)[key]
+    names = ["key", "start", "end", "license", "plain_bytes", "dict_bytes", "differences"]
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = bank(chosen)
         for batch in pieces(batches):
-            found = []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                found += [(k, *f) for f in scan_text(text, chosen, cue)]
-            at = pa.array([f[0] for f in found], pa.int64())
-            columns = [batch.column("key").take(at)]
-            for place, type_ in ((1, pa.int64()), (2, pa.int64()), (3, pa.string()), (4, pa.int64()), (5, pa.int64()), (6, pa.int64())):
-                columns.append(pa.array([f[place] for f in found], type_))
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "start", "end", "license", "plain_bytes", "dict_bytes", "differences"])
+            found = scan_texts(encoded(batch.column("text")), known)
+            columns = [batch.column("key").take(pa.array([f[0] for f in found], pa.int64()))]
+            columns += [pa.array([f[n + 1] for f in found], t) for n, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     shape = f"key {kind}, start bigint, end bigint, license string, plain_bytes bigint, dict_bytes bigint, differences bigint"
-    found = rows.mapInArrow(run, shape)
-    return found.withColumn("reduction", 1 - F.col("dict_bytes") / F.col("plain_bytes")).withColumnRenamed("key", key)
+    found = df.select(F.col(key).alias("key"), F.col("text")).mapInArrow(run, shape)
+    out = found.withColumn("reduction", 1 - F.col("dict_bytes") / F.col("plain_bytes"))
+    return out.select(F.col("key").alias(key), *[c for c in out.columns if c != "key"])

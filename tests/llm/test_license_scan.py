@@ -1,6 +1,11 @@
 from __future__ import annotations
 
-from forecourt.llm.license_scan import TEMPLATES, scan, wording
+import random
+
+import pytest
+
+from forecourt.llm.license_scan import MOST_DIFFERENT, TEMPLATES, bank, ranked, scan, scan_texts, wording
+from forecourt.llm.tokens import ALNUM, words
 from tests.llm.cases import documents, nasty, prose
 
 
@@ -65,3 +70,69 @@ def test_odd_rows(spark):
     assert scan(df).collect() == [] and scan(df.limit(0)).collect() == []
     same = documents(spark, [TEMPLATES["ISC"]] * 2, [5, 5])
     assert [r.license for r in scan(same).collect()] == ["ISC", "ISC"]
+
+
+def known(templates=TEMPLATES):
+    return bank(tuple(sorted(templates.items())))
+
+
+def test_candidates_against_every_window():
+    """What comparing every template with whole texts finds, candidates find as well."""
+    draw = random.Random(11)
+    names = sorted(TEMPLATES)
+    texts = []
+    for k in range(60):
+        parts = []
+        for name in draw.sample(names, 3):
+            own = TEMPLATES[name].split()
+            for _ in range(draw.randint(0, max(0, len(own) // 15))):
+                own.insert(draw.randrange(len(own)), "extra") if draw.random() < 0.5 else own.pop(draw.randrange(len(own)))
+            parts += [prose(1000 + k, draw.randint(0, 40)), " ".join(own)]
+        texts.append(" ".join(parts).encode())
+    table = known()
+    got = scan_texts(texts, table)
+    for k, text in enumerate(texts):
+        own = words([text], ALNUM)
+        covered = {at for t, a, b, *_ in got if t == k for at in range(a, b)}
+        for template in table.wordings:
+            for first, after, different in wording(own.hash.tolist(), template):
+                assert different <= MOST_DIFFERENT * len(template)
+                # the place itself, or one that saves more and overlaps with it
+                assert covered & set(range(int(own.start[first]), int(own.end[after - 1])))
+
+
+def test_sizes_decide():
+    """Two wordings that both fit: the one that saves more is taken, and other sizes give another result."""
+    one = "this notice of twelve words says that you may use the thing freely"
+    templates = {"a": one.replace("twelve", "eleven twelve"), "b": one}
+    table = bank(tuple(templates.items()))
+    assert [r[3] for r in scan_texts([one.encode()], table)] == ["b"]
+
+    class Large:
+        def compress(self, data):
+            return b"x" * 2 * len(data)
+
+    swapped = bank.__wrapped__(tuple(templates.items()))
+    swapped.coders[1] = Large()
+    assert ranked(one.encode(), table) and [r[3] for r in scan_texts([one.encode()], swapped)] == ["a"]
+    swapped.coders[0] = Large()
+    assert scan_texts([one.encode()], swapped) == []
+
+
+def test_templates_without_common_words(spark):
+    own = {"house rule": "guests leave their shoes beside the green door", "empty": "...", "short": "all mine forever"}
+    df = documents(spark, [f"{prose(1, 200)} Guests leave their shoes beside the green door. {prose(2, 200)} All mine, forever!"])
+    assert [(r.license, r.differences) for r in sorted(scan(df, templates=own).collect(), key=lambda r: r.start)] == [("house rule", 0), ("short", 0)]
+
+
+@pytest.mark.parametrize("line", ["Distributed under the MIT License.", "It is licensed under the MIT License.", "# SPDX-License-Identifier: MIT"])
+def test_short_lines(line):
+    assert [r[3].split("-")[0] for r in scan_texts([line.encode()], known())] == ["MIT"]
+
+
+@pytest.mark.parametrize("column", ["start", "end", "license", "reduction"])
+def test_keys_of_any_name(spark, column):
+    df = documents(spark, [TEMPLATES["ISC"]]).withColumnRenamed("doc_id", "own").selectExpr("own + 3 as own", "text").withColumnRenamed("own", "id")
+    assert [r.license for r in scan(df, "id").collect()] == ["ISC"]
+    with pytest.raises(ValueError, match=column):
+        scan(df.withColumnRenamed("id", column), column)
