@@ -1,19 +1,21 @@
-"""An interpolated modified Kneser-Ney model of word pairs, in sorted hash arrays that workers map.
-
-Counting is two Spark jobs. The first counts words; the second counts pairs of neighbouring words and, of
-the pairs, how many different words follow and precede each word. Tasks add up their batches before
-anything is shuffled, and rows are dealt by hash, so a frequent word or pair is no hot key.
-
-Every partition then writes its keys in order, next to their counts, as flat arrays to the shared
-folder. Keys are 64-bit hashes and partitions are ranges of them, so a key names its file. Scoring tasks
-map the files; of a model larger than memory the operating system holds the pages in use. The
-shared folder must therefore be mounted on all machines (``file:`` or a plain path).
-
-The model. With c the count of a pair, S its first word's count, D the discounts for counts 1, 2, 3 and more,
-N1, N2, N3 how many different pairs with the first word have such counts:
-``P(w|u) = max(c - D(c), 0) / S(u) + (D1 N1(u) + D2 N2(u) + D3 N3(u)) / S(u) * P(w)``, where ``P(w)`` is the
-same formula over the number of different words before ``w``, ending in 1 / (V + 1) for every word
-known or not. A text begins with a mark that is never predicted and ends with one that is.
+"""An interpolated modified Kneser-Ney model of any order, in sorted hash arrays that workers map.
+
+Counting is one Spark job for words and one for n-grams. The second counts the n-grams of the highest order; the task that
+owns an n-gram then says to the owners of its beginning and of its end (one word less) what it adds to them, and so on down to
+single words. Tasks add up what they have before anything is shuffled, and n-grams are dealt by a hash of all their words, so
+a frequent word or context is no hot key: what is said about it are sums.
+
+Every part is written as flat arrays to the shared folder. Parts are ranges of a 64-bit hash and hold about two million tokens'
+worth, so their number follows the corpus. In a part, buckets of about sixteen n-grams are found by the upper bits; of the
+others 32 are stored in order. So in about 300 million n-grams that were never seen one is taken for another. Next to
+a key stands the number of its counts in the list of all that occur in the part. Scoring tasks map the files; of a model larger than memory
+the operating system holds the pages in use. The shared folder must therefore be mounted on all machines (``file:`` or a plain path).
+
+The model. With a the count of an n-gram (at the highest order how often it occurs, below how many different words come before
+it), S the sum of the counts after its context, D the discounts of the order for counts 1, 2, 3 and more, N1, N2, N3 how many n-grams
+with the context have such counts: ``P(w|u) = max(a - D(a), 0) / S(u) + (D1 N1(u) + D2 N2(u) + D3 N3(u)) / S(u) * P(w|u')``, where
+u' is u without its first word, ending in 1 / (V + 1) for every word known or not. Before a text stand as many marks as a
+context has words, which are never predicted; after it stands one that is.
 """
 
 from __future__ import annotations
@@ -30,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import new_folder
-from forecourt.llm.tokens import LOWER, encoded, mix, pieces, words
+from forecourt.llm.tokens import LOWER, combine, encoded, mix, pieces, words
 
-# Hashes of the two marks. No text has a blank inside a word, so no word is spelled like them.
-BEGIN, END = (int(mix(np.array([n], np.uint64))[0]) for n in (0xB, 0xE))
-UNKNOWN = 0xFFFFFFFF  # not the number of any word
+# Hash of the mark after a text. No text has a blank inside a word, so no word is spelled like it.
+END = int(mix(np.array([0xE], np.uint64))[0])
+UNKNOWN, START = 0xFFFFFFFF, 0xFFFFFFFE  # not the number of any word
 GATHER = 1 << 22  # tokens that a task adds up before it hands them on
+PART_BYTES = 1 << 24  # of text for each part of the n-grams
+BUCKET = 16
 
 _U = np.uint64
 
@@ -94,9 +98,9 @@ def _look_up(folder: str, parts: int, keys: np.ndarray, *names: str) -> tuple[np
     place = np.full(len(keys), -1, np.int64)
     out = [np.zeros(len(keys), np.float64) for _ in names]
     cuts = np.searchsorted(_part_of(keys, parts), np.arange(parts + 1))
-    for part in range(parts):
+    for part in np.flatnonzero(np.diff(cuts)).tolist():
         a, b = cuts[part], cuts[part + 1]
-        known = _mapped(folder, "key", part) if a < b else None
+        known = _mapped(folder, "key", part)
         if known is None or not len(known):
             continue
         at = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
@@ -184,131 +188,220 @@ def discounts(sizes: list[int]) -> np.ndarray:
 class Model:
     """Where the arrays are, and the few numbers that hold for the whole corpus."""
 
-    word_folder: str
-    pair_folder: str
-    context_folder: str
+    folder: str
+    order: int
+    word_parts: int
     parts: int
     tokens: int  # with end marks
     vocabulary: int
-    texts: int
-    pairs: int  # different ones
-    pair_sizes: list[int]
-    before_sizes: list[int]
-    begin: list[int]  # different pairs with counts 1, 2, 3 and more that start with the begin mark
+    sizes: list[list[int]]  # by order: n-grams with counts 1, 2, 3, 4, with 3 and more, sum of counts
 
     @property
     def base_denominator(self) -> int:
         return self.tokens + self.vocabulary + 1
 
 
-def _pair_keys(model_folder: str, parts: int, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of first and second words of all pairs, where texts begin, and the different token hashes with places."""
+def _packed(rows: np.ndarray) -> bytes:
+    """Whole numbers in few bytes: differences in the first column, bytes of equal weight together."""
+    import zstandard
+
+    rows = np.ascontiguousarray(rows)
+    rows[1:, 0] -= rows[:-1, 0].copy()
+    planes = rows.view(np.uint8).reshape(len(rows), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(data: bytes, kind: str, width: int) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    size = np.dtype(kind).itemsize * width
+    rows = np.array(planes.reshape(size, -1).T, order="C").view(kind).reshape(-1, width)
+    rows[:, 0] = np.cumsum(rows[:, 0], dtype=rows.dtype)
+    return rows
+
+
+def _merged(grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different n-grams (rows of word numbers) in order, with the sums of their values."""
+    keys = []
+    for k in range(0, grams.shape[1], 2):
+        high = grams[:, k].astype(np.uint64)
+        keys.append((high << _U(32)) | grams[:, k + 1] if k + 1 < grams.shape[1] else high)
+    order = np.lexsort(keys[::-1])
+    grams, values = grams[order], values[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = np.any(grams[1:] != grams[:-1], axis=1)
+    starts = np.flatnonzero(new)
+    return grams[starts], np.add.reduceat(values, starts, axis=0) if len(starts) else values
+
+
+def _longer(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The hash of an n-gram, from that of its beginning and its last word's number."""
+    return mix(prefix * _U(0x9E3779B97F4A7C15) + last.astype(np.uint64) + _U(1))
+
+
+def _hashes(grams: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(grams), np.uint64)
+    for k in range(grams.shape[1]):
+        out = _longer(out, grams[:, k])
+    return out
+
+
+def _dealt(grams: np.ndarray, values: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """N-grams and their values as one row for each part."""
+    owner = _part_of(_hashes(grams), parts)
+    order = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[order], np.arange(parts + 1))
+    for part in np.flatnonzero(np.diff(cuts)).tolist():
+        own = order[cuts[part] : cuts[part + 1]]
+        row = [pa.array([part], pa.int32()), pa.array([_packed(grams[own].astype("<u4"))]), pa.array([_packed(values[own].astype("<u8"))])]
+        yield pa.RecordBatch.from_arrays([*row, pa.array([None], pa.list_(pa.int64()))], names=["part", "grams", "counts", "sizes"])
+
+
+def _write_grams(folder: str, parts: int, part: int, grams: np.ndarray, values: np.ndarray) -> None:
+    keys = _hashes(grams)
+    order = np.argsort(keys)
+    keys, values = keys[order], values[order]
+    many = max(1, len(keys) // BUCKET)
+    bucket = _bucket_of(keys, parts, many)
+    low = keys.astype(np.uint32)
+    order = np.lexsort((low, bucket))
+    whole = np.ascontiguousarray(values[order])
+    _, first, code = np.unique(combine(list(whole.T.astype(np.uint64))), return_index=True, return_inverse=True)
+    small = np.min_scalar_type(max(len(first) - 1, 0))
+    _write(folder, part, low=low[order], bucket=np.searchsorted(bucket, np.arange(many + 1)).astype(np.uint32), code=code.astype(small), value=whole[first])
+
+
+def _bucket_of(keys: np.ndarray, parts: int, many: int) -> np.ndarray:
+    """Which of ``many`` equal ranges of its part a key falls in."""
+    inside = ((keys >> _U(32)) * _U(parts)) & _U(0xFFFFFFFF)
+    return ((inside * _U(many)) >> _U(32)).astype(np.int64)
+
+
+def _counts_of(folder: str, parts: int, keys: np.ndarray, width: int) -> np.ndarray:
+    """The values of n-grams given by their hashes; zeros for those that aren't there."""
+    unique, back = np.unique(keys, return_inverse=True)
+    out = np.zeros((len(unique), width))
+    cuts = np.searchsorted(_part_of(unique, parts), np.arange(parts + 1))
+    for part in np.flatnonzero(np.diff(cuts)).tolist():
+        low = _mapped(folder, "low", part)
+        if low is None or not len(low):
+            continue
+        own = unique[cuts[part] : cuts[part + 1]]
+        edges = _mapped(folder, "bucket", part)
+        bucket = _bucket_of(own, parts, len(edges) - 1)
+        a, end = edges[bucket].astype(np.int64), edges[bucket + 1].astype(np.int64)
+        b, wanted = end.copy(), own.astype(np.uint32)
+        while (a < b).any():
+            middle = (a + b) // 2
+            less = (a < b) & (low[np.minimum(middle, len(low) - 1)] < wanted)
+            a, b = np.where(less, middle + 1, a), np.where(less, b, np.minimum(b, np.maximum(middle, a)))
+        hit = np.flatnonzero((a < end) & (low[np.minimum(a, len(low) - 1)] == wanted))
+        out[cuts[part] + hit] = _mapped(folder, "value", part)[_mapped(folder, "code", part)[a[hit]]]
+    return out[back]
+
+
+def _numbers(folder: str, parts: int, order: int, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers of all texts behind their start marks, which of them are tokens, and the token hashes: different ones and places."""
     found, starts = tokens(texts)
     unique, back = np.unique(found, return_inverse=True)
-    place = _look_up(model_folder, parts, unique)[0]
-    number = np.where(place < 0, UNKNOWN, place).astype(np.uint64)[back]
-    first = np.empty_like(number)
-    first[1:] = number[:-1]
-    first[starts[:-1]] = _U(UNKNOWN - 1)  # the begin mark
-    return first, number, unique, back
+    place = _look_up(f"{folder}/words", parts, unique)[0]
+    own = np.where(place < 0, UNKNOWN, place).astype(np.uint32)[back]
+    at = np.arange(len(own)) + (order - 1) * np.repeat(np.arange(1, len(texts) + 1), np.diff(starts))
+    out = np.full(len(own) + (order - 1) * len(texts), START, np.uint32)
+    out[at] = own
+    return out, at, unique, back
+
 
+def _below(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What n-grams say about those of one word less: how many end with them, the sum of the counts of those that
+    begin with them, and how many of these have counts 1, 2, 3 and more."""
+    one = np.zeros((len(counts), 5), np.int64)
+    one[:, 0] = 1
+    kinds = np.column_stack([np.zeros(len(counts), np.int64), counts, counts == 1, counts == 2, counts > 2]).astype(np.int64)
+    return _merged(np.concatenate([grams[:, 1:], grams[:, :-1]]), np.concatenate([one, kinds]))
 
-def train(docs: DataFrame, folder: str | None = None, parts: int | None = None) -> Model:
+
+def _level(folder: str, order: int, size: int, parts: int):
+    """The work of the tasks that own the n-grams of one size: add up, write, tell the next size."""
+    top = size == order
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = np.zeros((order, 6), np.int64)
+        held: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["sizes"]:
+                    sizes += np.array(row["sizes"], np.int64).reshape(order, 6)
+                if row["grams"] is not None:
+                    values = _unpacked(row["counts"], "<u8", 1 if top else 5).astype(np.int64)
+                    held.setdefault(row["part"], []).append((_unpacked(row["grams"], "<u4", size), values))
+        for part, rows in held.items():
+            grams, values = _merged(*(np.concatenate(x) for x in zip(*rows, strict=True)))
+            _write_grams(f"{folder}/{size}", parts, part, grams, values)
+            counted = values[:, 0] > 0
+            grams, counts = grams[counted], values[counted, 0]
+            sizes[size - 1] += [*_sizes(counts), int((counts > 2).sum()), int(counts.sum())]
+            if size > 1:
+                yield from _dealt(*_below(grams, counts), parts)
+        last = [pa.array([0], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*last, pa.array([sizes.ravel().tolist()], pa.list_(pa.int64()))], names=["part", "grams", "counts", "sizes"])
+
+    return run
+
+
+def train(docs: DataFrame, folder: str | None = None, parts: int | None = None, order: int = 3) -> Model:
     """Count the column ``text`` of all rows and write the arrays below ``folder`` (the shared one by default).
 
     Null and empty texts are a lone end mark. Repeated rows count as often as they occur. A table without
-    rows gives a model without words, under which every token is unknown. ``parts``, by default the number of
-    shuffle partitions, says how many files hold each array and should grow with the corpus.
+    rows gives a model without words, under which every token is unknown. ``parts`` says how many files hold each array;
+    by default one for every 16 MB of text, and at least as many as there are shuffle partitions. ``order`` is the
+    length of the longest n-grams, 2 at least.
     """
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     spark = docs.sparkSession
     folder = _local(folder or new_folder(spark))
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    word_folder, pair_folder, context_folder = (f"{folder}/{n}" for n in ("words", "pairs", "contexts"))
     texts = docs.select("text")
+    if parts is None:
+        volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-volume // PART_BYTES))
 
     def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for part, keys, counts in _by_part(batches, "<u8", 1):
-            _write(word_folder, part, key=keys, n=counts[:, 0])
-            ends = int(counts[keys == _U(END)].sum())
-            out.append((part, len(keys), int(counts.sum()), ends))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=["part", "keys", "n", "ends"])
+            _write(f"{folder}/words", part, key=keys, n=counts[:, 0])
+            out.append((len(keys), int(counts.sum())))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(2)], names=["keys", "n"])
 
     def all_tokens(batch: list[bytes]) -> np.ndarray:
         return tokens(batch)[0]
 
-    counted = _counted(texts, parts, all_tokens).mapInArrow(write_words, "part bigint, keys bigint, n bigint, ends bigint").collect()
-    vocabulary, total, ends = (sum(r[c] for r in counted) for c in ("keys", "n", "ends"))
-    if vocabulary >= UNKNOWN - 1:
+    counted = _counted(texts, parts, all_tokens).mapInArrow(write_words, "keys bigint, n bigint").collect()
+    vocabulary, total = (sum(r[c] for r in counted) for c in ("keys", "n"))
+    if vocabulary >= START:
         raise ValueError("more words than 32 bits can number")
 
-    def pair_hashes(batch: list[bytes]) -> np.ndarray:
-        first, second, _, _ = _pair_keys(word_folder, parts, batch)
-        return mix((first << _U(32)) | second)
-
-    def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, keys, counts in _by_part(batches, "<u8", 1):
-            counts = counts[:, 0]
-            _write(pair_folder, part, key=keys, n=counts.astype(np.float32))
-            sizes = pa.array([[*_sizes(counts), len(counts)]], pa.list_(pa.int64()))
-            for parcel in _contexts_of(unmix(keys), counts):
-                yield parcel.append_column("sizes", sizes)
-                sizes = pa.array([None], pa.list_(pa.int64()))
-
-    def _contexts_of(pairs: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """For each word, how many pairs with counts 1, 2, 3 and more begin with it, and how many end with it."""
-        first, second = pairs >> _U(32), pairs & _U(0xFFFFFFFF)
-        kinds = np.column_stack([counts == 1, counts == 2, counts > 2, np.zeros(len(counts), bool)]).astype(np.int64)
-        back = np.zeros((len(counts), 4), np.int64)
-        back[:, 3] = 1
-        keys, values = _summed(np.concatenate([first, second]), np.concatenate([kinds, back]))
-        owner = np.minimum(keys, _U(vocabulary)) * _U(parts) // _U(vocabulary + 1)
-        yield from _parcels(owner.astype(np.int32), keys.astype("<u4"), values.astype("<u4"))
-
-    shape = "part int, keys binary, counts binary, sizes array<bigint>"
-
-    def write_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes: list[list[int]] = []
-
-        def watched() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sizes.extend(batch.column("sizes").drop_null().to_pylist())
-                yield batch
-
-        out = []
-        for part, keys, values in _by_part(watched(), "<u4", 4):
-            begin = keys == _U(UNKNOWN - 1)
-            first = values[begin].sum(0)[:3].tolist() if begin.any() else [0, 0, 0]
-            values = values[~begin]
-            numbers = keys[~begin].astype(np.int64)
-            low = -(-part * (vocabulary + 1) // parts)
-            high = min(vocabulary, -(-(part + 1) * (vocabulary + 1) // parts))
-            table = np.zeros((max(high - low, 0), 4), np.uint32)
-            table[numbers - low] = values
-            _write(context_folder, part, counts=table)
-            out.append([*first, *_sizes(values[:, 3])])
-        pair_sizes = np.array(sizes, np.int64).reshape(-1, 5).sum(0).tolist()
-        own = np.array(out, np.int64).reshape(-1, 7).sum(0).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array([[*own, *pair_sizes]], pa.list_(pa.int64()))], names=["found"])
-
-    counted = _counted(texts, parts, pair_hashes).mapInArrow(write_pairs, shape).repartitionById(parts, "part")
-    rows = counted.mapInArrow(write_contexts, "found array<bigint>").collect()
-    found = np.array([r["found"] for r in rows], np.int64).reshape(-1, 12).sum(0).tolist()
-    return Model(word_folder, pair_folder, context_folder, parts, total, vocabulary, ends, found[11], found[7:11], found[3:7], found[:3])
-
-
-def unmix(x: np.ndarray) -> np.ndarray:
-    """What ``mix`` was given."""
-
-    def unshift(v: np.ndarray, n: int) -> np.ndarray:
-        out = v
-        for _ in range(64 // n + 1):
-            out = v ^ (out >> _U(n))
-        return out
-
-    x = unshift(x.astype(np.uint64), 31) * _U(pow(0x94D049BB133111EB, -1, 1 << 64))
-    x = unshift(x, 27) * _U(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
-    return unshift(x, 30)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in pieces(batches):
+            words_, at, _, _ = _numbers(folder, parts, order, encoded(batch.column("text")))
+            held.append(np.column_stack([words_[at - k] for k in range(order - 1, -1, -1)]))
+            if sum(map(len, held)) >= GATHER:
+                grams = np.concatenate(held)
+                yield from _dealt(*_merged(grams, np.ones((len(grams), 1), np.int64)), parts)
+                held = []
+        if held:
+            grams = np.concatenate(held)
+            yield from _dealt(*_merged(grams, np.ones((len(grams), 1), np.int64)), parts)
+
+    shape = "part int, grams binary, counts binary, sizes array<bigint>"
+    rows = texts.mapInArrow(read, shape)
+    for size in range(order, 0, -1):
+        rows = rows.repartitionById(parts, "part").mapInArrow(_level(folder, order, size, parts), shape)
+    found = [r["sizes"] for r in rows.select("sizes").collect() if r["sizes"]]
+    sizes = np.array(found, np.int64).reshape(-1, order, 6).sum(0).tolist()
+    return Model(folder, order, parts, parts, total, vocabulary, sizes)
 
 
 def _discounted(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
@@ -318,46 +411,27 @@ def _discounted(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
 
 def score_texts(model: Model, texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """For each text: tokens, tokens seen in training, base log10 probability, the model's log10 probability."""
-    first, second, unique, back = _pair_keys(model.word_folder, model.parts, texts)
-    starts = np.concatenate(([0], np.cumsum(np.bincount(np.cumsum(first == _U(UNKNOWN - 1)) - 1, minlength=len(texts)))))
-    place, count = _look_up(model.word_folder, model.parts, unique, "n")
-    context = _contexts(model, place)
-    by_pair, by_before = discounts(model.pair_sizes), discounts(model.before_sizes)
-    pairs = max(model.pairs, 1)
-    kinds = sum(model.before_sizes)
-    after_three = max(model.vocabulary - model.before_sizes[0] - model.before_sizes[1], 0)
-    rest = (by_before @ [model.before_sizes[0], model.before_sizes[1], after_three]) / pairs if kinds else 1.0
-    low = _discounted(context[:, 3], by_before) / pairs + rest / (model.vocabulary + 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        share = np.where(count > 0, (context[:, :3] @ by_pair) / count, 1.0)
-    share[unique == _U(END)] = 1.0
-    begin = (by_pair @ model.begin) / model.texts if model.texts else 1.0
-    keys, spot = np.unique(mix((first << _U(32)) | second), return_inverse=True)
-    seen = _look_up(model.pair_folder, model.parts, keys, "n")[1]
-    discounted = _discounted(seen, by_pair)[spot]
-    before = np.empty_like(back)
-    before[1:] = back[:-1]
-    starting = starts[:-1]
-    before[starting] = 0
-    total, weight = count[before], share[before]
-    total[starting], weight[starting] = model.texts, begin
-    chance = np.where(total > 0, discounted / np.maximum(total, 1), 0.0) + weight * low[back]
-    known = (count > 0)[back]
-    base = np.log10((count[back] + 1) / model.base_denominator)
-    sums = [np.add.reduceat(v, starting) for v in (known.astype(np.int64), base, np.log10(chance))]
-    return np.diff(starts), *sums
-
-
-def _contexts(model: Model, place: np.ndarray) -> np.ndarray:
-    """Pairs with counts 1, 2, 3 and more after each word, and words before it; zeros for unknown words."""
-    out = np.zeros((len(place), 4))
-    part = place * model.parts // (model.vocabulary + 1)
-    for p in np.unique(part[place >= 0]).tolist():
-        table = _mapped(model.context_folder, "counts", p)
-        if table is not None:
-            own = np.flatnonzero((part == p) & (place >= 0))
-            out[own] = table[place[own] - -(-p * (model.vocabulary + 1) // model.parts)]
-    return out
+    number, at, unique, back = _numbers(model.folder, model.word_parts, model.order, texts)
+    count = _look_up(f"{model.folder}/words", model.word_parts, unique, "n")[1][back]
+    ones, twos, _, _, more, total = model.sizes[0]
+    hashes = _longer(np.zeros(len(number), np.uint64), number)
+    values = _counts_of(f"{model.folder}/1", model.parts, hashes, 5)
+    discount = discounts(model.sizes[0][:4])
+    rest = (discount @ [ones, twos, more]) / total if total else 1.0
+    chance = _discounted(values[at, 0], discount) / max(total, 1) + rest / (model.vocabulary + 1)
+    for size in range(2, model.order + 1):
+        after = values[at - 1, 1:]
+        hashes = _longer(np.concatenate((hashes[:1], hashes[:-1])), number)
+        values = _counts_of(f"{model.folder}/{size}", model.parts, hashes, 1 if size == model.order else 5)
+        discount = discounts(model.sizes[size - 1][:4])
+        known = np.maximum(after[:, 0], 1)
+        share = np.where(after[:, 0] > 0, (after[:, 1:] @ discount) / known, 1.0)
+        chance = np.where(after[:, 0] > 0, _discounted(values[at, 0], discount) / known, 0.0) + share * chance
+    # the first token of each text follows a start mark
+    starting = np.flatnonzero(number[at - 1] == START)
+    base = np.log10((count + 1) / model.base_denominator)
+    sums = [np.add.reduceat(v, starting) for v in ((count > 0).astype(np.int64), base, np.log10(chance))]
+    return np.diff(np.append(starting, len(at))), *sums
 
 
 def score(df: DataFrame, model: Model) -> DataFrame:

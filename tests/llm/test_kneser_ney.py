@@ -18,33 +18,35 @@ def words(text):
 class Plain:
     """The same model with dictionaries."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, order):
         lines = [words(t) for t in texts]
+        self.order = order
         self.one = Counter(w for line in lines for w in line)
-        self.two = Counter(p for line in lines for p in zip(["the begin", *line], line, strict=False))
         self.n, self.v = sum(self.one.values()), len(self.one)
-        self.before = Counter(b for _, b in self.two)
-        self.d1, self.d2 = self.cut(self.before), self.cut(self.two)
-        self.total, self.rest = Counter(), defaultdict(float)
-        for (a, _), c in self.two.items():
-            self.total[a] += c
-            self.rest[a] += self.d2[min(c, 3)]
-
-    @staticmethod
-    def cut(counts):
-        sizes = Counter(counts.values())
-        return [0.0, *kneser_ney.discounts([sizes[k] for k in (1, 2, 3, 4)])]
-
-    def low(self, w):
-        pairs = max(len(self.two), 1)
-        rest = sum(self.d1[min(c, 3)] for c in self.before.values()) / pairs if self.two else 1.0
-        return max(self.before[w] - self.d1[min(self.before[w], 3)], 0) / pairs + rest / (self.v + 1)
-
-    def chance(self, a, b):
-        if not self.total[a]:
-            return self.low(b)
-        c = self.two[(a, b)]
-        return max(c - self.d2[min(c, 3)], 0) / self.total[a] + self.rest[a] / self.total[a] * self.low(b)
+        self.counts = {order: Counter(g for line in lines for g in self.grams(line))}
+        for size in range(order - 1, 0, -1):
+            self.counts[size] = Counter(g[1:] for g in self.counts[size + 1])
+        self.cuts, self.total, self.rest = {}, {}, {}
+        for size, counts in self.counts.items():
+            sizes = Counter(counts.values())
+            self.cuts[size] = [0.0, *kneser_ney.discounts([sizes[k] for k in (1, 2, 3, 4)])]
+            self.total[size], self.rest[size] = Counter(), defaultdict(float)
+            for g, c in counts.items():
+                self.total[size][g[:-1]] += c
+                self.rest[size][g[:-1]] += self.cuts[size][min(c, 3)]
+
+    def grams(self, line):
+        padded = ["the begin"] * (self.order - 1) + line
+        return [tuple(padded[k : k + self.order]) for k in range(len(line))]
+
+    def chance(self, gram):
+        size = len(gram)
+        lower = self.chance(gram[1:]) if size > 1 else 1 / (self.v + 1)
+        total = self.total[size][gram[:-1]]
+        if not total:
+            return lower
+        c = self.counts[size][gram]
+        return max(c - self.cuts[size][min(c, 3)], 0) / total + self.rest[size][gram[:-1]] / total * lower
 
     def score(self, text):
         line = words(text)
@@ -53,13 +55,13 @@ class Plain:
             sum(self.one[w] > 0 for w in line),
             self.n,
             sum(math.log10((self.one[w] + 1) / (self.n + self.v + 1)) for w in line),
-            sum(math.log10(self.chance(a, b)) for a, b in zip(["the begin", *line], line, strict=False)),
+            sum(math.log10(self.chance(g)) for g in self.grams(line)),
         )
 
 
-def compare(spark, train, other, parts):
-    model = kneser_ney.train(documents(spark, train), parts=parts)
-    plain = Plain(train)
+def compare(spark, train, other, parts, order):
+    model = kneser_ney.train(documents(spark, train), parts=parts, order=order)
+    plain = Plain(train, order)
     rows = kneser_ney.score(documents(spark, other), model).collect()
     for r in rows:
         expected = plain.score(other[r.doc_id])
@@ -69,17 +71,25 @@ def compare(spark, train, other, parts):
     return plain
 
 
-def test_same_as_dictionaries(spark):
-    train = ["a b a b c", "A b c d e f a", "a b", "", None, "d d d d", *[prose(k % 3, 30) for k in range(8)]]
-    plain = compare(spark, train, [*train, "a x b", "never seen", " "], parts=5)
-    for context in ("a", "d", "the begin"):
-        assert sum(plain.chance(context, w) for w in plain.one) + plain.rest[context] / plain.total[context] * (
-            plain.low("not a word")
-        ) == pytest.approx(1.0)
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_same_as_dictionaries(spark, order):
+    train = ["a b a b c", "A b c d e f a", "a b", "", None, "d d d d", *[prose(k % 3, 30) for k in range(8)], *[prose(k, 400) for k in range(20, 24)]]
+    plain = compare(spark, train, [*train, "a x b", "never seen", " ", "a b a c d d"], 5, order)
+    for context in (["the begin"] * 3, ["a", "b", "a"], ["d"] * 3, ["x", "y", "b"]):
+        before = tuple(context[4 - order :])
+        assert sum(plain.chance((*before, w)) for w in [*plain.one, "not a word"]) == pytest.approx(1.0)
+
+
+def test_parts_follow_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "PART_BYTES", 100)
+    df = documents(spark, [prose(k, 100) for k in range(20)])
+    assert kneser_ney.train(df).parts >= 20 * 100 * 3 // 100
+    with pytest.raises(ValueError, match="order"):
+        kneser_ney.train(df, order=1)
 
 
 def test_without_training_texts(spark):
-    compare(spark, [], ["a b", "", None], parts=3)
+    compare(spark, [], ["a b", "", None], 3, 3)
 
 
 def test_odd_rows(spark):
