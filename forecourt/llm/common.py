@@ -29,10 +29,13 @@ def prepared(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines see, from ``spark.checkpoint.dir``; a temporary one where that is unset (tests)."""
+    """The folder all machines see, from ``spark.checkpoint.dir``; a temporary one where that is unset and Spark runs
+    on this machine only (tests). Other machines wouldn't see that, so without the setting a cluster is an error."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     if not _own:
         _own.append(f"file://{tempfile.mkdtemp(prefix='forecourt-')}")
     return _own[0]

@@ -132,15 +132,6 @@ def stretches(docs: DataFrame, table: np.ndarray, masks: tuple[str, ...], reach:
     return docs.mapInArrow(read, shape)
 
 
-def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """The run with the largest sum when an equal word counts 1 and a different one -4."""
-    score = np.where(same, MATCH, -MISMATCH)
-    sums = np.concatenate(([0], np.cumsum(score)))
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
-    return int(np.flatnonzero(sums[: end + 1] == low[end])[0]), end
-
-
 def similar_runs(same: np.ndarray, least: int, free: tuple[bool, bool]) -> list[tuple[int, int]]:
     """Unions of all runs of ``least`` words or more of which four of five are equal.
 

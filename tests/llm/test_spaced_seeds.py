@@ -4,7 +4,6 @@ import itertools
 import random
 
 import numpy as np
-import pytest
 
 from forecourt.llm import spaced_seeds
 from tests.llm.cases import documents, nasty, prose
@@ -63,15 +62,6 @@ def test_filter_keeps_clean_documents(spark):
     assert sorted((str(r.doc_id), r.hash) for r in out.collect()) == [("1", 7), ("1", 7), ("3", 7), ("4", 7), ("None", 7)]
 
 
-@pytest.mark.parametrize("same", [[1, 1, 0, 1], [0, 0], [1] * 5, [], [0, 1, 1, 1, 1, 0, 1, 1, 1, 1, 0]])
-def test_best_stretch(same):
-    flags = np.array(same, bool)
-    a, b = spaced_seeds.best_stretch(flags)
-    score = lambda x: sum(1 if s else -4 for s in x)
-    best = max([0, *(score(same[i:j]) for i in range(len(same)) for j in range(i, len(same) + 1))])
-    assert score(same[a:b]) == best
-
-
 def test_few_substitutions_at_all_places():
     """Items of 13 to 20 words with one to three substitutions count, wherever these are, as long as four of five agree."""
     for size in range(13, 21):
