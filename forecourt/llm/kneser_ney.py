@@ -93,10 +93,9 @@ def _mapped(folder: str, name: str, part: int) -> np.ndarray | None:
     return np.load(path, mmap_mode="r") if os.path.exists(path) else None
 
 
-def _look_up(folder: str, parts: int, keys: np.ndarray, *names: str) -> tuple[np.ndarray, ...]:
-    """For sorted different keys: their place in all keys or -1, and their values in other arrays or 0."""
-    place = np.full(len(keys), -1, np.int64)
-    out = [np.zeros(len(keys), np.float64) for _ in names]
+def _look_up(folder: str, parts: int, keys: np.ndarray, *names: str) -> list[np.ndarray]:
+    """For sorted different keys: their values in other arrays, -1 for those that aren't there."""
+    out = [np.full(len(keys), -1, np.int64) for _ in names]
     cuts = np.searchsorted(_part_of(keys, parts), np.arange(parts + 1))
     for part in np.flatnonzero(np.diff(cuts)).tolist():
         a, b = cuts[part], cuts[part + 1]
@@ -105,17 +104,9 @@ def _look_up(folder: str, parts: int, keys: np.ndarray, *names: str) -> tuple[np
             continue
         at = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
         hit = np.flatnonzero(known[at] == keys[a:b])
-        place[a + hit] = at[hit] + int(_origin(folder, parts)[part])
         for values, name in zip(out, names, strict=True):
             values[a + hit] = _mapped(folder, name, part)[at[hit]]
-    return place, *out
-
-
-@lru_cache(maxsize=64)
-def _origin(folder: str, parts: int) -> np.ndarray:
-    """Number of keys before each part."""
-    sizes = [0 if (known := _mapped(folder, "key", p)) is None else len(known) for p in range(parts)]
-    return np.concatenate(([0], np.cumsum(sizes)))
+    return out
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], count) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -228,11 +219,22 @@ def _merged(grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
         high = grams[:, k].astype(np.uint64)
         keys.append((high << _U(32)) | grams[:, k + 1] if k + 1 < grams.shape[1] else high)
     order = np.lexsort(keys[::-1])
-    grams, values = grams[order], values[order]
+    grams = grams[order]
+    starts = _starts(grams)
+    return grams[starts], _sums(values[order], starts)
+
+
+def _starts(grams: np.ndarray) -> np.ndarray:
+    """Where, in ordered rows, another n-gram begins."""
     new = np.ones(len(grams), bool)
-    new[1:] = np.any(grams[1:] != grams[:-1], axis=1)
-    starts = np.flatnonzero(new)
-    return grams[starts], np.add.reduceat(values, starts, axis=0) if len(starts) else values
+    new[1:] = False
+    for column in grams.T:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, starts, axis=0) if len(starts) else values
 
 
 def _longer(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -305,7 +307,7 @@ def _numbers(folder: str, parts: int, order: int, texts: list[bytes]) -> tuple[n
     """Word numbers of all texts behind their start marks, which of them are tokens, and the token hashes: different ones and places."""
     found, starts = tokens(texts)
     unique, back = np.unique(found, return_inverse=True)
-    place = _look_up(f"{folder}/words", parts, unique)[0]
+    place = _look_up(f"{folder}/words", parts, unique, "number")[0]
     own = np.where(place < 0, UNKNOWN, place).astype(np.uint32)[back]
     at = np.arange(len(own)) + (order - 1) * np.repeat(np.arange(1, len(texts) + 1), np.diff(starts))
     out = np.full(len(own) + (order - 1) * len(texts), START, np.uint32)
@@ -316,10 +318,14 @@ def _numbers(folder: str, parts: int, order: int, texts: list[bytes]) -> tuple[n
 def _below(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What n-grams say about those of one word less: how many end with them, the sum of the counts of those that
     begin with them, and how many of these have counts 1, 2, 3 and more."""
-    one = np.zeros((len(counts), 5), np.int64)
-    one[:, 0] = 1
-    kinds = np.column_stack([np.zeros(len(counts), np.int64), counts, counts == 1, counts == 2, counts > 2]).astype(np.int64)
-    return _merged(np.concatenate([grams[:, 1:], grams[:, :-1]]), np.concatenate([one, kinds]))
+    ends, many = _merged(grams[:, 1:], np.ones((len(grams), 1), np.int64))
+    # in the order of the n-grams, equal beginnings lie together
+    starts = _starts(grams[:, :-1])
+    kinds = _sums(np.column_stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.int64), starts)
+    values = np.zeros((len(ends) + len(starts), 5), np.int64)
+    values[: len(ends), :1] = many
+    values[len(ends) :, 1:] = kinds
+    return np.concatenate([ends, grams[starts, :-1]]), values
 
 
 def _level(folder: str, order: int, size: int, parts: int):
@@ -370,16 +376,21 @@ def train(docs: DataFrame, folder: str | None = None, parts: int | None = None,
     def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for part, keys, counts in _by_part(batches, "<u8", 1):
-            _write(f"{folder}/words", part, key=keys, n=counts[:, 0])
-            out.append((len(keys), int(counts.sum())))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(2)], names=["keys", "n"])
+            counts = counts[:, 0]
+            # frequent words have small numbers, which take few bytes when n-grams are dealt
+            rank = np.empty(len(keys), np.int64)
+            rank[np.argsort(-counts, kind="stable")] = np.arange(len(keys))
+            number = rank * parts + part
+            _write(f"{folder}/words", part, key=keys, n=counts.astype(np.min_scalar_type(counts.max(initial=0))), number=number.astype(np.uint32))
+            out.append((len(keys), int(counts.sum()), int(number.max(initial=0))))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], names=["keys", "n", "last"])
 
     def all_tokens(batch: list[bytes]) -> np.ndarray:
         return tokens(batch)[0]
 
-    counted = _counted(texts, parts, all_tokens).mapInArrow(write_words, "keys bigint, n bigint").collect()
+    counted = _counted(texts, parts, all_tokens).mapInArrow(write_words, "keys bigint, n bigint, last bigint").collect()
     vocabulary, total = (sum(r[c] for r in counted) for c in ("keys", "n"))
-    if vocabulary >= START:
+    if max((r["last"] for r in counted), default=0) >= START:
         raise ValueError("more words than 32 bits can number")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,7 +423,7 @@ def _discounted(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
 def score_texts(model: Model, texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """For each text: tokens, tokens seen in training, base log10 probability, the model's log10 probability."""
     number, at, unique, back = _numbers(model.folder, model.word_parts, model.order, texts)
-    count = _look_up(f"{model.folder}/words", model.word_parts, unique, "n")[1][back]
+    count = np.maximum(_look_up(f"{model.folder}/words", model.word_parts, unique, "n")[0], 0)[back]
     ones, twos, _, _, more, total = model.sizes[0]
     hashes = _longer(np.zeros(len(number), np.uint64), number)
     values = _counts_of(f"{model.folder}/1", model.parts, hashes, 5)
