@@ -4,7 +4,8 @@ Rows that are close in several metadata dimensions at once come to lie next to e
 so every shard covers a small box of the dimensions and readers can skip the others. Only
 DataFrame functions are used.
 
-1. Every dimension is cut into ``2**bits`` ranges at approximate quantiles.
+1. Every dimension is cut into ``2**bits`` ranges: texts at exact quantiles of their whole values, numbers
+   at approximate quantiles.
 2. The ranges of a row are a cell; the cell's place on the Hilbert curve orders the rows.
 3. A range-partitioned sort gives every row its position in the whole order, and equal runs
    of positions are the shards.
@@ -25,23 +26,48 @@ from forecourt.llm.common import fresh, written
 ROW_BITS = 33  # monotonically_increasing_id() holds the row in the lower 33 bits
 
 
-def leading(c: Column) -> Column:
-    """The first seven bytes of a text as a number with the same order."""
-    digits = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0")
-    return F.conv(digits, 16, 10).cast("long")
+def text_bounds(df: DataFrame, column: str, cells: int) -> list[str]:
+    """Exact quantiles of a text column by whole values: the ``cells - 1`` values that cut the rows into equal shares.
+
+    The different values are counted and sorted by range, and running sums within a range are moved up by
+    the sums of the ranges before it. So a value with a third of all rows is one row here, and no task sees
+    more than its range of values. Nulls don't count; without values there are no bounds.
+    """
+    value, n, row, part, before, through, total = fresh(df, "value", "n", "row", "part", "before", "through", "total")
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias(value)).agg(F.count("*").alias(n))
+    ordered = written(
+        counts.repartitionByRange(value).sortWithinPartitions(value).withColumn(row, F.monotonically_increasing_id())
+    ).withColumn(part, F.shiftright(row, ROW_BITS))
+    whole = Window.partitionBy()
+    offsets = ordered.groupBy(part).agg(F.sum(n).alias(before)).select(
+        part,
+        F.sum(before).over(whole).alias(total),
+        (F.sum(before).over(whole.orderBy(part)) - F.col(before)).alias(before),
+    )
+    running = ordered.withColumn(through, F.sum(n).over(Window.partitionBy(part).orderBy(row)))
+    placed = running.join(F.broadcast(offsets), part).withColumn(through, F.col(through) + F.col(before))
+    reached = [F.col(through) * cells >= F.col(total) * k for k in range(1, cells)]
+    bounds = placed.agg(*[F.min(F.when(r, F.col(value))).alias(f"b{k}") for k, r in enumerate(reached)]).first()
+    return [b for b in bounds if b is not None]
 
 
 def quantised(df: DataFrame, axes: Mapping[str, str], bits: int) -> DataFrame:
-    """Replace numeric columns by their range, 0 to ``2**bits - 1``. ``axes``: new name to old name.
+    """Add integer columns with the range of other columns, 0 to ``2**bits - 1``. ``axes``: new name to old name.
 
-    A null is in the lowest range. Boundaries are one row of at most ``2**bits - 1`` numbers per axis.
+    Texts are compared whole, in the order of their bytes. A null is in the lowest range. Boundaries are at
+    most ``2**bits - 1`` values per axis.
     """
-    steps = [k / (1 << bits) for k in range(1, 1 << bits)]
-    bounds = df.agg(*[F.percentile_approx(old, steps, 10_000).alias(new) for new, old in axes.items()]).first()
+    cells = 1 << bits
+    kinds = dict(df.dtypes)
+    bounds = {new: text_bounds(df, old, cells) for new, old in axes.items() if kinds[old] == "string"}
+    numeric = {new: old for new, old in axes.items() if new not in bounds}
+    if numeric:
+        steps = [k / cells for k in range(1, cells)]
+        found = df.agg(*[F.percentile_approx(old, steps, 10_000).alias(new) for new, old in numeric.items()]).first()
+        bounds |= {new: found[new] or [] for new in numeric}
 
     def place(new: str, old: str) -> Column:
-        above = [F.when(F.col(old) > b, 1).otherwise(0) for b in bounds[new] or []]
-        return sum(above, F.lit(0)).cast("int")
+        return sum((F.when(F.col(old) > F.lit(b), 1).otherwise(0) for b in bounds[new]), F.lit(0)).cast("int")
 
     return df.withColumns({new: place(new, old) for new, old in axes.items()})
 
@@ -109,17 +135,10 @@ def hilbert_shards(df: DataFrame, axes: list[str], ids: list[str], shards: int,
     shards some shards are empty; an empty table gives an empty table.
     """
     df = df.drop("hilbert", "shard", "slot")
-    kinds = dict(df.dtypes)
-    keys = fresh(df, *[f"key{k}" for k in range(len(axes))])
     cells = fresh(df, *[f"cell{k}" for k in range(len(axes))])
-    plain = written(
-        df.withColumns(
-            {k: leading(F.col(a)) if kinds[a] == "string" else F.col(a) for k, a in zip(keys, axes, strict=True)}
-        )
-    )
-    placed = with_curve_index(quantised(plain, dict(zip(cells, keys, strict=True)), bits), cells, bits, "hilbert")
+    placed = with_curve_index(quantised(written(df), dict(zip(cells, axes, strict=True)), bits), cells, bits, "hilbert")
     at, n = fresh(df, "position", "total")
-    numbered = with_positions(placed.drop(*keys, *cells), ["hilbert", *ids], at, n)
+    numbered = with_positions(placed.drop(*cells), ["hilbert", *ids], at, n)
     shard = F.floor(((F.col(at) + 1) * shards - 1) / F.col(n)).cast("int")
     start = F.floor(F.col("shard") * F.col(n) / shards).cast("long")
     return numbered.withColumn("shard", shard).withColumn("slot", F.col(at) - start).drop(at, n)

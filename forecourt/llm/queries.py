@@ -43,7 +43,7 @@ def crc_table() -> list[int]:
 
 
 def hilbert_sql(bits: int = 4, shards: int = 8) -> str:
-    """The sharding query for tables of up to 10,000 documents, whose quantiles are exact."""
+    """The sharding query for tables of up to 10,000 documents, where the quantiles of sizes are exact, too."""
     steps = ", ".join(str(k / (1 << bits)) for k in range(1, 1 << bits))
     ctes = []
     source = "cells"
@@ -71,8 +71,7 @@ measured as (select doc_id, octet_length(bytes) + 1 as size,
   xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint),
     list_transform(range(1, octet_length(bytes) + 1), lambda k: cast(('0x' || substr(hex(bytes), 2 * k - 1, 2)) as bigint))),
     lambda crc, byte: xor(crc >> 8, ([{table}])[xor(crc & 255, byte) + 1]))) as text_crc32,
-  rpad(substr(hex(encode(lang)), 1, 14), 14, '0') as k0, rpad(substr(hex(encode(source)), 1, 14), 14, '0') as k1,
-  octet_length(bytes) + 1 as k2 from plain),
+  lang as k0, source as k1, octet_length(bytes) + 1 as k2 from plain),
 bounds as (select quantile_disc(k0, [{steps}]) as b0, quantile_disc(k1, [{steps}]) as b1, quantile_disc(k2, [{steps}]) as b2 from measured),
 cells as (select doc_id, size, text_crc32, {cell} from measured, bounds),
 {", ".join(ctes)},

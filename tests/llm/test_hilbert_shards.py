@@ -5,7 +5,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from forecourt.llm.hilbert_shards import hilbert_shards, leading, with_curve_index, write_shards
+from forecourt.llm.hilbert_shards import hilbert_shards, text_bounds, with_curve_index, write_shards
 from tests.llm.cases import nasty
 
 
@@ -49,11 +49,22 @@ def test_odd_rows(spark):
     assert hilbert_shards(df.limit(0), ["lang", "n_chars"], ["doc_id"], 8).collect() == []
 
 
-def test_leading_bytes_keep_the_order(spark):
-    texts = ["", "a", "ab", "b", "é", "zzzzzzzzz"]
-    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", leading(F.col("t")).alias("n")).collect()
-    numbers = {r.t: r.n for r in found}
-    assert [t for t in sorted(texts, key=lambda t: t.encode())] == sorted(texts, key=numbers.get)
+def test_text_bounds_are_quantiles_of_whole_values(spark):
+    """Values that share long beginnings, one with a third of the rows, nulls and none at all."""
+    texts = [f"https://example.org/archive/{k * 37 % 101:03d}" for k in range(200)] + ["https://example.org/hot"] * 100 + ["é", ""]
+    df = spark.createDataFrame([(t,) for t in texts + [None] * 9], "value string").repartition(7)
+    texts.sort(key=lambda t: t.encode())
+    assert text_bounds(df, "value", 16) == [texts[-(-len(texts) * k // 16) - 1] for k in range(1, 16)]
+    assert text_bounds(df.filter("value is null"), "value", 16) == []
+
+
+def test_values_that_share_their_first_bytes_are_told_apart(spark):
+    df = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.format_string("common_crawl_release_of_%03d", F.col("id") * 7 % 40).alias("source")
+    )
+    rows = hilbert_shards(df, ["source"], ["doc_id"], 8).collect()
+    check(rows, 8, 400)
+    assert max(len({r.source for r in rows if r.shard == k}) for k in range(8)) <= 8
 
 
 def test_files_cover_narrow_ranges(spark, tmp_path):
