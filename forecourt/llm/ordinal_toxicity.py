@@ -152,34 +152,41 @@ def telling_features(sample: DataFrame, most: int, least_chi: float) -> DataFram
     return strong.filter(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "code").limit(most)
 
 
-def without_copies(sample: DataFrame, shingle: int = 3, values: int = 4) -> DataFrame:
-    """Leave out rows that look like a copy of another row: the chance words of a text with thirty copies
-    would count thirty times. Rows whose smallest shingle hash under any of a few hash functions was seen
-    are left out. Of the bounded sample, ids and these values reach the driver.
+def without_copies(sample: DataFrame, shingle: int = 5, bands: int = 16, rows: int = 4, least: float = 0.8) -> DataFrame:
+    """Leave out near copies of a row with a smaller id: the chance words of a text with thirty copies
+    would count thirty times. Rows that share a band of MinHash values are held against each other, and one
+    is a copy if ``least`` of all its values equal those of a row that stays. Texts of fewer words than a
+    shingle stay. Of the bounded sample, ids and these values reach the driver.
     """
+    values = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             found = words(encoded(batch.column("text")), LETTERS)
             grams, at = found.ngrams(shingle)
             text = found.text[at]
-            empty = np.setdiff1d(np.arange(batch.num_rows), text)  # too short: nothing to compare
-            low = np.zeros((batch.num_rows, values), np.uint64)
             starts = np.flatnonzero(np.diff(np.concatenate(([-1], text))))
-            for k in range(values if len(starts) else 0):
-                low[text[starts], k] = np.minimum.reduceat(mix(grams + np.uint64(k)), starts)
-            lists = [None if k in set(empty.tolist()) else row for k, row in enumerate(low.view(np.int64).tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "low"])
+            low: list[bytes | None] = [None] * batch.num_rows
+            if len(starts):
+                least_of = [np.minimum.reduceat(mix(grams + np.uint64(k)), starts) for k in range(values)]
+                for k, signature in zip(text[starts].tolist(), np.stack(least_of, 1), strict=True):
+                    low[k] = signature.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(low, pa.binary())], names=["doc_id", "low"])
 
     kind = dict(sample.dtypes)["doc_id"]
-    rows = sample.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, low array<bigint>").collect()
-    seen: set[tuple[int, int]] = set()
+    found = sample.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, low binary").collect()
+    holders: dict[tuple[int, bytes], list[np.ndarray]] = {}
     keep = []
-    for row in sorted(rows, key=lambda r: r["doc_id"]):
-        values_of = [] if row["low"] is None else list(enumerate(row["low"]))
-        if not seen.intersection(values_of):
-            keep.append((row["doc_id"],))
-        seen.update(values_of)
+    for row in sorted(found, key=lambda r: r["doc_id"]):
+        if row["low"] is not None:
+            signature = np.frombuffer(row["low"], np.uint64)
+            keys = [(k, signature[k * rows : (k + 1) * rows].tobytes()) for k in range(bands)]
+            near = [other for key in keys for other in holders.get(key, ())]
+            if near and (np.stack(near) == signature).mean(1).max() >= least:
+                continue
+            for key in keys:
+                holders.setdefault(key, []).append(signature)
+        keep.append((row["doc_id"],))
     kept = sample.sparkSession.createDataFrame(keep, f"doc_id {kind}")
     return sample.join(F.broadcast(kept), "doc_id")
 
@@ -209,6 +216,8 @@ def learn(
 ) -> Model | None:
     """Fit grades 0 to ``grades - 1`` on a bounded sample with columns ``text`` and ``label``.
 
+    ``most_features`` bounds the model that every task gets; of more telling features the strongest count.
+
     A label above 1 is a grade as it stands. If labels only say toxic or not, the severity of a toxic
     text is how many different telling features that lean to toxic texts it has, cut at quantiles into
     the grades above 0. Without both kinds of labels there is no model.

@@ -91,6 +91,16 @@ def test_copies_count_once(spark):
     assert {r.doc_id for r in kept.collect()} == {0, 6, 7, 8, 9}
 
 
+def test_texts_that_share_a_passage_are_no_copies(spark):
+    """Two of five words shared: no copy, and no row of the sample is lost. One word of a hundred changed: a copy."""
+    shared = prose(100, 40)
+    texts = [f"{shared} {prose(k, 60)}" for k in range(12)]
+    edited = texts[3].split()
+    edited[50] = "otherword"
+    kept = toxicity.without_copies(documents(spark, [*texts, " ".join(edited)]))
+    assert {r.doc_id for r in kept.collect()} == set(range(12))
+
+
 def test_odd_rows(spark):
     df = nasty(spark)
     docs, labels = labelled(spark, 100)
