@@ -198,18 +198,23 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience(a: list[tuple[int, int]], b: list[tuple[int, int]], x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
+def patience(
+    a: list[tuple[int, int]], b: list[tuple[int, int]], x: np.ndarray, y: np.ndarray, least: int = 1
+) -> list[tuple[int, int, int]]:
     """Aligned blocks of two texts: first word in each, and the number of words.
 
-    ``a`` and ``b`` list the start and hash of shared lines, ``x`` and ``y`` hold a byte per word. Between two
+    ``a`` and ``b`` list the start and hash of shared lines, in order, ``x`` and ``y`` hold a byte per word. Between two
     blocks the lines that are left are aligned anew; where none occurs once on both sides, equal occurrences are paired in order.
+    Where fewer than ``least`` words are left on a side, no block of that size can be, and nothing is aligned.
     """
     out: list[tuple[int, int, int]] = []
     todo = [(0, len(x), 0, len(y))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
-        left = [(s, h) for s, h in a if a0 <= s < a1]
-        right = [(s, h) for s, h in b if b0 <= s < b1]
+        left = a[bisect_left(a, (a0,)) : bisect_left(a, (a1,))]
+        right = b[bisect_left(b, (b0,)) : bisect_left(b, (b1,))]
+        if not left or not right:
+            continue
         many_left, many_right = Counter(h for _, h in left), Counter(h for _, h in right)
         where = {h: s for s, h in right if many_right[h] == 1}
         anchors = [(s, where[h]) for s, h in left if many_left[h] == 1 and h in where]
@@ -238,7 +243,7 @@ def patience(a: list[tuple[int, int]], b: list[tuple[int, int]], x: np.ndarray,
         if blocks:
             edges = [(a0, b0, 0), *blocks, (a1, b1, 0)]
             for (p, q, n), (r, s, _) in zip(edges[:-1], edges[1:], strict=True):
-                if r > p + n and s > q + n:
+                if r - p - n >= least and s - q - n >= least:
                     todo.append((p + n, r, q + n, s))
     return sorted(out)
 
@@ -252,12 +257,15 @@ def common_blocks(
     another order, or twice.
     """
     out: list[tuple[int, int]] = []
-    while True:
-        found = [(s, s + n) for s, _, n in patience(a, b, x, y) if n >= least]
+    in_both = {h for _, h in a} & {h for _, h in b}
+    a, b = ([(s, h) for s, h in lines if h in in_both] for lines in (a, b))
+    while a:
+        found = [(s, s + n) for s, _, n in patience(a, b, x, y, least) if n >= least]
         if not found:
-            return sorted(out)
+            break
         out += found
         a = [(s, h) for s, h in a if not any(start <= s < end for start, end in found)]
+    return sorted(out)
 
 
 def _agree(x: np.ndarray, y: np.ndarray) -> int:
