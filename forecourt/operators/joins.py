@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.columns import ColumnLike, as_column, first_of
 
-# Rows without a match are dealt over so many groups, so that they don't meet in one task.
-LONE_GROUPS = 256
+# Equal rows of a dimension are repeated in runs of so many.
+REPEATED_RUN = 4096
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class DimSpec:
     expressions. ``columns`` selects what is attached (all but the keys by
     default). ``role`` prefixes the attached names, so that one table can be
     attached under several keys. ``many`` announces that the dimension may hold
-    many rows per key.
+    many rows per key, ``different`` that no two of these are equal.
     """
 
     frame: DataFrame
@@ -37,6 +37,7 @@ class DimSpec:
     columns: Sequence[str] | None = None
     role: str | None = None
     many: bool = False
+    different: bool = False
 
     def keys(self) -> dict[str, ColumnLike]:
         return dict(self.on) if isinstance(self.on, Mapping) else {k: k for k in self.on}
@@ -58,38 +59,48 @@ def attach(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
         names = {k: f"__key_{i}_{j}" for j, k in enumerate(keys)}
         right = dim.frame.select(
             *(F.col(k).alias(name) for k, name in names.items()),
-            *(F.col(c).alias(name) for c, name in attached.items()),
+            # An alias that changes nothing can hide that two plans are equal and could share an exchange.
+            *(F.col(c) if c == name else F.col(c).alias(name) for c, name in attached.items()),
         )
         columns += attached.values()
         if dim.how == "left" and dim.many:
-            joined = _left_many(joined, right, {names[k]: as_column(expr) for k, expr in keys.items()}).select(*columns)
+            on = {names[k]: as_column(expr) for k, expr in keys.items()}
+            joined = _left_many(joined, right, on, dim.different).select(*columns)
         else:
             condition = reduce(Column.__and__, (as_column(expr) == F.col(names[k]) for k, expr in keys.items()))
             joined = joined.join(right, condition, dim.how)
     return joined.select(*columns)
 
 
-def _left_many(fact: DataFrame, right: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+def _left_many(fact: DataFrame, right: DataFrame, on: Mapping[str, Column], different: bool) -> DataFrame:
     """Left join with a dimension that may hold very many rows for one key; ``on`` maps its keys to those of the fact.
 
     Adaptive execution splits both sides of an inner join but only the preserved side of an
-    outer one. So the fact first learns which of its keys occur, from the different keys, and rows without a
-    match then meet one of a few rows without values that the dimension is given for them: an inner join that
-    loses nothing and reads the fact once.
+    outer one. So rows with a match come from an inner join, and the others from an outer join with the different keys.
+    Both deal the fact by the same keys, so Spark shuffles it once and uses that exchange twice. The keys are compared
+    null-safe though the dimension's are never NULL: a plain comparison would filter one of the two facts, and they would
+    differ. Equal rows of the dimension (unless all are ``different``) are counted, joined once and repeated afterwards, since
+    very many of them take few bytes, which adaptive execution wouldn't split, but much memory.
     """
-    spark = fact.sparkSession
-    present = reduce(Column.__and__, (F.col(n).isNotNull() for n in on))
-    right = right.filter(present)
+    right = right.filter(reduce(Column.__and__, (F.col(n).isNotNull() for n in on)))
+    columns = [c for c in (*fact.columns, *right.columns) if c not in on]
     known = right.select(*(F.col(n).alias(f"{n}_known") for n in on)).distinct().withColumn("__found", F.lit(True))
-    marked = fact.join(known, reduce(Column.__and__, (e == F.col(f"{n}_known") for n, e in on.items())), "left")
-    lone = F.pmod(F.xxhash64(*(F.col(c) for c in fact.columns)), F.lit(LONE_GROUPS))
-    dealt = marked.withColumn("__group", F.when(F.col("__found"), F.lit(-1)).otherwise(lone))
-    nothing = spark.range(LONE_GROUPS).select(
-        *(F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema), F.col("id").alias("__lone")
-    )
-    whole = right.withColumn("__lone", F.lit(-1).cast("long")).unionByName(nothing)
-    same = [F.col(f"{n}_known").eqNullSafe(F.col(n)) for n in on]
-    return dealt.join(whole, reduce(Column.__and__, [F.col("__group") == F.col("__lone"), *same]), "inner")
+    if not different:
+        right = right.groupBy(*right.columns).agg(F.count("*").alias("__times"))
+    matched = fact.join(right, reduce(Column.__and__, (e.eqNullSafe(F.col(n)) for n, e in on.items())), "inner")
+    if not different:
+        matched = _repeated(matched, "__times", columns)
+    marked = fact.join(known, reduce(Column.__and__, (e.eqNullSafe(F.col(f"{n}_known")) for n, e in on.items())), "left")
+    lone = marked.filter(F.col("__found").isNull()).select(*fact.columns)
+    return matched.select(*columns).unionByName(lone, allowMissingColumns=True)
+
+
+def _repeated(df: DataFrame, times: str, columns: Sequence[str]) -> DataFrame:
+    """Every row as often as ``times`` says, in runs, so that no array is as long as a large number."""
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(REPEATED_RUN).cast("long")))
+    length = F.least(F.lit(REPEATED_RUN).cast("long"), F.col(times) - F.col("__start")).cast("int")
+    runs = df.select(*columns, times, run.alias("__start"))
+    return runs.select(*columns, F.explode(F.array_repeat(F.lit(True), length)).alias("__again"))
 
 
 def attach_label(

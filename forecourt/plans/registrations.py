@@ -29,15 +29,18 @@ MOVEMENT_COLUMNS = ("in_service_on", "demo_end", "registered_on")
 TIMES = "__times"
 
 # Left joins in the order they are attached: table, key of the table → key of the line, columns. Without columns
-# a table only says how often a line counts.
+# a table only says how often a line counts. What adds most to a line comes late, since every large table costs a
+# shuffle of the lines as they are by then.
 OPTIONAL_TABLES: tuple[tuple[str, Mapping[str, ColumnLike], Sequence[str]], ...] = (
+    ("packs", {"affiliate": "affiliate", "pack": "pack", "version": "pack_version"}, ("pack_label",)),
+    ("financing", {"affiliate": "affiliate", "file_no": "file_no"}, ("reserved_on",)),
+    ("movements", {"affiliate": "affiliate", "vehicle": "vehicle"}, MOVEMENT_COLUMNS),
+    ("vehicles", {"affiliate": "affiliate", "vehicle": "vehicle"}, VEHICLE_COLUMNS),
     ("orders", {"affiliate": "affiliate", "order_no": "order_no"}, ORDER_COLUMNS),
     ("engines", {"affiliate": "affiliate", "engine": "engine"}, ()),
-    ("vehicles", {"affiliate": "affiliate", "vehicle": "vehicle"}, VEHICLE_COLUMNS),
     ("usages", {"affiliate": "affiliate", "usage": "usage"}, ()),
-    ("packs", {"affiliate": "affiliate", "pack": "pack", "version": "pack_version"}, ("pack_label",)),
-    ("financing", {"affiliate": "affiliate", "file_no": "file_no"}, ("reserved_on",)),
 )
+ROLES = {"movements": "movement"}
 
 
 def satellite(
@@ -50,7 +53,7 @@ def satellite(
     """
     times = f"{name}{TIMES}"
     rows = frame.groupBy(*dict.fromkeys((*on, *columns))).agg(F.count("*").alias(times))
-    return DimSpec(rows, on, "left", [*columns, times], role, many="vehicle" in on)
+    return DimSpec(rows, on, "left", [*columns, times], role, many="vehicle" in on, different=True)
 
 
 def registrations(
@@ -88,12 +91,10 @@ def registrations(
     # Blank ids stand for no vehicle: as NULL they match nothing, and don't meet in one task.
     known = {"vehicle": F.when(F.trim("vehicle") != "", F.col("vehicle"))}
     optional = [
-        satellite(tables[t], t, {**on, **known} if "vehicle" in on else on, columns) for t, on, columns in OPTIONAL_TABLES
+        satellite(tables[t], t, {**on, **known} if "vehicle" in on else on, columns, ROLES.get(t))
+        for t, on, columns in OPTIONAL_TABLES
     ]
-    movements = satellite(
-        tables["movements"], "movements", {"affiliate": "affiliate", **known}, MOVEMENT_COLUMNS, role="movement"
-    )
-    wide = attach(base, [*optional, movements])
+    wide = attach(base, optional)
     times = [F.coalesce(c, F.lit(1)) for c in wide.columns if c.endswith(TIMES)]
     wide = attach_label(wide, tables["professions"], "profession", "code", "label", "profession_label")
     wide = wide.withColumn(

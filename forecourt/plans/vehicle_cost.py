@@ -47,7 +47,7 @@ def vehicle_cost(
     wide = attach(
         sold,
         [
-            DimSpec(lines, KEYS, "left", many=True),
+            DimSpec(lines, KEYS, "left", many=True, different=True),
             DimSpec(bids, KEYS, "left"),
             DimSpec(unique_ref(tax, "country", "tax_rate"), ["country"], "left"),
         ],

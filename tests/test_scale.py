@@ -210,3 +210,27 @@ def test_a_hot_vehicle_in_movements_is_split(spark, settings):
     wide = attach(lines, [registrations.satellite(movements, "movements", {"vehicle": "vehicle"}, ["place"])])
     assert len(wide.collect()) == 80_000
     assert "skew=true" in plan_of(wide)
+
+
+def test_a_fact_meets_tables_with_many_rows_in_one_shuffle(spark, settings):
+    """Both tables have the key of the fact, which is dealt by it once."""
+    settings(autoBroadcastJoinThreshold=-1, adaptive__autoBroadcastJoinThreshold=-1)
+    fact = spark.range(50).select((F.col("id") % 9).alias("k"), F.col("id").alias("f"))
+    dims = [spark.range(20).select((F.col("id") % 6).alias("k"), F.col("id").alias(c)) for c in ("a", "b")]
+    joined = attach(fact, [DimSpec(d, ["k"], "left", many=True, different=True) for d in dims])
+    plain = attach(fact, [DimSpec(d, ["k"], "left") for d in dims])
+    assert rows(joined) == rows(plain)
+    joined.collect()
+    final = plan_of(joined).split("== Initial Plan ==")[0].splitlines()
+    assert sum("Range (0, 50," in line for line in final) == 1
+
+
+def test_registration_lines_are_read_and_dealt_once(spark, settings):
+    settings(autoBroadcastJoinThreshold=-1, adaptive__autoBroadcastJoinThreshold=-1)
+    found = entry.queries()["q_registration"](spark, FOLDER)
+    assert found.collect()
+    assert scans(found, "lineitem") == 1
+    # Orders and parts; family, pack, file, vehicle, order, profession and the sum.
+    joins_of_lines = [i for i, (t, *_) in enumerate(registrations.OPTIONAL_TABLES) if t in ("vehicles", "movements")]
+    assert joins_of_lines[1] - joins_of_lines[0] == 1
+    assert plan_of(found).split("== Initial Plan ==")[0].count("ReusedExchange") >= 2
