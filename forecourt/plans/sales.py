@@ -95,9 +95,14 @@ SALES_MEASURES = (
 
 @dataclass(frozen=True)
 class SalesModel:
-    """What the sales mart joins, groups by and sums."""
+    """What the sales mart joins, groups by and sums.
+
+    ``first`` names the dimensions with very many rows in the order they are joined, best one that has the keys by which the
+    fact is dealt already, then those with few columns; the others are lists of codes.
+    """
 
     dimensions: Sequence[Dimension] = SALES_DIMENSIONS
+    first: Sequence[str] = ("vehicle", "delivered", "client", "version")
     attributes: Sequence[str] = SALES_ATTRIBUTES
     measures: Sequence[str] = SALES_MEASURES
     channel_key: Sequence[str] = (
@@ -133,9 +138,18 @@ def sales_wide(
     """The fact joined with its dimensions and summed over everything it reports.
 
     Labels are joined to the sums by id, and sums are added up where different ids have the same labels. A
-    dimension with several rows for an id counts a sale as often, as it would before the sum.
+    dimension with several rows for an id counts a sale as often, as it would before the sum. Sums are dealt by the
+    columns of the large dimensions, all of which the report has, before the lists of codes are attached, so the last sum
+    needs no shuffle with all labels where the lists are broadcast.
     """
-    wide = attach(summed_by_id(tables, window, model), [d.spec(tables, locale) for d in model.dimensions])
+    named = {d.name: d for d in model.dimensions}
+    large = [named[n] for n in model.first if n in named]
+    lists = [d for d in model.dimensions if d not in large]
+    wide = attach(summed_by_id(tables, window, model), [d.spec(tables, locale) for d in large])
+    shown = [c for d in large if d.reported for c in d.columns()]
+    if shown:
+        wide = wide.repartition(*model.attributes, *shown)
+    wide = attach(wide, [d.spec(tables, locale) for d in lists])
     keys = [*model.attributes, *(c for d in model.dimensions if d.reported for c in d.columns())]
     return summarise(wide, keys, totals(wide, model.measures))
 

@@ -234,3 +234,11 @@ def test_registration_lines_are_read_and_dealt_once(spark, settings):
     joins_of_lines = [i for i, (t, *_) in enumerate(registrations.OPTIONAL_TABLES) if t in ("vehicles", "movements")]
     assert joins_of_lines[1] - joins_of_lines[0] == 1
     assert plan_of(found).split("== Initial Plan ==")[0].count("ReusedExchange") >= 2
+
+
+@pytest.mark.parametrize("name", ["q_sales_wide", "q_sales"])
+def test_labels_of_code_lists_are_not_shuffled(spark, name):
+    plan = plan_of(entry.queries()[name](spark, FOLDER))
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("vehicle_code" in line for line in dealt)
+    assert not any(c in line for line in dealt for c in ("zone_label", "heading_label", "operation_label", "company_code"))

@@ -409,6 +409,7 @@ SALES_MODEL = SalesModel(
         in_zone("subfamily"),
         Dimension("major_client_type", {"id": "major_client_type_id"}),
     ),
+    first=("vehicle", "delivered", "client", "version", "family", "segment"),
     attributes=("sale_date", "order_date", "promo"),
     measures=roles.MEASURES,
     channel_key=("country", "brand", "channel_code"),
