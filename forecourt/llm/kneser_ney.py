@@ -415,6 +415,20 @@ def train(docs: DataFrame, folder: str | None = None, parts: int | None = None,
     return Model(folder, order, parts, parts, total, vocabulary, sizes)
 
 
+def unmix(x: np.ndarray) -> np.ndarray:
+    """What ``mix`` was given: two different words or n-grams can't become equal by mixing."""
+
+    def unshift(v: np.ndarray, n: int) -> np.ndarray:
+        out = v
+        for _ in range(64 // n + 1):
+            out = v ^ (out >> _U(n))
+        return out
+
+    x = unshift(x.astype(np.uint64), 31) * _U(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = unshift(x, 27) * _U(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return unshift(x, 30)
+
+
 def _discounted(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
     cut = np.concatenate(([0.0], discount))[np.minimum(counts, 3).astype(np.int64)]
     return np.maximum(counts - cut, 0)

@@ -112,3 +112,12 @@ def test_odd_rows(spark):
         assert toxicity.learn_from_tables(docs, nothing, "grade") is None
     assert {r.severity for r in toxicity.grade(df, None).collect()} == {0.0}
     assert toxicity.accepted(df, None).count() == df.count() and toxicity.grade(df.limit(0), model).collect() == []
+
+
+def test_frequent_labels_alone_reject_nothing(frame):
+    """Texts without a telling feature stay, also where the thresholds alone say more than the bound."""
+    model = toxicity.Model(np.array([7], np.uint64), np.array([9.0]), np.array([1.0, 2.0]))
+    df = frame([(1, "plain words"), (2, None), (3, "")], "doc_id long, text string")
+    assert all(r.p_toxic > toxicity.REJECT for r in toxicity.grade(df, model).collect())
+    assert toxicity.accepted(df, model).count() == 3
+    assert toxicity.bound(None) == toxicity.REJECT
