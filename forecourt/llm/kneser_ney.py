@@ -40,6 +40,7 @@ UNKNOWN, START = 0xFFFFFFFF, 0xFFFFFFFE  # not the number of any word
 GATHER = 1 << 22  # tokens that a task adds up before it hands them on
 PART_BYTES = 1 << 24  # of text for each part of the n-grams
 BUCKET = 16
+SCORED_BYTES = 1 << 22  # of text scored at once; every part is opened once for them
 
 _U = np.uint64
 
@@ -193,41 +194,63 @@ class Model:
 
 
 def _packed(rows: np.ndarray) -> bytes:
-    """Whole numbers in few bytes: differences in the first column, bytes of equal weight together."""
+    """Whole numbers in few bytes: no wider than the largest, differences in the first column, bytes of equal weight together."""
     import zstandard
 
-    rows = np.ascontiguousarray(rows)
+    kind = np.min_scalar_type(int(rows.max(initial=0))).newbyteorder("<")
+    rows = np.array(rows, kind, order="C")
     rows[1:, 0] -= rows[:-1, 0].copy()
-    planes = rows.view(np.uint8).reshape(len(rows), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    planes = np.ascontiguousarray(rows.view(np.uint8).reshape(len(rows), -1).T)
+    return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
-def _unpacked(data: bytes, kind: str, width: int) -> np.ndarray:
+def _unpacked(data: bytes, kind: type, width: int) -> np.ndarray:
     import zstandard
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    size = np.dtype(kind).itemsize * width
-    rows = np.array(planes.reshape(size, -1).T, order="C").view(kind).reshape(-1, width)
+    stored = np.dtype(f"<u{data[0]}")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(memoryview(data)[1:]), np.uint8)
+    rows = np.array(planes.reshape(stored.itemsize * width, -1).T, order="C").view(stored).reshape(-1, width)
     rows[:, 0] = np.cumsum(rows[:, 0], dtype=rows.dtype)
-    return rows
+    return rows.astype(kind)
 
 
-def _merged(grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different n-grams (rows of word numbers) in order, with the sums of their values."""
-    keys = []
-    for k in range(0, grams.shape[1], 2):
-        high = grams[:, k].astype(np.uint64)
-        keys.append((high << _U(32)) | grams[:, k + 1] if k + 1 < grams.shape[1] else high)
-    order = np.lexsort(keys[::-1])
+def _merged(grams: np.ndarray, values: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different n-grams (rows of word numbers) side by side by first words, with the sums of their values (one each by default)."""
+    order = _order(grams)
     grams = grams[order]
     starts = _starts(grams)
+    if values is None:
+        return grams[starts], np.diff(np.append(starts, len(grams)))[:, None]
     return grams[starts], _sums(values[order], starts)
 
 
+def _order(grams: np.ndarray) -> np.ndarray:
+    """An order in which equal n-grams lie together: by one number of 64 bits, with some bits of every word's number.
+
+    Frequent words have small numbers, so few n-grams share that number; those that do are ordered by all their words.
+    """
+    width = grams.shape[1]
+    bits = 64 // width
+    first = 64 - bits * (width - 1)
+    key = grams[:, 0].astype(np.uint64) & _U((1 << first) - 1)
+    for k in range(1, width):
+        key = (key << _U(bits)) | (grams[:, k].astype(np.uint64) & _U((1 << bits) - 1))
+    order = np.argsort(key)
+    if bits >= 32:
+        return order
+    key, sorted_ = key[order], grams[order]
+    same = key[1:] == key[:-1]
+    mixed = same & (sorted_[1:] != sorted_[:-1]).any(1)
+    if mixed.any():
+        rows = np.flatnonzero(np.isin(key, key[1:][mixed]))
+        order[rows] = order[rows][np.lexsort([*sorted_[rows].T[::-1], key[rows]])]
+    return order
+
+
 def _starts(grams: np.ndarray) -> np.ndarray:
-    """Where, in ordered rows, another n-gram begins."""
-    new = np.ones(len(grams), bool)
-    new[1:] = False
+    """Where, in rows that lie together, another n-gram begins."""
+    new = np.zeros(len(grams), bool)
+    new[:1] = True
     for column in grams.T:
         new[1:] |= column[1:] != column[:-1]
     return np.flatnonzero(new)
@@ -251,27 +274,28 @@ def _hashes(grams: np.ndarray) -> np.ndarray:
 
 def _dealt(grams: np.ndarray, values: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """N-grams and their values as one row for each part."""
-    owner = _part_of(_hashes(grams), parts)
+    owner = _part_of(_hashes(grams), parts).astype(np.min_scalar_type(max(parts - 1, 0)))
     order = np.argsort(owner, kind="stable")
     cuts = np.searchsorted(owner[order], np.arange(parts + 1))
     for part in np.flatnonzero(np.diff(cuts)).tolist():
         own = order[cuts[part] : cuts[part + 1]]
-        row = [pa.array([part], pa.int32()), pa.array([_packed(grams[own].astype("<u4"))]), pa.array([_packed(values[own].astype("<u8"))])]
+        row = [pa.array([part], pa.int32()), pa.array([_packed(grams[own])]), pa.array([_packed(values[own])])]
         yield pa.RecordBatch.from_arrays([*row, pa.array([None], pa.list_(pa.int64()))], names=["part", "grams", "counts", "sizes"])
 
 
 def _write_grams(folder: str, parts: int, part: int, grams: np.ndarray, values: np.ndarray) -> None:
     keys = _hashes(grams)
-    order = np.argsort(keys)
-    keys, values = keys[order], values[order]
     many = max(1, len(keys) // BUCKET)
-    bucket = _bucket_of(keys, parts, many)
-    low = keys.astype(np.uint32)
-    order = np.lexsort((low, bucket))
-    whole = np.ascontiguousarray(values[order])
-    _, first, code = np.unique(combine(list(whole.T.astype(np.uint64))), return_index=True, return_inverse=True)
+    bucket = _bucket_of(keys, parts, many).astype(np.uint64)
+    place = (bucket << _U(32)) | keys.astype(np.uint32)
+    order = np.argsort(place)
+    place, whole = place[order], np.ascontiguousarray(values[order])
+    kinds, code = np.unique(combine(list(whole.T.astype(np.uint64))), return_inverse=True)
+    first = np.zeros(len(kinds), np.int64)
+    first[code] = np.arange(len(code))
     small = np.min_scalar_type(max(len(first) - 1, 0))
-    _write(folder, part, low=low[order], bucket=np.searchsorted(bucket, np.arange(many + 1)).astype(np.uint32), code=code.astype(small), value=whole[first])
+    edges = np.searchsorted(place >> _U(32), np.arange(many + 1, dtype=np.uint64)).astype(np.uint32)
+    _write(folder, part, low=place.astype(np.uint32), bucket=edges, code=code.astype(small), value=whole[first])
 
 
 def _bucket_of(keys: np.ndarray, parts: int, many: int) -> np.ndarray:
@@ -318,8 +342,8 @@ def _numbers(folder: str, parts: int, order: int, texts: list[bytes]) -> tuple[n
 def _below(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What n-grams say about those of one word less: how many end with them, the sum of the counts of those that
     begin with them, and how many of these have counts 1, 2, 3 and more."""
-    ends, many = _merged(grams[:, 1:], np.ones((len(grams), 1), np.int64))
-    # in the order of the n-grams, equal beginnings lie together
+    ends, many = _merged(grams[:, 1:])
+    # equal beginnings lie together, but for a few; those are sums too and the owner adds them up
     starts = _starts(grams[:, :-1])
     kinds = _sums(np.column_stack([counts, counts == 1, counts == 2, counts > 2]).astype(np.int64), starts)
     values = np.zeros((len(ends) + len(starts), 5), np.int64)
@@ -340,8 +364,8 @@ def _level(folder: str, order: int, size: int, parts: int):
                 if row["sizes"]:
                     sizes += np.array(row["sizes"], np.int64).reshape(order, 6)
                 if row["grams"] is not None:
-                    values = _unpacked(row["counts"], "<u8", 1 if top else 5).astype(np.int64)
-                    held.setdefault(row["part"], []).append((_unpacked(row["grams"], "<u4", size), values))
+                    values = _unpacked(row["counts"], np.int64, 1 if top else 5)
+                    held.setdefault(row["part"], []).append((_unpacked(row["grams"], np.uint32, size), values))
         for part, rows in held.items():
             grams, values = _merged(*(np.concatenate(x) for x in zip(*rows, strict=True)))
             _write_grams(f"{folder}/{size}", parts, part, grams, values)
@@ -400,11 +424,11 @@ def train(docs: DataFrame, folder: str | None = None, parts: int | None = None,
             held.append(np.column_stack([words_[at - k] for k in range(order - 1, -1, -1)]))
             if sum(map(len, held)) >= GATHER:
                 grams = np.concatenate(held)
-                yield from _dealt(*_merged(grams, np.ones((len(grams), 1), np.int64)), parts)
+                yield from _dealt(*_merged(grams), parts)
                 held = []
         if held:
             grams = np.concatenate(held)
-            yield from _dealt(*_merged(grams, np.ones((len(grams), 1), np.int64)), parts)
+            yield from _dealt(*_merged(grams), parts)
 
     shape = "part int, grams binary, counts binary, sizes array<bigint>"
     rows = texts.mapInArrow(read, shape)
@@ -471,7 +495,7 @@ def score(df: DataFrame, model: Model) -> DataFrame:
     schema = ", ".join([df.select(*kept)._jdf.schema().toDDL()] * bool(kept) + [shape])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, SCORED_BYTES):
             n, known, base, own = score_texts(model, encoded(batch.column("text")))
             found = [n, known, np.full(len(n), model.tokens), base, own, 10 ** (-own / n)]
             kinds = [pa.int64()] * 3 + [pa.float64()] * 3

@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from forecourt.llm import kneser_ney
@@ -103,3 +104,24 @@ def test_odd_rows(spark):
 def test_folder_must_be_mounted(spark):
     with pytest.raises(ValueError, match="mounted"):
         kneser_ney.train(documents(spark, ["a"]), folder="hdfs://host/x")
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4])
+def test_equal_ngrams_are_added_up_where_their_short_numbers_agree(width):
+    draw = np.random.default_rng(width)
+    numbers = np.array([1, 2, 1 + (1 << 21), 1 + (1 << 16), 1 + (1 << 22), kneser_ney.START], np.uint32)
+    grams = numbers[draw.integers(0, len(numbers), (3000, width))]
+    found, counts = kneser_ney._merged(grams)
+    assert dict(zip(map(tuple, found.tolist()), counts[:, 0].tolist(), strict=True)) == Counter(map(tuple, grams.tolist()))
+    assert len(found) == len(np.unique(grams, axis=0))
+    again, sums = kneser_ney._merged(grams, np.arange(len(grams))[:, None])
+    assert again.tolist() == found.tolist() and sums.sum() == np.arange(len(grams)).sum()
+
+
+def test_parcels_are_no_wider_than_their_numbers():
+    for rows in (np.array([[3, 0], [1, 255], [2, 7]]), np.array([[1 << 40, 2]]), np.array([[kneser_ney.START], [1]], np.uint32)):
+        data = kneser_ney._packed(rows)
+        assert kneser_ney._unpacked(data, np.int64, rows.shape[1]).tolist() == rows.tolist()
+    counts = np.random.default_rng(0).integers(0, 1 << 8, (1 << 16, 1))
+    plain = kneser_ney._packed(counts + (1 << 32))
+    assert len(kneser_ney._packed(counts)) < min(len(plain), (1 << 16) + 100)
