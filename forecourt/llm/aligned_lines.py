@@ -29,6 +29,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm.common import fingerprint, fresh, written
 from forecourt.llm.spaced_seeds import _probes, bit_table
-from forecourt.llm.tokens import Words, _power, combine, encoded, mix, pieces, segments, words
+from forecourt.llm.tokens import Words, _power, combine, encoded, mix, pieces, words
 
 WINDOW, FORCED, REPEATED = 4, 64, 8  # words compared on either side of a cut; longest line; least line of words that repeat
 LINE_WORDS, BLOCK_WORDS = 5, 50
@@ -59,19 +60,16 @@ def line_starts(found: Words, texts: list[bytes]) -> np.ndarray:
     first[found.first[:-1][np.diff(found.first) > 0]] = True
     pair = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     pair[:-1] = combine([found.hash[:-1], found.hash[1:]], 7)
-    least, tied = np.ones(n, bool), np.ones(n, bool)
+    least, tied = np.zeros(n, bool), np.zeros(n, bool)
+    # neighbours must be in the same text; a cut near its ends would depend on what isn't there
+    least[WINDOW : n - WINDOW] = found.text[2 * WINDOW :] == found.text[: max(n - 2 * WINDOW, 0)]
+    tied[:] = least
     for d in range(1, WINDOW + 1):
-        least[d:] &= pair[d:] < pair[:-d]
-        least[:-d] &= pair[:-d] < pair[d:]
-        tied[d:] &= pair[d:] <= pair[:-d]
-        tied[:-d] &= pair[:-d] <= pair[d:]
-        # neighbours must be in the same text; a cut near its ends would depend on what isn't there
-        for flags in (least, tied):
-            flags[d:] &= found.text[d:] == found.text[:-d]
-            flags[:-d] &= found.text[:-d] == found.text[d:]
-    for flags in (least, tied):
-        flags[:WINDOW] = False
-        flags[n - WINDOW :] = False
+        less, more = pair[d:] < pair[:-d], pair[d:] > pair[:-d]
+        least[d:] &= less
+        least[:-d] &= more
+        tied[d:] &= ~more
+        tied[:-d] &= ~less
     first[1:] |= least[:-1]
     # Words that repeat have no strict minimum, but equal ones once in each period: every so many of these cut, from the
     # first of them on, so that lines of one repetition are equal, wherever it is entered.
@@ -90,8 +88,45 @@ def line_starts(found: Words, texts: list[bytes]) -> np.ndarray:
     return starts
 
 
-def sequences(docs: DataFrame) -> DataFrame:
-    """Per text: hashes and word counts of its lines, and one byte per word."""
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a list or binary column without nulls, and the place of each row's first; one more entry at the end."""
+    if pa.types.is_list(column.type):
+        cuts = column.offsets.to_numpy().astype(np.int64)
+        return column.values.to_numpy()[cuts[0] : cuts[-1]], cuts - cuts[0]
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
+
+
+def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A list column from the values of all rows and their number in each."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values))
+
+
+def binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """A binary column from the values of all rows and the place of each row's first; one more entry at the end."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def each_once(lines: np.ndarray, long: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different long lines of each text, their number, and for every line its place among those of its text; -1 for a short one."""
+    count = len(cuts) - 1
+    at = np.flatnonzero(long)
+    text = np.repeat(np.arange(count), np.diff(cuts))[at]
+    order = np.lexsort((lines[at], text))
+    at, text = at[order], text[order]
+    found = lines[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])
+    counts = np.bincount(text[new], minlength=count)
+    places = np.full(len(lines), -1, np.int32)
+    places[at] = np.cumsum(new) - 1 - (np.cumsum(counts) - counts)[text]
+    return found[new], counts, places
+
+
+def sequences(docs: DataFrame, least_line: int) -> DataFrame:
+    """Per text: hashes of its lines of ``least_line`` words, each once; of all lines in order, where the hash stands among
+    these (-1: too short) and the number of words, a byte each; and one byte per word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -104,17 +139,13 @@ def sequences(docs: DataFrame) -> DataFrame:
             lines = mix((sums[starts + sizes] - sums[starts]) * _power("down", len(sums))[starts] + sizes.astype(np.uint64))
             marks = (found.hash >> np.uint64(56)).astype(np.uint8)
             cuts = np.searchsorted(starts, found.first)
-            rows = range(batch.num_rows)
-            columns = [
-                pa.array([lines[cuts[k] : cuts[k + 1]].view(np.int64) for k in rows], pa.list_(pa.int64())),
-                pa.array([sizes[cuts[k] : cuts[k + 1]].astype(np.int32) for k in rows], pa.list_(pa.int32())),
-                pa.array([marks[found.first[k] : found.first[k + 1]].tobytes() for k in rows], pa.binary()),
-            ]
+            once, counts, places = each_once(lines.view(np.int64), sizes >= least_line, cuts)
+            columns = [lists(once, counts), binaries(places, cuts), binaries(sizes.astype(np.uint8), cuts), binaries(marks, found.first)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rank"), batch.column("print"), *columns], names=["rank", "print", "lines", "sizes", "marks"]
+                [batch.column("rank"), batch.column("print"), *columns], names=["rank", "print", "lines", "places", "sizes", "marks"]
             )
 
-    return docs.mapInArrow(run, "rank bigint, print binary, lines array<bigint>, sizes array<int>, marks binary")
+    return docs.mapInArrow(run, "rank bigint, print binary, lines array<bigint>, places binary, sizes binary, marks binary")
 
 
 def shared_lines(parts: DataFrame) -> DataFrame:
@@ -126,63 +157,85 @@ def shared_lines(parts: DataFrame) -> DataFrame:
     return found.filter("first < last").drop("last")
 
 
-def in_long_runs(shared: np.ndarray, sizes: np.ndarray, least_line: int, least_words: int) -> tuple[np.ndarray, list[int]]:
-    """Which shared lines are in a run that a block of ``least_words`` words could be made of, and the first word
-    and the word after the last of all such runs, with the lines at their ends.
+def in_long_runs(
+    shared: np.ndarray, sizes: np.ndarray, cuts: np.ndarray, least_line: int, least_words: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which shared lines of many texts are in a run that a block of ``least_words`` words could be made of, the first word
+    and the word after the last of all such runs, with the lines at their ends, and the number of these in each text.
 
     A run goes on over lines that are too short to be compared. At its ends, words outside the block decide how
     the last words inside are cut: one line there can lie in the block and yet differ, and of a second one a part.
     """
-    open_ = shared | (sizes < least_line)
-    out = np.zeros(len(sizes), bool)
-    places = np.concatenate(([0], np.cumsum(sizes)))
-    runs: list[int] = []
-    for a, b in segments(open_):
-        first, end = int(places[max(a - 2, 0)]), int(places[min(b + 2, len(sizes))])
-        if end - first >= least_words and shared[a:b].any():
-            out[a:b] = shared[a:b]
-            # runs that overlap are one
-            runs[-1:] = [end] if runs and first <= runs[-1] else [*runs[-1:], first, end]
-    return out, runs
+    before = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    edge = np.zeros(len(sizes) + 1, bool)
+    edge[cuts] = True
+    open_ = np.concatenate(([False], shared | (sizes < least_line), [False]))
+    a = np.flatnonzero(open_[1:-1] & (edge[:-1] | ~open_[:-2]))
+    b = np.flatnonzero(open_[1:-1] & (edge[1:] | ~open_[2:])) + 1
+    text = np.searchsorted(cuts, a, side="right") - 1
+    first, end = before[np.maximum(a - 2, cuts[text])], before[np.minimum(b + 2, cuts[text + 1])]
+    seen = np.concatenate(([0], np.cumsum(shared)))
+    good = (end - first >= least_words) & (seen[b] > seen[a])
+    a, b, text, first, end = a[good], b[good], text[good], first[good], end[good]
+    steps = np.zeros(len(sizes) + 1, np.int8)
+    steps[a] += 1
+    steps[b] -= 1
+    inside = np.cumsum(steps[:-1], dtype=np.int8).astype(bool)
+    # runs that overlap are one
+    new = np.ones(len(a) + 1, bool)
+    new[1:-1] = (text[1:] != text[:-1]) | (first[1:] > end[:-1])
+    new, last = new[:-1], new[1:]
+    runs = np.stack((first[new], end[last]), 1) - before[cuts[text[new]]][:, None]
+    return inside & shared, runs, np.bincount(text[new], minlength=len(cuts) - 1)
 
 
 def candidates(texts: DataFrame, least_line: int, least_words: int) -> DataFrame:
-    """Texts with long runs of shared lines: starts and hashes of these lines, places of the runs and of those
+    """Different texts with long runs of shared lines: starts and hashes of these lines, places of the runs and of those
     in which earlier documents have all lines, and a byte per word."""
-    parts = texts.select("rank", F.explode(F.array_distinct(_long_lines(least_line))).alias("line"))
+    parts = texts.select("rank", F.explode("lines").alias("line"))
     later = F.when(F.col("first") < F.col("rank"), F.col("line"))
     shared = parts.join(shared_lines(parts), "line").groupBy("rank").agg(F.collect_set("line").alias("shared"), F.collect_set(later).alias("later"))
-    joined = texts.join(shared, "rank")
+    joined = texts.join(shared, "rank").dropDuplicates(["rank", "print"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, starts, lines, spans, later = [], [], [], [], []
-            for k in range(batch.num_rows):
-                own, sizes, known = (batch.column(c)[k].values.to_numpy() for c in ("lines", "sizes", "shared"))
-                found = np.isin(own, known) & (sizes >= least_line)
-                keep, runs = in_long_runs(found, sizes, least_line, least_words)
-                if keep.any():
-                    rows.append(k)
-                    spans.append(runs)
-                    known = batch.column("later")[k].values.to_numpy()
-                    later.append(in_long_runs(np.isin(own, known) & (sizes >= least_line), sizes, least_line, least_words)[1])
-                    starts.append((np.cumsum(sizes) - sizes)[keep].astype(np.int32))
-                    lines.append(own[keep])
-            at = pa.array(rows, pa.int64())
-            columns = [batch.column("rank").take(at), batch.column("print").take(at), pa.array(starts, pa.list_(pa.int32()))]
-            columns += [pa.array(lines, pa.list_(pa.int64())), *[pa.array(c, pa.list_(pa.int32())) for c in (spans, later)], batch.column("marks").take(at)]
-            yield pa.RecordBatch.from_arrays(columns, names=["rank", "print", "starts", "lines", "runs", "later", "marks"])
+        for batch in pieces(batches, column="places"):
+            count = batch.num_rows
+            once, heads = flat(batch.column("lines"))
+            if not len(once):
+                continue
+            known, number = np.unique(once, return_inverse=True)
+            own = number * count + np.repeat(np.arange(count), np.diff(heads))
+            # a line that is shared is so in every text that has it, but the first of these isn't later; texts of one id have their lists in common
+            shared = np.isin(known, flat(batch.column("shared"))[0])[number]
+            asked, cuts = flat(batch.column("later"))
+            at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            found = known[at] == asked
+            later = np.isin(own, (at * count + np.repeat(np.arange(count), np.diff(cuts)))[found])
+
+            places, cuts = flat(batch.column("places"))
+            places, cuts = places.view(np.int32), cuts // 4
+            sizes = flat(batch.column("sizes"))[0]
+            text = np.repeat(np.arange(count), np.diff(cuts))
+            long = places >= 0
+            at = np.where(long, places + heads[text], 0)
+            keep, runs, many = in_long_runs(shared[at] & long, sizes, cuts, least_line, least_words)
+            _, runs_later, many_later = in_long_runs(later[at] & long, sizes, cuts, least_line, least_words)
+            before = np.cumsum(sizes, dtype=np.int64) - sizes
+            starts = (before - before[np.minimum(cuts, len(before) - 1)][text])[keep]
+            kept = np.bincount(text[keep], minlength=count)
+            rows = np.flatnonzero(kept)
+            columns = [lists(starts.astype(np.int32), kept[rows]), lists(once[at[keep]], kept[rows])]
+            columns += [lists(r.ravel().astype(np.int32), 2 * m[rows]) for r, m in ((runs, many), (runs_later, many_later))]
+            taken = [batch.column(c).take(pa.array(rows)) for c in ("rank", "print", "marks")]
+            yield pa.RecordBatch.from_arrays([*taken[:2], *columns, taken[2]], names=["rank", "print", "starts", "lines", "runs", "later", "marks"])
 
     return joined.mapInArrow(run, "rank bigint, print binary, starts array<int>, lines array<bigint>, runs array<int>, later array<int>, marks binary")
 
 
-def _long_lines(least: int) -> Column:
-    both = F.arrays_zip("lines", "sizes")
-    return F.transform(F.filter(both, lambda x: x["sizes"] >= least), lambda x: x["lines"])
-
-
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest part of pairs, sorted by their first members, in which the second ones increase."""
+    if all(p[1] < q[1] for p, q in pairwise(pairs)):
+        return pairs
     tops: list[int] = []
     ends: list[int] = []
     before = [-1] * len(pairs)
@@ -254,11 +307,11 @@ def common_blocks(
     """Ranges of at least ``least`` words of the first text that the second one has.
 
     What an alignment leaves over is aligned once more, as long as that finds a block: passages may stand in
-    another order, or twice.
+    another order, or twice. Lines that only one of them has make no difference.
     """
     out: list[tuple[int, int]] = []
-    in_both = {h for _, h in a} & {h for _, h in b}
-    a, b = ([(s, h) for s, h in lines if h in in_both] for lines in (a, b))
+    if a == b and np.array_equal(x, y):
+        return [(0, len(x))] if a and len(x) >= least else out
     while a:
         found = [(s, s + n) for s, _, n in patience(a, b, x, y, least) if n >= least]
         if not found:
@@ -271,8 +324,11 @@ def common_blocks(
 def _agree(x: np.ndarray, y: np.ndarray) -> int:
     """Number of equal values at the beginning."""
     n = min(len(x), len(y))
-    different = np.flatnonzero(x[:n] != y[:n])
-    return int(different[0]) if len(different) else n
+    if not n:
+        return 0
+    different = x[:n] != y[:n]
+    at = int(different.argmax())
+    return at if different[at] else n
 
 
 def windows(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -282,12 +338,9 @@ def windows(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[at + size] - sums[at]) * _power("down", len(sums))[at]).view(np.int64)
 
 
-def uncovered(count: int, spans: list[dict], at: np.ndarray, size: int) -> np.ndarray:
-    """Which windows have a word outside all spans, in a text of ``count`` words."""
-    steps = np.zeros(count + 1, np.int64)
-    for span in spans:
-        steps[span["start"]] += 1
-        steps[span["end"]] -= 1
+def uncovered(count: int, start: np.ndarray, end: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Which windows have a word outside all spans, among ``count`` words."""
+    steps = np.bincount(start, minlength=count + 1) - np.bincount(end, minlength=count + 1)
     bare = np.concatenate(([0], np.cumsum(np.cumsum(steps[:-1]) <= 0)))
     return bare[at + size] > bare[at]
 
@@ -334,24 +387,24 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
     """
     spans = blocks.groupBy("rank", "print").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
-    def found(batch: pa.RecordBatch, k: int, column: str) -> tuple[int, np.ndarray, np.ndarray]:
-        marks = np.frombuffer(batch.column("marks")[k].as_py(), np.uint8)
-        runs = batch.column(column)[k].values.to_numpy().reshape(-1, 2).tolist()
-        at = np.concatenate([np.arange(a, b - size + 1) for a, b in runs])
-        return len(marks), windows(marks, at, size), at
+    def found(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first word and text of every window in the runs of all texts, and where the words of each text begin."""
+        marks, cuts = flat(batch.column("marks"))
+        runs, heads = flat(batch.column(column))
+        a, b = runs.reshape(-1, 2).astype(np.int64).T
+        many = np.maximum(b - a - size + 1, 0)
+        text = np.repeat(np.repeat(np.arange(batch.num_rows), np.diff(heads) // 2), many)
+        at = np.arange(len(text)) + np.repeat(a - np.cumsum(many) + many, many) + cuts[text]
+        return windows(marks, at, size), at, text, cuts
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = [], 0
-        for batch in batches:
-            for k in range(batch.num_rows):
-                count, hash_, at = found(batch, k, "later")
-                hashes.append(hash_[uncovered(count, batch.column("spans")[k].as_py() or [], at, size)])
-                held += len(hashes[-1])
-                if held > AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(hashes)))], names=["hash"])
-                    hashes, held = [], 0
-        if hashes:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(hashes)))], names=["hash"])
+        for batch in pieces(batches, AT_ONCE, "marks"):
+            hashes, at, _, cuts = found(batch, "later")
+            spans = batch.column("spans")
+            own = np.repeat(cuts[:-1], spans.value_lengths().fill_null(0).to_numpy())
+            start, end = (spans.flatten().field(c).to_numpy() + own for c in ("start", "end"))
+            wanted = np.unique(hashes[uncovered(int(cuts[-1]), start, end, at, size)])
+            yield pa.RecordBatch.from_arrays([pa.array(wanted)], names=["hash"])
 
     # The first document with a line asks for none of its windows, or all copies would answer.
     later = left.filter(F.size("later") > 0).select("rank", "print", "later", "marks")
@@ -365,26 +418,14 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
             at = at.astype(np.int64)
             return (known[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
-        def answered(batch: pa.RecordBatch, rows: list, hashes: list, places: list) -> pa.RecordBatch:
-            at = pa.array(np.concatenate(rows))
-            columns = [*[batch.column(c).take(at) for c in ("rank", "print")], *[pa.array(np.concatenate(c)) for c in (hashes, places)]]
-            return pa.RecordBatch.from_arrays(columns, names=["rank", "print", "hash", "at"])
-
-        for batch in batches:
-            rows, hashes, places, held = [], [], [], 0
-            for k in range(batch.num_rows):
-                _, own, at = found(batch, k, "runs")
-                one, two = _probes(own.view(np.uint64))
-                hit = has(one) & has(two)
-                rows.append(np.full(int(hit.sum()), k))
-                hashes.append(own[hit])
-                places.append(at[hit].astype(np.int32))
-                held += len(rows[-1])
-                if held > AT_ONCE:
-                    yield answered(batch, rows, hashes, places)
-                    rows, hashes, places, held = [], [], [], 0
-            if held:
-                yield answered(batch, rows, hashes, places)
+        for batch in pieces(batches, AT_ONCE, "marks"):
+            hashes, at, text, cuts = found(batch, "runs")
+            one, two = _probes(hashes.view(np.uint64))
+            hit = np.flatnonzero(has(one))
+            hit = hit[has(two[hit])]
+            own = [batch.column(c).take(pa.array(text[hit])) for c in ("rank", "print")]
+            places = (at[hit] - cuts[text[hit]]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(hashes[hit]), pa.array(places)], names=["rank", "print", "hash", "at"])
 
     answers = written(left.select("rank", "print", "runs", "marks").mapInArrow(answer, "rank bigint, print binary, hash bigint, at int"))
     alike = answers.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last").select("hash")
@@ -393,11 +434,11 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             spelled = words(encoded(batch.column("text")))
-            for k in range(batch.num_rows):
-                at = np.sort(batch.column("at")[k].values.to_numpy())
-                hashes = windows(spelled.hash[spelled.first[k] : spelled.first[k + 1]], at, size)
-                own = [batch.column(c).take(pa.array(np.full(len(at), k))) for c in ("rank", "print")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(hashes), pa.array(at)], names=["rank", "print", "hash", "at"])
+            at, cuts = flat(batch.column("at"))
+            text = np.repeat(np.arange(batch.num_rows), np.diff(cuts))
+            hashes = windows(spelled.hash, at + spelled.first[text], size)
+            own = [batch.column(c).take(pa.array(text)) for c in ("rank", "print")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(hashes), pa.array(at)], names=["rank", "print", "hash", "at"])
 
     copies = plain.join(chosen, ["rank", "print"])
     exact = written(copies.mapInArrow(spell, "rank bigint, print binary, hash bigint, at int"))
@@ -456,25 +497,29 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WO
     """
     rank = rank_of(F.col(doc_id), F.col("text"))
     plain = docs.select(rank.alias("rank"), fingerprint("text").alias("print"), "text").filter("print is not null")
-    texts = written(sequences(plain))
+    texts = written(sequences(plain, LINE_WORDS))
     left = written(candidates(texts, LINE_WORDS, least_words))
     parts = left.select("rank", F.explode(F.array_distinct("lines")).alias("line"))
     pairs = parts.join(shared_lines(parts), "line").filter("first < rank").select("rank", "first").distinct()
-    later = pairs.join(left.dropDuplicates(["rank", "print"]), "rank")
+    later = pairs.join(left, "rank")
     earlier = left.select(F.col("rank").alias("first"), *[F.col(c).alias(f"other_{c}") for c in ("starts", "lines", "marks")])
     both = later.join(earlier, "first")
 
-    def lines_of(batch: pa.RecordBatch, k: int, prefix: str) -> tuple[list[tuple[int, int]], np.ndarray]:
-        starts, lines = (batch.column(prefix + c)[k].values.to_numpy() for c in ("starts", "lines"))
-        found = list(zip(starts.tolist(), lines.tolist(), strict=True))
-        return found, np.frombuffer(batch.column(f"{prefix}marks")[k].as_py(), np.uint8)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, column="marks"):
+            sides = [[flat(batch.column(prefix + c)) for c in ("starts", "lines", "marks")] for prefix in ("", "other_")]
+            texts = [np.repeat(np.arange(batch.num_rows), np.diff(cuts)) for _, (_, cuts), _ in sides]
+            number = np.unique(np.concatenate([lines for _, (lines, _), _ in sides]), return_inverse=True)[1]
+            numbers = np.split(number, [len(texts[0])])
+            own = [n * batch.num_rows + text for n, text in zip(numbers, texts, strict=True)]
+            rows = []
+            for (starts, _), n, text, in_both in zip([side[0] for side in sides], numbers, texts, (np.isin(*own), np.isin(*own[::-1])), strict=True):
+                found = list(zip(starts[in_both].tolist(), n[in_both].tolist(), strict=True))
+                ends = np.cumsum(np.bincount(text[in_both], minlength=batch.num_rows)).tolist()
+                rows.append([found[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)])
+            marks = [[values[i:j] for i, j in pairwise(cuts.tolist())] for _, _, (values, cuts) in sides]
             out: list[tuple[int, int, int]] = []
-            for k in range(batch.num_rows):
-                a, x = lines_of(batch, k, "")
-                b, y = lines_of(batch, k, "other_")
+            for k, (a, b, x, y) in enumerate(zip(*rows, *marks, strict=True)):
                 out += [(k, start, end) for start, end in common_blocks(a, b, x, y, least_words)]
             at = pa.array([o[0] for o in out], pa.int64())
             spans = [pa.array([o[n] for o in out], pa.int64()) for n in (1, 2)]

@@ -96,15 +96,16 @@ def words(texts: list[bytes], alphabet: Alphabet = PLAIN) -> Words:
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     origin = np.concatenate(([0], np.cumsum(sizes)))
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8) if texts else np.zeros(0, np.uint8)
-    broken = alphabet.breaks[data]
-    broken[origin[1:] - 1] = True
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], broken, [True])).view(np.int8)))
+    broken = np.ones(len(data) + 2, bool)
+    broken[1:-1] = alphabet.breaks[data]
+    broken[origin[1:]] = True
+    edge = np.flatnonzero(broken[1:] != broken[:-1])
     start, end = edge[0::2], edge[1::2]
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(alphabet.values[data] * _power("up", len(data)), out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * _power("down", len(data) + 1)[start])
-    text = np.searchsorted(origin, start, side="right") - 1
     first = np.searchsorted(start, origin)
+    text = np.repeat(np.arange(len(texts)), np.diff(first))
     return Words(hashes, text, start - origin[text], end - origin[text], first)
 
 
@@ -113,10 +114,10 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``size`` bytes of text. A longer text is a batch of its own."""
+def pieces(batches: Iterator[pa.RecordBatch], size: int = BATCH_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, or of another column. A longer text is a batch of its own."""
     for batch in batches:
-        sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(batch.column("text")).to_pylist()])
+        sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()])
         at = 0
         while at < len(sizes):
             n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), size, side="right")))
