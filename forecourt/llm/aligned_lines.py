@@ -151,7 +151,8 @@ def sequences(docs: DataFrame, least_line: int) -> DataFrame:
 def shared_lines(parts: DataFrame) -> DataFrame:
     """Lines that several documents have, with the first of them, from rows (rank, line).
 
-    A line that very many documents have is a minimum and a maximum, made with partial aggregates.
+    A line that very many documents have is a minimum and a maximum, made with partial aggregates. There is one row per
+    line, so joins can hash these rows and needn't sort the occurrences.
     """
     found = parts.groupBy("line").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
     return found.filter("first < last").drop("last")
@@ -194,7 +195,7 @@ def candidates(texts: DataFrame, least_line: int, least_words: int) -> DataFrame
     in which earlier documents have all lines, and a byte per word."""
     parts = texts.select("rank", F.explode("lines").alias("line"))
     later = F.when(F.col("first") < F.col("rank"), F.col("line"))
-    shared = parts.join(shared_lines(parts), "line").groupBy("rank").agg(F.collect_set("line").alias("shared"), F.collect_set(later).alias("later"))
+    shared = parts.join(shared_lines(parts).hint("shuffle_hash"), "line").groupBy("rank").agg(F.collect_set("line").alias("shared"), F.collect_set(later).alias("later"))
     joined = texts.join(shared, "rank").dropDuplicates(["rank", "print"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,6 +339,21 @@ def windows(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[at + size] - sums[at]) * _power("down", len(sums))[at]).view(np.int64)
 
 
+def least_grams(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Of each window of ``size`` words the least hash of all runs of three quarters as many words inside.
+
+    Equal windows have equal ones, and neighbouring windows mostly have the same.
+    """
+    length = size - size // 4
+    least = windows(values, np.arange(len(values) - length + 1), length)
+    reach, wanted = 1, size - length + 1  # the runs that least covers so far, and those in a window
+    while reach < wanted:
+        step = min(reach, wanted - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
+    return least[at]
+
+
 def uncovered(count: int, start: np.ndarray, end: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """Which windows have a word outside all spans, among ``count`` words."""
     steps = np.bincount(start, minlength=count + 1) - np.bincount(end, minlength=count + 1)
@@ -383,7 +399,8 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
 
     A window that isn't covered is linked to the first document that has it, covered there or not. The bytes of
     the words choose windows that several documents seem to have; the words of ``plain`` decide. A bit table
-    of fixed size drops windows that nobody asks for before anything is shuffled; it never drops others.
+    of fixed size drops windows that nobody asks for before anything is shuffled; it never drops others. Of the rest
+    those are chosen whose least run of words (``least_grams``) several documents have: one row for many windows.
     """
     spans = blocks.groupBy("rank", "print").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
@@ -423,19 +440,30 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
             one, two = _probes(hashes.view(np.uint64))
             hit = np.flatnonzero(has(one))
             hit = hit[has(two[hit])]
-            own = [batch.column(c).take(pa.array(text[hit])) for c in ("rank", "print")]
-            places = (at[hit] - cuts[text[hit]]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*own, pa.array(hashes[hit]), pa.array(places)], names=["rank", "print", "hash", "at"])
-
-    answers = written(left.select("rank", "print", "runs", "marks").mapInArrow(answer, "rank bigint, print binary, hash bigint, at int"))
-    alike = answers.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last").select("hash")
-    chosen = written(answers.join(alike, "hash").groupBy("rank", "print").agg(F.collect_set("at").alias("at")))
+            if len(hit):
+                at, text = at[hit], text[hit]
+                count = np.bincount(text, minlength=batch.num_rows)
+                heads = np.concatenate(([0], np.cumsum(count)))
+                grams, many, places = each_once(least_grams(flat(batch.column("marks"))[0], at, size), np.ones(len(at), bool), heads)
+                own = [batch.column(c) for c in ("rank", "print")]
+                columns = [lists(grams, many), binaries(places, heads), binaries((at - cuts[text]).astype(np.int32), heads)]
+                rows = pa.RecordBatch.from_arrays([*own, *columns], names=["rank", "print", "grams", "places", "at"])
+                yield rows.filter(pa.array(count > 0))
+
+    answers = written(left.select("rank", "print", "runs", "marks").mapInArrow(answer, "rank bigint, print binary, grams array<bigint>, places binary, at binary"))
+    parts = answers.select("rank", F.explode("grams").alias("line"))
+    alike = parts.join(shared_lines(parts).hint("shuffle_hash"), "line").groupBy("rank").agg(F.collect_set("line").alias("alike"))
+    chosen = written(answers.join(alike, "rank"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             spelled = words(encoded(batch.column("text")))
-            at, cuts = flat(batch.column("at"))
-            text = np.repeat(np.arange(batch.num_rows), np.diff(cuts))
+            grams, heads = flat(batch.column("grams"))
+            places, cuts = flat(batch.column("places"))
+            text = np.repeat(np.arange(batch.num_rows), np.diff(cuts) // 4)
+            # a run of words that several documents have is so in all texts of the batch
+            known = np.isin(grams, flat(batch.column("alike"))[0])[places.view(np.int32) + heads[text]]
+            at, text = flat(batch.column("at"))[0].view(np.int32)[known], text[known]
             hashes = windows(spelled.hash, at + spelled.first[text], size)
             own = [batch.column(c).take(pa.array(text)) for c in ("rank", "print")]
             yield pa.RecordBatch.from_arrays([*own, pa.array(hashes), pa.array(at)], names=["rank", "print", "hash", "at"])
@@ -444,7 +472,7 @@ def by_windows(plain: DataFrame, left: DataFrame, blocks: DataFrame, size: int)
     exact = written(copies.mapInArrow(spell, "rank bigint, print binary, hash bigint, at int"))
     holders = exact.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last").drop("last")
     found_at = F.collect_set(F.struct("at", "first")).alias("found")
-    hits = exact.join(holders, "hash").filter("first < rank").groupBy("rank", "print").agg(found_at)
+    hits = exact.join(holders.hint("shuffle_hash"), "hash").filter("first < rank").groupBy("rank", "print").agg(found_at)
 
     def merge(own: pa.Array) -> list[tuple[int, int, int]]:
         at, first = (own.field(c).to_numpy() for c in ("at", "first"))
@@ -500,7 +528,7 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", least_words: int = BLOCK_WO
     texts = written(sequences(plain, LINE_WORDS))
     left = written(candidates(texts, LINE_WORDS, least_words))
     parts = left.select("rank", F.explode(F.array_distinct("lines")).alias("line"))
-    pairs = parts.join(shared_lines(parts), "line").filter("first < rank").select("rank", "first").distinct()
+    pairs = parts.join(shared_lines(parts).hint("shuffle_hash"), "line").filter("first < rank").select("rank", "first").distinct()
     later = pairs.join(left, "rank")
     earlier = left.select(F.col("rank").alias("first"), *[F.col(c).alias(f"other_{c}") for c in ("starts", "lines", "marks")])
     both = later.join(earlier, "first")

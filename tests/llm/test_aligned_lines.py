@@ -198,3 +198,66 @@ def test_blocks_of_a_text_cover_it_without_being_many(spark):
         assert wanted <= set().union(*(range(s, e) for rank, _, s, e in found if rank == k))
         earlier |= set(runs)
     assert aligned_lines.cover([[1, 0, 60], [2, 0, 50], [3, 20, 70], [4, 55, 130], [5, 200, 260]]) == [(1, 0, 60), (4, 55, 130), (5, 200, 260)]
+
+
+def test_repeated_rows_are_one_candidate(spark):
+    """Copies of a row are dropped where the lists of lines are joined, not carried to every later step."""
+    texts = [prose(1, 120), *[f"{prose(1, 120)} {prose(2, 20)}"] * 5, prose(3, 90)]
+    docs = documents(spark, texts, [1, 2, 2, 2, 2, 2, 3])
+    plain = docs.selectExpr("doc_id as rank", "md5(text) as print", "text").selectExpr("rank", "unhex(print) as print", "text")
+    found = aligned_lines.candidates(aligned_lines.sequences(plain, 5), 5, 50)
+    assert sorted(r.rank for r in found.collect()) == [1, 2]
+
+
+def test_texts_of_one_id(spark):
+    """Different texts with one id have their lists of shared lines in common, but each has its own blocks."""
+    one, two = prose(11, 90), prose(12, 80)
+    texts = [f"{one} {prose(13, 9)} {two}", f"{prose(14, 12)} {one}", f"{two} {prose(15, 7)}", prose(16, 70), "short"]
+    left = {r.text for r in aligned_lines.without_repeats(documents(spark, texts, [0, 5, 5, 5, 5])).collect()}
+    assert left >= {texts[0], texts[3], "short"} and len(left) == 5
+    assert not any(part in t for part in (one[100:400], two[100:400]) for t in left - {texts[0]})
+
+
+def test_runs_of_many_texts_at_once():
+    draw = random.Random(3)
+    for _ in range(200):
+        sizes = [[draw.randint(1, 30) for _ in range(draw.choice([0, 1, 2, 8, 40]))] for _ in range(draw.randint(1, 5))]
+        shared = [[n >= 5 and draw.random() < 0.6 for n in own] for own in sizes]
+        cuts = np.concatenate(([0], np.cumsum([len(own) for own in sizes])))
+        keep, runs, many = aligned_lines.in_long_runs(np.array(sum(shared, []), bool), np.array(sum(sizes, []), np.uint8), cuts, 5, 50)
+        wanted, wanted_keep, counts = [], [], []
+        for own, flags in zip(sizes, shared, strict=True):
+            places = [sum(own[:k]) for k in range(len(own) + 1)]
+            kept, found, a = [False] * len(own), [], 0
+            while a < len(own):
+                b = a
+                while b < len(own) and (flags[b] or own[b] < 5):
+                    b += 1
+                first, end = places[max(a - 2, 0)], places[min(b + 2, len(own))]
+                if b > a and end - first >= 50 and any(flags[a:b]):
+                    kept[a:b] = flags[a:b]
+                    if found and first <= found[-1][1]:
+                        found[-1][1] = end
+                    else:
+                        found.append([first, end])
+                a = b + 1
+            wanted, wanted_keep, counts = wanted + found, wanted_keep + kept, [*counts, len(found)]
+        assert runs.tolist() == wanted and keep.tolist() == wanted_keep and many.tolist() == counts
+
+
+def test_lines_once():
+    lines, long = np.array([7, 3, 7, 9, 3, 3, 7]), np.array([1, 1, 1, 0, 1, 1, 1], bool)
+    once, counts, places = aligned_lines.each_once(lines, long, np.array([0, 4, 4, 7]))
+    assert once.tolist() == [3, 7, 3, 7] and counts.tolist() == [2, 0, 2] and places.tolist() == [1, 0, 1, -1, 0, 0, 1]
+
+
+def test_least_runs_of_words_stand_for_windows():
+    """A window's least run depends on its own words alone, and there are few of them: one row for many windows."""
+    draw = np.random.default_rng(2)
+    values = draw.integers(0, 256, 3000).astype(np.uint8)
+    at = np.arange(len(values) - 49)
+    least = aligned_lines.least_grams(values, at, 50)
+    runs = aligned_lines.windows(values, np.arange(len(values) - 37), 38)
+    assert least.tolist() == [runs[k : k + 13].min() for k in at]
+    assert aligned_lines.least_grams(values[1000:1200], np.arange(151), 50).tolist() == least[1000:1151].tolist()
+    assert len(np.unique(least)) < len(at) / 5
